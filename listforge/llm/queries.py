@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import hilbert, line_dedup, quality_rules
+from . import hilbert, line_dedup, packing, quality_rules, rollups, simhash
 from .common import table
 
 
@@ -16,9 +16,13 @@ def _on_documents(f: Callable[[SparkSession, DataFrame], DataFrame]) -> Callable
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op4_best_fit_packing": _on_documents(packing.op4),
         "op6_line_dedup": _on_documents(line_dedup.op6),
+        "op7_simhash_near_dedup": _on_documents(simhash.op7),
         "op8_hilbert_shards": _on_documents(hilbert.op8),
         "op9_quality_rules": _on_documents(quality_rules.op9),
+        "op10_token_rollups": _on_documents(rollups.op10),
+        "llm_word_rollups": _on_documents(rollups.word_rollups),
     }
 
 
@@ -27,4 +31,5 @@ def oracle_sql() -> dict[str, str]:
         "op6_line_dedup": line_dedup.ORACLE,
         "op8_hilbert_shards": hilbert.oracle(),
         "op9_quality_rules": quality_rules.ORACLE,
+        "llm_word_rollups": rollups.WORD_ORACLE,
     }
