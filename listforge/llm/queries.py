@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import hilbert, line_dedup, packing, quality_rules, rollups, simhash
+from . import decontaminate, hilbert, line_dedup, packing, quality_model, quality_rules, rollups, simhash
 from .common import table
 
 
@@ -16,7 +16,9 @@ def _on_documents(f: Callable[[SparkSession, DataFrame], DataFrame]) -> Callable
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_benchmark_decontamination": decontaminate.op1,
         "op4_best_fit_packing": _on_documents(packing.op4),
+        "op5_quality_classifier": quality_model.op5,
         "op6_line_dedup": _on_documents(line_dedup.op6),
         "op7_simhash_near_dedup": _on_documents(simhash.op7),
         "op8_hilbert_shards": _on_documents(hilbert.op8),
