@@ -99,8 +99,9 @@ def dropped_lines(docs: DataFrame, min_chars: int = 10, batches: int = 4, fanout
 
 
 def dedup_lines(docs: DataFrame, min_chars: int = 10, batches: int = 4, fanout: int = 2) -> DataFrame:
-    """docs with ``text`` replaced by the lines that stay, plus n_lines and n_dropped."""
+    """docs with ``text`` replaced by the lines that stay, plus n_lines and n_dropped (columns of these names are replaced)."""
     drops = dropped_lines(docs, min_chars, batches, fanout)
+    docs = docs.drop("n_lines", "n_dropped")
     names = docs.columns
     lines = (
         docs.join(drops.withColumnRenamed("doc_id", "__id").withColumnRenamed("dropped", "__drop"), F.col("doc_id") == F.col("__id"), "left")

@@ -126,6 +126,14 @@ def judge(docs: DataFrame, min_left: float = MIN_LEFT, **limits) -> DataFrame:
     return out.withColumn("kept", ~F.col("base_failed") & ~depleted).drop("__t", "__id", "__th", "__host")
 
 
+def drop_rejected(docs: DataFrame) -> DataFrame:
+    """docs without the rows that the rules reject; columns as they are."""
+    thin = docs.select("doc_id", "text", "source")
+    out = judge(thin).where(~F.col("kept")).select(F.col("doc_id").alias("__id"), F.xxhash64("text").alias("__th"), F.col("source").alias("__host"))
+    same = docs["doc_id"].eqNullSafe(F.col("__id")) & (F.xxhash64(docs["text"]) == F.col("__th")) & docs["source"].eqNullSafe(F.col("__host"))
+    return docs.join(out, same, "left_anti")
+
+
 def op9(spark: SparkSession, docs: DataFrame) -> DataFrame:
     return judge(docs.select("doc_id", "text", "source")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_boiler"

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, hilbert, line_dedup, packing, quality_model, quality_rules, recompression, rollups, simhash
+from . import decontaminate, hilbert, line_dedup, packing, quality_model, quality_rules, recompression, rollups, simhash, suffix_dedup
 from .common import table
 
 
@@ -17,6 +17,7 @@ def _on_documents(f: Callable[[SparkSession, DataFrame], DataFrame]) -> Callable
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_benchmark_decontamination": decontaminate.op1,
+        "op2_suffix_array_dedup": _on_documents(suffix_dedup.op2),
         "op3_recompression_dedup": _on_documents(recompression.op3),
         "op4_best_fit_packing": _on_documents(packing.op4),
         "op5_quality_classifier": quality_model.op5,

@@ -215,10 +215,10 @@ def marks(found: DataFrame, parts: int) -> DataFrame:
     """Pieces -> (doc_id, start, mask): the windows of each piece that a smaller document holds."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        t = pa.Table.from_batches(list(batches))
-        if not t.num_rows:
+        full = [b for b in batches if b.num_rows]
+        if not full:
             return
-        t = t.combine_chunks()
+        t = pa.Table.from_batches(full).combine_chunks()
         names = t.column("names").combine_chunks()
         n = pa.compute.list_value_length(names).to_numpy().astype(np.int64)
         lane = np.repeat(np.arange(len(n)), n)
