@@ -40,13 +40,13 @@ SELECT o_orderkey AS run_id, 'S' || CAST(o_custkey % 40 AS VARCHAR(9)) AS source
        CASE o_orderstatus WHEN 'F' THEN 'FAILED' WHEN 'O' THEN CASE WHEN o_orderkey % 9 = 0 THEN 'HELD' WHEN o_orderkey % 9 = 1 THEN 'NO_CHANGE' ELSE 'SUCCEEDED' END
             ELSE CASE WHEN o_orderkey % 11 = 0 THEN 'RUNNING' ELSE 'SUCCEEDED' END END AS status,
        CAST(o_orderkey % 4 AS INT) AS attempt, CAST(o_orderkey % 50 AS INT) AS added, CAST(o_orderkey % 20 AS INT) AS changed, CAST(o_orderkey % 5 AS INT) AS removed,
-       CAST(o_totalprice AS BIGINT) AS seconds
+       CAST(floor(o_totalprice) AS BIGINT) AS seconds
 FROM orders"""
 
 #: Fetch log: one row an event; errors carry a class.
 FETCHES = """
 SELECT event_id, 'S' || CAST(user_id % 40 AS VARCHAR(9)) AS source_id, ts AS fetched_at, CASE WHEN event_type = 'error' THEN 'E' || CAST(event_id % 4 AS VARCHAR(9)) END AS error_class,
-       CAST(value * 10 AS BIGINT) AS duration_ms, event_id * 37 % 100000 AS size_bytes
+       CAST(floor(value * 10) AS BIGINT) AS duration_ms, event_id * 37 % 100000 AS size_bytes
 FROM events"""
 
 

@@ -182,7 +182,7 @@ def b23(spark, sf_dir):
     return df.select("c_custkey", T.content_hash("c_custkey", "c_name", "c_mktsegment").alias("content_hash"))
 
 
-@query("b24_act_references", "SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN '3' || o_custkey || 'R' ELSE 'ext' || o_orderkey END AS act FROM orders")
+@query("b24_act_references", "SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN regexp_extract('CELEX:3' || o_custkey || 'R&q', 'CELEX[:%3A]*([0-9A-Z]+)', 1) ELSE 'ext' || o_orderkey END AS act FROM orders")
 def b24(spark, sf_dir):
     df = derived(spark, sf_dir, "SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN 'https://x/?uri=CELEX:3' || o_custkey || 'R&q' ELSE 'https://x/y' END AS url, 'ext' || o_orderkey AS ext FROM orders")
     return df.select("o_orderkey", T.act_from_notice(F.col("url"), F.col("ext")).alias("act"))

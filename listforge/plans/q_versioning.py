@@ -110,7 +110,7 @@ def f07(spark, sf_dir):
 
 
 CANDS = "SELECT o_orderkey AS candidate_id, 'L' || CAST(o_custkey % 3 AS VARCHAR(9)) AS source_id, o_custkey AS source_key, CASE WHEN o_orderkey % 5 = 0 THEN 'PENDING' WHEN o_orderkey % 5 = 1 THEN 'EVIDENCE_FOUND' WHEN o_orderkey % 5 = 2 THEN 'REJECTED_PARSER' WHEN o_orderkey % 5 = 3 THEN 'CONFIRMED' ELSE 'RELISTED' END AS status, o_orderdate AS created_at FROM orders"
-VERS = "SELECT o_orderkey AS version_id, 'S' || CAST(o_custkey % 40 AS VARCHAR(9)) AS source_id, CAST(o_orderkey % 100000 AS INT) AS seq, CASE o_orderstatus WHEN 'O' THEN 'PUBLISHED' WHEN 'F' THEN 'HELD' ELSE 'QUARANTINED' END AS status, CAST(o_totalprice AS BIGINT) AS record_count, o_orderdate AS created_at FROM orders"
+VERS = "SELECT o_orderkey AS version_id, 'S' || CAST(o_custkey % 40 AS VARCHAR(9)) AS source_id, CAST(o_orderkey % 100000 AS INT) AS seq, CASE o_orderstatus WHEN 'O' THEN 'PUBLISHED' WHEN 'F' THEN 'HELD' ELSE 'QUARANTINED' END AS status, CAST(floor(o_totalprice) AS BIGINT) AS record_count, o_orderdate AS created_at FROM orders"
 
 
 @query(
