@@ -231,7 +231,7 @@ def l05(spark, sf_dir):
 INC = "SELECT 'K' || CAST(user_id % 60 AS VARCHAR(9)) AS dedupe_key, event_id AS seq, CAST(ts AS DATE) AS at, CASE WHEN event_type = 'signup' THEN 'RESOLVED' ELSE 'SEEN' END AS kind, CAST(event_id % 5 AS INT) AS severity FROM events"
 
 
-@query("l06_incidents", f"WITH l AS (SELECT *, coalesce(sum((kind = 'RESOLVED')::INT) OVER (PARTITION BY dedupe_key ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS island FROM ({INC})) SELECT dedupe_key, island, count(*) FILTER (kind <> 'RESOLVED') AS occurrences, min("at") AS opened_at, max("at") FILTER (kind <> 'RESOLVED') AS last_seen_at, max(severity) AS severity, CASE WHEN bool_or(kind = 'RESOLVED') THEN 'RESOLVED' ELSE 'OPEN' END AS status FROM l GROUP BY 1, 2 HAVING count(*) FILTER (kind <> 'RESOLVED') > 0")
+@query("l06_incidents", f"WITH l AS (SELECT *, coalesce(sum((kind = 'RESOLVED')::INT) OVER (PARTITION BY dedupe_key ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS island FROM ({INC})) SELECT dedupe_key, island, count(*) FILTER (kind <> 'RESOLVED') AS occurrences, min(l.at) AS opened_at, max(l.at) FILTER (kind <> 'RESOLVED') AS last_seen_at, max(severity) AS severity, CASE WHEN bool_or(kind = 'RESOLVED') THEN 'RESOLVED' ELSE 'OPEN' END AS status FROM l GROUP BY 1, 2 HAVING count(*) FILTER (kind <> 'RESOLVED') > 0")
 def l06(spark, sf_dir):
     return MO.incidents(derived(spark, sf_dir, INC))
 
