@@ -102,3 +102,71 @@ def test_header_and_broken_files(spark, tmp_path):
     bad = land(tmp_path, "bad.xml", "<L><R><A>1</A></R><R><A>2</R></L>")
     out = C.well_formed(spark, bad, "R", "A string").first()
     assert out.corrupt >= 1
+
+OFAC = """<Sanctions xmlns="urn:x"><DateOfIssue><Year>2024</Year><Month>5</Month><Day>1</Day></DateOfIssue><ReferenceValueSets>
+<AliasTypeValues><AliasType ID="1">A.K.A.</AliasType></AliasTypeValues><FeatureTypeValues><FeatureType ID="8">Birthdate</FeatureType><FeatureType ID="9">Vessel Flag</FeatureType><FeatureType ID="10">Location</FeatureType></FeatureTypeValues>
+<CountryValues><Country ID="c1" ISO2="IR">Iran</Country></CountryValues><IDRegDocTypeValues><IDRegDocType ID="d1">Passport</IDRegDocType><IDRegDocType ID="d2">Vessel Registration Identification</IDRegDocType></IDRegDocTypeValues>
+<PartySubTypeValues><PartySubType ID="1" PartyTypeID="4">Vessel</PartySubType><PartySubType ID="4" PartyTypeID="1">Unknown</PartySubType></PartySubTypeValues><PartyTypeValues><PartyType ID="1">Individual</PartyType><PartyType ID="4">Transport</PartyType></PartyTypeValues>
+<SanctionsTypeValues><SanctionsType ID="s1">Program</SanctionsType><SanctionsType ID="s2">Block</SanctionsType></SanctionsTypeValues><ListValues><List ID="l1">SDN List</List></ListValues><LegalBasisValues><LegalBasis ID="b1" LegalBasisShortRef="EO 1">EO 1</LegalBasis></LegalBasisValues>
+<RelationTypeValues><RelationType ID="r1">Owned or Controlled By</RelationType></RelationTypeValues><LocPartTypeValues><LocPartType ID="p1">CITY</LocPartType></LocPartTypeValues></ReferenceValueSets>
+<Locations><Location ID="L1"><LocationCountry CountryID="c1"/><LocationPart LocPartTypeID="p1"><LocationPartValue Primary="true"><Value>Bandar</Value></LocationPartValue></LocationPart></Location></Locations>
+<IDRegDocuments><IDRegDocument ID="x" IdentityID="i1" IDRegDocTypeID="d1" IssuedBy-CountryID="c1"><IDRegistrationNo>P-9</IDRegistrationNo></IDRegDocument><IDRegDocument ID="y" IdentityID="i2" IDRegDocTypeID="d2"><IDRegistrationNo>IMO 9074729</IDRegistrationNo></IDRegDocument></IDRegDocuments>
+<DistinctParties><DistinctParty FixedRef="100"><Profile ID="100" PartySubTypeID="4"><Identity ID="i1" Primary="true"><Alias Primary="true" AliasTypeID="1" LowQuality="false"><DocumentedName><DocumentedNamePart><NamePartValue>Al</NamePartValue></DocumentedNamePart><DocumentedNamePart><NamePartValue>FA</NamePartValue></DocumentedNamePart></DocumentedName></Alias>
+<Alias Primary="false" AliasTypeID="1" LowQuality="true"><DocumentedName><DocumentedNamePart><NamePartValue>Weak</NamePartValue></DocumentedNamePart></DocumentedName></Alias></Identity>
+<Feature ID="f" FeatureTypeID="8"><FeatureVersion><DatePeriod><Start Approximate="true"><From><Year>1970</Year><Month>1</Month><Day>1</Day></From><To><Year>1970</Year><Month>12</Month><Day>31</Day></To></Start><End><From><Year>1970</Year><Month>1</Month><Day>1</Day></From><To><Year>1970</Year><Month>12</Month><Day>31</Day></To></End></DatePeriod></FeatureVersion></Feature>
+<Feature ID="g" FeatureTypeID="10"><FeatureVersion><VersionLocation LocationID="L1"/></FeatureVersion></Feature></Profile></DistinctParty>
+<DistinctParty FixedRef="200"><Profile ID="200" PartySubTypeID="1"><Identity ID="i2" Primary="true"><Alias Primary="true" AliasTypeID="1"><DocumentedName><DocumentedNamePart><NamePartValue>BOAT</NamePartValue></DocumentedNamePart></DocumentedName></Alias></Identity><Feature ID="h" FeatureTypeID="9"><FeatureVersion><VersionDetail>Iran</VersionDetail></FeatureVersion></Feature></Profile></DistinctParty></DistinctParties>
+<ProfileRelationships><ProfileRelationship ID="q" From-ProfileID="200" To-ProfileID="100" RelationTypeID="r1" Former="false"/></ProfileRelationships>
+<SanctionsEntries><SanctionsEntry ID="e1" ProfileID="100" ListID="l1"><EntryEvent LegalBasisID="b1"><Date><Year>2020</Year><Month>3</Month><Day>4</Day></Date></EntryEvent><SanctionsMeasure SanctionsTypeID="s1"><Comment>P1</Comment></SanctionsMeasure><SanctionsMeasure SanctionsTypeID="s1"><Comment>P2</Comment></SanctionsMeasure><SanctionsMeasure SanctionsTypeID="s2"/></SanctionsEntry></SanctionsEntries></Sanctions>"""
+
+
+def test_normalised_file(spark, tmp_path, iso):
+    from listforge.sources.advanced import advanced_list
+
+    rows, _ = read(spark, tmp_path, iso, advanced_list, "ofac.xml", OFAC)
+    p, v = rows["100"], rows["200"]
+    assert p.entity_type == "PERSON" and [(n.name_type, n.full_name, n.quality) for n in p.names] == [("PRIMARY", "Al FA", "STRONG"), ("AKA", "Weak", "WEAK")]
+    assert [(x.program_code, x.measures, str(x.listed_on), x.legal_basis, x.list_name) for x in p.listings] == [("P1", ["ASSET_FREEZE"], "2020-03-04", "EO 1", "SDN List"), ("P2", ["ASSET_FREEZE"], "2020-03-04", "EO 1", "SDN List")]
+    assert [(i.id_type, i.value_norm, i.country_iso2) for i in p.identifiers] == [("OFAC_UID", "100", None), ("PASSPORT", "P9", "IR")]
+    assert p.birth_dates[0].precision == "YEAR" and p.birth_dates[0].raw.startswith("circa") and p.addresses[0].city == "Bandar" and p.addresses[0].country_iso2 == "IR"
+    assert v.entity_type == "VESSEL" and v.vessel.flag_iso2 == "IR" and v.vessel.owner_operator_raw == "linked:100" and v.identifiers[1].value_norm == "9074729" and v.identifiers[1].checksum_valid
+
+
+def test_feeds(spark, tmp_path):
+    from listforge.sources import feeds as FD
+
+    rss = land(tmp_path, "f.xml", "<rss><channel><item><title>T</title><link>u</link><guid>g1</guid><pubDate>Wed, 1 May 2024 10:00:00 +0000</pubDate></item></channel></rss>")
+    r = FD.rss(spark, rss).first()
+    assert (r.external_id, r.title, str(r.published_at)) == ("g1", "T", "2024-05-01 10:00:00")
+    page = land(tmp_path, "n.json", '{"results": [{"id": "1", "t": "Sanctions x", "d": "2024-05-01T00:00", "b": "x"}, {"id": "2", "t": "other", "d": null, "b": null}]}')
+    got = FD.notice_pages(spark, page, {"external_id": "id", "title": "t", "published": "d", "text": "b"}, "sanction").collect()
+    assert [(g.external_id, str(g.published_on)) for g in got] == [("1", "2024-05-01")]
+    html = spark.createDataFrame([('<a href="/recent-actions/20240501">x</a><a href="/recent-actions/20240502_33">y</a><a href="/recent-actions/20240501">x</a>',)], "h string")
+    assert sorted(r.external_id for r in FD.action_links(html, "h").collect()) == ["20240501", "20240502"]
+    log = spark.createDataFrame([("<p>Intro</p><p>1 May 2024</p><p>added ZZi.001</p><p>2 June 2024</p><p>removed</p>",)], "h string")
+    assert sorted((str(r.published_on), r.text) for r in FD.dated_blocks(log, "h").collect()) == [("2024-05-01", "added ZZi.001"), ("2024-06-02", "removed")]
+
+
+def test_registries_and_curated_files(spark, tmp_path, iso):
+    from listforge.sources import feeds as FD
+    from listforge.sources import landing
+
+    csv = land(tmp_path, "r.csv", "N-NUMBER , NAME\n 1A , X Y \n2B,\n")
+    assert [(r["N-NUMBER"], r["NAME"]) for r in FD.registry_csv(spark, csv).collect()] == [("1A", "X Y"), ("2B", None)]
+    cur = FD.curated_csv(spark, land(tmp_path, "c.csv", "Name,IMO,Flag,Aliases\nBOAT,9074729,Iran,A; B\nBAD,1234568,,\n,,,\n"), True)
+    rows = cur.collect()
+    assert [(r.name, r.ok) for r in rows if r.name] == [("BOAT", True), ("BAD", False)]
+    rec = FD.curated_records(cur.where("ok"), iso, True).collect()
+    assert [r.source_key for r in rec] == ["9074729"] and len(rec[0].names) == 3 and rec[0].vessel.flag_iso2 == "IR"
+    census = {r.path: r.n for r in FD.path_census(spark.createDataFrame([("<a k='1'><b/><b/></a>",)], "x string"), "x").collect()}
+    assert census == {"/a": 1, "/a/@k": 1, "/a/b": 2}
+    h = landing.file_hashes(spark, csv).first()
+    import hashlib
+    assert h.sha256 == hashlib.sha256(open(csv, "rb").read()).hexdigest()
+    out = str(tmp_path / "staged")
+    df = spark.createDataFrame([("S1", 1, "a"), ("S1", 2, "b")], "source_id string, seq int, k string")
+    landing.stage(df, out, "source_id", "seq")
+    landing.stage(df.where("seq = 2").withColumn("k", F.lit("c")), out, "source_id", "seq")
+    assert sorted((r.seq, r.k) for r in spark.read.parquet(out).collect()) == [(1, "a"), (2, "c")]
+    bad = landing.malformed_share(spark.createDataFrame([(k, "n" if k % 2 else None) for k in range(10)], "pos long, name string"), ["name"], "pos").first()
+    assert bad.share == 0.5 and bad.fails
