@@ -20,7 +20,6 @@ doc_id are one document as holders and lose the same words. An empty table gives
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,8 +32,6 @@ from . import kernel
 from .repeats import HOT, candidates, with_spans
 
 WIDTH, ROUNDS, FAR = 13, 1, 1 << 40
-#: Windows that one task compares, on average.
-TASK_WINDOWS = 1_000_000
 
 
 def name_round(sym: np.ndarray, start: np.ndarray, lo: np.ndarray, hi: np.ndarray, doc: np.ndarray, salt: int) -> tuple[np.ndarray, ...]:
@@ -146,7 +143,7 @@ def window_runs(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     return docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long"), "text").mapInArrow(run, RUN)
 
 
-PIECE = "route long, key long, doc_id long, start int, known long, names array<long>"
+PIECE = "route long, doc_id long, start int, known long, names array<long>"
 
 
 def pieces(chosen: DataFrame, width: int = WIDTH) -> DataFrame:
@@ -160,6 +157,7 @@ def pieces(chosen: DataFrame, width: int = WIDTH) -> DataFrame:
         for b in batches:
             ids = b.column("doc_id").to_numpy(zero_copy_only=False)
             hits = b.column("hits")
+            got: list[tuple[np.ndarray, ...]] = []
             for i, j, d, o in kernel.chunks(*kernel.utf8(b.column("text"))):
                 starts, ends, by_doc = kernel.words(d, o)
                 at, key, full, doc = window_keys(kernel.hash_spans(d, starts, ends), by_doc, width)
@@ -170,28 +168,31 @@ def pieces(chosen: DataFrame, width: int = WIDTH) -> DataFrame:
                 flat = per.flatten()
                 begin = flat.field("start").to_numpy() + by_doc[owner]
                 n, hot = flat.field("n").to_numpy().astype(np.int64), flat.field("hot").to_numpy(zero_copy_only=False)
-                single = np.repeat(hot, np.where(hot, n, 1))  # hot runs become runs of one window
-                step = np.arange(len(single)) - np.repeat(np.cumsum(np.where(hot, n, 1)) - np.where(hot, n, 1), np.where(hot, n, 1))
-                begin, n = np.repeat(begin, np.where(hot, n, 1)) + np.where(single, step, 0), np.where(single, 1, np.repeat(n, np.where(hot, n, 1)))
+                times = np.where(hot, n, 1)  # hot runs become runs of one window
+                step = np.arange(int(times.sum())) - np.repeat(np.cumsum(times) - times, times)
+                begin, n = np.repeat(begin, times) + step, np.repeat(np.where(hot, 1, n), times)
                 first = np.searchsorted(at, begin)
-                who = ids[i + doc[first]]
-                lane = np.repeat(np.arange(len(n)), n)
-                bit = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-                window = first[lane] + bit
-                name, holder = full[window], who[lane]
-                seen = _later(name, key[window], holder)
-                known = np.zeros(len(n), np.int64)
-                np.bitwise_or.at(known, lane, seen.astype(np.int64) << bit)
-                silent = known == (np.int64(1) << n) - 1
-                lengths = np.where(silent, 0, n)
-                route = np.where(single, kernel.mix(full[first], 3), np.where(silent, kernel.mix(first.astype(np.uint64), 4), key[first]))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(route.view(np.int64)), pa.array(key[first].view(np.int64)), pa.array(who), pa.array((at[first] - by_doc[doc[first]]).astype(np.int32)), pa.array(known),
-                        pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(lengths)).astype(np.int32)), pa.array(name[~silent[lane]].view(np.int64))),
-                    ],
-                    ["route", "key", "doc_id", "start", "known", "names"],
-                )
+                route = np.where(np.repeat(hot, times), kernel.mix(full[first], 3), key[first])
+                window = np.repeat(first, n) + np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+                got.append((route, ids[i + doc[first]], at[first] - by_doc[doc[first]], n, full[window]))
+            if not got:
+                continue
+            route, who, start, n, name = map(np.concatenate, zip(*got, strict=True))
+            lane = np.repeat(np.arange(len(n)), n)
+            bit = np.arange(len(lane)) - np.repeat(np.cumsum(n) - n, n)
+            seen = _later(name, route[lane], who[lane])
+            known = np.zeros(len(n), np.int64)
+            np.bitwise_or.at(known, lane, seen.astype(np.int64) << bit)
+            silent = known == (np.int64(1) << n) - 1
+            route = np.where(silent, kernel.mix(np.arange(len(n), dtype=np.uint64), 4), route)  # anywhere
+            lengths = np.where(silent, 0, n)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(route.view(np.int64)), pa.array(who), pa.array(start.astype(np.int32)), pa.array(known),
+                    pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(lengths)).astype(np.int32)), pa.array(name[~silent[lane]].view(np.int64))),
+                ],
+                ["route", "doc_id", "start", "known", "names"],
+            )
 
     return chosen.select(F.col("doc_id").cast("long"), "text", "hits").mapInArrow(run, PIECE)
 
@@ -223,7 +224,7 @@ def marks(found: DataFrame, parts: int) -> DataFrame:
         n = pa.compute.list_value_length(names).to_numpy().astype(np.int64)
         lane = np.repeat(np.arange(len(n)), n)
         bit = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-        holder, key, mask = t.column("doc_id").to_numpy(), t.column("key").to_numpy(), t.column("known").to_numpy().copy()
+        holder, key, mask = t.column("doc_id").to_numpy(), t.column("route").to_numpy(), t.column("known").to_numpy().copy()
         seen = _later(names.flatten().to_numpy().view(np.uint64), key[lane], holder[lane])
         np.bitwise_or.at(mask, lane, seen.astype(np.int64) << bit)
         hit = mask != 0
