@@ -6,7 +6,8 @@ new becomes a run of level 0. As soon as a level holds ``fanout`` runs they are
 so n batches leave O(log n) runs and each key is rewritten O(log n) times.
 
 Defined results: a null text is one empty line. Rows without ``doc_id`` lose no line and own none. Rows that repeat a
-``doc_id`` count as one document. An empty table gives an empty result. Further columns are ignored.
+``doc_id`` count as one document, and each loses its own lines. An empty table gives an empty result. Further columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -34,12 +35,12 @@ def key_hashes(key: Column) -> tuple[Column, Column]:
 
 
 def line_keys(docs: DataFrame, min_chars: int) -> DataFrame:
-    """(doc_id, line_no, k1, k2) of every line whose key has at least min_chars code points."""
+    """(doc_id, th, line_no, k1, k2) of every line whose key has at least min_chars code points; th: hash of the text."""
     lines = docs.where(F.col("doc_id").isNotNull()).select(
-        "doc_id", F.posexplode(F.transform(F.split(F.coalesce("text", F.lit("")), "\n"), line_key)).alias("line_no", "key")
+        "doc_id", F.xxhash64("text").alias("th"), F.posexplode(F.transform(F.split(F.coalesce("text", F.lit("")), "\n"), line_key)).alias("line_no", "key")
     )
     k1, k2 = key_hashes(F.col("key"))
-    return lines.where(F.length("key") >= min_chars).select("doc_id", "line_no", k1.alias("k1"), k2.alias("k2"))
+    return lines.where(F.length("key") >= min_chars).select("doc_id", "th", "line_no", k1.alias("k1"), k2.alias("k2"))
 
 
 @dataclass
@@ -80,20 +81,20 @@ class LineRuns:
 
 
 def dropped_lines(docs: DataFrame, min_chars: int = 10, batches: int = 4, fanout: int = 2) -> DataFrame:
-    """(doc_id, dropped array<int>): the numbers of the lines that each document loses."""
+    """(doc_id, th, dropped array<int>): the numbers of the lines that each document loses."""
     spark = docs.sparkSession
     cuts = docs.select(F.percentile_approx("doc_id", [i / batches for i in range(1, batches)], 10_000)).first()[0] or []
     batch = sum(((F.col("doc_id") > c).cast("int") for c in cuts), F.lit(0))
     path = new_path(spark, "line-keys")
     line_keys(docs, min_chars).withColumn("batch", batch).write.partitionBy("batch").parquet(path)
-    lines = spark.read.schema("doc_id long, line_no int, k1 long, k2 long, batch int").parquet(path)
+    lines = spark.read.schema("doc_id long, th long, line_no int, k1 long, k2 long, batch int").parquet(path)
     runs = LineRuns(spark, fanout)
     for b in range(len(cuts) + 1):
         runs.add_batch(lines.where(F.col("batch") == b))
     return (
         lines.join(runs.all().hint("merge"), ["k1", "k2"])
         .where(F.col("doc_id") > F.col("first_doc"))
-        .groupBy("doc_id")
+        .groupBy("doc_id", "th")
         .agg(F.collect_set("line_no").alias("dropped"))
     )
 
@@ -104,7 +105,10 @@ def dedup_lines(docs: DataFrame, min_chars: int = 10, batches: int = 4, fanout:
     docs = docs.drop("n_lines", "n_dropped")
     names = docs.columns
     lines = (
-        docs.join(drops.withColumnRenamed("doc_id", "__id").withColumnRenamed("dropped", "__drop"), F.col("doc_id") == F.col("__id"), "left")
+        docs.join(
+            drops.withColumnsRenamed({"doc_id": "__id", "th": "__th", "dropped": "__drop"}),
+            (docs["doc_id"] == F.col("__id")) & (F.xxhash64(docs["text"]) == F.col("__th")), "left",
+        )
         .withColumn("__lines", F.split(F.coalesce("text", F.lit("")), "\n"))
         .withColumn("__keep", F.array_except(F.sequence(F.lit(0), F.size("__lines") - 1), F.coalesce("__drop", F.array().cast("array<int>"))))
     )
