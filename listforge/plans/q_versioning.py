@@ -269,7 +269,7 @@ def f21(spark, sf_dir):
     return R.lead_comparison(page, "text", ours, "imo")
 
 
-PROPS = "SELECT o_orderkey AS change_id, 'user' || CAST(o_custkey % 7 AS VARCHAR(9)) AS maker, 'K' || CAST(o_custkey % 300 AS VARCHAR(9)) AS dedupe_key, CASE o_orderstatus WHEN 'O' THEN 'PENDING' WHEN 'F' THEN 'APPROVED' ELSE 'REJECTED' END AS status, CASE WHEN o_orderkey % 3 = 0 THEN 'RELEASE_HELD' WHEN o_orderkey % 3 = 1 THEN 'REMOVAL' ELSE 'ANNEX' END AS kind FROM orders"
+PROPS = "SELECT o_orderkey AS change_id, 'user' || CAST(o_custkey % 7 AS VARCHAR(9)) AS maker, 'K' || CAST(CAST(floor(o_orderkey / 2) AS BIGINT) AS VARCHAR(12)) AS dedupe_key, CASE o_orderstatus WHEN 'O' THEN 'PENDING' WHEN 'F' THEN 'APPROVED' ELSE 'REJECTED' END AS status, CASE WHEN o_orderkey % 3 = 0 THEN 'RELEASE_HELD' WHEN o_orderkey % 3 = 1 THEN 'REMOVAL' ELSE 'ANNEX' END AS kind FROM orders"
 DECS = "SELECT l_orderkey AS change_id, l_linenumber AS decision_no, 'user' || CAST(l_suppkey % 7 AS VARCHAR(9)) AS checker, CASE l_linestatus WHEN 'O' THEN 'APPROVED' ELSE 'REJECTED' END AS decision FROM lineitem"
 
 
