@@ -19,7 +19,7 @@ from .line_dedup import key_hashes, line_key
 
 MIN_WORDS, MAX_REPEAT_PCT, WINDOW = 10, 20, 5
 #: A line is boilerplate in a host beyond max(LINE_DOCS, LINE_SHARE of the host's distinct documents).
-LINE_DOCS, LINE_SHARE, MIN_LINE_CHARS, MIN_LEFT = 50, 0.05, 10, 0.5
+LINE_DOCS, LINE_SHARE, MIN_LINE_CHARS, MIN_LEFT = 50, 0.05, 10, 0.3
 HAS_WORD = r"[^\x20\x09-\x0D]"
 
 
@@ -168,6 +168,6 @@ stats AS (
   FROM word_lists w LEFT JOIN dups d USING (doc_id) LEFT JOIN rep r USING (doc_id) LEFT JOIN boiler b USING (doc_id)),
 judged AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM stats)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       NOT base_failed AND NOT ((n_words - n_boiler) < 0.5 * n_words) AS kept, n_boiler
+       NOT base_failed AND NOT ((n_words - n_boiler) < 0.3 * n_words) AS kept, n_boiler
 FROM judged
 """

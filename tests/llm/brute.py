@@ -82,7 +82,7 @@ def simhash(docs):
     return sorted((i, f"{prints[i]:016x}", find(i)) for i in ids)
 
 
-def quality(docs, line_docs=50, share=0.05, left=0.5):
+def quality(docs, line_docs=50, share=0.05, left=0.3):
     texts, holders = defaultdict(set), defaultdict(set)
     norm = lambda line: line.strip(BLANKS).translate(LOWER)
     for _, t, s in docs:
