@@ -110,8 +110,9 @@ class Rollup:
 def copies(docs: DataFrame) -> DataFrame:
     """doc_ids whose text another document with a smaller doc_id has too."""
     rows = docs.where(F.col("doc_id").isNotNull()).select("doc_id", F.sha2(F.coalesce("text", F.lit("")), 256).alias("h"))
-    first = rows.groupBy("h").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).where("n > 1").select("h", "first")
-    return rows.join(first, "h").where(F.col("doc_id") > F.col("first")).select("doc_id").distinct()
+    first = rows.groupBy("h").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).where("n > 1")
+    first = first.select(F.lower("h").alias("__h"), "first")  # dealt anew: a join on a text of many copies can then be split
+    return rows.join(first, F.col("h") == F.col("__h")).where(F.col("doc_id") > F.col("first")).select("doc_id").distinct()
 
 
 def maintain(docs: DataFrame, old: DataFrame, new: DataFrame, old_name: str, new_name: str) -> DataFrame:

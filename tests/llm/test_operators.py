@@ -270,3 +270,17 @@ def test_pipeline(spark):
     assert out <= {r[0] for r in rows} - held
     lost = {r[0] for r in rows} - held - out  # an item may have lost lines and still be one
     assert len(lost) <= 0.02 * len(rows)
+
+
+def test_repeated_rows_with_other_texts(spark):
+    long = " ".join(f"w{k}" for k in range(60))
+    rows = [(1, long, "s"), (2, "short text", "s"), (2, long + " and more than that", "s"), (2, long + " and more than that", "s"), (None, long, None), (3, "x\ny", None), (3, "same old line here\ny", "s"), (4, "same old line here", "s"), (0, "z\nsame old line here", "s")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    for hot in (2000, 1):
+        assert suffix_dedup.dedup(df, hot=hot).count() == len(rows)
+        out = recompression.dedup(df, hot=hot).where("doc_id = 2").select("n_words", "n_removed").collect()
+        assert sorted(map(tuple, out)) == [(2, 0), (64, 60), (64, 60)] or sorted(map(tuple, out))[1:] == [(64, 60), (64, 60)]
+    lines = sorted(tuple(r) for r in line_dedup.dedup_lines(df.where("doc_id IN (0, 3, 4)")).select("doc_id", "text").collect())
+    assert lines == [(0, "z\nsame old line here"), (3, "x\ny"), (3, "y"), (4, "")]
+    for op in (simhash.op7, quality_rules.op9, packing.op4):
+        assert op(spark, df).count() == len(rows)
