@@ -15,7 +15,8 @@ wherever those words occur, the symbol occurs.
 4. Documents drop the words that such windows cover.
 
 Defined results: a null or empty text has no words. Rows without doc_id lose nothing and hold nothing. Rows that repeat a
-doc_id are one document as holders and lose the same words. An empty table gives an empty result.
+doc_id are one document as holders; if their texts differ they lose the places that either would lose. An empty table gives
+an empty result. Further columns are ignored.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 
 from ..session import durable
 from . import kernel
-from .repeats import HOT, candidates, with_spans
+from .repeats import HOT, candidates, pack_runs, short_keys, unpack_hits, with_spans
 
 WIDTH, ROUNDS, FAR = 13, 1, 1 << 40
 
@@ -123,7 +124,7 @@ def _runs(key: np.ndarray, at: np.ndarray, doc: np.ndarray, width: int) -> tuple
     return first, n
 
 
-RUN = "key long, doc_id long, start int, n int"
+RUN = "key long, doc_id long, run long"
 
 
 def window_runs(docs: DataFrame, width: int = WIDTH) -> DataFrame:
@@ -136,21 +137,21 @@ def window_runs(docs: DataFrame, width: int = WIDTH) -> DataFrame:
                 first, n = _runs(key, at, doc, width)
                 if len(first):
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(key[first].view(np.int64)), pa.array(ids[i + doc[first]]), pa.array((at[first] - by_doc[doc[first]]).astype(np.int32)), pa.array(n.astype(np.int32))],
-                        ["key", "doc_id", "start", "n"],
+                        [pa.array(short_keys(key[first])), pa.array(ids[i + doc[first]]), pa.array(pack_runs(at[first] - by_doc[doc[first]], n))],
+                        ["key", "doc_id", "run"],
                     )
 
     return docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long"), "text").mapInArrow(run, RUN)
 
 
-PIECE = "route long, doc_id long, start int, known long, names array<long>"
+PIECE = "route long, doc_id long, piece long, names array<long>"
 
 
 def pieces(chosen: DataFrame, width: int = WIDTH) -> DataFrame:
     """chosen(doc_id, text, hits) -> the candidate runs with the names of their windows.
 
-    ``known`` has a bit for each window that a smaller document of the same batch holds too; a run whose windows are all
-    known carries no names, as the smaller document speaks for it.
+    ``piece`` packs the first window, the number of windows and a bit for each window that a smaller document of the same
+    batch holds too; those carry no names, as the smaller document speaks for them.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -165,13 +166,17 @@ def pieces(chosen: DataFrame, width: int = WIDTH) -> DataFrame:
                     continue
                 per = hits.slice(i, j - i)
                 owner = np.repeat(np.arange(j - i), pa.compute.list_value_length(per).to_numpy(zero_copy_only=False))
-                flat = per.flatten()
-                begin = flat.field("start").to_numpy() + by_doc[owner]
-                n, hot = flat.field("n").to_numpy().astype(np.int64), flat.field("hot").to_numpy(zero_copy_only=False)
+                begin, n, hot = unpack_hits(per.flatten().to_numpy())
+                begin = begin + by_doc[owner]
                 times = np.where(hot, n, 1)  # hot runs become runs of one window
                 step = np.arange(int(times.sum())) - np.repeat(np.cumsum(times) - times, times)
                 begin, n = np.repeat(begin, times) + step, np.repeat(np.where(hot, 1, n), times)
                 first = np.searchsorted(at, begin)
+                fits = (first + n <= len(at)) & (at[np.minimum(first, len(at) - 1)] == begin)
+                fits &= doc[np.minimum(first, len(at) - 1)] == doc[np.minimum(first + n, len(at)) - 1]
+                if not fits.all():  # hits of another row with this doc_id
+                    first, n, begin, times = first[fits], n[fits], begin[fits], np.ones(int(fits.sum()), np.int64)
+                    hot = np.repeat(hot, np.where(hot, unpack_hits(per.flatten().to_numpy())[1], 1))[fits]
                 route = np.where(np.repeat(hot, times), kernel.mix(full[first], 3), key[first])
                 window = np.repeat(first, n) + np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
                 got.append((route, ids[i + doc[first]], at[first] - by_doc[doc[first]], n, full[window]))
@@ -185,13 +190,14 @@ def pieces(chosen: DataFrame, width: int = WIDTH) -> DataFrame:
             np.bitwise_or.at(known, lane, seen.astype(np.int64) << bit)
             silent = known == (np.int64(1) << n) - 1
             route = np.where(silent, kernel.mix(np.arange(len(n), dtype=np.uint64), 4), route)  # anywhere
-            lengths = np.where(silent, 0, n)
+            lengths = n - np.bitwise_count(known)
+            piece = start.astype(np.int64) << 24 | n << 16 | known
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(route.view(np.int64)), pa.array(who), pa.array(start.astype(np.int32)), pa.array(known),
-                    pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(lengths)).astype(np.int32)), pa.array(name[~silent[lane]].view(np.int64))),
+                    pa.array(route.view(np.int64)), pa.array(who), pa.array(piece),
+                    pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(lengths)).astype(np.int32)), pa.array(name[~seen].view(np.int64))),
                 ],
-                ["route", "doc_id", "start", "known", "names"],
+                ["route", "doc_id", "piece", "names"],
             )
 
     return chosen.select(F.col("doc_id").cast("long"), "text", "hits").mapInArrow(run, PIECE)
@@ -221,20 +227,21 @@ def marks(found: DataFrame, parts: int) -> DataFrame:
             return
         t = pa.Table.from_batches(full).combine_chunks()
         names = t.column("names").combine_chunks()
-        n = pa.compute.list_value_length(names).to_numpy().astype(np.int64)
-        lane = np.repeat(np.arange(len(n)), n)
-        bit = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-        holder, key, mask = t.column("doc_id").to_numpy(), t.column("route").to_numpy(), t.column("known").to_numpy().copy()
+        holder, key, piece = t.column("doc_id").to_numpy(), t.column("route").to_numpy(), t.column("piece").to_numpy()
+        mask, windows = piece & 0xFFFF, start_bits(((np.int64(1) << (piece >> 16 & 255)) - 1) & ~(piece & 0xFFFF))
+        lane, bit = np.nonzero(windows[:, :16])
         seen = _later(names.flatten().to_numpy().view(np.uint64), key[lane], holder[lane])
         np.bitwise_or.at(mask, lane, seen.astype(np.int64) << bit)
         hit = mask != 0
-        yield pa.RecordBatch.from_arrays([pa.array(holder[hit]), pa.array(t.column("start").to_numpy()[hit]), pa.array(mask[hit])], ["doc_id", "start", "mask"])
+        yield pa.RecordBatch.from_arrays([pa.array(holder[hit]), pa.array((piece[hit] >> 24).astype(np.int32)), pa.array(mask[hit])], ["doc_id", "start", "mask"])
 
     return found.repartition(parts, "route").mapInArrow(run, "doc_id long, start int, mask long")
 
 
 def removed_spans(docs: DataFrame, width: int = WIDTH, hot: int = HOT) -> DataFrame:
     """(doc_id, spans binary): pairs of little-endian 32-bit word numbers [from, to), ascending and apart."""
+    if width > 16:
+        raise ValueError("a piece has 16 bits for its windows")
     runs = window_runs(docs, width)
     hits = candidates(runs, across=True, hot=hot)
     chosen = docs.select("doc_id", "text").join(hits.withColumnRenamed("doc_id", "__id"), F.col("doc_id") == F.col("__id"))

@@ -2,11 +2,13 @@
 
 Both substring operators give every window (of words or of bytes) a key that depends on the window's content alone, so
 equal windows have equal keys wherever they stand. Consecutive windows of a document under one key are a run
-(key, doc_id, start, n). A key that occurs once clears its run; the others are candidates.
+(key, doc_id, run), where ``run`` packs its first window and their number, so that few bytes are shuffled. A key that occurs
+once clears its run; the others are candidates.
 """
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,17 +19,34 @@ SEND_BYTES = 32 << 20
 
 
 def candidates(runs: DataFrame, across: bool, hot: int = HOT) -> DataFrame:
-    """(doc_id, hits array<struct<start,n,hot>>): by document the runs whose key occurs again.
+    """(doc_id, hits array<long>): by document the packed runs whose key occurs again, shifted left by a bit for hot keys.
 
     across: only keys of two or more documents count.
     """
     keys = runs.groupBy("key").agg(F.count("*").alias("c"), F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
     keys = keys.where("lo < hi") if across else keys.where("c > 1 OR lo < hi")
-    keys = keys.select(F.col("key").alias("__k"), (F.col("c") > hot).alias("hot"))
-    found = runs.join(keys, F.col("key") == F.col("__k")).select("doc_id", F.struct("start", "n", "hot").alias("hit"))
+    # another expression than the grouping's: both sides of the join get a plain exchange, so that a hot key can be split
+    keys = keys.select(F.col("key").bitwiseXOR(F.lit(0)).alias("__k"), (F.col("c") > hot).alias("hot"))
+    hit = F.shiftleft("run", 1) + F.col("hot").cast("long")
+    found = runs.join(keys, F.col("key") == F.col("__k")).select("doc_id", hit.alias("hit"))
     return found.groupBy("doc_id").agg(F.collect_list("hit").alias("hits"))
 
 
+def short_keys(key: np.ndarray) -> np.ndarray:
+    """Keys for counting, of 48 bits: two that fall together only make one candidate more, and fewer bytes are shuffled."""
+    return (key & np.uint64((1 << 48) - 1)).view(np.int64)
+
+
+def pack_runs(start: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """First window and number (under 256) in one integer."""
+    return start.astype(np.int64) << 8 | n
+
+
+def unpack_hits(hit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first window, number, hot) of packed hits."""
+    return hit >> 9, hit >> 1 & 255, (hit & 1).astype(bool)
+
+
 def with_spans(docs: DataFrame, spans: DataFrame, size: str, limit: int = SEND_BYTES) -> DataFrame:
     """docs left-joined with spans(doc_id, ..., n bytes in column ``size``), which must be a written table.
 

@@ -12,8 +12,9 @@
    binary search and windows found in two of them repeat as well.
 5. Documents drop the union of their repeated windows.
 
-Defined results: a null text is empty. Repeated rows are documents of their own, and so are rows without doc_id (all of
-them read as one doc_id and lose the union of their repeats only if they stand alone; give ids to rows that matter).
+Defined results: a null text is empty. Rows without doc_id lose nothing and hold nothing. Rows that repeat a doc_id with its
+text are copies of one another; rows that repeat it with another text lose the places that either would lose. An empty table
+gives an empty result. Further columns are ignored.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 
 from ..session import durable
 from . import kernel
-from .repeats import HOT, candidates, with_spans
+from .repeats import HOT, candidates, pack_runs, short_keys, unpack_hits, with_spans
 
 WIDTH, GRAM, FINE = 200, 64, 8
 #: Documents are walked in chunks of so many bytes; longer ones in overlapping blocks.
@@ -96,7 +97,7 @@ def chunk_runs(d: np.ndarray, o: np.ndarray, width: int = WIDTH, gram: int = GRA
     return tuple(x[keep][order] for x in (doc, lo, hi - lo + 1, key[src], place[src]))
 
 
-RUN = "key long, doc_id long, start int, n int"
+RUN = "key long, doc_id long, run long"
 
 
 def window_runs(docs: DataFrame) -> DataFrame:
@@ -107,7 +108,7 @@ def window_runs(docs: DataFrame) -> DataFrame:
                 doc, lo, n, key, _ = chunk_runs(d, o)
                 if len(lo):
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(key.view(np.int64)), pa.array(ids[i + doc]), pa.array((lo - o[doc]).astype(np.int32)), pa.array(n.astype(np.int32))], ["key", "doc_id", "start", "n"]
+                        [pa.array(short_keys(key)), pa.array(ids[i + doc]), pa.array(pack_runs(lo - o[doc], n))], ["key", "doc_id", "run"]
                     )
 
     return docs.mapInArrow(run, RUN)
@@ -143,11 +144,14 @@ def pieces(chosen: DataFrame) -> DataFrame:
                 for r, (k, s) in enumerate(zip(doc.tolist(), (lo - o[doc]).tolist(), strict=True)):
                     begin[k, s] = r
                 for k in range(len(o) - 1):
-                    for hit in b.column("hits")[i + k].as_py():
-                        r = begin[k, hit["start"]]
+                    firsts, _, hots = unpack_hits(np.array(b.column("hits")[i + k].values.to_numpy()))
+                    for start, hot in zip(firsts.tolist(), hots.tolist(), strict=True):
+                        r = begin.get((k, start), -1)
+                        if r < 0:  # of another row with this doc_id
+                            continue
                         a, m, route = int(lo[r]), int(n[r]), int(signed[r])
-                        if not hit["hot"]:
-                            put(route, ids[i + k], hit["start"], m, raw[a : a + m - 1 + WIDTH])
+                        if not hot:
+                            put(route, ids[i + k], start, m, raw[a : a + m - 1 + WIDTH])
                             continue
                         base = int(place[r]) - (WIDTH - GRAM)  # first window that may hold the key's occurrence
                         at = a
@@ -360,7 +364,7 @@ def spans_of(found: DataFrame, parts: int, shard: int = SHARD) -> DataFrame:
 
 def removed_spans(docs: DataFrame, hot: int = HOT, shard: int = SHARD) -> DataFrame:
     """(doc_id, spans binary): pairs of little-endian 64-bit byte places [from, to), ascending and apart."""
-    docs = docs.select(F.col("doc_id").cast("long"), "text")
+    docs = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long"), "text")
     hits = candidates(window_runs(docs), across=False, hot=hot)
     chosen = docs.join(hits.withColumnRenamed("doc_id", "__id"), F.col("doc_id") == F.col("__id")).select("doc_id", "text", "hits")
     parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
