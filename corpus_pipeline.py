@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from listforge.llm import decontaminate, line_dedup, packing, quality_rules, simhash
+from listforge.llm import decontaminate, line_dedup, near_copies, packing, quality_rules
 from listforge.llm.common import table
 from listforge.session import durable
 
@@ -29,7 +29,7 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays: that of the smallest doc_id."""
-    return simhash.keep_one(docs).select(*COLUMNS)
+    return near_copies.keep_one(docs).select(*COLUMNS)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

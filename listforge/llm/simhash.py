@@ -124,9 +124,3 @@ def near_components(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
 def op7(spark: SparkSession, docs: DataFrame) -> DataFrame:
     out = near_components(fingerprints(docs))
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
-
-
-def keep_one(docs: DataFrame) -> DataFrame:
-    """docs without the near copies: of each component the row with the smallest doc_id stays; rows without doc_id stay."""
-    out = near_components(fingerprints(docs)).where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(out, F.col("doc_id") == F.col("__id"), "left_anti")
