@@ -80,41 +80,49 @@ def base_stats(docs: DataFrame) -> DataFrame:
     return out.withColumn("base_failed", (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PCT * F.col("n_words")))
 
 
-def boilerplate_words(docs: DataFrame, line_docs: int = LINE_DOCS, line_share: float = LINE_SHARE, min_chars: int = MIN_LINE_CHARS) -> DataFrame:
-    """(doc_id, th, host, n_boiler): words of each document on lines above its host's limit; documents without any are absent.
+def boilerplate_lines(
+    docs: DataFrame, line_docs: int = LINE_DOCS, line_share: float = LINE_SHARE, min_chars: int = MIN_LINE_CHARS, few: int | None = None
+) -> DataFrame:
+    """(doc_id, th, host, line_no, n): the lines above their host's limit, by number, with their words.
 
-    ``th`` is the hash of the text, so rows that repeat a doc_id with another text stay apart.
+    ``th`` is the hash of the text, so rows that repeat a doc_id with another text stay apart. The limit is the greater of
+    ``line_docs`` and the share; with ``few``, the lesser of them but ``few`` at least.
     """
     rows = docs.select("doc_id", F.xxhash64("text").alias("th"), F.col("source").alias("host"), "text")
     counted = F.transform(
-        F.filter(F.split(F.coalesce("text", F.lit("")), "\n"), lambda l: l.rlike(HAS_WORD)),
-        lambda l: F.struct(line_key(l).alias("key"), F.size(word_array(l)).alias("n")),
+        F.split(F.coalesce("text", F.lit("")), "\n"),
+        lambda l: F.when(l.rlike(HAS_WORD), F.struct(line_key(l).alias("key"), F.size(word_array(l)).alias("n"))),
     )
     lines = rows.select("doc_id", "th", "host", F.posexplode(counted).alias("line_no", "l")).where(F.length("l.key") >= min_chars)
     k1, k2 = key_hashes(F.col("l.key"))
     lines = lines.select("doc_id", "th", "host", "line_no", k1.alias("k1"), k2.alias("k2"), F.col("l.n").alias("n"))
     hosts = rows.groupBy("host").agg(F.count_distinct("th").alias("host_docs"))
+    floor, share = line_docs if few is None else few, F.lit(line_share) * F.col("host_docs")
+    limit = F.greatest(F.lit(float(floor)), share if few is None else F.least(F.lit(float(line_docs)), share))
     common = (
-        lines.groupBy("host", "k1", "k2").agg(F.count_distinct("th").alias("docs")).where(F.col("docs") > line_docs)
+        lines.groupBy("host", "k1", "k2").agg(F.count_distinct("th").alias("docs")).where(F.col("docs") > floor)
     )
     common = (
         common.alias("c").join(hosts.alias("h"), F.col("c.host").eqNullSafe(F.col("h.host")))
-        .where(F.col("docs") > F.greatest(F.lit(float(line_docs)), F.lit(line_share) * F.col("host_docs")))
+        .where(F.col("docs") > limit)
         .select(F.col("c.host").alias("chost"), "k1", "k2")
     )
     return (
         lines.join(common, (lines.host.eqNullSafe(common.chost)) & (lines.k1 == common.k1) & (lines.k2 == common.k2), "left_semi")
         .groupBy("doc_id", "th", "host", "line_no")
         .agg(F.max("n").alias("n"))
-        .groupBy("doc_id", "th", "host")
-        .agg(F.sum("n").alias("n_boiler"))
     )
 
 
-def judge(docs: DataFrame, min_left: float = MIN_LEFT, **limits) -> DataFrame:
-    """docs plus base statistics, n_boiler and kept."""
+def boilerplate_words(docs: DataFrame, **limits) -> DataFrame:
+    """(doc_id, th, host, n_boiler, cut): words and numbers of each document's boilerplate lines; documents without any are absent."""
+    return boilerplate_lines(docs, **limits).groupBy("doc_id", "th", "host").agg(F.sum("n").alias("n_boiler"), F.collect_list("line_no").alias("cut"))
+
+
+def _judged(docs: DataFrame, min_left: float = MIN_LEFT, **limits) -> DataFrame:
+    """docs plus base statistics, n_boiler, kept and __cut, the numbers of the boilerplate lines."""
     boiler = boilerplate_words(docs, **limits).select(
-        F.col("doc_id").alias("__id"), F.col("th").alias("__th"), F.col("host").alias("__host"), "n_boiler"
+        F.col("doc_id").alias("__id"), F.col("th").alias("__th"), F.col("host").alias("__host"), "n_boiler", F.col("cut").alias("__cut")
     )
     base = base_stats(docs).withColumn("__t", F.xxhash64("text"))
     out = base.join(
@@ -126,6 +134,11 @@ def judge(docs: DataFrame, min_left: float = MIN_LEFT, **limits) -> DataFrame:
     return out.withColumn("kept", ~F.col("base_failed") & ~depleted).drop("__t", "__id", "__th", "__host")
 
 
+def judge(docs: DataFrame, min_left: float = MIN_LEFT, **limits) -> DataFrame:
+    """docs plus base statistics, n_boiler and kept."""
+    return _judged(docs, min_left, **limits).drop("__cut")
+
+
 def drop_rejected(docs: DataFrame) -> DataFrame:
     """docs without the rows that the rules reject; columns as they are."""
     thin = docs.select("doc_id", "text", "source")
@@ -134,6 +147,19 @@ def drop_rejected(docs: DataFrame) -> DataFrame:
     return docs.join(out, same, "left_anti")
 
 
+def clean(docs: DataFrame, min_left: float = MIN_LEFT, **limits) -> DataFrame:
+    """docs without the rows that the rules reject, and without the boilerplate lines of the others; columns as they are."""
+    thin = docs.select("doc_id", "text", "source")
+    own = [F.col("doc_id").alias("__id"), F.xxhash64("text").alias("__th"), F.col("source").alias("__host")]
+    verdict = _judged(thin, min_left, **limits).where(~F.col("kept") | F.col("__cut").isNotNull()).select(*own, "kept", "__cut")
+    verdict = verdict.groupBy("__id", "__th", "__host").agg(F.first("kept").alias("__kept"), F.first("__cut").alias("__cut"))
+    same = docs["doc_id"].eqNullSafe(F.col("__id")) & (F.xxhash64(docs["text"]) == F.col("__th")) & docs["source"].eqNullSafe(F.col("__host"))
+    left = F.filter(F.split("text", "\n"), lambda l, i: ~F.array_contains("__cut", i))
+    out = docs.join(verdict, same, "left").where(F.coalesce("__kept", F.lit(True)))
+    text = F.when(F.col("__cut").isNull(), F.col("text")).otherwise(F.array_join(left, "\n"))
+    return out.select(*[text.alias("text") if c == "text" else F.col(c) for c in docs.columns])
+
+
 def op9(spark: SparkSession, docs: DataFrame) -> DataFrame:
     return judge(docs.select("doc_id", "text", "source")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_boiler"
