@@ -18,7 +18,7 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules reject go, and the boilerplate lines of the others; n_chars is that of the text that is left."""
-    out = quality_rules.clean(docs.select(*COLUMNS))
+    out = quality_rules.clean(docs.select(*COLUMNS), few=quality_rules.FEW_DOCS)
     return out.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 

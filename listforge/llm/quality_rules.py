@@ -20,6 +20,8 @@ from .line_dedup import key_hashes, line_key
 MIN_WORDS, MAX_REPEAT_PCT, WINDOW = 10, 20, 5
 #: A line is boilerplate in a host beyond max(LINE_DOCS, LINE_SHARE of the host's distinct documents).
 LINE_DOCS, LINE_SHARE, MIN_LINE_CHARS, MIN_LEFT = 50, 0.05, 10, 0.3
+#: The pipeline's limit, which means the same at every size: the lesser of LINE_DOCS and the share, but FEW_DOCS at least.
+FEW_DOCS = 5
 HAS_WORD = r"[^\x20\x09-\x0D]"
 
 

@@ -19,3 +19,14 @@ def test_boilerplate_lines_are_cut(spark):
     want = [(k, f"{body(k)}\n\n{body(k + 1000)}") for k in range(60)] + [(100, f"{line}\n{body(7000)}"), (None, body(8000)), (0, body(9000))]
     assert sorted(((r.doc_id, r.text) for r in out), key=str) == sorted(want, key=str)
     assert all(r.n_chars == len(r.text) for r in out)
+
+
+def test_limit_of_small_middle_and_hot_hosts(spark):
+    line, rows = "Subscribe to our news letter", []
+    holders = {"small": (50, 6), "sparse": (50, 5), "middle": (500, 50), "edge": (500, 25), "hot": (4000, 60), "hot edge": (4000, 50)}
+    for host, (n, m) in holders.items():
+        rows += [(len(rows) + k, f"{body(len(rows) + k)}\n{line}" if k < m else body(len(rows) + k), None, host, 0) for k in range(n)]
+    out = corpus_pipeline.quality_stage(spark, spark.createDataFrame(rows, SCHEMA).repartition(8), "").collect()
+    assert len(out) == len(rows)
+    held = {h: sum(r.source == h and line in r.text for r in out) for h in holders}
+    assert held == {"small": 0, "sparse": 5, "middle": 0, "edge": 25, "hot": 0, "hot edge": 50}
