@@ -7,6 +7,10 @@ match counts if it covers enough of the item and its slots are consistent: withi
 equal values in the document and different ones differ. So a question with other numbers or names is still found, while
 texts that merely share a mould of placeholders aren't.
 
+A capital that opens a sentence may be a name or not, so a window is hashed with its openers as words, as names, and by turns
+(``forms``): that is each way for two openers in a window. Windows of too many slots for that (``MIN_LITERAL``) are matched on
+their words and values as they are, so that verbatim copies are found whatever they hold.
+
 The hashes of the benchmark are tested inside the scan of the documents when there are at most ``FILTER_WINDOWS`` of
 them; beyond, all windows go to the shuffled hash join. Only windows that meet one of the benchmark reach the join then.
 
@@ -18,6 +22,7 @@ doc_id gives pairs with a null doc_id. An empty table on either side gives no pa
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import product
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +35,8 @@ from .common import table
 
 WIDTH, MIN_TOKENS, RUN, MIN_LITERAL = 8, 5, 13, 0.6
 FILTER_WINDOWS = 4_000_000
+#: The number of the way that keeps all words, behind the forms.
+EXACT = 4
 #: Words that are a unit behind a number.
 UNITS = """
 mm cm m km in ft yd mi inch inches foot feet yard yards mile miles meter meters metre metres kilometer kilometers
@@ -55,12 +62,12 @@ def _hash_words(ws: list[str]) -> np.ndarray:
 _UNITS = np.sort(_hash_words(UNITS))
 
 
-def template(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(codes, values, is slot, offsets by document): a literal's code is its hash, a slot's code its type."""
+def template(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(codes, values, is slot, offsets by document, is opener): a literal's code is its hash, a slot's code its type."""
     starts, ends, _ = kernel.words(data, offsets)
     if not len(starts):
         none = np.zeros(0, np.uint64)
-        return none, none, none.astype(bool), np.zeros(len(offsets), np.int64)
+        return none, none, none.astype(bool), np.zeros(len(offsets), np.int64), none.astype(bool)
     keep = _CORE[data]
     counts = np.add.reduceat(keep, starts, dtype=np.int64)
     first_word = np.zeros(len(starts) + 1, bool)
@@ -74,7 +81,7 @@ def template(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     starts, counts, opens = starts[has], counts[has], (opens | after)[has]
     if not len(starts):
         none = np.zeros(0, np.uint64)
-        return none, none, none.astype(bool), np.zeros(len(offsets), np.int64)
+        return none, none, none.astype(bool), np.zeros(len(offsets), np.int64), none.astype(bool)
     raw = data[keep]
     hi = np.cumsum(counts)
     lo = hi - counts
@@ -91,22 +98,35 @@ def template(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     unit = np.zeros(len(values), bool)
     unit[1:] = digit[:-1] & (_UNITS[np.minimum(at, len(_UNITS) - 1)] == values)[1:] & ~digit[1:]
     codes = np.where(digit, NUM, np.where(unit, UNIT, np.where(name, NAME, values)))
-    return codes, values, digit | unit | name, np.searchsorted(starts, offsets)
+    return codes, values, digit | unit | name, np.searchsorted(starts, offsets), upper & opens & ~digit & ~unit
+
+
+def forms(codes: np.ndarray, slot: np.ndarray, opener: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(codes, is slot) with no opener as a name, with all, and with every second one from either side."""
+    odd = (np.cumsum(opener) & 1).astype(bool)
+    masks = (np.zeros(len(codes), bool), opener, opener & odd, opener & ~odd)
+    return [(np.where(m, NAME, codes), slot | m) for m in masks]
 
 
-def windows(codes: np.ndarray, slot: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """(start, hash) of the windows of one width that stay in a document and hold enough literals."""
-    h = kernel.mix(kernel.rolling(codes, width), width)
+def windows(codes: np.ndarray, slot: np.ndarray, offsets: np.ndarray, width: int, heavy: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """(start, hash) of the windows of one width that stay in a document and hold enough literals; heavy: too few."""
+    h = kernel.mix(kernel.rolling(codes, width), width + 100 * heavy)
     if not len(h):
         return np.zeros(0, np.int64), h
     at = np.arange(len(h))
     doc_end = np.repeat(offsets[1:], np.diff(offsets))[: len(h)]
     slots = np.concatenate([[0], np.cumsum(slot)])
-    ok = (at + width <= doc_end) & (width - (slots[width:] - slots[:-width]) >= MIN_LITERAL * width)
+    ok = (at + width <= doc_end) & ((width - (slots[width:] - slots[:-width]) >= MIN_LITERAL * width) != heavy)
     return np.flatnonzero(ok), h[ok]
 
 
-WINDOW = "id long, pos int, n int, width int, h long, slots array<struct<t:int,v:long>>"
+def _touched(opener: np.ndarray, pos: np.ndarray, width: int) -> np.ndarray:
+    """Whether the windows hold an opener."""
+    n = np.concatenate([[0], np.cumsum(opener)])
+    return n[pos + width] > n[pos]
+
+
+WINDOW = "id long, pos int, n int, width int, form int, h long, slots array<struct<t:int,v:long>>"
 
 
 def _scan(key: str, widths, wanted, only_own_width: bool = False):
@@ -117,10 +137,17 @@ def _scan(key: str, widths, wanted, only_own_width: bool = False):
             data, off = kernel.utf8(b.column("text"))
             ids = b.column(key)
             for i, j, d, o in kernel.chunks(data, off):
-                codes, values, slot, by_doc = template(d, o)
+                first, values, plain, by_doc, opener = template(d, o)
                 length = np.diff(by_doc)
-                for width in widths:
-                    pos, h = windows(codes, slot, by_doc, width)
+                ways = forms(first, plain, opener)
+                # the last way: all words as they are, where the form of most slots is too heavy; it holds no slots
+                ways.append((values, ways[1][1]))
+                for width, form in product(widths, range(len(ways))):
+                    codes, slot = ways[form]
+                    pos, h = windows(codes, slot, by_doc, width, form == EXACT)
+                    if 0 < form < EXACT:
+                        own = _touched(opener, pos, width)
+                        pos, h = pos[own], h[own]
                     doc = np.searchsorted(by_doc, pos, "right") - 1
                     if known is not None and len(h):
                         at = np.searchsorted(known, h)
@@ -132,15 +159,15 @@ def _scan(key: str, widths, wanted, only_own_width: bool = False):
                     if not len(pos):
                         continue
                     slots = [
-                        [{"t": int(codes[p]), "v": int(values[p].view(np.int64))} for p in range(q, q + width) if slot[p]] if slot[q : q + width].any() else []
+                        [{"t": int(codes[p]), "v": int(values[p].view(np.int64))} for p in range(q, q + width) if slot[p]] if form != EXACT and slot[q : q + width].any() else []
                         for q in pos.tolist()
                     ]
                     yield pa.RecordBatch.from_arrays(
                         [
                             ids.take(pa.array(doc + i)), pa.array((pos - by_doc[doc]).astype(np.int32)), pa.array(length[doc].astype(np.int32)),
-                            pa.array(np.full(len(pos), width, np.int32)), pa.array(h.view(np.int64)), pa.array(slots, struct),
+                            pa.array(np.full(len(pos), width, np.int32)), pa.array(np.full(len(pos), form, np.int32)), pa.array(h.view(np.int64)), pa.array(slots, struct),
                         ],
-                        ["id", "pos", "n", "width", "h", "slots"],
+                        ["id", "pos", "n", "width", "form", "h", "slots"],
                     )
 
     return run
@@ -165,14 +192,16 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, run: int = RUN) -> DataF
             hashes = np.zeros(1, np.uint64)
         wanted = spark.sparkContext.broadcast(hashes)
     found = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_scan("doc_id", widths, wanted), WINDOW)
-    d = found.select(F.col("id").alias("doc_id"), "h", "width", F.col("pos").alias("dpos"), F.col("slots").alias("dslots"))
-    i = items.select(F.col("id").alias("item_id"), "h", "width", F.col("pos").alias("ipos"), F.col("n").alias("item_tokens"), F.col("slots").alias("islots"))
+    d = found.select(F.col("id").alias("doc_id"), "h", "width", F.col("form").alias("dform"), F.col("pos").alias("dpos"), F.col("slots").alias("dslots"))
+    i = items.select(F.col("id").alias("item_id"), "h", "width", F.col("form").alias("iform"), F.col("pos").alias("ipos"), F.col("n").alias("item_tokens"), F.col("slots").alias("islots"))
     hits = (
         d.join(i, ["h", "width"])
         .withColumn("shift", F.col("dpos") - F.col("ipos"))
         .withColumn("same", F.arrays_zip("islots", "dslots"))
+        # openers that are no names may break the slots of all forms together, so the first form is judged by itself too
+        .withColumn("apart", F.explode(F.when(F.col("iform").isin(0, EXACT) & F.col("dform").isin(0, EXACT), F.array(F.lit(True), F.lit(False))).otherwise(F.array(F.lit(False)))))
     )
-    diagonal = hits.groupBy("doc_id", "item_id", "shift").agg(
+    diagonal = hits.groupBy("doc_id", "item_id", "shift", "apart").agg(
         F.sort_array(F.collect_set("ipos")).alias("at"),
         F.max("width").alias("width"),
         F.max("item_tokens").alias("item_tokens"),
