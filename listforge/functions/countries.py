@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .text import squeeze, strip
+
 # Spellings on published lists that the ISO names don't match.
 ALIASES = {
     "iran": "IR", "iran islamic republic of": "IR", "islamic republic of iran": "IR", "iran (islamic republic of)": "IR",
@@ -38,7 +40,7 @@ ALIASES = {
 
 def key(c: Column) -> Column:
     """Lower case, squeezed, without stops at the ends and a leading article."""
-    out = F.btrim(F.regexp_replace(F.lower(F.trim(c)), r"\s+", " "), F.lit(" .;"))
+    out = F.btrim(squeeze(F.lower(c)), F.lit(" .;"))
     return F.regexp_replace(out, "^the ", "")
 
 
@@ -60,7 +62,7 @@ def dimension(spark: SparkSession, names: dict[str, str] | None = None, codes: d
 
 def to_iso2(df: DataFrame, raw: str, out: str, dim: DataFrame) -> DataFrame:
     """df plus the code of a country text. Distinct texts only meet the dimension, which has some hundred rows."""
-    s = F.trim(F.col("__raw"))
+    s = strip(F.col("__raw"))
     k = key(F.col("__raw"))
     steps = {
         "a": ("iso2", F.when(F.length(s) == 2, F.upper(s))),

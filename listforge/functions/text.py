@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -32,9 +34,23 @@ LABEL_RULES = (
 )
 
 
+#: White space of any script, and the separators among the control characters.
+BLANK = r"[\s\x1c-\x1f]"
+
+
+def bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` over a value that is computed once a row."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def strip(c: Column) -> Column:
+    """Text without white space at its ends."""
+    return F.regexp_replace(c, f"(?U)^{BLANK}+|{BLANK}+$", "")
+
+
 def squeeze(c: Column) -> Column:
     """White space runs become one blank; the ends are trimmed."""
-    return F.trim(F.regexp_replace(c, r"\s+", " "))
+    return F.trim(F.regexp_replace(c, f"(?U){BLANK}+", " "))
 
 
 def clean(c: Column) -> Column:
@@ -49,7 +65,7 @@ def join_name(*parts: Column) -> Column:
 
 def compact(c: Column) -> Column:
     """Identifier without white space, hyphens, dots and slashes, in upper case."""
-    return F.upper(F.regexp_replace(F.coalesce(c, F.lit("")), r"[\s\-./]", ""))
+    return F.upper(F.regexp_replace(F.coalesce(c, F.lit("")), r"(?U)[\s\x1c-\x1f\-./]", ""))
 
 
 def core_name(norm: Column) -> Column:
@@ -89,7 +105,8 @@ def mmsi_ok(mmsi: Column) -> Column:
 def classify_label(label: Column) -> Column:
     """Type of an identifier by its publisher's label; the first rule whose words stand alone wins."""
     low = F.lower(label)
-    out = F.when(F.coalesce(label, F.lit("")) == "", "OTHER").when(low.contains("aircraft") & low.contains("serial"), "AIRCRAFT_MSN")
+    some = "|".join(needle for needle, _ in LABEL_RULES)
+    out = F.when((F.coalesce(label, F.lit("")) == "") | ~low.rlike(f"(?<![a-z])({some})(?![a-z])|aircraft"), "OTHER").when(low.contains("aircraft") & low.contains("serial"), "AIRCRAFT_MSN")
     for needle, kind in LABEL_RULES:
         out = out.when(low.rlike(rf"(?<![a-z]){needle}(?![a-z])"), kind)
     return out.otherwise("OTHER")
@@ -97,21 +114,24 @@ def classify_label(label: Column) -> Column:
 
 def make_identifier(label: Column, value: Column, country_iso2: Column | None = None, country_raw: Column | None = None) -> Column:
     """Identifier struct: type, normalised value and checksum; null for a blank value."""
-    v = F.trim(F.coalesce(value, F.lit("")))
-    kind, norm, imo = classify_label(label), compact(v), extract_imo(v)
     none = F.lit(None).cast("string")
-    return F.when(
-        v != "",
-        F.struct(
-            kind.alias("id_type"),
-            label.alias("label"),
-            v.alias("value"),
-            F.when(kind == "IMO", F.coalesce(imo, norm)).otherwise(norm).alias("value_norm"),
-            (country_iso2 if country_iso2 is not None else none).alias("country_iso2"),
-            (country_raw if country_raw is not None else none).alias("country_raw"),
-            F.when(kind == "IMO", imo_checksum_ok(imo)).when(kind == "LEI", lei_checksum_ok(norm)).when(kind == "MMSI", mmsi_ok(norm)).alias("checksum_valid"),
-        ),
+
+    def build(x: Column) -> Column:
+        return F.struct(
+            x["kind"].alias("id_type"), x["label"].alias("label"), x["v"].alias("value"), F.when(x["kind"] == "IMO", F.coalesce(x["imo"], x["norm"])).otherwise(x["norm"]).alias("value_norm"),
+            x["iso2"].alias("country_iso2"), x["raw"].alias("country_raw"), checksum(x["kind"], x["norm"], x["imo"]).alias("checksum_valid"),
+        )
+
+    parts = F.struct(
+        classify_label(label).alias("kind"), label.alias("label"), strip(F.coalesce(value, F.lit(""))).alias("v"), compact(value).alias("norm"), extract_imo(strip(value)).alias("imo"),
+        (country_iso2 if country_iso2 is not None else none).alias("iso2"), (country_raw if country_raw is not None else none).alias("raw"),
     )
+    return bind(parts, lambda x: F.when(x["v"] != "", build(x)))
+
+
+def checksum(kind: Column, norm: Column, imo: Column) -> Column:
+    """Whether a number passes the checksum of its type; null for types without one."""
+    return F.when(kind == "IMO", imo_checksum_ok(F.coalesce(imo, F.lit("")))).when(kind == "LEI", lei_checksum_ok(norm)).when(kind == "MMSI", mmsi_ok(norm))
 
 
 def any_word(text: Column, words: tuple[str, ...]) -> Column:

@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-# A circuit opens at so many failures in a row; minutes of back-off and retry double up to their limits.
+# Severities from least to greatest; a circuit opens at so many failures in a row; minutes of back-off and retry double up to their limits.
+SEVERITIES = ("INFO", "WARN", "PAGE")
 THRESHOLD, OPEN_MINUTES, OPEN_MAX, RETRY_MINUTES, RETRY_MAX = 3, 30, 360, 10, 120
 
 
@@ -61,13 +62,13 @@ def bookkeeping(runs: DataFrame) -> DataFrame:
 
 
 def incidents(log: DataFrame) -> DataFrame:
-    """Event log(dedupe_key, seq, at, kind, severity) -> incidents: events between two RESOLVED marks are one incident."""
+    """Event log(dedupe_key, seq, at, kind, severity) -> incidents: events between two RESOLVED marks are one incident of their greatest severity."""
     w = Window.partitionBy("dedupe_key").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
     before = F.coalesce(F.sum((F.col("kind") == "RESOLVED").cast("int")).over(w), F.lit(0))
     marked = log.withColumn("island", before)
     out = marked.groupBy("dedupe_key", "island").agg(
         F.count_if(F.col("kind") != "RESOLVED").alias("occurrences"), F.min("at").alias("opened_at"), F.max(F.when(F.col("kind") != "RESOLVED", F.col("at"))).alias("last_seen_at"),
-        F.max("severity").alias("severity"), F.max((F.col("kind") == "RESOLVED").cast("int")).alias("r"),
+        F.max_by("severity", F.array_position(F.array(*[F.lit(x) for x in SEVERITIES]), F.col("severity"))).alias("severity"), F.max((F.col("kind") == "RESOLVED").cast("int")).alias("r"),
     )
     return out.where("occurrences > 0").withColumn("status", F.when(F.col("r") == 1, "RESOLVED").otherwise("OPEN")).drop("r")
 

@@ -39,18 +39,31 @@ def removed_id_links(refs: DataFrame, candidates: DataFrame) -> DataFrame:
     return refs.join(open_ones, "ref").select("notice_id", "source_id", F.col("ref").alias("source_key"), F.lit("DELISTING").alias("link_type"), F.lit("ID_MATCH").alias("method"), F.lit(1.0).alias("confidence"), F.lit(None).cast("string").alias("verbatim_quote"))
 
 
+#: Up to so many anchors are sent to the tasks that read the texts; beyond, texts and anchors are joined by shuffle.
+SEND_ANCHORS = 2_000_000
+
+
 def names_in_texts(texts: DataFrame, names: DataFrame, least_chars: int = 6) -> DataFrame:
     """(notice_id, name_id): normalised names that stand whole inside normalised texts.
 
     texts(notice_id, norm), names(name_id, name). Names of one token or few characters are too common to count. Each name
-    is looked up by its first two tokens among the two-token shingles of the texts, then the whole name is checked.
+    is looked up by the one of its token pairs that fewest texts hold, then the whole name is checked. A name with a pair
+    that no text holds drops out before the texts are joined. Pairs of texts that no name has aren't shuffled.
     """
-    tokens = F.split("name", " ")
-    anchors = names.where((F.length("name") >= least_chars) & (F.size(tokens) >= 2)).select("name_id", "name", F.xxhash64(F.get(tokens, F.lit(0)), F.get(tokens, F.lit(1))).alias("a"))
-    words = texts.select("notice_id", "norm", F.split("norm", " ").alias("w")).where(F.size("w") >= 2)
-    pairs = F.array_distinct(F.transform(F.sequence(F.lit(0), F.size("w") - 2), lambda i: F.xxhash64(F.get("w", i), F.get("w", i + 1))))
-    shingles = words.select("notice_id", F.explode(pairs).alias("a"))
-    near = shingles.join(anchors, "a").select("notice_id", "name_id", "name").distinct()
+    def pairs(words: str) -> Column:
+        last = F.size(words) - 2
+        return F.when(last >= 0, F.array_distinct(F.transform(F.sequence(F.lit(0), last), lambda i: F.xxhash64(F.get(words, i), F.get(words, i + 1)))))
+
+    own = names.where(F.length("name") >= least_chars).select("name_id", "name", F.split("name", " ").alias("t"))
+    own = own.select("name_id", "name", F.posexplode(pairs("t")).alias("at", "a"))
+    known = own.select("a").distinct()
+    small = known.limit(SEND_ANCHORS + 1).count() <= SEND_ANCHORS
+    send = F.broadcast if small else (lambda df: df)
+    held = texts.select("notice_id", F.split("norm", " ").alias("t")).select("notice_id", F.explode(pairs("t")).alias("a"))
+    often = held.join(send(known), "a", "left_semi").groupBy("a").agg(F.count("*").alias("n"))
+    counted = own.join(often, "a", "left").groupBy("name_id").agg(F.min("name").alias("name"), F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "at", "a")).alias("b"))
+    anchors = counted.where("b.n > 0").select("name_id", "name", F.col("b.a").alias("a"))
+    near = held.join(send(anchors), "a").select("notice_id", "name_id", "name")
     pad = lambda c: F.concat(F.lit(" "), c, F.lit(" "))
     return near.join(texts.select("notice_id", "norm"), "notice_id").where(F.contains(pad(F.col("norm")), pad(F.col("name")))).select("notice_id", "name_id")
 

@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..functions import text as T
+
 
 def _some(array: str, test) -> Column:
     return F.coalesce(F.exists(array, test), F.lit(False))
@@ -104,7 +106,7 @@ def checksum_rates(ids: DataFrame) -> DataFrame:
 
 def unmapped(values: DataFrame, raw: str = "country_raw", iso: str = "country_iso2", top: int | None = None) -> DataFrame:
     """Country texts without a code and how often they occur; the most frequent ones if ``top`` is given."""
-    out = values.where(F.col(iso).isNull() & _filled(F.col(raw)) & ~F.upper(F.trim(raw)).isin("UNKNOWN", "00")).groupBy(F.substring(raw, 1, 80).alias("value")).agg(F.count("*").alias("n"))
+    out = values.where(F.col(iso).isNull() & _filled(F.col(raw)) & ~F.upper(T.strip(F.col(raw))).isin("UNKNOWN", "00")).groupBy(F.substring(raw, 1, 80).alias("value")).agg(F.count("*").alias("n"))
     return out.orderBy(F.col("n").desc(), "value").limit(top) if top else out
 
 
@@ -122,33 +124,70 @@ def with_floors(metrics: DataFrame, floors: DataFrame, previous: DataFrame, keys
     return out.withColumn("status", F.when(v < F.col("floor"), "FAIL").when(v < F.col("floor") + margin, "WARN").otherwise("OK"))
 
 
-GATES = ("ord", "gate", "status")
+#: Gates in the order in which the first failing one is told.
+GATES = ("MIN_RECORDS", "SKIPPED", "DUPLICATES", "PARSER_WARNING", "SCHEMA_DRIFT", "FILL_FLOOR", "CHECKSUM_IMO", "CHECKSUM_LEI", "UNMAPPED_COUNTRY", "UNPARSEABLE_DATE", "LARGE_REMOVAL", "LARGE_ADDITION")
 
 
 def gates(m: DataFrame, *, min_records: int, max_skip: float = 0.01, removed_abs: int = 50, removed_pct: float = 0.05, added_abs: int = 1500, added_pct: float = 0.30, drift_quarantines: bool = False) -> DataFrame:
     """Measures of versions -> one row a gate that speaks: FAIL, HOLD or WARN.
 
-    m has keys plus records, skipped, duplicates, drift, bad_countries, bad_dates, added, removed, previous.
-    Removals hold on the absolute or the relative limit, additions only on both, and neither without a previous version.
+    m has keys plus records, skipped, duplicates, drift, bad_countries, bad_dates, added, removed, previous, and may have
+    bad_imo and bad_lei (identifiers that fail their checksum). Removals hold on the absolute or the relative limit,
+    additions only on both, and neither without a previous version.
     """
     c = F.col
     share = c("skipped") / F.greatest(c("records") + c("skipped"), F.lit(1))
     shrunk = (c("previous") > 0) & ((c("removed") > removed_abs) | (c("removed") > removed_pct * c("previous")))
     grown = (c("previous") > 0) & (c("added") > added_abs) & (c("added") > added_pct * c("previous"))
-    rules = [
-        ("MIN_RECORDS", F.when(c("records") < min_records, "FAIL")),
-        ("SKIPPED", F.when(share > max_skip, "FAIL").when(c("skipped") > 0, "WARN")),
-        ("DUPLICATES", F.when(c("duplicates") > 0, "WARN")),
-        ("SCHEMA_DRIFT", F.when(c("drift") > 0, "FAIL" if drift_quarantines else "WARN")),
-        ("UNMAPPED_COUNTRY", F.when(c("bad_countries") > 0, "WARN")),
-        ("UNPARSEABLE_DATE", F.when(c("bad_dates") > 0, "WARN")),
-        ("LARGE_REMOVAL", F.when(shrunk, "HOLD")),
-        ("LARGE_ADDITION", F.when(grown, "HOLD")),
-    ]
-    rows = F.array(*[F.struct(F.lit(i).alias("ord"), F.lit(g).alias("gate"), s.alias("status")) for i, (g, s) in enumerate(rules)])
+    some = lambda n: F.when(c(n) > 0, "WARN") if n in m.columns else F.lit(None).cast("string")
+    rules = {
+        "MIN_RECORDS": F.when(c("records") < min_records, "FAIL"),
+        "SKIPPED": F.when(share > max_skip, "FAIL").when(c("skipped") > 0, "WARN"),
+        "DUPLICATES": some("duplicates"),
+        "SCHEMA_DRIFT": F.when(c("drift") > 0, "FAIL" if drift_quarantines else "WARN"),
+        "CHECKSUM_IMO": some("bad_imo"),
+        "CHECKSUM_LEI": some("bad_lei"),
+        "UNMAPPED_COUNTRY": some("bad_countries"),
+        "UNPARSEABLE_DATE": some("bad_dates"),
+        "LARGE_REMOVAL": F.when(shrunk, "HOLD"),
+        "LARGE_ADDITION": F.when(grown, "HOLD"),
+    }
+    rows = F.array(*[F.struct(F.lit(GATES.index(g)).alias("ord"), F.lit(g).alias("gate"), s.alias("status")) for g, s in rules.items()])
     return m.withColumn("__g", F.explode(rows)).where("__g.status IS NOT NULL").select("*", "__g.*").drop("__g")
 
 
+def _spoken(gate: str, status: Column) -> list[Column]:
+    return [F.lit(GATES.index(gate)).alias("ord"), F.lit(gate).alias("gate"), status.alias("status")]
+
+
+def floor_gate(rates: DataFrame, floors: DataFrame, keys: Sequence[str], margin: float = 0.05) -> DataFrame:
+    """Fill-rate floors: keys, field, ord, gate, status for each rate below its floor (FAIL) or within the margin above (WARN).
+
+    rates(keys, entity_type, field, value) with values as measured, unrounded; floors(entity_type, field, floor). Types
+    without records have no rate, so their floors don't speak.
+    """
+    both = rates.join(F.broadcast(floors), ["entity_type", "field"])  # one row a configured field
+    status = F.when(F.col("value") < F.col("floor"), "FAIL").when(F.col("value") < F.col("floor") + margin, "WARN")
+    return both.select(*keys, F.concat_ws(".", "entity_type", "field").alias("field"), *_spoken("FILL_FLOOR", status)).where("status IS NOT NULL")
+
+
+def warning_gate(warnings: DataFrame, keys: Sequence[str], known: Sequence[str]) -> DataFrame:
+    """Parser warnings by category: keys, field, ord, gate, status; categories that aren't known go as PARSE_WARNING.
+
+    warnings(keys, category, n). PARSE_WARNING itself is what the share of skipped records speaks of, so it is left out.
+    """
+    named = F.when(F.col("category").isin(*known), F.col("category")).otherwise("PARSE_WARNING")
+    told = warnings.where((F.col("category") != "PARSE_WARNING") & (F.col("n") > 0))
+    return told.select(*keys, named.alias("field"), *_spoken("PARSER_WARNING", F.lit("WARN")))
+
+
+def all_gates(m: DataFrame, rates: DataFrame, floors: DataFrame, warnings: DataFrame, keys: Sequence[str], *, known: Sequence[str] = (), fill_margin: float = 0.05, **limits) -> DataFrame:
+    """Every gate of a candidate version: keys, field (null where a gate looks at the whole version), ord, gate, status."""
+    cols = [*keys, "field", "ord", "gate", "status"]
+    whole = gates(m, **limits).withColumn("field", F.lit(None).cast("string"))
+    return whole.select(*cols).unionByName(floor_gate(rates, floors, keys, fill_margin).select(*cols)).unionByName(warning_gate(warnings, keys, known).select(*cols))
+
+
 def outcome(versions: DataFrame, spoken: DataFrame, key: str) -> DataFrame:
     """Outcome of each version: QUARANTINE over HOLD over PASS, and the first gate that caused it."""
     bad = spoken.where("status IN ('FAIL', 'HOLD')").groupBy(key).agg(

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..session import durable
 from . import versioning as V
 
 #: Identifier types that say nothing about identity.
@@ -31,19 +33,53 @@ def crosslist_keys(ids: DataFrame, keys: Sequence[str], plain: Sequence[str] = (
     return ids.select(*keys, F.col("id_type").alias("key_type"), value.alias("key_value")).where("key_value IS NOT NULL").distinct()
 
 
-def crosslist_hits(cands: DataFrame, keys: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Of all candidates at once: records of another key that share a strong key. The candidate's own are left out."""
-    own = cands.join(keys, list(by)).select(*by, "key_type", "key_value")
-    other = keys.select("key_type", "key_value", *[F.col(c).alias(f"__x_{c}") for c in by])
-    differs = ~F.lit(True)
-    for c in by:
-        differs = differs | (F.col(c) != F.col(f"__x_{c}"))
-    hits = own.join(other, ["key_type", "key_value"]).where(differs).select(*by, *[f"__x_{c}" for c in by]).distinct()
-    return hits.groupBy(*by).agg(F.count("*").alias("n_hits"))
+def crosslist_hits(cands: DataFrame, keys: DataFrame, by: Sequence[str], most: int = 8) -> DataFrame:
+    """How many records of another key share a strong key with each candidate; candidates without any are left out.
+
+    keys has distinct rows. No pairs of records are made: a candidate's holders are the union of the holders of its keys, and
+    the size of a union follows by inclusion and exclusion from the numbers of records that hold each subset of keys.
+    Records of more than ``most`` shared keys would have too many subsets, so these few are joined one by one.
+    """
+    label = F.concat_ws("\u001f", "key_type", "key_value")
+    shared = keys.groupBy("key_type", "key_value").agg(F.count("*").alias("n")).where("n > 1").select(label.alias("__k"))
+    held = keys.select(*by, label.alias("k")).join(shared, F.col("k") == F.col("__k")).drop("__k")
+    sets = durable(held.groupBy(*by).agg(F.array_sort(F.collect_set("k")).alias("ks")), "key-sets")  # read five times below
+    small, large = sets.where(F.size("ks") <= most), sets.where(F.size("ks") > most)
+    grown = F.aggregate("ks", F.array(F.array().cast("array<string>")), lambda acc, k: F.concat(acc, F.transform(acc, lambda x: F.concat(x, F.array(k)))))
+    parts = small.select(*by, F.explode(grown).alias("part")).where(F.size("part") > 0)
+    count = parts.groupBy("part").agg(F.count("*").alias("n")).select(F.array_join("part", "\u001e").alias("__p"), "n")
+    mine = parts.join(cands.select(*by).distinct(), list(by), "left_semi").withColumn("p", F.array_join("part", "\u001e"))
+    sign = F.when(F.size("part") % 2 == 1, F.col("n")).otherwise(-F.col("n"))
+    alike = mine.join(count, F.col("p") == F.col("__p")).groupBy(*by).agg((F.sum(sign) - 1).alias("n"))
+
+    def direct(a: DataFrame, b: DataFrame) -> DataFrame:
+        left = a.join(cands.select(*by).distinct(), list(by), "left_semi").select(*by, F.explode("ks").alias("k"))
+        right = b.select(*[F.col(c).alias(f"__x_{c}") for c in by], F.explode("ks").alias("k"))
+        same = reduce(lambda x, y: x & y, [F.col(c) == F.col(f"__x_{c}") for c in by])
+        return left.join(right, "k").where(~same).select(*by, *[f"__x_{c}" for c in by]).distinct().groupBy(*by).agg(F.count("*").alias("n"))
+
+    every_one = alike.union(direct(small, large)).union(direct(large, sets))
+    return every_one.groupBy(*by).agg(F.sum("n").alias("n_hits")).where("n_hits > 0")
+
+
+def listed_elsewhere(cands: DataFrame, keys: DataFrame) -> DataFrame:
+    """(source_id, source_key, sources): the lists on which each candidate's strong keys stand with other records, sorted.
+
+    Holders are counted by key and list first, so a key gives a row for each list and not for each record.
+    """
+    by = ["source_id", "source_key"]
+    lists = keys.groupBy("key_type", "key_value", F.col("source_id").alias("other")).agg(F.count_distinct("source_key").alias("n"))
+    lists = lists.select(F.concat_ws("\u001f", "key_type", "key_value").alias("__k"), "other", "n")
+    mine = cands.select(*by).distinct().join(keys, by).select(*by, F.concat_ws("\u001f", "key_type", "key_value").alias("k"))
+    near = mine.join(lists, F.col("k") == F.col("__k")).where((F.col("other") != F.col("source_id")) | (F.col("n") > 1))
+    return near.groupBy(*by).agg(F.array_sort(F.collect_set("other")).alias("sources"))
 
 
 def id_change_suspects(cands: DataFrame, ids: DataFrame, names: DataFrame) -> DataFrame:
-    """Other keys of the same list with the same strong identifier, or else the same normalised primary name."""
+    """Other keys of the same list with the same strong identifier, or else the same normalised primary name.
+
+    This lists every pair; where one reason a candidate is enough, ``id_change_reasons`` does without pairs.
+    """
     strong = ids.where(~F.col("id_type").isin(*WEAK_TYPES)).select("source_id", "source_key", "id_type", "value_norm").distinct()
     mine = cands.join(strong, ["source_id", "source_key"])
     a = mine.join(strong.withColumnRenamed("source_key", "other_key"), ["source_id", "id_type", "value_norm"]).where("other_key <> source_key")
@@ -54,6 +90,27 @@ def id_change_suspects(cands: DataFrame, ids: DataFrame, names: DataFrame) -> Da
     return both.groupBy("source_id", "source_key", "other_key").agg(reason.alias("reason"))
 
 
+def id_change_reasons(cands: DataFrame, ids: DataFrame, names: DataFrame) -> DataFrame:
+    """(source_id, source_key, reason, other_key): candidates whose list has another record of the same strong identifier, or
+    else of the same normalised primary name, with the smallest such key. Each value is reduced to its two smallest keys
+    first, of which one is another's."""
+    by = ["source_id", "source_key"]
+    strong = ids.where(~F.col("id_type").isin(*WEAK_TYPES))
+    marks = strong.select(*by, F.lit(1).alias("p"), F.concat_ws("\u001f", F.lit("i"), "id_type", "value_norm").alias("mark"))
+    marks = marks.union(names.select(*by, F.lit(2), F.concat_ws("\u001f", F.lit("n"), "name_norm")))
+    least = marks.groupBy("source_id", "mark").agg(F.min("source_key").alias("k1"), F.max("source_key").alias("top"))
+    least = least.where("k1 <> top").select(F.col("source_id").alias("__s"), F.upper(F.lit("")).alias("__e"), F.col("mark").alias("__m"), "k1")
+    mine = cands.select(*by).distinct().join(marks, by).distinct()
+    some = mine.join(least, (F.concat("mark", F.lit("")) == F.concat("__m", "__e")) & (F.col("source_id") == F.col("__s"))).drop("__s", "__m", "__e")
+    # only holders of a value's smallest key need its second smallest
+    firsts = some.where("k1 = source_key").select("source_id", "mark").distinct()
+    second = marks.join(least.select(F.col("__s").alias("source_id"), F.col("__m").alias("mark"), "k1"), ["source_id", "mark"]).where("source_key > k1").join(firsts, ["source_id", "mark"], "left_semi")
+    second = second.groupBy("source_id", "mark").agg(F.min("source_key").alias("k2"))
+    found = some.join(second, ["source_id", "mark"], "left").withColumn("other", F.when(F.col("k1") == F.col("source_key"), F.col("k2")).otherwise(F.col("k1")))
+    best = found.groupBy(*by).agg(F.min(F.struct("p", "other")).alias("b"))
+    return best.select(*by, F.when(F.col("b.p") == 1, "SHARED_IDENTIFIER").otherwise("SAME_NAME").alias("reason"), F.col("b.other").alias("other_key"))
+
+
 def delisting_evidence(cands: DataFrame, links: DataFrame, days: int = 60) -> DataFrame:
     """The best delisting link of each candidate: not rejected, published at most ``days`` before or undated."""
     ok = links.where("link_type = 'DELISTING' AND status <> 'REJECTED'").select("source_id", "source_key", "link_id", "confidence", "published_on")
@@ -63,18 +120,41 @@ def delisting_evidence(cands: DataFrame, links: DataFrame, days: int = 60) -> Da
     return near.groupBy("candidate_id").agg(best.alias("b"), F.count("*").alias("n_evidence")).select("candidate_id", "b.link_id", "b.confidence", "n_evidence")
 
 
-def assess(cands: DataFrame, evidence: DataFrame, hits: DataFrame, suspects: DataFrame) -> DataFrame:
-    """Status and recommendation of each candidate; nothing is freed here."""
+def assess(cands: DataFrame, evidence: DataFrame, elsewhere: DataFrame, suspects: DataFrame) -> DataFrame:
+    """Status and recommendation of each candidate that still holds its record; nothing is freed here.
+
+    elsewhere and suspects hold (source_id, source_key); decided candidates stay as they are, without a recommendation.
+    """
     by = ["source_id", "source_key"]
     out = (
         cands.join(evidence.select("candidate_id", F.lit(True).alias("has_evidence")), "candidate_id", "left")
-        .join(hits, by, "left")
-        .join(suspects.select(*by, F.lit(True).alias("suspect")), by, "left")
-        .fillna({"has_evidence": False, "n_hits": 0, "suspect": False})
+        .join(elsewhere.select(*by, F.lit(True).alias("elsewhere")).distinct(), by, "left")
+        .join(suspects.select(*by, F.lit(True).alias("suspect")).distinct(), by, "left")
+        .fillna({"has_evidence": False, "elsewhere": False, "suspect": False})
+    )
+    holds = F.col("status").isin(*V.HOLDING)
+    advice = F.when(F.col("suspect") & ~F.col("has_evidence"), "REJECTED_ID_CHANGE").when(F.col("has_evidence") & F.col("elsewhere"), "STILL_LISTED_ELSEWHERE").when(F.col("has_evidence"), "CONFIRMED")
+    status = F.when(F.col("has_evidence") & holds, "EVIDENCE_FOUND").otherwise(F.col("status"))
+    return out.withColumns({"recommendation": F.when(holds, advice), "status": status})
+
+
+def removal_proposals(assessed: DataFrame, elsewhere: DataFrame, open_ones: DataFrame) -> DataFrame:
+    """One proposal for each candidate with a recommendation, unless one is open under its dedupe key.
+
+    assessed has candidate_id, source_id, source_key, primary_name and recommendation; elsewhere (source_id, source_key, sources).
+    """
+    name, source = F.coalesce("primary_name", F.lit("")), F.col("source_id")
+    title = (
+        F.when(F.col("recommendation") == "CONFIRMED", F.concat(F.lit("Confirm delisting of "), name, F.lit(" from "), source))
+        .when(F.col("recommendation") == "STILL_LISTED_ELSEWHERE", F.concat(F.lit("Release the listing of "), name, F.lit(" on "), source, F.lit(", still listed on "), F.array_join("sources", ", ")))
+        .otherwise(F.concat(F.lit("Confirm the change of key of "), name, F.lit(" on "), source))
+    )
+    rows = assessed.where("recommendation IS NOT NULL").join(elsewhere, ["source_id", "source_key"], "left")
+    rows = rows.select(
+        "candidate_id", F.lit("REMOVAL_CONFIRMATION").alias("kind"), "source_id", F.concat_ws(":", "source_id", "source_key").alias("subject_ref"), title.alias("title"), "recommendation",
+        F.concat(F.lit("removal:"), F.col("candidate_id").cast("string")).alias("dedupe_key"),
     )
-    advice = F.when(F.col("suspect") & ~F.col("has_evidence"), "ID_CHANGE").when(F.col("has_evidence") & (F.col("n_hits") > 0), "STILL_LISTED").when(F.col("has_evidence"), "CONFIRMED")
-    status = F.when(F.col("has_evidence") & (F.col("status") == "PENDING"), "EVIDENCE_FOUND").otherwise(F.col("status"))
-    return out.withColumn("recommendation", advice).withColumn("status", status)
+    return rows.join(open_ones.select("dedupe_key").distinct(), "dedupe_key", "left_anti")
 
 
 def resolve(cands: DataFrame, decisions: DataFrame) -> DataFrame:

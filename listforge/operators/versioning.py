@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..functions.names import normalize_name
+
 #: Removal candidates in these states keep their record in screening.
 HOLDING = ("PENDING", "EVIDENCE_FOUND", "REJECTED_PARSER")
 
@@ -98,6 +100,28 @@ def children(docs: DataFrame, keys: Sequence[str], array: str, offset: Column |
     return out.select(*keys, (F.col("ord") + F.col("__off")).alias("ord"), "__c.*")
 
 
+def child_tables(records: DataFrame, keys: Sequence[str]) -> dict[str, DataFrame]:
+    """The nine child tables of canonical records, each with keys and ``ord``, the place in the record.
+
+    Country codes that don't have two characters are null. Birth dates and birth places are one table under one numbering,
+    dates first. Vessel and aircraft have one row for records that carry them.
+    """
+    def iso2(row: DataFrame) -> DataFrame:
+        return row.withColumns({c: F.when(F.length(c) == 2, F.col(c)) for c in row.columns if c.endswith("_iso2")})
+
+    def single(name: str, drop: Sequence[str] = ()) -> DataFrame:
+        return iso2(records.where(F.col(name).isNotNull()).select(*keys, F.lit(0).alias("ord"), f"{name}.*").drop(*drop))
+
+    many = {"name": "names", "identifier": "identifiers", "address": "addresses", "nationality": "countries", "listing": "listings", "relationship": "relationships"}
+    out = {table: iso2(children(records, keys, column)) for table, column in many.items()}
+    out["name"] = out["name"].withColumns({"quality": F.coalesce("quality", F.lit("UNKNOWN")), "normalized_name": normalize_name(F.col("full_name"))})
+    born = children(records, keys, "birth_dates").withColumn("kind", F.lit("DOB"))
+    places = children(records, keys, "birth_places", F.coalesce(F.size("birth_dates"), F.lit(0))).withColumn("kind", F.lit("POB"))
+    out["birth"] = born.unionByName(iso2(places), allowMissingColumns=True)
+    out["vessel"], out["aircraft"] = single("vessel", ("former_flags", "former_names")), single("aircraft")
+    return out
+
+
 def open_removals(changes: DataFrame, open_candidates: DataFrame, keys: Sequence[str]) -> DataFrame:
     """New removal candidates: removed keys without an open candidate."""
     return changes.where("change_type = 'REMOVE'").select(*keys).join(open_candidates.select(*keys), list(keys), "left_anti")

@@ -15,7 +15,7 @@ from .q_versioning import CANDS, LINKS
 from .registry import query
 
 NOTICES = """SELECT doc_id AS notice_id, source AS title, text || CASE doc_id % 6 WHEN 0 THEN ' entry TAi.' || lpad(CAST(doc_id % 50 AS VARCHAR(9)), 3, '0') || ' was removed.' WHEN 1 THEN ' Designation of CDe.' || lpad(CAST(doc_id % 70 AS VARCHAR(9)), 3, '0') ELSE '' END AS text FROM documents"""
-NKEYS = "SELECT 'UN_REF' AS key_type, CASE WHEN c_custkey % 2 = 0 THEN 'TAI' ELSE 'CDE' END || lpad(CAST(c_custkey % 100 AS VARCHAR(9)), 3, '0') AS key_value, 'L' || CAST(c_custkey % 3 AS VARCHAR(9)) AS source_id, c_custkey AS source_key FROM customer WHERE c_custkey < 300"
+NKEYS = "SELECT 'UN_REF' AS key_type, CASE WHEN c_custkey % 2 = 0 THEN 'TAI' ELSE 'CDE' END || lpad(CAST(c_custkey % 1000 AS VARCHAR(9)), 3, '0') AS key_value, 'L' || CAST(c_custkey % 3 AS VARCHAR(9)) AS source_id, c_custkey AS source_key FROM customer"
 
 
 def _notices(spark, sf_dir):
@@ -49,8 +49,8 @@ _HITS = f"t AS (SELECT doc_id, {_nrm('text')} AS norm FROM documents), b AS (SEL
 
 
 def _hits(spark, sf_dir):
-    texts = derived(spark, sf_dir, "SELECT doc_id AS notice_id, text FROM documents").select("notice_id", N.normalize_name("text").alias("norm"))
-    names = derived(spark, sf_dir, "SELECT item_id AS name_id, text FROM benchmark").select("name_id", N.normalize_name("text").alias("name"))
+    texts = derived(spark, sf_dir, "SELECT doc_id AS notice_id, text FROM documents").select("notice_id", N.normalize_name(F.col("text")).alias("norm"))
+    names = derived(spark, sf_dir, "SELECT item_id AS name_id, text FROM benchmark").select("name_id", N.normalize_name(F.col("text")).alias("name"))
     return G.names_in_texts(texts, names)
 
 
@@ -90,12 +90,14 @@ def g08(spark, sf_dir):
 EXTR = "SELECT doc_id, CAST(doc_id % 3 AS INT) AS entry_no, CASE WHEN doc_id % 5 = 0 THEN 'not in the text at all' ELSE substring(text, 3, 40) END AS quote, source, text FROM documents"
 
 
-@query("f22_extraction_checks", f"SELECT doc_id, entry_no, contains(trim(regexp_replace(text, '\\s+', ' ', 'g')), trim(regexp_replace(quote, '\\s+', ' ', 'g'))) AS quote_ok, contains(upper(regexp_replace(text, '[\\s\\-./]', '', 'g')), upper(regexp_replace(quote, '[\\s\\-./]', '', 'g'))) AS ids_ok FROM ({EXTR})")
+@query("f22_extraction_checks", f"WITH e AS (SELECT *, {_nrm('text')} AS norm FROM ({EXTR})), n AS (SELECT *, CASE WHEN doc_id % 4 = 0 THEN 'nobody of that name' ELSE array_to_string(string_split(norm, ' ')[2:4], ' ') END AS name FROM e) SELECT doc_id, entry_no, contains(trim(regexp_replace(text, '\\s+', ' ', 'g')), trim(regexp_replace(quote, '\\s+', ' ', 'g'))) AS quote_ok, contains(' ' || norm || ' ', ' ' || name || ' ') AS name_ok, contains(upper(regexp_replace(text, '[\\s\\-./]', '', 'g')), upper(regexp_replace(quote, '[\\s\\-./]', '', 'g'))) AS ids_ok FROM n")
 def f22(spark, sf_dir):
-    e = derived(spark, sf_dir, EXTR)
-    entries = e.select("doc_id", "entry_no", "quote", F.array("quote").alias("identifiers"), F.lit("").alias("name_norm"))
-    out = R.verify_extraction(entries, e.select("doc_id", "text", F.lit("").alias("norm_text")), "name_norm", "norm_text")
-    return out.select("doc_id", "entry_no", (~F.array_contains("problems", "QUOTE_NOT_FOUND")).alias("quote_ok"), (~F.array_contains("problems", "IDENTIFIER_NOT_FOUND")).alias("ids_ok"))
+    e = derived(spark, sf_dir, EXTR).withColumn("norm_text", N.normalize_name(F.col("text")))
+    name = F.when(F.col("doc_id") % 4 == 0, "nobody of that name").otherwise(F.array_join(F.slice(F.split("norm_text", " "), 2, 3), " "))
+    entries = e.select("doc_id", "entry_no", "quote", F.array("quote").alias("identifiers"), name.alias("name_norm"))
+    out = R.verify_extraction(entries, e.select("doc_id", "text", "norm_text"), "name_norm", "norm_text")
+    ok = lambda problem: ~F.array_contains("problems", problem)
+    return out.select("doc_id", "entry_no", ok("QUOTE_NOT_FOUND").alias("quote_ok"), ok("NAME_NOT_FOUND").alias("name_ok"), ok("IDENTIFIER_NOT_FOUND").alias("ids_ok"))
 
 
 @query("g09_extraction_links", f"WITH e AS (SELECT doc_id, 'entry ' || (doc_id % 200) AS nm FROM documents), c AS (SELECT DISTINCT source_id, source_key, 'entry ' || (source_key % 500) AS nm FROM ({CANDS}) WHERE status = 'PENDING') SELECT DISTINCT e.doc_id, c.source_id, c.source_key, 0.8::DOUBLE AS confidence FROM e JOIN c USING (nm)")
@@ -119,17 +121,40 @@ def h03(spark, sf_dir):
     return derived(spark, sf_dir, "SELECT o_orderkey, CAST(o_orderkey % 100 AS DOUBLE) / 100 AS score FROM orders").select("o_orderkey", N.decision(F.col("score")).alias("status"))
 
 
-@query("h02_name_scores")
+def _score(a: str, b: str) -> str:
+    """SQL of the name score: common subsequence of the token-sorted names, bit-parallel in 128-bit integers (names of 120 characters at most)."""
+    tidy = lambda x: f"array_to_string(list_sort(string_split({x}, ' ')), ' ')"
+    x, y = tidy(a), tidy(b)
+    masks = f"list_transform(string_split({y}, ''), lambda c: list_sum(list_transform(range(length({x})), lambda i: CASE WHEN substr({x}, (i + 1)::INT, 1) = c THEN 1::HUGEINT << i::INT ELSE 0::HUGEINT END))::HUGEINT)"
+    full = f"((1::HUGEINT << length({x})::INT) - 1)"
+    rest = f"list_reduce(list_prepend({full}, {masks}), lambda v, m: ((v + (v & m)) | (v - (v & m))) & {full})"
+    return f"CASE WHEN {a} = '' OR {b} = '' THEN 0.0 WHEN {a} = {b} THEN 1.0 ELSE round(2 * (length({x}) - bit_count({rest}))::DOUBLE / (length({x}) + length({y})), 4) END::DOUBLE"
+
+
+@query("h02_name_scores", f"WITH p AS (SELECT DISTINCT p_name AS a, string_split(p_name, ' ')[1] AS t FROM part) SELECT p.a, q.a AS b, {_score('p.a', 'q.a')} AS score FROM p JOIN p q USING (t) WHERE p.a <= q.a")
 def h02(spark, sf_dir):
     p = derived(spark, sf_dir, "SELECT DISTINCT p_name AS a, split(p_name, ' ')[0] AS t FROM part")
     return p.join(p.withColumnRenamed("a", "b"), "t").where("a <= b").select("a", "b", N.name_score(F.col("a"), F.col("b")).alias("score"))
 
 
-SUBJ = "SELECT p_partkey AS subject_id, 'LEI' || CAST(p_partkey % 900 AS VARCHAR(9)) AS lei, p_partkey % 7 = 0 AS lei_valid, CAST(p_partkey % 1500 AS VARCHAR(9)) AS reg_norm, p_brand AS country, p_name AS core FROM part WHERE p_partkey % 2 = 0"
-REG = "SELECT 'LEI' || CAST(p_partkey AS VARCHAR(9)) AS lei, CAST(p_partkey % 1400 AS VARCHAR(9)) AS reg_norm, p_brand AS country, p_name AS core FROM part WHERE p_partkey % 2 = 1"
-
-
-@query("h04_legal_entities")
+#: Subjects and register entries with names of two tokens, some misspelt, some without a country.
+SUBJ = "SELECT p_partkey AS subject_id, 'LEI' || CAST(p_partkey % 900 AS VARCHAR(9)) AS lei, p_partkey % 7 = 0 AS lei_valid, CAST(p_partkey % 1500 AS VARCHAR(9)) AS reg_norm, CASE WHEN p_partkey % 10 <> 4 THEN p_brand END AS country, CASE WHEN p_partkey % 6 = 2 THEN substring(p_name, 2, 40) ELSE p_name END AS core FROM part WHERE p_partkey % 2 = 0"
+REG = "SELECT 'LEI' || CAST(p_partkey AS VARCHAR(9)) AS lei, CAST(p_partkey % 1400 AS VARCHAR(9)) AS reg_norm, p_brand AS country, p_name || CASE WHEN p_partkey % 3 = 0 THEN 'ory' ELSE '' END AS core FROM part WHERE p_partkey % 2 = 1"
+
+
+@query("h04_legal_entities", f"""WITH s AS ({SUBJ}), r AS ({REG}), hits AS (
+  SELECT subject_id, r.lei AS k, 'LEI' AS m, 1.0::DOUBLE AS score, 1 AS tier FROM s JOIN r ON s.lei = r.lei WHERE lei_valid
+  UNION ALL SELECT subject_id, r.lei, 'REGISTRATION_NUMBER', 1.0, 2 FROM s JOIN (SELECT *, count(*) OVER (PARTITION BY reg_norm, country) AS n FROM r) r ON s.reg_norm = r.reg_norm AND s.country = r.country WHERE r.n = 1 AND r.reg_norm <> ''),
+l AS (SELECT * FROM s ANTI JOIN hits USING (subject_id)), cp AS (SELECT c.core, q.core AS r_core FROM (SELECT DISTINCT core FROM l) c JOIN (SELECT DISTINCT core FROM r) q ON list_has_any(string_split(c.core, ' '), string_split(q.core, ' '))),
+sc AS MATERIALIZED (SELECT core, r_core, {_score('core', 'r_core')} AS score FROM cp),
+w AS (SELECT DISTINCT core, country FROM l), home AS (SELECT w.core, w.country, r.lei AS k, sc.score FROM w JOIN sc USING (core) JOIN (SELECT core AS r_core, country AS rc, min(lei) AS lei FROM r GROUP BY ALL) r USING (r_core) WHERE w.country IS NULL OR w.country = r.rc),
+low AS (SELECT * FROM w WHERE w.country IS NOT NULL AND NOT EXISTS (SELECT 1 FROM home h WHERE h.core = w.core AND h.country = w.country AND h.score >= 0.85)),
+away AS (SELECT low.core, low.country, r.lei AS k, greatest(0.0, round(sc.score - 0.15, 4)) AS score FROM low JOIN sc USING (core) JOIN (SELECT core AS r_core, country AS rc, min(lei) AS lei FROM r GROUP BY ALL) r USING (r_core) WHERE r.rc <> low.country),
+nm AS (SELECT core, country, k, score FROM (SELECT *, row_number() OVER (PARTITION BY core, country ORDER BY score DESC, k) AS rn FROM (SELECT * FROM home UNION ALL SELECT * FROM away)) WHERE rn = 1),
+every AS (SELECT * FROM hits UNION ALL SELECT subject_id, k, 'NAME_COUNTRY', score, 3 FROM l JOIN nm ON l.core = nm.core AND l.country IS NOT DISTINCT FROM nm.country),
+best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY subject_id ORDER BY tier, score DESC, k) AS rn FROM every) WHERE rn = 1),
+o AS (SELECT s.subject_id, coalesce(m, 'NAME_COUNTRY') AS match_method, coalesce(score, 0.0)::DOUBLE AS score, CASE WHEN tier < 3 OR score >= 0.95 THEN 'AUTO_ACCEPTED' WHEN score >= 0.85 THEN 'NEEDS_REVIEW' ELSE 'NO_MATCH' END AS status, k FROM s LEFT JOIN best USING (subject_id))
+SELECT subject_id, match_method, score, status, CASE WHEN status <> 'NO_MATCH' THEN k END AS provider_key FROM o""")
 def h04(spark, sf_dir):
     return E.legal_entities(derived(spark, sf_dir, SUBJ), derived(spark, sf_dir, REG)).select("subject_id", "match_method", "score", "status", "provider_key")
 
@@ -143,13 +168,21 @@ def h05(spark, sf_dir):
     return E.parents(a, derived(spark, sf_dir, PAR))
 
 
-CO = "SELECT p_partkey AS subject_id, CASE WHEN p_partkey % 3 = 0 THEN NULL WHEN p_partkey % 3 = 1 THEN 'GB' ELSE 'FR' END AS country, lpad(CAST(p_partkey % 1700 AS VARCHAR(9)), 7, '0') AS reg_norm, p_name || p_brand AS core FROM part"
-COREG = "SELECT lpad(CAST(p_partkey * 2 AS VARCHAR(9)), 7, '0') AS number, p_name || p_brand AS core FROM part WHERE p_partkey % 5 = 0"
+CO = "SELECT p_partkey AS subject_id, CASE WHEN p_partkey % 3 = 0 THEN NULL WHEN p_partkey % 3 = 1 THEN 'GB' ELSE 'FR' END AS country, lpad(CAST(p_partkey % 1700 AS VARCHAR(9)), 7, '0') AS reg_norm, CASE WHEN p_partkey % 4 = 1 THEN p_name || 's' ELSE p_name END || ' ' || p_brand AS core FROM part"
+COREG = "SELECT lpad(CAST(p_partkey * 2 AS VARCHAR(9)), 7, '0') AS number, p_name || ' ' || p_brand AS core FROM part WHERE p_partkey % 5 = 0"
 
 
-@query("h06_companies", f"WITH s AS ({CO}), r AS ({COREG}), x AS (SELECT subject_id, number AS provider_key, 'NUMBER' AS match_method, 1 AS tier FROM s JOIN r ON reg_norm = number WHERE (country IS NULL OR country = 'GB') UNION ALL SELECT subject_id, number, 'NAME', 2 FROM s JOIN r ON s.core = r.core WHERE (country IS NULL OR country = 'GB')) SELECT subject_id, provider_key, match_method FROM (SELECT *, row_number() OVER (PARTITION BY subject_id ORDER BY tier, provider_key) AS rn FROM x) WHERE rn = 1")
+@query("h06_companies", f"""WITH s AS (SELECT * FROM ({CO}) WHERE country IS NULL OR country = 'GB'), r AS ({COREG}), x AS (SELECT subject_id, number, 1 AS tier, 1.0::DOUBLE AS score FROM s JOIN r ON reg_norm = number),
+l AS (SELECT * FROM s ANTI JOIN x USING (subject_id)), f AS (SELECT core AS r_core, min(number) AS number FROM r GROUP BY 1),
+fq AS (SELECT t, count(*) AS n FROM (SELECT r_core, unnest(list_distinct(string_split(r_core, ' '))) AS t FROM f) GROUP BY 1),
+rare AS (SELECT core, t FROM (SELECT *, row_number() OVER (PARTITION BY core ORDER BY coalesce(n, 0), t) AS rn, count(*) OVER (PARTITION BY core) AS k FROM (SELECT core, unnest(list_distinct(string_split(core, ' '))) AS t FROM (SELECT core FROM l UNION SELECT r_core FROM f)) LEFT JOIN fq USING (t)) WHERE rn <= k - ceil(k / 2) + 1),
+cp AS (SELECT DISTINCT a.core, f.r_core, f.number FROM rare a JOIN rare b USING (t) JOIN f ON f.r_core = b.core SEMI JOIN l ON l.core = a.core),
+sc AS MATERIALIZED (SELECT core, number, {_score('core', 'r_core')} AS score FROM cp), t AS (SELECT core, number, score FROM (SELECT *, row_number() OVER (PARTITION BY core ORDER BY score DESC, number) AS rn FROM sc) WHERE rn = 1),
+b AS (SELECT * FROM x UNION ALL SELECT subject_id, number, 2, score FROM l JOIN t USING (core)),
+o AS (SELECT s.subject_id, CASE tier WHEN 1 THEN 'REGISTRATION_NUMBER' ELSE 'NAME' END AS match_method, coalesce(score, 0.0)::DOUBLE AS score, CASE WHEN tier = 1 OR score >= 0.95 THEN 'AUTO_ACCEPTED' WHEN score >= 0.85 THEN 'NEEDS_REVIEW' ELSE 'NO_MATCH' END AS status, number FROM s LEFT JOIN b USING (subject_id))
+SELECT subject_id, match_method, score, status, CASE WHEN status <> 'NO_MATCH' THEN number END AS provider_key FROM o""")
 def h06(spark, sf_dir):
-    return E.companies(derived(spark, sf_dir, CO), derived(spark, sf_dir, COREG))
+    return E.companies(derived(spark, sf_dir, CO), derived(spark, sf_dir, COREG)).select("subject_id", "match_method", "score", "status", "provider_key")
 
 
 AIR = "SELECT c_custkey AS subject_id, CASE WHEN c_custkey % 2 = 0 THEN 'N-' || CAST(c_custkey AS VARCHAR(9)) ELSE 'D-1' END AS tail, CAST(c_custkey % 700 AS VARCHAR(9)) AS serial, 'Model ' || CAST(c_nationkey AS VARCHAR(9)) AS model FROM customer"
@@ -165,10 +198,9 @@ def h07(spark, sf_dir):
     return E.aircraft(derived(spark, sf_dir, AIR), derived(spark, sf_dir, MAST), derived(spark, sf_dir, MODS))
 
 
-@query("h08_leads", "WITH s AS (SELECT p_partkey AS subject_id, p_name AS core FROM part WHERE p_partkey % 9 = 0), r AS (SELECT p_name AS core, 'n' || p_partkey AS node_id, p_partkey AS pos FROM part WHERE p_partkey % 4 = 1) SELECT subject_id, arg_min(node_id, pos) AS provider_key, count(*) - 1 AS others, 'NEEDS_REVIEW' AS status FROM s JOIN r USING (core) WHERE length(core) >= 6 GROUP BY 1")
+@query("h08_leads", "WITH r AS (SELECT p_name AS core, arg_min('n' || p_partkey, p_partkey) AS provider_key, count(*) - 1 AS others FROM part GROUP BY 1) SELECT p_partkey AS subject_id, provider_key, others, 'NEEDS_REVIEW' AS status FROM part JOIN r ON p_name = core WHERE length(core) >= 6")
 def h08(spark, sf_dir):
-    s = derived(spark, sf_dir, "SELECT p_partkey AS subject_id, p_name AS core FROM part WHERE p_partkey % 9 = 0")
-    return E.leads(s, derived(spark, sf_dir, "SELECT p_name AS core, 'n' || p_partkey AS node_id, p_partkey AS pos FROM part WHERE p_partkey % 4 = 1"))
+    return E.leads(derived(spark, sf_dir, "SELECT p_partkey AS subject_id, p_name AS core FROM part"), derived(spark, sf_dir, "SELECT p_name AS core, 'n' || p_partkey AS node_id, p_partkey AS pos FROM part"))
 
 
 TRIP = "SELECT CASE WHEN o_custkey % 2 = 0 THEN 'IMO' ELSE 'LEI' END AS key_type, CAST(o_custkey AS VARCHAR(9)) AS key, o_orderkey AS pos, CASE WHEN o_orderkey % 3 = 0 THEN 'l' || CAST(o_orderkey AS VARCHAR(9)) END AS label, CASE WHEN o_orderkey % 4 = 0 THEN o_orderstatus END AS flag, o_orderpriority AS owner FROM orders"
@@ -228,10 +260,10 @@ def l05(spark, sf_dir):
     return b.select("source_id", *[F.to_date(f"{c}_at").alias(c) for c in ("last_attempt", "last_fetch", "last_success", "last_change")])
 
 
-INC = "SELECT 'K' || CAST(user_id % 60 AS VARCHAR(9)) AS dedupe_key, event_id AS seq, CAST(ts AS DATE) AS at, CASE WHEN event_type = 'signup' THEN 'RESOLVED' ELSE 'SEEN' END AS kind, CAST(event_id % 5 AS INT) AS severity FROM events"
+INC = "SELECT 'K' || CAST(user_id % 60 AS VARCHAR(9)) AS dedupe_key, event_id AS seq, CAST(ts AS DATE) AS at, CASE WHEN event_type = 'signup' THEN 'RESOLVED' ELSE 'SEEN' END AS kind, CASE event_id % 5 WHEN 0 THEN 'PAGE' WHEN 1 THEN 'WARN' WHEN 2 THEN 'WARN' ELSE 'INFO' END AS severity FROM events"
 
 
-@query("l06_incidents", f"WITH l AS (SELECT *, coalesce(sum((kind = 'RESOLVED')::INT) OVER (PARTITION BY dedupe_key ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS island FROM ({INC})) SELECT dedupe_key, island, count(*) FILTER (kind <> 'RESOLVED') AS occurrences, min(l.at) AS opened_at, max(l.at) FILTER (kind <> 'RESOLVED') AS last_seen_at, max(severity) AS severity, CASE WHEN bool_or(kind = 'RESOLVED') THEN 'RESOLVED' ELSE 'OPEN' END AS status FROM l GROUP BY 1, 2 HAVING count(*) FILTER (kind <> 'RESOLVED') > 0")
+@query("l06_incidents", f"WITH l AS (SELECT *, coalesce(sum((kind = 'RESOLVED')::INT) OVER (PARTITION BY dedupe_key ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS island FROM ({INC})) SELECT dedupe_key, island, count(*) FILTER (kind <> 'RESOLVED') AS occurrences, min(l.at) AS opened_at, max(l.at) FILTER (kind <> 'RESOLVED') AS last_seen_at, arg_max(severity, CASE severity WHEN 'PAGE' THEN 3 WHEN 'WARN' THEN 2 ELSE 1 END) AS severity, CASE WHEN bool_or(kind = 'RESOLVED') THEN 'RESOLVED' ELSE 'OPEN' END AS status FROM l GROUP BY 1, 2 HAVING count(*) FILTER (kind <> 'RESOLVED') > 0")
 def l06(spark, sf_dir):
     return MO.incidents(derived(spark, sf_dir, INC))
 

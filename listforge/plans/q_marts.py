@@ -99,9 +99,9 @@ def k10(spark, sf_dir):
     return M.coverage(derived(spark, sf_dir, SUBJ), derived(spark, sf_dir, ENR))
 
 
-@query("k11_notice_coverage", f"WITH e AS ({EVENTS}), l AS (SELECT DISTINCT source_id, source_key FROM ({LINKS}) WHERE status IN ('AUTO','APPROVED') AND link_id % 7 = 0) SELECT e.source_id, change_type, count(*) AS change_events, count(l.source_key) AS with_legal_evidence FROM e LEFT JOIN l ON l.source_id = e.source_id AND l.source_key = e.source_key WHERE created_at > DATE '2001-06-30' - 90 GROUP BY 1, 2")
+@query("k11_notice_coverage", f"WITH e AS ({EVENTS}), l AS (SELECT DISTINCT source_id, source_key FROM ({LINKS}) WHERE status IN ('AUTO','APPROVED')) SELECT e.source_id, change_type, count(*) AS change_events, count(l.source_key) AS with_legal_evidence FROM e LEFT JOIN l ON l.source_id = e.source_id AND l.source_key = e.source_key WHERE created_at > DATE '2001-06-30' - 90 GROUP BY 1, 2")
 def k11(spark, sf_dir):
-    return M.notice_coverage(derived(spark, sf_dir, EVENTS), derived(spark, sf_dir, LINKS).where("link_id % 7 = 0"), _now())
+    return M.notice_coverage(derived(spark, sf_dir, EVENTS), derived(spark, sf_dir, LINKS), _now())
 
 
 @query("k12_notices", "SELECT page_id AS notice_id, url, count(d.doc_id) AS links FROM pages LEFT JOIN documents d ON d.doc_id % 400 = page_id GROUP BY 1, 2")

@@ -91,6 +91,79 @@ def b07(spark, sf_dir):
     return df.withColumn("ok", T.lei_checksum_ok(F.col("lei")))
 
 
+IMO_TEXT = "SELECT o_orderkey AS id, CASE o_orderkey % 5 WHEN 0 THEN 'IMO ' || lpad(CAST(o_orderkey * 7919 % 10000000 AS VARCHAR(9)), 7, '0') WHEN 1 THEN lpad(CAST(o_orderkey * 7919 % 10000000 AS VARCHAR(9)), 7, '0') WHEN 2 THEN 'no. 90' || CAST(10000 + o_orderkey % 90000 AS VARCHAR(9)) || '.' WHEN 3 THEN '12345678' ELSE 'imo none' END AS raw FROM orders"
+
+
+@query("b06_imo_numbers", f"WITH r AS (SELECT id, nullif(CASE WHEN id % 5 < 3 THEN regexp_extract(raw, '([0-9]{{7}})', 1) ELSE '' END, '') AS n FROM ({IMO_TEXT})) SELECT id, n AS imo, CASE WHEN n IS NULL THEN false ELSE (7*substr(n,1,1)::INT+6*substr(n,2,1)::INT+5*substr(n,3,1)::INT+4*substr(n,4,1)::INT+3*substr(n,5,1)::INT+2*substr(n,6,1)::INT)%10 = substr(n,7,1)::INT END AS ok FROM r")
+def b06(spark, sf_dir):
+    df = derived(spark, sf_dir, IMO_TEXT).withColumn("imo", T.extract_imo(F.col("raw")))
+    return df.select("id", "imo", T.imo_checksum_ok(F.col("imo")).alias("ok"))
+
+
+#: Labels as publishers write them, with the type each must get.
+LABELS = {
+    "IMO number": "IMO", "Vessel Registration Identification": "IMO", "MMSI": "MMSI", "Vessel Call Sign": "CALL_SIGN", "Legal Entity Number": "LEI", "LEI": "LEI", "SWIFT/BIC": "SWIFT", "Passport": "PASSPORT", "National ID No.": "NATIONAL_ID", "Identity Card": "NATIONAL_ID",
+    "Cedula No.": "NATIONAL_ID", "Tax ID No.": "TAX", "INN": "TAX", "V.A.T. Number": "OTHER", "VAT Number": "TAX", "Registration Number": "REGISTRATION", "Company Number": "REGISTRATION", "Business Number": "REGISTRATION", "Unified Social Credit Code": "REGISTRATION",
+    "Aircraft Serial Number (maker)": "AIRCRAFT_MSN", "Serial Number": "AIRCRAFT_MSN", "Aircraft Tail Number": "AIRCRAFT_TAIL", "Email Address": "EMAIL", "Website": "WEBSITE", "Minimum": "OTHER", "Taxi": "OTHER", "D-U-N-S Number": "OTHER", "": "OTHER",
+}
+LABEL_TEXT = "SELECT o_orderkey AS id, " + "CASE o_orderkey % " + str(len(LABELS)) + " " + " ".join(f"WHEN {i} THEN '{x}'" for i, x in enumerate(LABELS)) + " END AS label FROM orders"
+
+
+@query("b09_label_types", "SELECT o_orderkey AS id, CASE o_orderkey % " + str(len(LABELS)) + " " + " ".join(f"WHEN {i} THEN '{x}'" for i, x in enumerate(LABELS.values())) + " END AS id_type FROM orders")
+def b09(spark, sf_dir):
+    return derived(spark, sf_dir, LABEL_TEXT).select("id", T.classify_label(F.col("label")).alias("id_type"))
+
+
+#: What publishers call a measure, with the common name each must get.
+MEASURES = {"Block": "ASSET_FREEZE", "Blocking (non-SDN)": "ASSET_FREEZE", "Directive 1": "SECTORAL", "CAPTA list": "SECTORAL", "Export ban": "EXPORT_RESTRICTION", "Procurement ban": "PROCUREMENT_BAN", "Visa": "OTHER"}
+
+
+@query(
+    "b13_measures",
+    "SELECT o_orderkey AS id, CASE o_orderkey % 7 " + " ".join(f"WHEN {i} THEN '{m}'" for i, m in enumerate(MEASURES.values())) + " END AS normalised, CASE o_orderkey % 3 WHEN 0 THEN 'ASSET_FREEZE,TRAVEL_BAN' WHEN 1 THEN 'ARMS_EMBARGO,ASSET_FREEZE' ELSE '' END AS uk, "
+    "CASE o_orderkey % 4 WHEN 0 THEN 'LICENSE_REQUIREMENT' WHEN 1 THEN 'EXPORT_RESTRICTION' WHEN 2 THEN 'DEBARMENT' ELSE 'OTHER' END AS us FROM orders",
+)
+def b13(spark, sf_dir):
+    from ..sources import advanced as A
+    from ..sources import lists as L
+
+    k = F.col("id")
+    names = "CASE o_orderkey % 7 " + " ".join(f"WHEN {i} THEN '{m}'" for i, m in enumerate(MEASURES)) + " END"
+    df = derived(spark, sf_dir, f"SELECT o_orderkey AS id, {names} AS kind, CASE o_orderkey % 4 WHEN 0 THEN 'EL' WHEN 1 THEN 'UVL' WHEN 2 THEN 'DTC' ELSE 'ZZ' END AS code FROM orders")
+    flags = F.array(F.when(k % 3 == 0, "TRAVEL_BAN"), F.when(k % 3 == 0, "ASSET_FREEZE"), F.when(k % 3 == 0, "ASSET_FREEZE"))
+    said = F.when(k % 3 == 1, "Asset freeze, and an arms embargo.")
+    return df.select("id", A.measure(F.col("kind")).alias("normalised"), F.array_join(L.uk_measures(flags, said), ",").alias("uk"), L._lit(L.CSL_MEASURES, F.col("code"), "OTHER").alias("us"))
+
+
+@query(
+    "b20_birth_dates",
+    "SELECT o_orderkey AS id, CASE o_orderkey % 4 WHEN 0 THEN 'DAY' WHEN 1 THEN 'RANGE' WHEN 2 THEN 'YEAR' ELSE 'UNKNOWN' END AS un_precision, CASE WHEN o_orderkey % 4 = 1 THEN year(o_orderdate) + 2 END::INT AS un_to, CASE o_orderkey % 4 WHEN 0 THEN strftime(o_orderdate, '%Y-%m-%d') WHEN 1 THEN 'between ' || year(o_orderdate) || ' and ' || (year(o_orderdate) + 2) WHEN 2 THEN 'approximately ' || year(o_orderdate) ELSE 'n.k.' END AS un_raw, "
+    "CASE o_orderkey % 4 WHEN 0 THEN 'DAY' WHEN 1 THEN 'MONTH' WHEN 2 THEN 'YEAR' ELSE 'RANGE' END AS eu_precision, CASE o_orderkey % 4 WHEN 0 THEN o_orderdate::DATE WHEN 1 THEN date_trunc('month', o_orderdate)::DATE END AS eu_date, CASE o_orderkey % 4 WHEN 0 THEN strftime(o_orderdate, '%Y-%m-%d') WHEN 1 THEN strftime(o_orderdate, '%Y-%m') WHEN 2 THEN 'circa ' || year(o_orderdate) ELSE year(o_orderdate) || '-' || (year(o_orderdate) + 2) END AS eu_raw FROM orders",
+)
+def b20(spark, sf_dir):
+    from ..sources import lists as L
+
+    df = derived(spark, sf_dir, "SELECT o_orderkey AS id, o_orderkey % 4 AS k, CAST(o_orderdate AS DATE) AS d FROM orders")
+    k, y = F.col("k"), F.year("d").cast("string")
+    un = F.struct(F.when(k == 1, "BETWEEN").when(k == 2, "APPROXIMATELY").otherwise("EXACT").alias("TYPE_OF_DATE"), F.when(k == 0, F.col("d").cast("string")).when(k == 3, "n.k.").alias("DATE"), F.when(k == 2, y).alias("YEAR"), F.when(k == 1, y).alias("FROM_YEAR"), F.when(k == 1, (F.year("d") + 2).cast("string")).alias("TO_YEAR"))
+    none = F.lit(None).cast("string")
+    eu = F.struct(none.alias("_birthdate"), F.when(k < 3, y).alias("_year"), F.when(k < 2, F.month("d").cast("string")).alias("_monthOfYear"), F.when(k == 0, F.dayofmonth("d").cast("string")).alias("_dayOfMonth"), F.when(k == 3, y).alias("_yearRangeFrom"), F.when(k == 3, (F.year("d") + 2).cast("string")).alias("_yearRangeTo"), F.when(k == 2, "true").otherwise("false").alias("_circa"))
+    out = df.select("id", un.alias("un"), eu.alias("eu")).select("id", L.un_birth_date(F.col("un")).alias("u"), L.eu_birth_date(F.col("eu")).alias("e"))
+    return out.select("id", F.col("u.precision").alias("un_precision"), F.col("u.year_to").alias("un_to"), F.col("u.raw").alias("un_raw"), F.col("e.precision").alias("eu_precision"), F.col("e.date_value").alias("eu_date"), F.col("e.raw").alias("eu_raw"))
+
+
+@query(
+    "b21_alias_kinds",
+    "SELECT c_custkey AS id, CASE c_custkey % 5 WHEN 0 THEN 'FKA' ELSE 'AKA' END AS un_type, CASE c_custkey % 5 WHEN 2 THEN 'STRONG' WHEN 3 THEN 'WEAK' ELSE 'UNKNOWN' END AS un_quality, CASE c_custkey % 3 WHEN 0 THEN 'STRONG' WHEN 1 THEN 'WEAK' ELSE 'UNKNOWN' END AS eu_quality, CASE c_custkey % 5 WHEN 2 THEN 'STRONG' WHEN 3 THEN 'WEAK' WHEN 4 THEN 'STRONG' ELSE 'UNKNOWN' END AS uk_quality FROM customer",
+)
+def b21(spark, sf_dir):
+    from ..sources import lists as L
+
+    df = derived(spark, sf_dir, "SELECT c_custkey AS id, CASE c_custkey % 5 WHEN 0 THEN 'f.k.a.' WHEN 1 THEN ' A.K.A. ' WHEN 2 THEN 'Good' WHEN 3 THEN ' low' ELSE 'Good quality' END AS said, CASE c_custkey % 3 WHEN 0 THEN 'TRUE' WHEN 1 THEN 'false' END AS strong FROM customer")
+    said = F.col("said")
+    return df.select("id", L.un_alias_type(said).alias("un_type"), L.alias_quality(L.UN_QUALITY, said).alias("un_quality"), L.alias_quality(L.EU_QUALITY, F.col("strong")).alias("eu_quality"), L.alias_quality(L.UK_QUALITY, said).alias("uk_quality"))
+
+
 @query("b05_compact_ids", f"SELECT rid, upper(regexp_replace(value, '[\\s\\-./]', '', 'g')) AS norm FROM ({IDENTIFIERS})")
 def b05(spark, sf_dir):
     return derived(spark, sf_dir, IDENTIFIERS).select("rid", T.compact(F.col("value")).alias("norm"))

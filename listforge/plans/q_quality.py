@@ -80,7 +80,7 @@ def d07(spark, sf_dir):
     return Q.unmapped(derived(spark, sf_dir, RAWC), top=10)
 
 
-PREC = "SELECT o_custkey, list(DISTINCT CASE o_orderpriority WHEN '1-URGENT' THEN 'DAY' WHEN '2-HIGH' THEN 'MONTH' WHEN '3-MEDIUM' THEN 'YEAR' WHEN '5-LOW' THEN 'UNKNOWN' ELSE 'OTHER' END) AS ps FROM orders WHERE o_orderkey % 7 = o_custkey % 7 GROUP BY 1"
+PREC = "SELECT o_custkey, list(DISTINCT CASE o_orderpriority WHEN '1-URGENT' THEN 'DAY' WHEN '2-HIGH' THEN 'MONTH' WHEN '3-MEDIUM' THEN 'YEAR' WHEN '5-LOW' THEN 'UNKNOWN' ELSE 'OTHER' END) AS ps FROM orders GROUP BY 1"
 
 
 @query("d08_precision_mix", f"WITH p AS (SELECT CASE WHEN list_contains(ps, 'DAY') THEN 'DAY' WHEN list_contains(ps, 'MONTH') THEN 'MONTH' WHEN list_contains(ps, 'YEAR') THEN 'YEAR' WHEN list_contains(ps, 'UNKNOWN') THEN 'UNKNOWN' ELSE 'NONE' END AS precision FROM ({PREC})) SELECT precision, round(count(*) / (SELECT count(*) FROM p), 4) AS share FROM p GROUP BY 1")
@@ -103,29 +103,42 @@ def d09(spark, sf_dir):
 
 
 VERSION = """SELECT o_custkey AS version_id, count(*) AS records, sum(CASE WHEN o_orderkey % 41 = 0 THEN 1 ELSE 0 END) AS skipped, sum(CASE WHEN o_orderkey % 53 = 0 THEN 1 ELSE 0 END) AS duplicates,
- sum(CASE WHEN o_orderkey % 59 = 0 THEN 1 ELSE 0 END) AS drift, 0 AS bad_countries, sum(CASE WHEN o_orderstatus = 'P' THEN 1 ELSE 0 END) AS bad_dates, CAST(min(o_orderkey) % 4000 AS BIGINT) AS added, CAST(max(o_orderkey) % 120 AS BIGINT) AS removed, CAST(o_custkey % 3 * 1000 AS BIGINT) AS previous FROM orders GROUP BY o_custkey"""
-_SP = f"""WITH m AS ({VERSION}), g AS (SELECT version_id, unnest([
+ sum(CASE WHEN o_orderkey % 59 = 0 THEN 1 ELSE 0 END) AS drift, 0 AS bad_countries, sum(CASE WHEN o_orderstatus = 'P' THEN 1 ELSE 0 END) AS bad_dates, sum(CASE WHEN o_orderkey % 43 = 0 THEN 1 ELSE 0 END) AS bad_imo, sum(CASE WHEN o_orderkey % 47 = 0 THEN 1 ELSE 0 END) AS bad_lei,
+ CAST(min(o_orderkey) % 4000 AS BIGINT) AS added, CAST(max(o_orderkey) % 120 AS BIGINT) AS removed, CAST(o_custkey % 3 * 1000 AS BIGINT) AS previous FROM orders GROUP BY o_custkey"""
+#: Fill rates of a version's types, and parser warnings by category.
+RATES = "SELECT o_custkey AS version_id, CASE WHEN o_orderstatus = 'F' THEN 'PERSON' WHEN o_orderstatus = 'O' THEN 'VESSEL' ELSE 'AIRCRAFT' END AS entity_type, 'dob' AS field, CAST(sum(CASE WHEN o_orderpriority = '5-LOW' THEN 0 ELSE 1 END) AS DOUBLE) / count(*) AS value FROM orders GROUP BY 1, 2"
+WARNED = "SELECT o_custkey AS version_id, CASE WHEN o_orderkey % 5 = 0 THEN 'PARSE_WARNING' WHEN o_orderkey % 5 = 1 THEN 'DATE' WHEN o_orderkey % 5 = 2 THEN 'odd' ELSE 'COUNTRY' END AS category, CAST(sum(o_orderkey % 2) AS BIGINT) AS n FROM orders GROUP BY 1, 2"
+FLOORS = {"PERSON": 0.9, "VESSEL": 2 / 3, "ORGANIZATION": 0.99}
+_SP = f"""WITH m AS ({VERSION}), whole AS (SELECT version_id, NULL::VARCHAR AS field, unnest([
  {{'ord': 0, 'gate': 'MIN_RECORDS', 'status': CASE WHEN records < 8 THEN 'FAIL' END}}, {{'ord': 1, 'gate': 'SKIPPED', 'status': CASE WHEN skipped / greatest(records + skipped, 1) > 0.01 THEN 'FAIL' WHEN skipped > 0 THEN 'WARN' END}},
- {{'ord': 2, 'gate': 'DUPLICATES', 'status': CASE WHEN duplicates > 0 THEN 'WARN' END}}, {{'ord': 3, 'gate': 'SCHEMA_DRIFT', 'status': CASE WHEN drift > 0 THEN 'WARN' END}},
- {{'ord': 4, 'gate': 'UNMAPPED_COUNTRY', 'status': CASE WHEN bad_countries > 0 THEN 'WARN' END}}, {{'ord': 5, 'gate': 'UNPARSEABLE_DATE', 'status': CASE WHEN bad_dates > 0 THEN 'WARN' END}},
- {{'ord': 6, 'gate': 'LARGE_REMOVAL', 'status': CASE WHEN previous > 0 AND (removed > 50 OR removed > 0.05 * previous) THEN 'HOLD' END}}, {{'ord': 7, 'gate': 'LARGE_ADDITION', 'status': CASE WHEN previous > 0 AND added > 1500 AND added > 0.3 * previous THEN 'HOLD' END}}], recursive := true) FROM m)"""
+ {{'ord': 2, 'gate': 'DUPLICATES', 'status': CASE WHEN duplicates > 0 THEN 'WARN' END}}, {{'ord': 4, 'gate': 'SCHEMA_DRIFT', 'status': CASE WHEN drift > 0 THEN 'WARN' END}},
+ {{'ord': 6, 'gate': 'CHECKSUM_IMO', 'status': CASE WHEN bad_imo > 0 THEN 'WARN' END}}, {{'ord': 7, 'gate': 'CHECKSUM_LEI', 'status': CASE WHEN bad_lei > 0 THEN 'WARN' END}},
+ {{'ord': 8, 'gate': 'UNMAPPED_COUNTRY', 'status': CASE WHEN bad_countries > 0 THEN 'WARN' END}}, {{'ord': 9, 'gate': 'UNPARSEABLE_DATE', 'status': CASE WHEN bad_dates > 0 THEN 'WARN' END}},
+ {{'ord': 10, 'gate': 'LARGE_REMOVAL', 'status': CASE WHEN previous > 0 AND (removed > 50 OR removed > 0.05 * previous) THEN 'HOLD' END}}, {{'ord': 11, 'gate': 'LARGE_ADDITION', 'status': CASE WHEN previous > 0 AND added > 1500 AND added > 0.3 * previous THEN 'HOLD' END}}], recursive := true) FROM m),
+fl AS (SELECT * FROM (VALUES {", ".join(f"('{t}', {v!r}::DOUBLE)" for t, v in FLOORS.items())}) f(entity_type, floor)),
+g AS (SELECT * FROM whole UNION ALL SELECT version_id, entity_type || '.dob', 5, 'FILL_FLOOR', CASE WHEN value < floor THEN 'FAIL' WHEN value < floor + 0.05 THEN 'WARN' END FROM ({RATES}) JOIN fl USING (entity_type)
+ UNION ALL SELECT version_id, CASE WHEN category IN ('DATE', 'COUNTRY') THEN category ELSE 'PARSE_WARNING' END, 3, 'PARSER_WARNING', 'WARN' FROM ({WARNED}) WHERE category <> 'PARSE_WARNING' AND n > 0)"""
 
 
-@query("d10_d16_gates", _SP + " SELECT version_id, gate, status FROM g WHERE status IS NOT NULL")
+def _gates(spark, sf_dir):
+    floors = spark.createDataFrame([(t, "dob", v) for t, v in FLOORS.items()], "entity_type string, field string, floor double")
+    m = derived(spark, sf_dir, VERSION)
+    return m, Q.all_gates(m, derived(spark, sf_dir, RATES), floors, derived(spark, sf_dir, WARNED), ["version_id"], known=("DATE", "COUNTRY"), min_records=8)
+
+
+@query("d10_d16_gates", _SP + " SELECT version_id, field, gate, status FROM g WHERE status IS NOT NULL")
 def d10(spark, sf_dir):
-    return Q.gates(derived(spark, sf_dir, VERSION), min_records=8).select("version_id", "gate", "status")
+    return _gates(spark, sf_dir)[1].select("version_id", "field", "gate", "status")
 
 
 @query("d17_outcomes", _SP + ", b AS (SELECT version_id, max(CASE WHEN status = 'FAIL' THEN 1 ELSE 0 END) AS fail, arg_min(gate, CASE WHEN status = 'FAIL' THEN 0 ELSE 100 END + ord) AS primary_error FROM g WHERE status IN ('FAIL','HOLD') GROUP BY 1) SELECT version_id, CASE fail WHEN 1 THEN 'QUARANTINE' WHEN 0 THEN 'HOLD' ELSE 'PASS' END AS outcome, primary_error FROM m LEFT JOIN b USING (version_id)")
 def d17(spark, sf_dir):
-    m = derived(spark, sf_dir, VERSION)
-    return Q.outcome(m, Q.gates(m, min_records=8), "version_id")
+    return Q.outcome(*_gates(spark, sf_dir), "version_id")
 
 
 @query("f13_dry_run", _SP + ", b AS (SELECT version_id, max(CASE WHEN status = 'FAIL' THEN 1 ELSE 0 END) AS fail FROM g WHERE status IN ('FAIL','HOLD') GROUP BY 1) SELECT 'DRY_RUN_' || CASE fail WHEN 1 THEN 'QUARANTINE' WHEN 0 THEN 'HOLD' ELSE 'PASS' END AS result, count(*) AS n, 0::BIGINT AS published FROM m LEFT JOIN b USING (version_id) GROUP BY 1")
 def f13(spark, sf_dir):
-    m = derived(spark, sf_dir, VERSION)
-    out = Q.outcome(m, Q.gates(m, min_records=8), "version_id")
+    out = Q.outcome(*_gates(spark, sf_dir), "version_id")
     return out.groupBy(F.concat(F.lit("DRY_RUN_"), "outcome").alias("result")).agg(F.count("*").alias("n"), F.lit(0).cast("long").alias("published"))
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..operators import removals as R
 from ..operators import versioning as V
+from ..session import durable
 from .derive import IDENTIFIERS, PARTY1, PARTY2, PARTY3, derived
 from .registry import query
 
@@ -90,6 +91,45 @@ def f05(spark, sf_dir):
     return V.children(_docs(spark, sf_dir), KEYS, "ids")
 
 
+_K = "c_custkey"
+_CH = f"""SELECT {_K} AS source_key, 'name' AS tab, 0 AS ord, lower(replace(c_name, '#', ' ')) AS what, 'UNKNOWN' AS more FROM customer UNION ALL SELECT {_K}, 'name', 1, lower(c_mktsegment), 'WEAK' FROM customer WHERE {_K} % 3 <> 0
+UNION ALL SELECT {_K}, 'identifier', 0, 'N' || {_K}, CASE WHEN {_K} % 2 = 0 THEN 'DE' END FROM customer UNION ALL SELECT {_K}, 'address', 0, 'Street ' || c_nationkey, CASE WHEN {_K} % 5 = 0 THEN 'FR' END FROM customer WHERE {_K} % 4 <> 1
+UNION ALL SELECT {_K}, 'birth', 0, 'DOB', 'DAY' FROM customer WHERE {_K} % 2 = 0 UNION ALL SELECT {_K}, 'birth', CASE WHEN {_K} % 2 = 0 THEN 1 ELSE 0 END, 'POB', CASE WHEN {_K} % 6 = 0 THEN 'IR' END FROM customer WHERE {_K} % 3 = 0
+UNION ALL SELECT {_K}, 'nationality', 0, 'CITIZENSHIP', NULL FROM customer UNION ALL SELECT {_K}, 'listing', 0, 'A', 'ASSET_FREEZE' FROM customer UNION ALL SELECT {_K}, 'listing', 1, 'B', '' FROM customer WHERE {_K} % 7 = 0
+UNION ALL SELECT {_K}, 'relationship', 0, 'OWNED', 'R' || ({_K} + 1) FROM customer WHERE {_K} % 10 = 0 UNION ALL SELECT {_K}, 'vessel', 0, 'tanker', CASE WHEN {_K} % 3 = 0 THEN 'PA' END FROM customer WHERE c_mktsegment = 'MACHINERY' UNION ALL SELECT {_K}, 'aircraft', 0, 'M1', NULL FROM customer WHERE c_mktsegment = 'AUTOMOBILE'"""
+
+
+@query("f05_child_tables", f"SELECT source_key, tab, ord::INT AS ord, what, more FROM ({_CH})")
+def f05_tables(spark, sf_dir):
+    from ..sources import canonical as C
+
+    k, lit = F.col("source_key"), F.lit
+    rows = derived(spark, sf_dir, "SELECT c_custkey AS source_key, c_name, c_mktsegment, c_nationkey FROM customer")
+    some = lambda cond, *xs: F.filter(F.array(*[F.when(cond if i == 0 else c, x) for i, (x, c) in enumerate(xs)]), lambda x: x.isNotNull())
+    yes = lit(True)
+    name = lambda t, v, q: C.fill(C.NAME, name_type=lit(t), full_name=v, quality=q)
+    docs = rows.select(
+        k,
+        some(yes, (name("PRIMARY", F.replace("c_name", lit("#"), lit("-")), lit(None)), yes), (name("AKA", F.col("c_mktsegment"), lit("WEAK")), k % 3 != 0)).alias("names"),
+        some(yes, (C.fill(C.IDENT, id_type=lit("OTHER"), value_norm=F.concat(lit("N"), k), country_iso2=F.when(k % 2 == 0, "DE").otherwise("DEU")), yes)).alias("identifiers"),
+        some(k % 4 != 1, (C.fill(C.ADDRESS, street=F.concat(lit("Street "), "c_nationkey"), country_iso2=F.when(k % 5 == 0, "FR").otherwise("")), yes)).alias("addresses"),
+        some(k % 2 == 0, (F.struct(F.to_date(lit("1970-01-02")).alias("date_value"), lit("DAY").alias("precision")), yes)).alias("birth_dates"),
+        some(k % 3 == 0, (C.fill(C.PLACE, place=lit("Town"), country_iso2=F.when(k % 2 == 0, "IR").otherwise("X")), yes)).alias("birth_places"),
+        some(yes, (C.fill(C.COUNTRY, kind=lit("CITIZENSHIP"), country_iso2=lit("FRA")), yes)).alias("countries"),
+        some(yes, (C.fill(C.LISTING, program_code=lit("A"), measures=F.array(lit("ASSET_FREEZE"))), yes), (C.fill(C.LISTING, program_code=lit("B"), measures=F.array()), k % 7 == 0)).alias("listings"),
+        some(k % 10 == 0, (C.fill(C.RELATION, rel_type=lit("OWNED"), target_source_key=F.concat(lit("R"), k + 1)), yes)).alias("relationships"),
+        F.when(F.col("c_mktsegment") == "MACHINERY", C.fill(C.VESSEL, vessel_type=lit("tanker"), flag_iso2=F.when(k % 3 == 0, "PA").otherwise("PAN"))).alias("vessel"),
+        F.when(F.col("c_mktsegment") == "AUTOMOBILE", C.fill(C.AIRCRAFT, model=lit("M1"))).alias("aircraft"),
+    )
+    shown = {
+        "name": ("normalized_name", "quality"), "identifier": ("value_norm", "country_iso2"), "address": ("street", "country_iso2"), "birth": ("kind", F.coalesce("precision", "country_iso2")), "nationality": ("kind", "country_iso2"),
+        "listing": ("program_code", F.array_join("measures", ",")), "relationship": ("rel_type", "target_source_key"), "vessel": ("vessel_type", "flag_iso2"), "aircraft": ("model", "manufacturer"),
+    }
+    tables = V.child_tables(docs, ["source_key"])
+    col = lambda c: F.col(c) if isinstance(c, str) else c
+    return reduce(lambda a, b: a.union(b), [tables[t].select("source_key", F.lit(t).alias("tab"), "ord", col(w).alias("what"), col(m).alias("more")) for t, (w, m) in shown.items()])
+
+
 @query(
     "f06_field_diff",
     WITH + """ SELECT n.source_id, n.source_key, array_to_string(list_filter([CASE WHEN o.entity_type IS DISTINCT FROM n.entity_type THEN 'entity_type' END,
@@ -170,13 +210,15 @@ _STRONG = _IDS + ", keys AS (SELECT DISTINCT source_id, source_key, CASE label W
 
 
 def _ids(spark, sf_dir):
+    """Identifiers of the records, as the table that a publish stores: typed and normalised once, read by several steps."""
     from ..functions import text as T
 
-    return R.identifier_rows(derived(spark, sf_dir, IDENTIFIERS), "label", "value").where(T.clean(F.col("value")).isNotNull())
+    return durable(R.identifier_rows(derived(spark, sf_dir, IDENTIFIERS), "label", "value").where(T.clean(F.col("value")).isNotNull()).select(*KEYS, "id_type", "value_norm", "checksum_valid"), "identifiers")
 
 
-def _strong(spark, sf_dir):
-    return R.crosslist_keys(_ids(spark, sf_dir), KEYS, plain=(), checked=("IMO",), with_country=("PASSPORT", "MMSI")).where("key_type <> 'IMO'")
+def _strong(spark, sf_dir, ids=None):
+    ids = ids if ids is not None else _ids(spark, sf_dir)
+    return R.crosslist_keys(ids, KEYS, plain=(), checked=("IMO",), with_country=("PASSPORT", "MMSI")).where("key_type <> 'IMO'")
 
 
 @query("f14_crosslist_keys", f"WITH {_STRONG} SELECT * FROM keys")
@@ -221,20 +263,62 @@ def f17(spark, sf_dir):
     return _evidence(spark, sf_dir)
 
 
-_ASSESS = f"""WITH {_EV}, {_STRONG}, hits AS (SELECT c.source_id, c.source_key, count(DISTINCT k2.source_id || '/' || k2.source_key) AS n_hits FROM (SELECT DISTINCT source_id, source_key FROM c) c JOIN keys k1 ON k1.source_id = c.source_id AND k1.source_key = c.source_key JOIN keys k2 ON k1.key_type = k2.key_type AND k1.key_value = k2.key_value AND (k2.source_id <> c.source_id OR k2.source_key <> c.source_key) GROUP BY 1, 2),
-sus AS (SELECT DISTINCT source_id, source_key FROM c WHERE source_key % 4 = 0),
-a AS (SELECT c.candidate_id, c.status, ev.candidate_id IS NOT NULL AS has_evidence, coalesce(h.n_hits, 0) AS n_hits, s.source_key IS NOT NULL AS suspect
-  FROM c LEFT JOIN (SELECT * FROM ev WHERE r = 1) ev USING (candidate_id) LEFT JOIN hits h ON h.source_id = c.source_id AND h.source_key = c.source_key LEFT JOIN sus s ON s.source_id = c.source_id AND s.source_key = c.source_key)
-SELECT candidate_id, CASE WHEN has_evidence AND status = 'PENDING' THEN 'EVIDENCE_FOUND' ELSE status END AS status,
-  CASE WHEN suspect AND NOT has_evidence THEN 'ID_CHANGE' WHEN has_evidence AND n_hits > 0 THEN 'STILL_LISTED' WHEN has_evidence THEN 'CONFIRMED' END AS recommendation FROM a"""
+_REASONS = f"""s AS (SELECT * FROM ids WHERE label IN ('IMO number','Passport','MMSI')),
+n AS (SELECT 'L' || (c_custkey % 3) AS source_id, c_custkey AS source_key, c_nationkey || '/' || c_mktsegment AS nm FROM customer),
+mk AS (SELECT source_id, source_key, 1 AS p, label || '|' || norm AS mark FROM s UNION SELECT source_id, source_key, 2, nm FROM n),
+sus AS (SELECT source_id, source_key, CASE min(p) WHEN 1 THEN 'SHARED_IDENTIFIER' ELSE 'SAME_NAME' END AS reason, arg_min(o, p * 1000000000 + o) AS other_key FROM (
+  SELECT a.source_id, a.source_key, a.p, min(b.source_key) AS o FROM mk a JOIN mk b ON a.source_id = b.source_id AND a.p = b.p AND a.mark = b.mark AND a.source_key <> b.source_key GROUP BY 1, 2, 3) SEMI JOIN c USING (source_id, source_key) GROUP BY 1, 2)"""
 
 
-@query("f18_removal_assessment", _ASSESS)
-def f18(spark, sf_dir):
+def _reasons(spark, sf_dir, ids=None):
+    names = derived(spark, sf_dir, "SELECT 'L' || (c_custkey % 3) AS source_id, c_custkey AS source_key, concat(c_nationkey, '/', c_mktsegment) AS name_norm FROM customer")
+    return R.id_change_reasons(derived(spark, sf_dir, CANDS), ids if ids is not None else _ids(spark, sf_dir), names)
+
+
+@query("f16_id_change_reasons", f"WITH {_IDS}, c AS ({CANDS}), {_REASONS} SELECT * FROM sus")
+def f16_reasons(spark, sf_dir):
+    return _reasons(spark, sf_dir)
+
+
+_ASSESS = f"""WITH {_EV}, {_STRONG}, {_REASONS}, kl AS (SELECT key_type, key_value, source_id AS other, count(*) AS n FROM keys GROUP BY ALL),
+els AS (SELECT source_id, source_key, list_sort(list(DISTINCT other)) AS sources FROM (SELECT DISTINCT source_id, source_key FROM c) JOIN keys USING (source_id, source_key) JOIN kl USING (key_type, key_value) WHERE other <> source_id OR n > 1 GROUP BY 1, 2),
+a AS (SELECT c.candidate_id, c.status, c.source_id, c.source_key, ev.candidate_id IS NOT NULL AS has_evidence, els.sources, s.source_key IS NOT NULL AS suspect, c.status IN ('PENDING', 'EVIDENCE_FOUND', 'REJECTED_PARSER') AS holds
+  FROM c LEFT JOIN (SELECT * FROM ev WHERE r = 1) ev USING (candidate_id) LEFT JOIN els ON els.source_id = c.source_id AND els.source_key = c.source_key LEFT JOIN sus s ON s.source_id = c.source_id AND s.source_key = c.source_key),
+ad AS (SELECT *, CASE WHEN holds THEN CASE WHEN suspect AND NOT has_evidence THEN 'REJECTED_ID_CHANGE' WHEN has_evidence AND sources IS NOT NULL THEN 'STILL_LISTED_ELSEWHERE' WHEN has_evidence THEN 'CONFIRMED' END END AS recommendation FROM a)"""
+
+
+def _assessed(spark, sf_dir):
     cands = derived(spark, sf_dir, CANDS)
-    hits = R.crosslist_hits(cands.select(*KEYS).distinct(), _strong(spark, sf_dir), KEYS)
-    suspects = cands.where("source_key % 4 = 0").select(*KEYS).distinct()
-    return R.assess(cands, _evidence(spark, sf_dir), hits, suspects).select("candidate_id", "status", "recommendation")
+    ids = _ids(spark, sf_dir)
+    elsewhere = R.listed_elsewhere(cands, _strong(spark, sf_dir, ids))
+    return R.assess(cands, _evidence(spark, sf_dir), elsewhere, _reasons(spark, sf_dir, ids)), elsewhere
+
+
+@query("f18_removal_assessment", _ASSESS + " SELECT candidate_id, CASE WHEN has_evidence AND holds THEN 'EVIDENCE_FOUND' ELSE status END AS status, recommendation FROM ad")
+def f18(spark, sf_dir):
+    return _assessed(spark, sf_dir)[0].select("candidate_id", "status", "recommendation")
+
+
+@query(
+    "f18_removal_proposals",
+    _ASSESS + """ SELECT candidate_id, source_id || ':' || source_key AS subject_ref, 'removal:' || candidate_id AS dedupe_key, CASE recommendation WHEN 'CONFIRMED' THEN 'Confirm delisting of ' || c_name || ' from ' || source_id
+      WHEN 'STILL_LISTED_ELSEWHERE' THEN 'Release the listing of ' || c_name || ' on ' || source_id || ', still listed on ' || array_to_string(sources, ', ') ELSE 'Confirm the change of key of ' || c_name || ' on ' || source_id END AS title
+      FROM ad JOIN customer ON c_custkey = source_key WHERE recommendation IS NOT NULL AND candidate_id % 11 <> 0""",
+)
+def f18_proposals(spark, sf_dir):
+    assessed, elsewhere = _assessed(spark, sf_dir)
+    named = assessed.join(derived(spark, sf_dir, "SELECT c_custkey AS source_key, c_name AS primary_name FROM customer"), "source_key")
+    opened = assessed.where("candidate_id % 11 = 0").select(F.concat(F.lit("removal:"), "candidate_id").alias("dedupe_key"))
+    return R.removal_proposals(named, elsewhere, opened).select("candidate_id", "subject_ref", "dedupe_key", "title")
+
+
+@query(
+    "c05_as_of_predicate",
+    LOG + ", pins AS (SELECT 'L' || k AS source_id, (SELECT (count(*) % 3)::INT FROM orders WHERE o_custkey % 3 = k) + 1 AS pin FROM range(3) t(k)) SELECT source_id, source_key, seq AS valid_from_seq, valid_to AS valid_to_seq FROM v JOIN pins USING (source_id) WHERE seq <= pin AND (valid_to IS NULL OR valid_to > pin)",
+)
+def c05(spark, sf_dir):
+    pins = derived(spark, sf_dir, "SELECT 'L' || CAST(o_custkey % 3 AS VARCHAR(9)) AS source_id, CAST(count(*) % 3 AS INT) + 1 AS pin FROM orders GROUP BY o_custkey % 3")
+    return V.as_of(V.validity(_log(spark, sf_dir), KEYS), pins).select(*KEYS, "valid_from_seq", "valid_to_seq")
 
 
 DECISIONS = "SELECT o_orderkey AS decision_id, o_orderkey - o_orderkey % 2 AS candidate_id, CASE o_orderstatus WHEN 'F' THEN 'CONFIRMED' WHEN 'O' THEN 'STILL_LISTED' ELSE 'REJECTED_PARSER' END AS resolution FROM orders WHERE o_orderkey % 3 <> 0"

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,12 +29,24 @@ def build_session(app: str = "listforge", master: str | None = None, shuffle_par
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder that driver and executors share: ``spark.checkpoint.dir``; a temporary one only where it is unset (tests)."""
+    """The folder that driver and executors share, ``spark.checkpoint.dir``.
+
+    A cluster must name it. Where it is unset, only a session that runs inside one machine gets a temporary one, made at
+    its first use and removed at the end of the process.
+    """
     base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = "file://" + tempfile.mkdtemp(prefix="listforge-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return base.rstrip("/")
+    if base:
+        return base.rstrip("/")
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    return _own_dir()
+
+
+@cache
+def _own_dir() -> str:
+    path = tempfile.mkdtemp(prefix="listforge-")
+    atexit.register(shutil.rmtree, path, ignore_errors=True)
+    return "file://" + path
 
 
 def new_path(spark: SparkSession, tag: str) -> str:

@@ -25,9 +25,13 @@ PERIOD = f"struct<Start:{POINT},End:{POINT}>"
 
 
 def references(spark: SparkSession, path: str) -> DataFrame:
-    """(set, id, text, parent, iso2): items of the reference sets."""
-    one = lambda s: C.xml(spark, path, s, "_ID string, _VALUE string, _ISO2 string, _PartyTypeID string, _LegalBasisShortRef string").where("_ID IS NOT NULL").select(F.lit(s).alias("set"), F.col("_ID").alias("id"), F.coalesce(C.text(F.col("_VALUE")), C.text(F.col("_LegalBasisShortRef"))).alias("text"), F.col("_PartyTypeID").alias("parent"), F.col("_ISO2").alias("iso2"))
-    return reduce(DataFrame.union, [one(s) for s in SETS])
+    """(set, id, text, parent, iso2): items of the reference sets, which all stand in one element."""
+    item = "array<struct<_ID:string,_VALUE:string,_ISO2:string,_PartyTypeID:string,_LegalBasisShortRef:string>>"
+    whole = C.xml(spark, path, "ReferenceValueSets", ", ".join(f"{s}Values struct<{s}:{item}>" for s in SETS))
+    sets = F.array(*[F.struct(F.lit(s).alias("set"), F.col(f"{s}Values.{s}").alias("items")) for s in SETS])
+    one = whole.select(F.explode(sets).alias("s")).select("s.set", F.explode("s.items").alias("i")).where("i._ID IS NOT NULL")
+    named = F.coalesce(C.text(F.col("i._VALUE")), C.text(F.col("i._LegalBasisShortRef")))
+    return one.select("set", F.col("i._ID").alias("id"), named.alias("text"), F.col("i._PartyTypeID").alias("parent"), F.col("i._ISO2").alias("iso2"))
 
 
 def measure(kind: Column) -> Column:
@@ -113,7 +117,7 @@ def advanced_list(spark: SparkSession, path: str, iso: C.Iso) -> DataFrame:
     feat = party.select("uid", F.posexplode("Profile.Feature").alias("fpos", "f")).select("uid", "fpos", c("f._FeatureTypeID").alias("ft"), F.posexplode("f.FeatureVersion").alias("vpos", "v")).join(look("FeatureType", "feature"), c("ft") == c("feature_id"), "left")
     first = F.get(c("v.VersionDetail"), F.lit(0))
     feat = feat.withColumn("did", first["_DetailReferenceID"]).join(look("DetailReference", "detail"), c("did") == c("detail_id"), "left").withColumn("lid", F.get(c("v.VersionLocation"), F.lit(0))["_LocationID"]).join(F.broadcast(places), c("lid") == c("location_id"), "left")
-    fl, value = F.lower(F.trim("feature")), F.coalesce(C.text(first["_VALUE"]), c("detail"))
+    fl, value = F.lower(T.strip(F.col("feature"))), F.coalesce(C.text(first["_VALUE"]), c("detail"))
     feat = feat.select("uid", "fpos", "vpos", "feature", fl.alias("fl"), value.alias("value"), "address", period(c("v.DatePeriod")).alias("period"), c("v.DatePeriod").isNotNull().alias("dated"))
     order = lambda cond, x: F.transform(F.array_sort(F.collect_list(F.when(cond, F.struct("fpos", "vpos", x.alias("x"))))), lambda y: y["x"])
     is_ = lambda *ks: c("fl").isin(*ks)

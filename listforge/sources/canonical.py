@@ -6,6 +6,7 @@ that rows compare and hash. Empty XML elements read as '', so all texts pass thr
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -35,16 +36,16 @@ Iso = Callable[[Column], Column]
 
 
 def iso_lookup(spark: SparkSession, dim: DataFrame | None = None) -> Iso:
-    """The country ladder as an expression over three literal maps of some hundred entries (the dimension is that small)."""
+    """The country ladder as an expression over constant maps of some hundred entries (the dimension is that small)."""
     rows = (dim if dim is not None else K.dimension(spark)).collect()
     maps = {}
     for kind in ("iso2", "iso3", "name"):
-        pairs = sorted((r["key"], r["iso2"]) for r in rows if r["kind"] == kind)
-        maps[kind] = F.map_from_arrays(F.array(*[F.lit(k) for k, _ in pairs]), F.array(*[F.lit(v) for _, v in pairs]))
+        pairs = {r["key"]: r["iso2"] for r in rows if r["kind"] == kind}
+        maps[kind] = F.from_json(F.lit(json.dumps(pairs, ensure_ascii=False)), "map<string,string>")
 
-    def look(raw: Column) -> Column:
-        s, k = F.trim(raw), K.key(raw)
-        get = lambda kind, x: F.try_element_at(maps[kind], x)
+    def ladder(x: Column) -> Column:
+        s, k = x["s"], x["k"]
+        get = lambda kind, key: F.try_element_at(maps[kind], key)
         return F.coalesce(
             F.when(F.length(s) == 2, get("iso2", F.upper(s))),
             F.when(F.length(s) == 3, get("iso3", F.upper(s))),
@@ -54,12 +55,12 @@ def iso_lookup(spark: SparkSession, dim: DataFrame | None = None) -> Iso:
             F.when(k.contains(","), get("name", F.trim(F.regexp_extract(k, r"([^,]*)$", 1)))),
         )
 
-    return look
+    return lambda raw: T.bind(F.struct(T.strip(raw).alias("s"), K.key(raw).alias("k")), ladder)
 
 
 def text(c: Column) -> Column:
     """Trimmed text, null if empty."""
-    return F.nullif(F.trim(c), F.lit(""))
+    return F.nullif(T.strip(c), F.lit(""))
 
 
 def fill(struct_type: str, /, **values: Column) -> Column:
@@ -101,20 +102,23 @@ def parts(**values: Column) -> Column:
 
 def ident(label: Column, value: Column, iso: Iso | None = None, id_type: Column | str | None = None, country: Column | None = None, issued: Column | None = None, expires: Column | None = None) -> Column:
     """Identifier with its type by label, or a given one; null for a blank value."""
-    v = F.trim(F.coalesce(value.cast("string"), F.lit("")))
-    kind = T.classify_label(label) if id_type is None else (F.lit(id_type) if isinstance(id_type, str) else F.coalesce(id_type, T.classify_label(label)))
-    norm, imo = T.compact(v), T.extract_imo(v)
-    raw = country if country is not None else F.lit(None).cast("string")
-    return F.when(
-        v != "",
-        fill(
-            IDENT, id_type=kind, label=label, value=v, value_norm=F.when(kind == "IMO", F.coalesce(imo, norm)).otherwise(norm),
-            country_iso2=iso(raw) if iso and country is not None else F.lit(None), country_raw=raw,
-            issued_on=issued if issued is not None else F.lit(None), expires_on=expires if expires is not None else F.lit(None),
-            checksum_valid=F.when(kind == "IMO", T.imo_checksum_ok(F.coalesce(imo, F.lit("")))).when(kind == "LEI", T.lei_checksum_ok(norm)).when(kind == "MMSI", T.mmsi_ok(norm)),
-        ),
+    given = F.lit(id_type) if isinstance(id_type, str) else id_type
+    kind = T.classify_label(label) if given is None else given if isinstance(id_type, str) else F.coalesce(given, T.classify_label(label))
+    raw, text_ = country if country is not None else F.lit(None).cast("string"), value.cast("string")
+    parts = F.struct(
+        kind.alias("kind"), label.alias("label"), T.strip(F.coalesce(text_, F.lit(""))).alias("v"), T.compact(text_).alias("norm"), T.extract_imo(T.strip(text_)).alias("imo"), raw.alias("raw"),
+        (iso(raw) if iso and country is not None else F.lit(None).cast("string")).alias("iso2"),
+        *[(c if c is not None else F.lit(None)).cast("string").alias(n) for n, c in (("issued", issued), ("expires", expires))],
     )
 
+    def build(x: Column) -> Column:
+        return fill(
+            IDENT, id_type=x["kind"], label=x["label"], value=x["v"], value_norm=F.when(x["kind"] == "IMO", F.coalesce(x["imo"], x["norm"])).otherwise(x["norm"]),
+            country_iso2=x["iso2"], country_raw=x["raw"], issued_on=x["issued"], expires_on=x["expires"], checksum_valid=T.checksum(x["kind"], x["norm"], x["imo"]),
+        )
+
+    return T.bind(parts, lambda x: F.when(x["v"] != "", build(x)))
+
 
 def address(iso: Iso, raw: Column, street: Column, city: Column, region: Column, postal: Column, *rest: Column, code: Column | None = None) -> Column:
     """Address with its country code; null if nothing is filled."""
@@ -151,8 +155,8 @@ def xml(spark: SparkSession, path: str, row_tag: str, schema: str) -> DataFrame:
 
 
 def header(spark: SparkSession, path: str, root: str, leaves: tuple[str, ...], patterns: tuple[str, ...] = ("yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd", "dd/MM/yyyy", "MM/dd/yyyy")) -> DataFrame:
-    """(publication_marker, published_at) from a file's root: the first filled attribute or leaf of the given names."""
-    df = xml(spark, path, root, ", ".join(f"`{c}` string" for c in leaves)).limit(1)
+    """(publication_marker, published_at) of each file's root: the first filled attribute or leaf of the given names."""
+    df = xml(spark, path, root, ", ".join(f"`{c}` string" for c in leaves))
     marker = F.coalesce(*[text(F.col(f"`{c}`")) for c in leaves])
     at = F.coalesce(*[F.try_to_timestamp(F.substring(marker, 1, n), F.lit(p)) for p, n in ((p, len(p.replace("'", ""))) for p in patterns)])
     return df.select(marker.alias("publication_marker"), at.alias("published_at"))

@@ -19,7 +19,23 @@ def _lit(table: dict[str, str], c: Column, default: str | None) -> Column:
     return out.otherwise(F.lit(default))
 
 
-def _dob(d: Column) -> Column:
+# How lists say of what kind and how good an alias is.
+UN_ALIAS_TYPES, UN_QUALITY = {"f.k.a.": "FKA", "a.k.a.": "AKA"}, {"good": "STRONG", "low": "WEAK"}
+EU_QUALITY = {"true": "STRONG", "false": "WEAK"}
+UK_QUALITY = {"good quality": "STRONG", "good": "STRONG", "low quality": "WEAK", "low": "WEAK"}
+
+
+def alias_quality(table: dict[str, str], said: Column) -> Column:
+    """Quality of an alias by a list's own words, UNKNOWN for others."""
+    return _lit(table, F.lower(T.strip(F.coalesce(said, F.lit("")))), "UNKNOWN")
+
+
+def un_alias_type(said: Column) -> Column:
+    return _lit(UN_ALIAS_TYPES, F.lower(T.strip(F.coalesce(said, F.lit("")))), "AKA")
+
+
+def un_birth_date(d: Column) -> Column:
+    """Birth date of a person: exact, approximate, or between two years."""
     kind, raw = F.upper(F.coalesce(d["TYPE_OF_DATE"], F.lit(""))), F.coalesce(C.text(d["DATE"]), C.text(d["YEAR"]))
     lo, hi = d["FROM_YEAR"].try_cast("int"), d["TO_YEAR"].try_cast("int")
     p = D.parse_partial(raw)
@@ -38,10 +54,9 @@ def un_list(spark: SparkSession, path: str, iso: C.Iso) -> DataFrame:
     def build(df: DataFrame, kind: str, a: str, ad: str) -> DataFrame:
         c = F.col
         full = T.join_name(c("FIRST_NAME"), c("SECOND_NAME"), c("THIRD_NAME"), c("FOURTH_NAME"))
-        q = lambda x: F.lower(F.trim(F.coalesce(x["QUALITY"], F.lit(""))))
         first = F.when(full != "", C.fill(C.NAME, name_type=F.lit("PRIMARY"), full_name=full, quality=F.lit("STRONG"), parts=C.parts(name1=c("FIRST_NAME"), name2=c("SECOND_NAME"), name3=c("THIRD_NAME"), name4=c("FOURTH_NAME"))))
         script = F.when(C.text(c("NAME_ORIGINAL_SCRIPT")).isNotNull(), C.fill(C.NAME, name_type=F.lit("OTHER"), full_name=C.text(c("NAME_ORIGINAL_SCRIPT")), quality=F.lit("STRONG"), raw_quality=F.lit("original script"), parts=F.array()))
-        aliases = C.items(c(a), lambda x: C.fill(C.NAME, name_type=_lit({"f.k.a.": "FKA", "a.k.a.": "AKA"}, q(x), "AKA"), full_name=T.clean(x["ALIAS_NAME"]), quality=_lit({"good": "STRONG", "low": "WEAK"}, q(x), "UNKNOWN"), raw_quality=C.text(x["QUALITY"]), parts=F.array()), lambda x: T.clean(x["ALIAS_NAME"]).isNotNull())
+        aliases = C.items(c(a), lambda x: C.fill(C.NAME, name_type=un_alias_type(x["QUALITY"]), full_name=T.clean(x["ALIAS_NAME"]), quality=alias_quality(UN_QUALITY, x["QUALITY"]), raw_quality=C.text(x["QUALITY"]), parts=F.array()), lambda x: T.clean(x["ALIAS_NAME"]).isNotNull())
         ids = C.present(C.ident(F.lit("UN Reference Number"), c("REFERENCE_NUMBER"), id_type="UN_REF"), C.ident(F.lit("UN DATAID"), c("DATAID"), id_type="OTHER"))
         extra: dict[str, Column] = {}
         if kind == "PERSON":
@@ -49,7 +64,7 @@ def un_list(spark: SparkSession, path: str, iso: C.Iso) -> DataFrame:
             ids = F.concat(ids, docs)
             place = lambda x: F.nullif(T.join_name(x["CITY"], x["STATE_PROVINCE"]), F.lit(""))
             extra = {
-                "birth_dates": F.filter(C.items(c("INDIVIDUAL_DATE_OF_BIRTH"), _dob), lambda x: x.isNotNull()),
+                "birth_dates": F.filter(C.items(c("INDIVIDUAL_DATE_OF_BIRTH"), un_birth_date), lambda x: x.isNotNull()),
                 "birth_places": C.items(c("INDIVIDUAL_PLACE_OF_BIRTH"), lambda x: C.fill(C.PLACE, place=place(x), country_iso2=iso(x["COUNTRY"]), raw=F.nullif(T.join_name(place(x), x["COUNTRY"]), F.lit(""))), lambda x: F.coalesce(place(x), C.text(x["COUNTRY"])).isNotNull()),
                 "countries": C.items(C.texts(c("NATIONALITY.VALUE")), lambda v: C.fill(C.COUNTRY, kind=F.lit("NATIONALITY"), country_iso2=iso(v), country_raw=v)),
                 "titles": C.texts(c("TITLE.VALUE")), "positions": C.texts(c("DESIGNATION.VALUE")), "gender": C.text(c("GENDER")),
@@ -73,6 +88,16 @@ EU_ID_TYPES = {
 }
 
 
+def eu_birth_date(b: Column) -> Column:
+    """Birth date of the European file: a date, its parts, or a range of years; ``circa`` is kept in the raw text."""
+    two = lambda v: F.lpad(v, 2, "0")
+    y, m, d = C.text(b["_year"]), C.text(b["_monthOfYear"]), C.text(b["_dayOfMonth"])
+    given = F.coalesce(C.text(b["_birthdate"]), F.when(m.isNotNull() & d.isNotNull(), F.concat_ws("-", y, two(m), two(d))).when(m.isNotNull(), F.concat_ws("-", y, two(m))).otherwise(y))
+    lo, hi = C.text(b["_yearRangeFrom"]), C.text(b["_yearRangeTo"])
+    p = F.when(given.isNotNull(), D.parse_partial(given)).when(lo.isNotNull() & hi.isNotNull(), C.fill(D.PARTIAL, year_from=lo, year_to=hi, precision=F.lit("RANGE"), raw=F.concat(lo, F.lit("-"), hi)))
+    return F.when((b["_circa"] == "true") & p.isNotNull(), p.withField("raw", F.concat(F.lit("circa "), p["raw"]))).otherwise(p)
+
+
 def eu_list(spark: SparkSession, path: str, iso: C.Iso) -> DataFrame:
     """European financial sanctions file."""
     ctry = "_countryIso2Code:string,_countryDescription:string"
@@ -86,14 +111,14 @@ def eu_list(spark: SparkSession, path: str, iso: C.Iso) -> DataFrame:
     raw = lambda x: C.text(x["_countryDescription"])
 
     def code(x: Column) -> Column:
-        two = F.upper(F.trim(F.coalesce(x["_countryIso2Code"], F.lit(""))))
+        two = F.upper(T.strip(F.coalesce(x["_countryIso2Code"], F.lit(""))))
         return F.when((F.length(two) == 2) & (two != "00"), two).when(F.upper(raw(x)) != "UNKNOWN", iso(raw(x)))
 
     whole = lambda x: F.coalesce(T.clean(x["_wholeName"]), F.nullif(T.join_name(x["_firstName"], x["_middleName"], x["_lastName"]), F.lit("")))
     strong = lambda x: F.lower(F.coalesce(x["_strong"], F.lit("")))
     names = F.transform(
         F.filter(F.coalesce("nameAlias", F.array()), lambda x: whole(x).isNotNull()),
-        lambda x, i: C.fill(C.NAME, name_type=F.when(i == 0, "PRIMARY").otherwise("AKA"), full_name=whole(x), parts=C.parts(given=x["_firstName"], middle=x["_middleName"], family=x["_lastName"], title=x["_title"], function=x["_function"]), language=C.text(x["_nameLanguage"]), quality=_lit({"true": "STRONG", "false": "WEAK"}, strong(x), "UNKNOWN"), raw_quality=F.when(strong(x) != "", F.concat(F.lit("strong="), strong(x)))),
+        lambda x, i: C.fill(C.NAME, name_type=F.when(i == 0, "PRIMARY").otherwise("AKA"), full_name=whole(x), parts=C.parts(given=x["_firstName"], middle=x["_middleName"], family=x["_lastName"], title=x["_title"], function=x["_function"]), language=C.text(x["_nameLanguage"]), quality=alias_quality(EU_QUALITY, x["_strong"]), raw_quality=F.when(strong(x) != "", F.concat(F.lit("strong="), strong(x)))),
     )
     kind = lambda x: F.lower(F.coalesce(x["_identificationTypeCode"], F.lit("")))
 
@@ -108,15 +133,6 @@ def eu_list(spark: SparkSession, path: str, iso: C.Iso) -> DataFrame:
         C.present(C.ident(F.lit("EU reference number"), c("_euReferenceNumber"), id_type="EU_REF"), C.ident(F.lit("UN id"), c("_unitedNationId"), id_type="UN_REF")),
         F.filter(C.items(c("identification"), doc), lambda x: x.isNotNull()),
     )
-    two = lambda v: F.lpad(v, 2, "0")
-
-    def born(b: Column) -> Column:
-        y, m, d = C.text(b["_year"]), C.text(b["_monthOfYear"]), C.text(b["_dayOfMonth"])
-        given = F.coalesce(C.text(b["_birthdate"]), F.when(m.isNotNull() & d.isNotNull(), F.concat_ws("-", y, two(m), two(d))).when(m.isNotNull(), F.concat_ws("-", y, two(m))).otherwise(y))
-        lo, hi = C.text(b["_yearRangeFrom"]), C.text(b["_yearRangeTo"])
-        p = F.when(given.isNotNull(), D.parse_partial(given)).when(lo.isNotNull() & hi.isNotNull(), C.fill(D.PARTIAL, year_from=lo, year_to=hi, precision=F.lit("RANGE"), raw=F.concat(lo, F.lit("-"), hi)))
-        return F.when((b["_circa"] == "true") & p.isNotNull(), p.withField("raw", F.concat(F.lit("circa "), p["raw"]))).otherwise(p)
-
     place = lambda b: F.nullif(T.join_name(b["_city"], b["_place"], b["_region"]), F.lit(""))
     regs = F.coalesce("regulation", F.array())
     first = F.get(F.array_sort(F.transform(regs, lambda r, i: F.struct(F.coalesce(C.text(r["_publicationDate"]), F.lit("9999")).alias("d"), i.alias("i"), r["_numberTitle"].alias("t"), r["publicationUrl"].alias("u")))), F.lit(0))
@@ -125,7 +141,7 @@ def eu_list(spark: SparkSession, path: str, iso: C.Iso) -> DataFrame:
     return C.canonical(
         df, source_key=C.text(c("_logicalId")), entity_type=_lit(EU_TYPES, c("subjectType._code"), "UNKNOWN"), names=names, identifiers=ids,
         addresses=F.filter(C.items(c("address"), lambda a: C.address(iso, raw(a), a["_street"], a["_city"], T.join_name(a["_region"], a["_place"]), a["_zipCode"], code=code(a))), lambda x: x.isNotNull()),
-        birth_dates=F.filter(C.items(c("birthdate"), born), lambda x: x.isNotNull()),
+        birth_dates=F.filter(C.items(c("birthdate"), eu_birth_date), lambda x: x.isNotNull()),
         birth_places=C.items(c("birthdate"), lambda b: C.fill(C.PLACE, place=place(b), country_iso2=code(b), raw=F.nullif(T.join_name(place(b), raw(b)), F.lit(""))), lambda b: F.coalesce(place(b), raw(b)).isNotNull()),
         countries=C.items(c("citizenship"), lambda x: C.fill(C.COUNTRY, kind=F.lit("CITIZENSHIP"), country_iso2=code(x), country_raw=raw(x)), lambda x: F.coalesce(code(x), raw(x)).isNotNull()),
         listings=F.when(F.size(programmes) > 0, F.transform(programmes, listing)).otherwise(F.array(listing(F.lit(None).cast("string")))),
@@ -154,7 +170,7 @@ def csl_list(spark: SparkSession, path: str, iso: C.Iso, include: tuple[str, ...
     df = rows.withColumn("code", code).where(c("code").isin(*include))
     name = T.clean(c("name"))
     key = F.coalesce(C.text(c("id")), F.sha1(F.concat_ws("|", "code", name, F.coalesce("federal_register_notice", F.lit("None")), F.coalesce("start_date", F.lit("None")))))
-    kind = _lit(CSL_TYPES, F.lower(F.trim(c("type"))), "UNKNOWN")
+    kind = _lit(CSL_TYPES, F.lower(T.strip(c("type"))), "UNKNOWN")
     nm = lambda v, t, q: C.fill(C.NAME, name_type=F.lit(t), full_name=v, quality=F.lit(q), parts=F.array())
     others = F.filter(C.texts(F.transform(F.coalesce("alt_names", F.array().cast("array<string>")), T.squeeze)), lambda x: x != name)
     ship = (kind == "VESSEL") | C.text(c("call_sign")).isNotNull() | C.text(c("vessel_type")).isNotNull()
@@ -184,6 +200,14 @@ UK_TEXT = (("asset freeze", "ASSET_FREEZE"), ("travel ban", "TRAVEL_BAN"), ("arm
 UK_TYPES = {"individual": "PERSON", "entity": "ORGANIZATION", "ship": "VESSEL", "vessel": "VESSEL"}
 
 
+def uk_measures(flags: Column, said: Column) -> Column:
+    """Measures by the indicators that are set, or by the words of the sentence where none is; sorted."""
+    tidy = lambda a: F.array_sort(F.array_distinct(F.filter(a, lambda x: x.isNotNull())))
+    low = F.lower(F.coalesce(said, F.lit("")))
+    worded = F.array(*[F.when(low.contains(w), m) for w, m in UK_TEXT])
+    return F.when(F.size(tidy(flags)) > 0, tidy(flags)).otherwise(tidy(worded))
+
+
 def uk_list(spark: SparkSession, path: str, iso: C.Iso) -> DataFrame:
     """UK sanctions list."""
     box = lambda outer, inner, item="string": f"{outer}:struct<{inner}:array<{item}>>"
@@ -198,11 +222,10 @@ def uk_list(spark: SparkSession, path: str, iso: C.Iso) -> DataFrame:
       ShipDetails struct<Ship:struct<{box('IMONumbers', 'IMONumber')},{box('CurrentOwnerOperators', 'CurrentOwnerOperator')},{box('CurrentBelievedFlagOfShips', 'CurrentBelievedFlagOfShip')},{box('PreviousFlags', 'PreviousFlag')},{box('TypeOfShips', 'TypeOfShip')},{box('TonnageOfShips', 'TonnageOfShip')},{box('YearBuilts', 'YearBuilt')},{box('HullIdentificationNumbers', 'HullIdentificationNumber')}>>"""
     df, c = C.xml(spark, path, "Designation", schema), F.col
     ind, ent, ship = "IndividualDetails.Individual", "EntityDetails.Entity", "ShipDetails.Ship"
-    kind = _lit(UK_TYPES, F.lower(F.trim(F.coalesce("IndividualEntityShip", F.lit("")))), "UNKNOWN")
+    kind = _lit(UK_TYPES, F.lower(T.strip(F.coalesce("IndividualEntityShip", F.lit("")))), "UNKNOWN")
     full = lambda n: T.join_name(*[n[f"Name{i}"] for i in range(1, 7)])
     main = lambda n: F.lower(F.coalesce(n["NameType"], F.lit(""))).contains("primary")
-    strength = lambda n: F.lower(F.trim(F.coalesce(n["AliasStrength"], F.lit(""))))
-    latin = C.items(c("Names.Name"), lambda n: C.fill(C.NAME, name_type=F.when(main(n), "PRIMARY").otherwise("AKA"), full_name=full(n), parts=C.parts(**{f"name{i}": n[f"Name{i}"] for i in range(1, 7)}), quality=F.when(main(n), "STRONG").otherwise(_lit({"good quality": "STRONG", "good": "STRONG", "low quality": "WEAK", "low": "WEAK"}, strength(n), "UNKNOWN")), raw_quality=C.text(n["AliasStrength"])), lambda n: full(n) != "")
+    latin = C.items(c("Names.Name"), lambda n: C.fill(C.NAME, name_type=F.when(main(n), "PRIMARY").otherwise("AKA"), full_name=full(n), parts=C.parts(**{f"name{i}": n[f"Name{i}"] for i in range(1, 7)}), quality=F.when(main(n), "STRONG").otherwise(alias_quality(UK_QUALITY, n["AliasStrength"])), raw_quality=C.text(n["AliasStrength"])), lambda n: full(n) != "")
     script = C.items(c("NonLatinNames.NonLatinName"), lambda n: C.fill(C.NAME, name_type=F.lit("OTHER"), full_name=C.text(n["NameNonLatinScript"]), script=C.text(n["NonLatinScriptType"]), language=C.text(n["NonLatinScriptLanguage"]), quality=F.lit("STRONG"), parts=F.array()), lambda n: C.text(n["NameNonLatinScript"]).isNotNull())
     every = F.concat(latin, script)
     names = F.concat(F.filter(every, lambda n: n["name_type"] == "PRIMARY"), F.filter(every, lambda n: n["name_type"] != "PRIMARY"))
@@ -215,15 +238,13 @@ def uk_list(spark: SparkSession, path: str, iso: C.Iso) -> DataFrame:
     )
     line = lambda a, i: a[f"AddressLine{i}"]
     addresses = C.items(c("Addresses.Address"), lambda a: C.address(iso, a["AddressCountry"], T.join_name(line(a, 1), line(a, 2), line(a, 3)), line(a, 4), T.join_name(line(a, 5), line(a, 6)), a["AddressPostalCode"]))
-    flags = F.array(*[F.when(F.lower(F.trim(c(f"SanctionsImposedIndicators.{f}"))) == "true", m) for f, m in UK_FLAGS.items()])
-    said = F.array(*[F.when(F.lower(F.coalesce("SanctionsImposed", F.lit(""))).contains(w), m) for w, m in UK_TEXT])
-    tidy = lambda a: F.array_sort(F.array_distinct(F.filter(a, lambda x: x.isNotNull())))
+    flags = F.array(*[F.when(F.lower(T.strip(c(f"SanctionsImposedIndicators.{f}"))) == "true", m) for f, m in UK_FLAGS.items()])
     first = lambda path: F.get(C.texts(c(path)), F.lit(0))
     owners = C.texts(c(f"{ship}.CurrentOwnerOperators.CurrentOwnerOperator"))
     rel = lambda t, values: F.transform(values, lambda v: C.fill(C.RELATION, rel_type=F.lit(t), target_name=v))
     flag = first(f"{ship}.CurrentBelievedFlagOfShips.CurrentBelievedFlagOfShip")
     vessel = C.fill(C.VESSEL, vessel_type=first(f"{ship}.TypeOfShips.TypeOfShip"), flag_raw=flag, flag_iso2=iso(flag), tonnage=first(f"{ship}.TonnageOfShips.TonnageOfShip"), build_year=F.regexp_extract(first(f"{ship}.YearBuilts.YearBuilt"), r"(\d{4})", 1).try_cast("int"), owner_operator_raw=F.nullif(F.array_join(owners, "; "), F.lit("")), former_flags=C.texts(c(f"{ship}.PreviousFlags.PreviousFlag")), former_names=F.array())
-    listing = C.fill(C.LISTING, authority=F.lit("UK"), list_name=F.lit("UK Sanctions List"), program_code=C.text(c("RegimeName")), listed_on=D.parse_full(C.text(c("DateDesignated"))), reference_no=C.text(c("UniqueID")), legal_basis=C.text(c("RegimeName")), measures=F.when(F.size(tidy(flags)) > 0, tidy(flags)).otherwise(tidy(said)), reason=T.clean(c("UKStatementofReasons")), remarks=T.clean(c("OtherInformation")))
+    listing = C.fill(C.LISTING, authority=F.lit("UK"), list_name=F.lit("UK Sanctions List"), program_code=C.text(c("RegimeName")), listed_on=D.parse_full(C.text(c("DateDesignated"))), reference_no=C.text(c("UniqueID")), legal_basis=C.text(c("RegimeName")), measures=uk_measures(flags, c("SanctionsImposed")), reason=T.clean(c("UKStatementofReasons")), remarks=T.clean(c("OtherInformation")))
     return C.canonical(
         df, source_key=C.text(c("UniqueID")), entity_type=kind, names=names, identifiers=ids, addresses=F.filter(addresses, lambda x: x.isNotNull()),
         birth_dates=F.transform(C.texts(c(f"{ind}.DOBs.DOB")), D.parse_partial),

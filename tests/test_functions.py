@@ -126,3 +126,36 @@ def test_marts_hold_no_record_columns(spark):
             assert not banned & set(f(spark, "/root/testdata/sf0.001").columns), name
     M.register({"state": QUERIES["k30_state_summary"](spark, "/root/testdata/sf0.001")})
     assert spark.sql("SELECT count(*) FROM v_state").first()[0] > 0
+
+
+def test_white_space_of_any_script(spark):
+    nb = " "
+    got = column(spark, ["\t1970-01-02", "1970-01-02\n", f"{nb}1970-01-02{nb}", f"2{nb}Jan{nb} 1970", "\t", nb, "\x1f1970"], D.parse_partial)
+    assert [g and g.precision for g in got] == ["DAY", "DAY", "DAY", "DAY", None, None, "YEAR"] and got[2].raw == "1970-01-02"
+    assert [x and str(x) for x in column(spark, ["\t2020-01-02T03:04:05 ", f"05-Mar-2020{nb}"], D.parse_full)] == ["2020-01-02", "2020-03-05"]
+    assert column(spark, [f"a{nb}{nb}b  c\t", nb, None], T.squeeze) == ["a b c", "", None]
+    assert column(spark, [f"a{nb}-1\t"], T.compact) == ["A1"]
+    ids = column(spark, ["\t", nb, f" X1{nb}"], lambda c: T.make_identifier(F.lit("Passport"), c))
+    assert ids[:2] == [None, None] and (ids[2].value, ids[2].value_norm) == ("X1", "X1")
+    dim = K.dimension(spark)
+    rows = K.to_iso2(spark.createDataFrame([("\tIran\n",), (f"{nb}de",), (f"The{nb}Bahamas",)], "raw string"), "raw", "iso", dim).collect()
+    assert sorted(r.iso for r in rows) == ["BS", "DE", "IR"]
+
+
+def test_names_of_any_script(spark):
+    """Every name folds as its characters do: decomposed, without marks, case-folded, punctuation as blanks."""
+    import unicodedata as ud
+
+    names = ["Ξενοφών", "İstanbul Ltd", "ﬁrst^class`s", "a^b`c", "Nguyễn—Văn", "ŉame", "محمد عَلي", "x_y", "", " \t", "ＦＵＬＬ", "가나", "A B", None]
+
+    def plain(s):
+        kept = "".join(c for c in ud.normalize("NFKD", s) if ud.category(c) not in ("Mn", "Lm", "Sk")).casefold()
+        return " ".join("".join(c if c.isalnum() or c == "_" else " " for c in kept).split())
+
+    assert column(spark, names, N.normalize_name) == [n if n is None else plain(n) for n in names]
+
+
+def test_odd_dates(spark):
+    cases = {"1970 - 05": "UNKNOWN", "5.6.1970": "DAY", "1970-05-06Tx": "DAY", "1970-05-06 x": "UNKNOWN", "c1970": "YEAR", "c. 1970": "YEAR", "about1970": "UNKNOWN", "about 1970": "YEAR", "1965–1969": "RANGE", "from 1965 and 1969 on": "RANGE",
+             "12 Foo 1970": "UNKNOWN", "1 may 1970": "DAY", "00/mm/1970": "YEAR", "dd/04/1970": "MONTH", "mm/dd/1970": "UNKNOWN", "123/04/1970": "UNKNOWN"}
+    assert {k: v.precision for k, v in zip(cases, column(spark, cases, D.parse_partial), strict=True)} == cases
