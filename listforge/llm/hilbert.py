@@ -4,11 +4,14 @@ Three metadata dimensions (document id, host, size) are quantised to ``BITS`` bi
 on the Hilbert curve through that cube, and the order is cut into runs. Neighbours on the curve are neighbours in every
 dimension, so each run covers a small box and its min/max statistics prune files for filters on any of the three.
 
-The global order needs no global sort: rows are counted per (curve cell, sub-range of doc_id), the counts are summed up
-along the curve, and a row's rank is its cell's offset plus its place within the cell.
-
-Defined results: a null text has size 8 and CRC-32 0. A null source sorts first. A null doc_id lies in the first slice
-and is dealt over the sub-ranges by its text. Repeated rows are ranked one behind the other. An empty table is empty.
+Ids and hosts are quantised by rank, so that no outlying id and no large host leaves the cube empty: an id's coordinate is
+the 32nd part of all rows in which it lies, a host's the one in which its first row lies if rows are ordered by host. Size
+counts by its power of two. Ranks and the order along the curve are running totals over ranges (``order.running``), so no task
+sees all rows, all hosts or all of a cell, and ids may take all of the 64 bits.
+
+Defined results: a null text has size 8 and CRC-32 0. Null doc_ids and null sources sort first, as values like others. Repeated
+rows are ranked one behind the other. An empty table is empty. Columns other than doc_id, source and text are ignored by the
+plan; ``write_shards`` keeps them.
 """
 
 from __future__ import annotations
@@ -17,7 +20,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-BITS, DIMS, SUB = 5, 3, 256
+from ..session import durable
+from .order import running
+
+BITS, DIMS = 5, 3
 
 
 def curve_table(dims: int = DIMS) -> list[int]:
@@ -57,48 +63,32 @@ def curve_index(coords: list[Column], bits: int = BITS) -> Column:
 
 
 def shard_rows(rows: DataFrame, n_shards: int = 24, law: str = "rows") -> DataFrame:
-    """rows(doc_id, source, size, ...) plus curve, shard and slot.
+    """rows(doc_id, source, size, text_crc32) plus curve, shard and slot.
 
     law ``rows``: counts of shards differ by one at most. law ``bytes``: the order is cut at equal shares of size.
     """
     if law not in ("rows", "bytes"):
         raise ValueError(law)
     side = 1 << BITS
-    ends = rows.agg(F.count("*").alias("n"), F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.sum("size").alias("b")).first()
-    lo, span = (ends["lo"] or 0), (ends["hi"] or 0) - (ends["lo"] or 0) + 1
-    order = Window.orderBy(F.col("source").asc_nulls_first())
-    hosts = rows.groupBy("source").agg(F.count("*").alias("c"))
-    hosts = hosts.select(
-        F.col("source").alias("__host"),
-        F.least(F.floor((F.sum("c").over(order) - F.col("c")) * side / F.lit(max(ends["n"], 1))), F.lit(side - 1)).cast("int").alias("x_host"),
-    )
-    placed = (
-        rows.join(hosts, F.col("source").eqNullSafe(F.col("__host")))
-        .drop("__host")
-        .withColumn("fine", F.coalesce(F.floor((F.col("doc_id") - lo) * (side * SUB) / F.lit(span)), F.pmod(F.xxhash64("size", "text_crc32"), F.lit(SUB))).cast("int"))
-        .withColumn("x_id", F.floor(F.col("fine") / SUB).cast("int"))
-        .withColumn("x_size", F.least(F.length(F.bin("size")), F.lit(side - 1)))
-        .withColumn("curve", curve_index([F.col("x_id"), F.col("x_host"), F.col("x_size")]))
-    )
-    cells = placed.groupBy("curve", "fine").agg(F.count("*").alias("c"), F.sum("size").alias("cb"))
-    along = cells.groupBy("curve").agg(F.sum("c").alias("tc"), F.sum("cb").alias("tb"))  # 2 ** (BITS * DIMS) rows at most
-    whole, within = Window.orderBy("curve"), Window.partitionBy("curve").orderBy("fine")
-    along = along.select("curve", (F.sum("tc").over(whole) - F.col("tc")).alias("r0"), (F.sum("tb").over(whole) - F.col("tb")).alias("b0"))
-    cells = cells.join(along, "curve").select(
-        "curve", "fine",
-        (F.col("r0") + F.sum("c").over(within) - F.col("c")).alias("r0"),
-        (F.col("b0") + F.sum("cb").over(within) - F.col("cb")).alias("b0"),
-    )
-    inside = Window.partitionBy("curve", "fine").orderBy("doc_id", "size", "text_crc32")
-    ranked = placed.join(cells, ["curve", "fine"]).withColumn("rank", F.col("r0") + F.row_number().over(inside) - 1)
+    base = durable(rows.select("doc_id", "source", "size", "text_crc32", F.monotonically_increasing_id().alias("__row")), "metadata")
+    ends = base.agg(F.count("*").alias("n"), F.sum("size").alias("b")).first()
+    n = max(ends["n"], 1)
+    first = lambda c: F.col(c).asc_nulls_first()
+    rest = [first("doc_id"), first("source"), F.col("size"), F.col("text_crc32"), F.col("__row")]
+    part = lambda rank: F.expr(f"cast({rank} * {side} div {n} as int)")
+
+    hosts = durable(base.groupBy(F.col("source").alias("__host")).agg(F.count("*").alias("__c")), "hosts")
+    hosts = running(hosts, [first("__host")], __before=F.col("__c")).select("__host", part("__before").alias("x_host"))
+    placed = running(base, rest, __rank=F.lit(1)).withColumns({"x_id": part("__rank"), "x_size": F.least(F.length(F.bin("size")), F.lit(side - 1))})
+    placed = placed.join(durable(hosts, "host-parts"), F.col("source").eqNullSafe(F.col("__host"))).drop("__host", "__rank")
+    curved = durable(placed.withColumn("curve", curve_index([F.col("x_id"), F.col("x_host"), F.col("x_size")])), "curve")
+    ranked = running(curved, [F.col("curve"), *rest], rank=F.lit(1), before=F.col("size")).drop("__row", "x_id", "x_host", "x_size")
     if law == "rows":
-        n = max(ends["n"], 1)
         ranked = ranked.withColumn("shard", F.expr(f"cast(rank * {n_shards} div {n} as int)"))
-        return ranked.withColumn("slot", F.expr(f"rank - ((cast(shard as bigint) * {n} + {n_shards - 1}) div {n_shards})"))
-    before = F.col("b0") + F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size")
-    ranked = ranked.withColumn("shard", F.expr("0") if not ends["b"] else F.least(F.floor(before * n_shards / F.lit(ends["b"])), F.lit(n_shards - 1)).cast("int"))
-    first = ranked.groupBy("shard").agg(F.min("rank").alias("__first"))
-    return ranked.join(F.broadcast(first), "shard").withColumn("slot", F.col("rank") - F.col("__first")).drop("__first")
+        return ranked.withColumn("slot", F.expr(f"rank - ((cast(shard as bigint) * {n} + {n_shards - 1}) div {n_shards})")).drop("before")
+    ranked = durable(ranked.withColumn("shard", F.expr(f"cast(least(cast(before as decimal(38,0)) * {n_shards} div {ends['b'] or 1}, {n_shards - 1}) as int)")), "sharded")
+    start = ranked.groupBy("shard").agg(F.min("rank").alias("__first"))  # a row a shard
+    return ranked.join(F.broadcast(start), "shard").withColumn("slot", F.col("rank") - F.col("__first")).drop("__first", "before")
 
 
 def metadata(docs: DataFrame) -> DataFrame:
@@ -114,9 +104,22 @@ def shard_bounds(sharded: DataFrame) -> DataFrame:
 
 
 def write_shards(docs: DataFrame, path: str, n_shards: int = 24, law: str = "rows") -> None:
-    """Write whole documents as n_shards folders ``shard=i``, rows in slot order. doc_id must identify rows."""
-    plan = shard_rows(metadata(docs), n_shards, law).select("doc_id", "shard", "slot")
-    docs.join(plan, "doc_id").repartition(n_shards, "shard").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
+    """Write whole documents, with all their columns, as n_shards folders ``shard=i``, rows in slot order.
+
+    Rows find their place by doc_id, source, size and checksum, null values included, and repeated rows by their number.
+    """
+    keys = ("doc_id", "source", "size", "text_crc32")
+    copy = lambda names: F.row_number().over(Window.partitionBy(*names).orderBy(F.lit(0)))
+    text = F.coalesce("text", F.lit(""))
+    marked = docs.withColumns({"__doc_id": F.col("doc_id"), "__source": F.col("source"), "__size": (F.octet_length(text) + 8).cast("long"), "__text_crc32": F.crc32(F.encode(text, "UTF-8"))})
+    marked = marked.withColumn("__n", copy([f"__{k}" for k in keys]))
+    plan = shard_rows(metadata(docs), n_shards, law).select(*[F.col(k).alias(f"__p_{k}") for k in keys], F.col("shard").alias("__shard"), F.col("slot").alias("__slot"))
+    plan = plan.withColumn("__pn", copy([f"__p_{k}" for k in keys]))
+    same = F.col("__n") == F.col("__pn")
+    for k in keys:
+        same = same & F.col(f"__{k}").eqNullSafe(F.col(f"__p_{k}"))
+    whole = marked.join(plan, same).repartition(n_shards, "__shard").sortWithinPartitions("__shard", "__slot")
+    whole.select(*docs.columns, F.col("__shard").alias("shard")).write.partitionBy("shard").parquet(path)
 
 
 def op8(spark: SparkSession, docs: DataFrame) -> DataFrame:
@@ -143,13 +146,12 @@ tbl AS (SELECT [{table}] AS t),
 m AS (SELECT doc_id, source, octet_length(encode(coalesce(text, '')))::BIGINT + 8 AS size, hex(encode(coalesce(text, ''))) AS hx FROM documents),
 c AS (SELECT doc_id, source, size, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(regexp_extract_all(hx, '..'), lambda b: ('0x' || b)::BIGINT)),
    lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1])))::BIGINT AS text_crc32 FROM m, crc),
-hosts AS (SELECT source, least(floor((sum(n) OVER (ORDER BY source NULLS FIRST) - n) * {side} / (SELECT count(*) FROM m)), {side - 1})::INT AS x_host
-          FROM (SELECT source, count(*) AS n FROM m GROUP BY source)),
-e AS (SELECT min(doc_id) AS lo, max(doc_id) - min(doc_id) + 1 AS span, count(*) AS n FROM m),
-q AS (SELECT c.*, x_host, (floor((doc_id - lo) * {side * SUB} / span)::INT // {SUB}) AS x_id, least(length(bin(size)), {side - 1})::INT AS x_size, 0 AS s, 0 AS h
+e AS (SELECT count(*) AS n FROM m),
+hosts AS (SELECT source, ((sum(k) OVER (ORDER BY source NULLS FIRST) - k)::BIGINT * {side} // n)::INT AS x_host FROM (SELECT source, count(*) AS k FROM m GROUP BY source), e),
+q AS (SELECT c.*, x_host, ((row_number() OVER (ORDER BY doc_id NULLS FIRST, c.source NULLS FIRST, size, text_crc32) - 1) * {side} // n)::INT AS x_id, least(length(bin(size)), {side - 1})::INT AS x_size, 0 AS s, 0 AS h
       FROM c JOIN hosts ON c.source IS NOT DISTINCT FROM hosts.source, e),
 {", ".join(levels)},
-r AS (SELECT *, row_number() OVER (ORDER BY h, doc_id, size, text_crc32) - 1 AS rank FROM {prev}),
+r AS (SELECT *, row_number() OVER (ORDER BY h, doc_id NULLS FIRST, source NULLS FIRST, size, text_crc32) - 1 AS rank FROM {prev}),
 sh AS (SELECT r.*, (rank * 24 // n)::INT AS shard, n FROM r, e)
 SELECT doc_id, size, text_crc32, 'rows' AS law, shard, (rank - ((shard::BIGINT * n + 23) // 24))::BIGINT AS slot, NULL::INT AS grown_shard FROM sh
 """

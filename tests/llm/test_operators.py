@@ -284,3 +284,34 @@ def test_repeated_rows_with_other_texts(spark):
     assert lines == [(0, "z\nsame old line here"), (3, "x\ny"), (3, "y"), (4, "")]
     for op in (simhash.op7, quality_rules.op9, packing.op4):
         assert op(spark, df).count() == len(rows)
+
+
+def test_shards_of_wide_and_outlying_ids(spark):
+    lo, hi = -(1 << 63), (1 << 63) - 1
+    for ids in ([0, 5, 1 << 60], [lo, -1, 0, hi], [*range(400), 1 << 62], [None, lo, hi] + [7] * 40):
+        rows = [(i, f"text {k % 5}", None, None if k % 4 == 0 else "s", 0) for k, i in enumerate(ids)]
+        for law in ("rows", "bytes"):
+            out = hilbert.shard_rows(hilbert.metadata(spark.createDataFrame(rows, SCHEMA).repartition(3)), 4, law).collect()
+            slots = {}
+            for r in out:
+                slots.setdefault(r.shard, []).append(r.slot)
+            assert sorted((str(r.doc_id) for r in out)) == sorted(map(str, ids)) and all(sorted(v) == list(range(len(v))) for v in slots.values())
+            if law == "rows":
+                assert max(map(len, slots.values())) - min(len(slots.get(s, [])) for s in range(4)) <= 1
+
+
+def test_shard_bounds_prune_and_whole_rows_are_written(spark, tmp_path):
+    rng = random.Random(9)
+    rows = [(rng.getrandbits(40), "x" * int(2 ** rng.uniform(0, 12)), "en", f"h{rng.randrange(40):02d}", k) for k in range(4000)] + [(None, None, None, None, -1)] * 3 + [(1, "same", "a", "h00", -2), (1, "same", "b", "h00", -3)]
+    df = spark.createDataFrame(rows, SCHEMA).withColumn("slot", F.lit("clash"))
+    bounds = hilbert.shard_bounds(hilbert.shard_rows(hilbert.metadata(df), 64)).collect()
+    cut = sorted(r[0] for r in rows if r[0] is not None)[200]
+    hit = {"id": sum(b.min_doc_id is None or b.min_doc_id <= cut for b in bounds), "host": sum(b.min_source is None or b.min_source <= "h02" for b in bounds), "size": sum(b.max_size >= 3000 for b in bounds)}
+    assert len(bounds) == 64 and all(n <= 32 for n in hit.values()), hit
+    hilbert.write_shards(df, str(tmp_path / "shards"), 8)
+    back = spark.read.parquet(str(tmp_path / "shards"))
+    assert back.drop("shard").columns == df.columns
+    plain = lambda d: sorted(map(str, d.collect()))
+    assert plain(back.drop("shard")) == plain(df)
+    counts = [r[1] for r in back.groupBy("shard").count().collect()]
+    assert len(counts) == 8 and max(counts) - min(counts) <= 1
