@@ -2,14 +2,15 @@
 
 Both substring operators give every window (of words or of bytes) a key that depends on the window's content alone, so
 equal windows have equal keys wherever they stand. Consecutive windows of a document under one key are a run
-(key, doc_id, run), where ``run`` packs its first window and their number, so that few bytes are shuffled. A key that occurs
+(key, doc_id, run), where ``run`` packs its first window, their number and some bits of the text's hash, so that few bytes are
+shuffled. A key that occurs
 once clears its run; the others are candidates.
 """
 
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: A key with more runs is hot: its windows are dealt out one by one, by their own content.
@@ -18,8 +19,22 @@ HOT = 2_000
 SEND_BYTES = 32 << 20
 
 
+#: Bits of a text's hash that go with doc_id, so that rows which repeat a doc_id with another text stay apart.
+TEXT_BITS = 20
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    """(doc_id, th, text) of the rows with a doc_id."""
+    rows = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long"), "text")
+    return rows.select("doc_id", text_hash().alias("th"), "text")
+
+
+def text_hash() -> Column:
+    return F.xxhash64("text").bitwiseAND((1 << TEXT_BITS) - 1).cast("int")
+
+
 def candidates(runs: DataFrame, across: bool, hot: int = HOT) -> DataFrame:
-    """(doc_id, hits array<long>): by document the packed runs whose key occurs again, shifted left by a bit for hot keys.
+    """(doc_id, th, hits array<long>): by row the packed runs whose key occurs again, shifted left by a bit for hot keys.
 
     across: only keys of two or more documents count.
     """
@@ -28,8 +43,8 @@ def candidates(runs: DataFrame, across: bool, hot: int = HOT) -> DataFrame:
     # another expression than the grouping's: both sides of the join get a plain exchange, so that a hot key can be split
     keys = keys.select(F.col("key").bitwiseXOR(F.lit(0)).alias("__k"), (F.col("c") > hot).alias("hot"))
     hit = F.shiftleft("run", 1) + F.col("hot").cast("long")
-    found = runs.join(keys, F.col("key") == F.col("__k")).select("doc_id", hit.alias("hit"))
-    return found.groupBy("doc_id").agg(F.collect_list("hit").alias("hits"))
+    found = runs.join(keys, F.col("key") == F.col("__k")).select("doc_id", F.shiftright("run", 8).bitwiseAND((1 << TEXT_BITS) - 1).cast("int").alias("th"), hit.alias("hit"))
+    return found.groupBy("doc_id", "th").agg(F.collect_list("hit").alias("hits"))
 
 
 def short_keys(key: np.ndarray) -> np.ndarray:
@@ -37,22 +52,22 @@ def short_keys(key: np.ndarray) -> np.ndarray:
     return (key & np.uint64((1 << 48) - 1)).view(np.int64)
 
 
-def pack_runs(start: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """First window and number (under 256) in one integer."""
-    return start.astype(np.int64) << 8 | n
+def pack_runs(start: np.ndarray, n: np.ndarray, th: np.ndarray) -> np.ndarray:
+    """First window (under 2**34), the text's hash and the number of windows (under 256) in one integer."""
+    return start.astype(np.int64) << 8 + TEXT_BITS | th.astype(np.int64) << 8 | n
 
 
 def unpack_hits(hit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(first window, number, hot) of packed hits."""
-    return hit >> 9, hit >> 1 & 255, (hit & 1).astype(bool)
+    return hit >> 9 + TEXT_BITS, hit >> 1 & 255, (hit & 1).astype(bool)
 
 
 def with_spans(docs: DataFrame, spans: DataFrame, size: str, limit: int = SEND_BYTES) -> DataFrame:
-    """docs left-joined with spans(doc_id, ..., n bytes in column ``size``), which must be a written table.
+    """docs(doc_id, text) left-joined with spans(doc_id, th, ..., n bytes in column ``size``), which must be a written table.
 
     The spans are broadcast if all of them fit the limit, else both sides are shuffled.
     """
     total = spans.agg(F.sum(F.col(size) + 48)).first()[0] or 0
-    spans = spans.withColumnRenamed("doc_id", "__id").drop(size)
+    spans = spans.withColumnsRenamed({"doc_id": "__id", "th": "__th"}).drop(size)
     side = F.broadcast(spans) if total <= limit else spans
-    return docs.join(side, F.col("doc_id") == F.col("__id"), "left").drop("__id")
+    return docs.join(side, (F.col("doc_id") == F.col("__id")) & (text_hash() == F.col("__th")), "left").drop("__id", "__th")

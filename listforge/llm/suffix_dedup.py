@@ -12,9 +12,9 @@
    binary search and windows found in two of them repeat as well.
 5. Documents drop the union of their repeated windows.
 
-Defined results: a null text is empty. Rows without doc_id lose nothing and hold nothing. Rows that repeat a doc_id with its
-text are copies of one another; rows that repeat it with another text lose the places that either would lose. An empty table
-gives an empty result. Further columns are ignored.
+Defined results: a null text is empty. Rows without doc_id lose nothing and hold nothing. Rows that repeat a doc_id are rows like
+others: with the same text they are copies of one another, with another text each loses its own repeats. An empty table gives
+an empty result. Further columns are ignored.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from ..session import durable
 from . import kernel
-from .repeats import HOT, candidates, pack_runs, short_keys, unpack_hits, with_spans
+from .repeats import HOT, candidates, keyed, pack_runs, short_keys, unpack_hits, with_spans
 
 WIDTH, GRAM, FINE = 200, 64, 8
 #: Documents are walked in chunks of so many bytes; longer ones in overlapping blocks.
@@ -103,39 +103,39 @@ RUN = "key long, doc_id long, run long"
 def window_runs(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ids = b.column("doc_id").to_numpy(zero_copy_only=False)
+            ids, th = (b.column(c).to_numpy(zero_copy_only=False) for c in ("doc_id", "th"))
             for i, _, d, o in kernel.chunks(*kernel.utf8(b.column("text")), CHUNK):
                 doc, lo, n, key, _ = chunk_runs(d, o)
                 if len(lo):
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(short_keys(key)), pa.array(ids[i + doc]), pa.array(pack_runs(lo - o[doc], n))], ["key", "doc_id", "run"]
+                        [pa.array(short_keys(key)), pa.array(ids[i + doc]), pa.array(pack_runs(lo - o[doc], n, th[i + doc]))], ["key", "doc_id", "run"]
                     )
 
     return docs.mapInArrow(run, RUN)
 
 
-PIECE = "route long, doc_id long, start int, n int, known boolean, text binary"
+PIECE = "route long, doc_id long, th int, start long, n int, known boolean, text binary"
 
 
 def pieces(chosen: DataFrame) -> DataFrame:
-    """chosen(doc_id, text, hits) -> candidate runs with their bytes.
+    """chosen(doc_id, th, text, hits) -> candidate runs with their bytes.
 
     ``known``: an equal piece stands elsewhere in the batch, so all its windows repeat; one of the equals carries the text.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ids = b.column("doc_id").to_pylist()
+            ids = list(zip(b.column("doc_id").to_pylist(), b.column("th").to_pylist(), strict=True))
             rows: list[list] = []
             where: dict[bytes, int] = {}
 
-            def put(route: int, doc: int, start: int, n: int, text: bytes) -> None:
+            def put(route: int, doc: tuple[int, int], start: int, n: int, text: bytes) -> None:
                 same = where.setdefault(text, len(rows))
                 if same != len(rows):
-                    rows[same][4] = True
-                    rows.append([route ^ len(rows), doc, start, n, True, None])
+                    rows[same][5] = True
+                    rows.append([route ^ len(rows), *doc, start, n, True, None])
                 else:
-                    rows.append([route, doc, start, n, False, text])
+                    rows.append([route, *doc, start, n, False, text])
 
             for i, _, d, o in kernel.chunks(*kernel.utf8(b.column("text")), CHUNK):
                 doc, lo, n, key, place = chunk_runs(d, o)
@@ -147,7 +147,7 @@ def pieces(chosen: DataFrame) -> DataFrame:
                     firsts, _, hots = unpack_hits(np.array(b.column("hits")[i + k].values.to_numpy()))
                     for start, hot in zip(firsts.tolist(), hots.tolist(), strict=True):
                         r = begin.get((k, start), -1)
-                        if r < 0:  # of another row with this doc_id
+                        if r < 0:  # of another text whose hash has the same bits
                             continue
                         a, m, route = int(lo[r]), int(n[r]), int(signed[r])
                         if not hot:
@@ -161,9 +161,9 @@ def pieces(chosen: DataFrame) -> DataFrame:
                             core = raw[base + g * FINE + FINE - 1 : base + g * FINE + WIDTH]
                             put(_signed(xxhash.xxh64_intdigest(core, g)), ids[i + k], at - int(o[k]), to - at, raw[at : to - 1 + WIDTH])
                             at = to
-            cols = list(zip(*rows, strict=True)) or [()] * 6
-            types = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], ["route", "doc_id", "start", "n", "known", "text"])
+            cols = list(zip(*rows, strict=True)) or [()] * 7
+            types = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.bool_(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], ["route", "doc_id", "th", "start", "n", "known", "text"])
 
     return chosen.mapInArrow(run, PIECE)
 
@@ -270,7 +270,7 @@ def repeated_windows(texts: list[bytes], counts: np.ndarray, many: np.ndarray, w
 
 
 def spans_of(found: DataFrame, parts: int, shard: int = SHARD) -> DataFrame:
-    """Pieces -> (doc_id, lo int, hi int): stretches of repeated windows as byte spans, unmerged."""
+    """Pieces -> (doc_id, th, lo, hi): stretches of repeated windows as byte spans, unmerged."""
 
     def walk(rows: Iterator[tuple]) -> Iterator[list[tuple]]:
         """Shards of rows in route order: cut where the route changes, or inside a route that is too large."""
@@ -280,56 +280,55 @@ def spans_of(found: DataFrame, parts: int, shard: int = SHARD) -> DataFrame:
                 yield held
                 held, size = [], 0
             held.append(row)
-            size += len(row[5])
+            size += len(row[6])
         if held:
             yield held
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        done: list[tuple[int, int, int]] = []
+        done: list[tuple[int, int, int, int]] = []
 
         def rows() -> Iterator[tuple]:
             for b in batches:
-                for row in zip(*[b.column(k).to_pylist() for k in range(6)], strict=True):
-                    if row[5] is None:
-                        done.append((row[1], row[2], row[2] + row[3] - 1 + WIDTH))
+                for row in zip(*[b.column(k).to_pylist() for k in range(7)], strict=True):
+                    if row[6] is None:
+                        done.append((row[1], row[2], row[3], row[3] + row[4] - 1 + WIDTH))
                     else:
                         yield row
 
         def flush() -> pa.RecordBatch:
-            cols = list(zip(*done, strict=True)) or [()] * 3
+            cols = list(zip(*done, strict=True)) or [()] * 4
             done.clear()
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.int32()), strict=True)], ["doc_id", "lo", "hi"])
+            types = (pa.int64(), pa.int32(), pa.int64(), pa.int64())
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], ["doc_id", "th", "lo", "hi"])
 
         def mark(held: list[tuple], row: np.ndarray, at: np.ndarray) -> None:
             """Stretches of windows ``at`` of rows ``row``, both ascending."""
             if len(row):
                 cut = np.flatnonzero((np.diff(row) != 0) | (np.diff(at) != 1)) + 1
                 for r, a, z in zip(row[np.append(0, cut)].tolist(), at[np.append(0, cut)].tolist(), at[np.append(cut, len(at)) - 1].tolist(), strict=True):
-                    done.append((held[r][1], held[r][2] + a, held[r][2] + z + WIDTH))
+                    done.append((held[r][1], held[r][2], held[r][3] + a, held[r][3] + z + WIDTH))
 
         open_route, lists = None, []  # sorted names of the windows of a route that goes on in the next shard
 
         def settle() -> None:
-            """Merge a route's lists: a window of one that binary search finds in another repeats."""
-            for k, (names, order, held, row, at) in enumerate(lists):
-                hit = np.zeros(len(names), bool)
-                for j, other in enumerate(lists):
-                    if j != k:
-                        i = np.minimum(np.searchsorted(other[0], names), len(other[0]) - 1)
-                        hit |= other[0][i] == names
-                pick = np.sort(order[hit])
+            """Merge a route's lists: names that stand in several repeat, and each list finds its own by binary search."""
+            names, count = np.unique(np.concatenate([np.unique(x[0]) for x in lists]), return_counts=True)
+            again = names[count > 1]
+            for mine, order, held, row, at in lists if len(again) else ():
+                i = np.minimum(np.searchsorted(again, mine), len(again) - 1)
+                pick = np.sort(order[again[i] == mine])
                 mark(held, row[pick], at[pick])
             lists.clear()
 
         for held in walk(rows()):
             texts: dict[bytes, int] = {}
-            lane_of = [texts.setdefault(r[5], len(texts)) for r in held]
+            lane_of = [texts.setdefault(r[6], len(texts)) for r in held]
             many = np.zeros(len(texts), np.int64)
             counts = np.zeros(len(texts), np.int64)
             seen: set[int] = set()
             for r, t in zip(held, lane_of, strict=True):
-                many[t] = 1 if r[4] or t in seen else many[t]
-                counts[t] = r[3]
+                many[t] = 1 if r[5] or t in seen else many[t]
+                counts[t] = r[4]
                 seen.add(t)
             again, lane, place = repeated_windows(list(texts), counts, many)
             base = np.cumsum(counts) - counts
@@ -345,13 +344,13 @@ def spans_of(found: DataFrame, parts: int, shard: int = SHARD) -> DataFrame:
                     lists.clear()
                     open_route = route
                 mine = [row for row in held if row[0] == route]
-                names = [kernel.mix(kernel.rolling(kernel.BYTE[np.frombuffer(row[5], np.uint8)], WIDTH), 31) for row in mine]
+                names = [kernel.mix(kernel.rolling(kernel.BYTE[np.frombuffer(row[6], np.uint8)], WIDTH), 31) for row in mine]
                 size = [len(x) for x in names]
                 names = np.concatenate(names)
                 order = np.argsort(names)
                 row_no = np.repeat(np.arange(len(mine)), size)
                 at_no = np.arange(len(names)) - np.repeat(np.cumsum(size) - size, size)
-                lists.append((names[order], order, [row[:3] for row in mine], row_no, at_no))
+                lists.append((names[order], order, [row[:4] for row in mine], row_no, at_no))
             if len(done) > 50_000:
                 yield flush()
         if len(lists) > 1:
@@ -359,17 +358,17 @@ def spans_of(found: DataFrame, parts: int, shard: int = SHARD) -> DataFrame:
         yield flush()
 
     ordered = found.repartition(parts, "route").sortWithinPartitions("route")
-    return ordered.mapInArrow(run, "doc_id long, lo int, hi int")
+    return ordered.mapInArrow(run, "doc_id long, th int, lo long, hi long")
 
 
 def removed_spans(docs: DataFrame, hot: int = HOT, shard: int = SHARD) -> DataFrame:
-    """(doc_id, spans binary): pairs of little-endian 64-bit byte places [from, to), ascending and apart."""
-    docs = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long"), "text")
-    hits = candidates(window_runs(docs), across=False, hot=hot)
-    chosen = docs.join(hits.withColumnRenamed("doc_id", "__id"), F.col("doc_id") == F.col("__id")).select("doc_id", "text", "hits")
+    """(doc_id, th, spans binary): pairs of little-endian 64-bit byte places [from, to), ascending and apart."""
+    docs = keyed(docs)
+    hits = candidates(window_runs(docs), across=False, hot=hot).withColumnsRenamed({"doc_id": "__id", "th": "__th"})
+    chosen = docs.join(hits, (F.col("doc_id") == F.col("__id")) & (F.col("th") == F.col("__th"))).select("doc_id", "th", "text", "hits")
     parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
     found = spans_of(pieces(chosen), parts, shard)
-    by_doc = found.groupBy("doc_id").agg(F.collect_list("lo").alias("lo"), F.collect_list("hi").alias("hi"))
+    by_doc = found.groupBy("doc_id", "th").agg(F.collect_list("lo").alias("lo"), F.collect_list("hi").alias("hi"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -380,9 +379,9 @@ def removed_spans(docs: DataFrame, hot: int = HOT, shard: int = SHARD) -> DataFr
                 a, z = a[order], np.maximum.accumulate(z[order])
                 first = np.append(True, a[1:] > z[:-1])
                 out.append(np.stack([a[first], z[np.append(first[1:], True)]], 1).astype("<i8").tobytes())
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(out, pa.binary())], ["doc_id", "spans"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("th"), pa.array(out, pa.binary())], ["doc_id", "th", "spans"])
 
-    return by_doc.mapInArrow(run, "doc_id long, spans binary")
+    return by_doc.mapInArrow(run, "doc_id long, th int, spans binary")
 
 
 def dedup(docs: DataFrame, hot: int = HOT, shard: int = SHARD) -> DataFrame:
