@@ -2,21 +2,23 @@
 
 A text becomes a sequence of template tokens: words without punctuation, in lower case, with numbers, names and units
 replaced by typed placeholders. Windows of ``WIDTH`` template tokens are hashed; windows of documents are hash-joined with
-windows of benchmark items. Windows that lie on one diagonal (same shift between document and item) form a match, and a
-match counts if it covers enough of the item and its slots are consistent: within each type, equal values in the item are
-equal values in the document and different ones differ. So a question with other numbers or names is still found, while
-texts that merely share a mould of placeholders aren't.
+windows of benchmark items. Windows that lie on one diagonal (same shift between document and item) form a match. A match
+counts if it covers enough of the item, its slots are consistent (within each type, equal values in the item are equal
+values in the document and different ones differ), and there is evidence beside the mould of placeholders: ``LITERALS``
+different words of the item stand in it, or all its slots hold the item's own values. So a question with other numbers or
+names is found, while texts that share a mould like *add n and n and n* are found only where they are the item itself.
 
 A capital that opens a sentence may be a name or not, so a window is hashed with its openers as words, as names, and by turns
-(``forms``): that is each way for two openers in a window. Windows of too many slots for that (``MIN_LITERAL``) are matched on
-their words and values as they are, so that verbatim copies are found whatever they hold.
+(``forms``): that is each way for two openers in a window. Windows with hardly any word in them (under ``MIN_LITERAL``), which
+any list of numbers or names would share, are matched on their words and values as they are.
 
-The hashes of the benchmark are tested inside the scan of the documents when there are at most ``FILTER_WINDOWS`` of
-them; beyond, all windows go to the shuffled hash join. Only windows that meet one of the benchmark reach the join then.
+The hashes of the benchmark are sent to the tasks that scan the documents, in blocks of ``BLOCK`` hashes at most, a scan a
+block; only document windows that meet one of the benchmark reach the join.
 
 Defined results: null and empty texts match nothing. Items under ``MIN_TOKENS`` template tokens are too short to be
-evidence and match nothing; items under ``WIDTH`` tokens match as a whole. Rows that repeat a doc_id give one pair; a null
-doc_id gives pairs with a null doc_id. An empty table on either side gives no pairs.
+evidence and match nothing; items under ``WIDTH`` tokens match as a whole. Texts of any length are scanned whole. Rows that
+repeat a doc_id give one pair; a null doc_id gives pairs with a null doc_id. An empty table on either side gives no pairs.
+Further columns, of whatever name, are ignored.
 """
 
 from __future__ import annotations
@@ -33,8 +35,8 @@ from ..session import durable
 from . import kernel
 from .common import table
 
-WIDTH, MIN_TOKENS, RUN, MIN_LITERAL = 8, 5, 13, 0.6
-FILTER_WINDOWS = 4_000_000
+WIDTH, MIN_TOKENS, RUN, MIN_LITERAL, LITERALS = 8, 3, 13, 0.25, 3
+BLOCK = 4_000_000
 #: The number of the way that keeps all words, behind the forms.
 EXACT = 4
 #: Words that are a unit behind a number.
@@ -126,13 +128,19 @@ def _touched(opener: np.ndarray, pos: np.ndarray, width: int) -> np.ndarray:
     return n[pos + width] > n[pos]
 
 
-WINDOW = "id long, pos int, n int, width int, form int, h long, slots array<struct<t:int,v:long>>"
+WINDOW = "id long, pos int, n int, width int, form int, h long, slots array<struct<t:int,v:long>>, words array<long>"
 
 
-def _scan(key: str, widths, wanted, only_own_width: bool = False):
+def _lists(mask: np.ndarray, *values: np.ndarray) -> tuple[pa.Array, list[np.ndarray]]:
+    """(list offsets, flat values) of the cells that are set in each row of a matrix."""
+    return pa.array(np.append(0, np.cumsum(mask.sum(axis=1))).astype(np.int32)), [v[mask] for v in values]
+
+
+def _scan(key: str, widths, wanted, items: bool = False):
+    """wanted: sorted hashes of which a window must have one. items: only windows of the item's own width, with their words."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = wanted.value if wanted is not None else None
-        struct = pa.list_(pa.struct([("t", pa.int32()), ("v", pa.int64())]))
         for b in batches:
             data, off = kernel.utf8(b.column("text"))
             ids = b.column(key)
@@ -153,21 +161,22 @@ def _scan(key: str, widths, wanted, only_own_width: bool = False):
                         at = np.searchsorted(known, h)
                         take = known[np.minimum(at, len(known) - 1)] == h
                         pos, h, doc = pos[take], h[take], doc[take]
-                    if only_own_width:
+                    if items:
                         take = np.minimum(length[doc], WIDTH) == width
                         pos, h, doc = pos[take], h[take], doc[take]
                     if not len(pos):
                         continue
-                    slots = [
-                        [{"t": int(codes[p]), "v": int(values[p].view(np.int64))} for p in range(q, q + width) if slot[p]] if form != EXACT and slot[q : q + width].any() else []
-                        for q in pos.tolist()
-                    ]
+                    cells = pos[:, None] + np.arange(width)
+                    held = slot[cells] if form != EXACT else np.zeros(cells.shape, bool)
+                    to, (t, v) = _lists(held, codes[cells], values[cells])
+                    slots = pa.ListArray.from_arrays(to, pa.StructArray.from_arrays([pa.array(t.astype(np.int32)), pa.array(v.view(np.int64))], ["t", "v"]))
+                    to, (w,) = _lists(~held if items else np.zeros(cells.shape, bool), values[cells])
                     yield pa.RecordBatch.from_arrays(
                         [
                             ids.take(pa.array(doc + i)), pa.array((pos - by_doc[doc]).astype(np.int32)), pa.array(length[doc].astype(np.int32)),
-                            pa.array(np.full(len(pos), width, np.int32)), pa.array(np.full(len(pos), form, np.int32)), pa.array(h.view(np.int64)), pa.array(slots, struct),
+                            pa.array(np.full(len(pos), width, np.int32)), pa.array(np.full(len(pos), form, np.int32)), pa.array(h.view(np.int64)), slots, pa.ListArray.from_arrays(to, pa.array(w.view(np.int64))),
                         ],
-                        ["id", "pos", "n", "width", "form", "h", "slots"],
+                        ["id", "pos", "n", "width", "form", "h", "slots", "words"],
                     )
 
     return run
@@ -179,21 +188,28 @@ def item_windows(benchmark: DataFrame) -> DataFrame:
     return benchmark.select(F.col("item_id").cast("long"), "text").mapInArrow(scan, WINDOW)
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, run: int = RUN) -> DataFrame:
-    """Pairs (doc_id, item_id) with the tokens covered by the best match, the item's length and its number of slots."""
+def document_windows(docs: DataFrame, items: DataFrame, block: int = BLOCK) -> DataFrame:
+    """Windows of the documents that have the hash of one of the items' windows."""
     spark = docs.sparkSession
-    items = durable(item_windows(benchmark), "items")
     widths = sorted(r[0] for r in items.select("width").distinct().collect())  # WIDTH - MIN_TOKENS + 1 values at most
-    n = items.count()
-    wanted = None
-    if n <= FILTER_WINDOWS:
-        hashes = np.sort(np.array([r[0] for r in items.select("h").distinct().collect()], dtype=np.int64).view(np.uint64))
-        if not len(hashes):
-            hashes = np.zeros(1, np.uint64)
-        wanted = spark.sparkContext.broadcast(hashes)
-    found = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_scan("doc_id", widths, wanted), WINDOW)
+    blocks = max(1, -(-items.count() // block))
+    texts, out = docs.select(F.col("doc_id").cast("long"), "text"), None
+    for k in range(blocks):
+        mine = items.where(F.pmod(F.xxhash64("h"), F.lit(blocks)) == k).select("h").distinct()
+        hashes = np.sort(np.array([r[0] for r in mine.collect()], dtype=np.int64).view(np.uint64))
+        sent = spark.sparkContext.broadcast(hashes if len(hashes) else np.zeros(1, np.uint64))
+        found = durable(texts.mapInArrow(_scan("doc_id", widths, sent), WINDOW), "windows")
+        sent.unpersist()
+        out = found if out is None else out.union(found)
+    return out
+
+
+def contaminated(docs: DataFrame, benchmark: DataFrame, run: int = RUN, block: int = BLOCK) -> DataFrame:
+    """Pairs (doc_id, item_id) with the tokens covered by the best match, the item's length and its number of slots."""
+    items = durable(item_windows(benchmark), "items")
+    found = document_windows(docs, items, block)
     d = found.select(F.col("id").alias("doc_id"), "h", "width", F.col("form").alias("dform"), F.col("pos").alias("dpos"), F.col("slots").alias("dslots"))
-    i = items.select(F.col("id").alias("item_id"), "h", "width", F.col("form").alias("iform"), F.col("pos").alias("ipos"), F.col("n").alias("item_tokens"), F.col("slots").alias("islots"))
+    i = items.select(F.col("id").alias("item_id"), "h", "width", F.col("form").alias("iform"), F.col("pos").alias("ipos"), F.col("n").alias("item_tokens"), F.col("slots").alias("islots"), "words")
     hits = (
         d.join(i, ["h", "width"])
         .withColumn("shift", F.col("dpos") - F.col("ipos"))
@@ -206,6 +222,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, run: int = RUN) -> DataF
         F.max("width").alias("width"),
         F.max("item_tokens").alias("item_tokens"),
         F.array_distinct(F.flatten(F.collect_set("same"))).alias("pairs"),
+        F.size(F.array_distinct(F.flatten(F.collect_set("words")))).alias("literals"),
     )
     covered = F.aggregate(
         "at",
@@ -214,10 +231,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, run: int = RUN) -> DataF
         lambda a: a["n"],
     )
     sides = [F.size(F.array_distinct(F.col(f"pairs.{s}"))) for s in ("islots", "dslots")]
+    verbatim = F.forall("pairs", lambda p: p["islots"] == p["dslots"])
     return (
         diagonal.withColumn("covered", covered)
         .where(F.col("covered") >= F.least(F.lit(run), F.col("item_tokens")))
         .where((sides[0] == F.size("pairs")) & (sides[1] == F.size("pairs")))
+        .where((F.col("literals") >= LITERALS) | verbatim)
         .groupBy("doc_id", "item_id")
         .agg(F.max("covered").alias("covered"), F.max("item_tokens").alias("item_tokens"), F.max(F.size("pairs")).alias("n_slots"))
     )
