@@ -1,8 +1,8 @@
 """Connected components of an edge table, by alternating large-star and small-star rounds.
 
 Every round is two shuffled aggregations and joins over the edges; the table is written to the shared folder after each
-round, so nothing of it reaches the driver but a count and a checksum. Hubs are joined by skew-splittable sort-merge
-joins, never gathered into one row.
+round, so nothing of it reaches the driver but a count and a checksum. The edges of a hub are joined with its smallest
+neighbour by plain exchanges, whose tasks adaptive execution can split, and are never gathered into one row.
 """
 
 from __future__ import annotations
@@ -19,11 +19,13 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     if not large:
         both = both.where(F.col("v") < F.col("u"))
     least = both.groupBy("u").agg(F.min("v").alias("m"))
+    # under another expression than the grouping's key: both sides of the join get a plain exchange, which can be split at a hub
+    apart = lambda df: df.select(F.col("u").bitwiseXOR(F.lit(0)).alias("__u"), "m")
     if large:
         least = least.select("u", F.least("u", "m").alias("m"))
-        out = both.join(least, "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
+        out = both.join(apart(least), F.col("u") == F.col("__u")).where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
     else:
-        out = both.join(least, "u").where(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v")))
+        out = both.join(apart(least), F.col("u") == F.col("__u")).where(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v")))
     return out.where(F.col("u") != F.col("v")).distinct()
 
 

@@ -9,7 +9,8 @@
 
 Labels, language, source and doc_id are no inputs. Defined results: null and empty texts pool to zeros and get the score
 that the network gives those. Labels that are null or belong to no document are ignored; a document with several labels is
-several examples. Without labels of both kinds every score is the share of label 1 (0.5 without any). Rows without doc_id
+several examples, and so is a labelled doc_id with several texts. Empty tables give empty results. Repeated rows get equal scores.
+Further columns, of whatever name, are ignored. Texts of any length are pooled whole. Without labels of both kinds every score is the share of label 1 (0.5 without any). Rows without doc_id
 are scored and never held out.
 """
 
@@ -174,10 +175,13 @@ def held_out(doc_id: Column) -> Column:
 
 
 def train(features: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Network | Constant:
-    """Fit on at most ``rows`` labelled documents that are not held out."""
+    """Fit on at most ``rows`` labelled documents that are not held out, those of smallest hash; labels of no document take no place."""
     marks = labels.where(F.col("quality").isNotNull() & ~held_out(F.col("doc_id"))).select(F.col("doc_id").alias("__id"), F.col("quality").cast("double").alias("y"))
-    picked = marks.select("__id", "y", F.xxhash64("__id", "y").alias("h")).orderBy("h", "__id", "y").limit(2 * rows)
-    known = features.join(picked, F.col("doc_id") == F.col("__id")).orderBy("h", "__id", "y").limit(rows).select("x", "y").collect()
+    order = [F.col("h"), F.col("__id"), F.col("y"), F.col("xh")]
+    # labelled documents are joined without their features first: the bounded sample then takes the features of its own rows
+    ids = features.select("doc_id", F.xxhash64("x").alias("xh"))
+    picked = marks.join(ids, F.col("doc_id") == F.col("__id")).select("__id", "y", "xh", F.xxhash64("__id", "y").alias("h")).orderBy(*order).limit(rows)
+    known = features.withColumn("__xh", F.xxhash64("x")).join(F.broadcast(picked), (F.col("doc_id") == F.col("__id")) & (F.col("__xh") == F.col("xh"))).orderBy(*order).limit(rows).select("x", "y").collect()
     y = np.array([r["y"] for r in known])
     if len(y) < 10 or y.min() == y.max():
         return Constant(float(y.mean()) if len(y) else 0.5)

@@ -1,16 +1,19 @@
 """Delta-maintained token-count rollups with idempotent batch commits.
 
 State is a folder of immutable batches. A committed batch holds
-* ``entries``: what it says of each document (doc_id, source, lang, tokenizer, n_tokens, or a deletion), and
+* ``current``: the current entries (doc_id, tokenizer, source, lang, n_tokens) of every bucket of doc_ids that it touched, and what
+  each changed entry was before, and
 * ``delta``: signed sums (n_docs, n_tokens) by (source, lang, tokenizer).
-The totals are the sum of all deltas. An insert adds; a delete retracts the last committed entry; a revision retracts it
-and adds the new count. A batch is written under its id and becomes visible by its ``delta/_SUCCESS`` marker, which is
-written last; a batch that already has one is left alone, so delivering it again changes nothing, and a job that died
-half-way is simply run again.
+The totals are the sum of all deltas. An insert adds; a delete retracts the current entry; a revision retracts it and adds
+the new count. A bucket's current entries are those of the last committed batch that has it, so a batch reads and writes the
+buckets that it touches and no history. A batch is written under its id and becomes visible by its ``delta/_SUCCESS`` marker,
+which is written last; a batch that already has one is left alone, so delivering it again changes nothing, and a job that
+died half-way is simply run again.
 
 Defined results: a null text has no tokens; null source or lang form groups of their own; rows without doc_id are refused
 by the filter in ``apply`` (they can't be retracted). Within a batch, of several changes to one (doc_id, tokenizer) the
-deletion wins, else the largest count. Deleting what isn't there changes nothing.
+deletion wins, else the largest count. Deleting what isn't there changes nothing. Empty batches commit and change nothing;
+without batches there are no totals. Further columns are ignored.
 """
 
 from __future__ import annotations
@@ -19,14 +22,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import new_path
+from ..session import durable, new_path
 from . import kernel
 from .tokens import default_path, word_ids
 
-ENTRY = "doc_id long, tokenizer string, source string, lang string, n_tokens long, live boolean, seq int"
+ENTRY = "doc_id long, tokenizer string, source string, lang string, n_tokens long, live boolean, changed boolean, had boolean, o_source string, o_lang string, o_tokens long"
 DELTA = "source string, lang string, tokenizer string, n_docs long, n_tokens long"
 KEYS = ("source", "lang", "tokenizer")
 
@@ -46,30 +49,33 @@ def count_tokens(docs: DataFrame, tokenizer: str) -> DataFrame:
 
 
 class Rollup:
-    """The state under ``path``; batches are numbered in commit order."""
+    """The state under ``path``; batches are numbered in commit order, entries lie in ``buckets`` by doc_id."""
 
-    def __init__(self, spark: SparkSession, path: str | None = None):
-        self.spark, self.path = spark, path or new_path(spark, "rollup")
+    def __init__(self, spark: SparkSession, path: str | None = None, buckets: int = 32):
+        self.spark, self.path, self.buckets = spark, path or new_path(spark, "rollup"), buckets
 
     def _fs(self):
         p = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
         return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), self.spark._jvm.org.apache.hadoop.fs.Path
 
+    def _names(self, path: str) -> list[str]:
+        fs, make = self._fs()
+        return [s.getPath().getName() for s in fs.listStatus(make(path))] if fs.exists(make(path)) else []
+
     def committed(self) -> list[str]:
-        fs, path = self._fs()
-        if not fs.exists(path(self.path)):
-            return []
-        names = [s.getPath().getName() for s in fs.listStatus(path(self.path))]
-        return sorted(n for n in names if fs.exists(path(f"{self.path}/{n}/delta/_SUCCESS")))
-
-    def entries(self) -> DataFrame:
-        """The last committed entry of each (doc_id, tokenizer) that is live."""
-        paths = [f"{self.path}/{n}/entries" for n in self.committed()]
-        if not paths:
-            return self.spark.createDataFrame([], ENTRY)
-        rows = self.spark.read.schema(ENTRY).parquet(*paths)
-        last = rows.groupBy("doc_id", "tokenizer").agg(F.max_by(F.struct("source", "lang", "n_tokens", "live"), "seq").alias("e"))
-        return last.where("e.live").select("doc_id", "tokenizer", "e.source", "e.lang", "e.n_tokens")
+        fs, make = self._fs()
+        return sorted(n for n in self._names(self.path) if fs.exists(make(f"{self.path}/{n}/delta/_SUCCESS")))
+
+    def entries(self, wanted: set[int] | None = None) -> DataFrame:
+        """The current entries, of all buckets or the wanted ones."""
+        last: dict[str, str] = {}
+        for batch in self.committed():
+            for name in self._names(f"{self.path}/{batch}/current"):
+                if name.startswith("bucket="):
+                    last[name] = f"{self.path}/{batch}/current/{name}"
+        paths = [p for n, p in sorted(last.items()) if wanted is None or int(n.removeprefix("bucket=")) in wanted]
+        rows = self.spark.read.schema(ENTRY).parquet(*paths) if paths else self.spark.createDataFrame([], ENTRY)
+        return rows.where("live").select("doc_id", "tokenizer", "source", "lang", "n_tokens")
 
     def apply(self, batch_id: str, changes: DataFrame) -> bool:
         """Commit changes(doc_id, tokenizer, op, source, lang, n_tokens), op insert, revise or delete. False: known already.
@@ -81,24 +87,28 @@ class Rollup:
             return False
         if done and batch_id < done[-1]:
             raise ValueError(f"{batch_id} comes before {done[-1]}")
-        one = (
+        bucket = F.pmod(F.xxhash64("doc_id"), F.lit(self.buckets)).cast("int")
+        one = durable(
             changes.where(F.col("doc_id").isNotNull())
             .groupBy("doc_id", "tokenizer")
             .agg(F.max(F.struct((F.col("op") == "delete").alias("gone"), "n_tokens", "source", "lang")).alias("c"))
-            .select("doc_id", "tokenizer", "c.*")
+            .select("doc_id", "tokenizer", "c.*"),
+            "changes",
         )
-        old = self.entries().withColumnsRenamed({"source": "o_source", "lang": "o_lang", "n_tokens": "o_tokens"}).withColumn("had", F.lit(True))
-        both = one.join(old, ["doc_id", "tokenizer"], "left").withColumn("had", F.coalesce("had", F.lit(False)))
+        touched = {r[0] for r in one.select(bucket.alias("b")).distinct().collect()}  # as many rows as there are buckets at most
+        old = self.entries(touched).withColumnsRenamed({"source": "o_source", "lang": "o_lang", "n_tokens": "o_tokens"}).withColumn("had", F.lit(True))
+        both = one.withColumn("changed", F.lit(True)).join(old, ["doc_id", "tokenizer"], "full_outer").fillna(False, ["had", "changed"])
+        now = lambda new, was: F.when(F.col("changed"), F.col(new)).otherwise(F.col(was)).alias(new)
         at = f"{self.path}/{batch_id}"
         both.select(
-            "doc_id", "tokenizer", "source", "lang", F.when(~F.col("gone"), F.col("n_tokens")).alias("n_tokens"), (~F.col("gone")).alias("live"), F.lit(len(done)).alias("seq"),
-            "had", "o_source", "o_lang", "o_tokens",
-        ).write.mode("overwrite").parquet(f"{at}/entries")
-        said = self.spark.read.parquet(f"{at}/entries")
+            "doc_id", "tokenizer", now("source", "o_source"), now("lang", "o_lang"), now("n_tokens", "o_tokens"), (~F.col("changed") | ~F.col("gone")).alias("live"), "changed", "had", "o_source", "o_lang", "o_tokens",
+            bucket.alias("bucket"),
+        ).repartition("bucket").write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("bucket").parquet(f"{at}/current")
+        said = self.spark.read.schema(ENTRY).parquet(f"{at}/current").where("changed")
         add = said.where("live").select(*KEYS, F.lit(1).alias("d"), F.col("n_tokens").alias("t"))
         take = said.where("had").select(F.col("o_source").alias("source"), F.col("o_lang").alias("lang"), "tokenizer", F.lit(-1).alias("d"), (-F.col("o_tokens")).alias("t"))
         delta = add.union(take).groupBy(*KEYS).agg(F.sum("d").cast("long").alias("n_docs"), F.sum("t").cast("long").alias("n_tokens"))
-        delta.coalesce(1).write.mode("overwrite").parquet(f"{at}/delta")
+        delta.write.mode("overwrite").parquet(f"{at}/delta")
         return True
 
     def totals(self) -> DataFrame:
@@ -115,20 +125,25 @@ def copies(docs: DataFrame) -> DataFrame:
     return rows.join(first, F.col("h") == F.col("__h")).where(F.col("doc_id") > F.col("first")).select("doc_id").distinct()
 
 
-def maintain(docs: DataFrame, old: DataFrame, new: DataFrame, old_name: str, new_name: str) -> DataFrame:
-    """The life of a corpus in four deliveries: load under the old tokenizer, delete exact copies, count the rest anew
-    under the new tokenizer, and a second delivery of the deletions, which changes nothing.
+def maintain(docs: DataFrame, old: DataFrame, new: DataFrame, estimate: Column, old_name: str, new_name: str) -> DataFrame:
+    """The life of a corpus in five deliveries: load the counts of one tokenizer, with estimates for another; delete exact copies;
+    revise the estimates of what is left by true counts; and the deletions and the load once more, which changes nothing.
 
-    ``old`` and ``new`` hold doc_id, source, lang, n_tokens.
+    ``old`` and ``new`` hold doc_id, source, lang, n_tokens; ``estimate`` is an expression over docs.
     """
     state = Rollup(docs.sparkSession)
-    gone = copies(docs).select("doc_id", F.lit(old_name).alias("tokenizer"), F.lit("delete").alias("op"), *[F.lit(None).cast(t).alias(c) for c, t in (("source", "string"), ("lang", "string"), ("n_tokens", "long"))])
     shape = ("doc_id", "tokenizer", "op", "source", "lang", "n_tokens")
-    state.apply("0001", old.withColumns({"tokenizer": F.lit(old_name), "op": F.lit("insert")}).select(*shape))
-    state.apply("0002", gone)
-    rest = new.join(gone.select("doc_id"), "doc_id", "left_anti").withColumns({"tokenizer": F.lit(new_name), "op": F.lit("insert")})
-    state.apply("0003", rest.select(*shape))
-    state.apply("0002", gone)
+    none = {c: F.lit(None).cast(t) for c, t in (("source", "string"), ("lang", "string"), ("n_tokens", "long"))}
+    gone = durable(copies(docs), "copies")
+    guess = docs.select("doc_id", "source", "lang", F.coalesce(estimate, F.lit(0)).cast("long").alias("n_tokens"))
+    load = old.withColumn("tokenizer", F.lit(old_name)).unionByName(guess.withColumn("tokenizer", F.lit(new_name))).withColumn("op", F.lit("insert")).select(*shape)
+    deletions = gone.withColumns({"tokenizer": F.explode(F.array(F.lit(old_name), F.lit(new_name))), "op": F.lit("delete"), **none}).select(*shape)
+    state.apply("0001", load)
+    state.apply("0002", deletions)
+    counted = new.join(gone, "doc_id", "left_anti").withColumns({"tokenizer": F.lit(new_name), "op": F.lit("revise")}).select(*shape)
+    state.apply("0003", counted)
+    state.apply("0002", deletions)
+    state.apply("0001", load)
     return state.totals()
 
 
@@ -141,14 +156,14 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
 def op10(spark: SparkSession, docs: DataFrame) -> DataFrame:
     docs = docs.select("doc_id", "source", "lang", "text")
-    return maintain(docs, word_counts(docs), count_tokens(docs, default_path()), "words-1", "word_bpe_49k-1")
+    return maintain(docs, word_counts(docs), count_tokens(docs, default_path()), F.floor(F.octet_length("text") / 4), "words-1", "word_bpe_49k-1")
 
 
 def word_rollups(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """The same maintenance with two word rules that SQL can count."""
     docs = docs.select("doc_id", "source", "lang", "text")
     lines = docs.select("doc_id", "source", "lang", F.size(F.split(F.coalesce("text", F.lit("")), "\n")).cast("long").alias("n_tokens"))
-    return maintain(docs, word_counts(docs), lines, "words-1", "lines-1")
+    return maintain(docs, word_counts(docs), lines, F.floor(F.length("text") / 60), "words-1", "lines-1")
 
 
 WORD_ORACLE = r"""

@@ -1,7 +1,8 @@
 """Token ids of whole texts by a public tokenizer file, with a per-worker word cache.
 
 The tokenizer (``word_bpe_49k.json``) drops white space and never joins across it, so the ids of a text are the ids of
-its words one behind the other; words repeat, so most come from the cache. The cache is emptied when it is full.
+its words one behind the other; words repeat, so most come from the cache. The cache is emptied when its bytes reach the bound; a word longer than
+``KEEP`` isn't kept.
 """
 
 from __future__ import annotations
@@ -10,7 +11,9 @@ import os
 import unicodedata
 from array import array
 
-CACHE_WORDS = 500_000
+#: The cache of a worker: bytes of its words and ids, with what Python adds to each.
+CACHE_BYTES, ENTRY_BYTES = 192 << 20, 200
+KEEP = 4096
 _LETTERS = frozenset(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")
 
 
@@ -35,10 +38,9 @@ class WordIds(dict):
         tokenizer = Tokenizer.from_file(path)
         self.encode, self.merge = tokenizer.encode, tokenizer.model.tokenize
         self.alphabet = byte_characters()
+        self.held = 0
 
     def __missing__(self, word: bytes) -> bytes:
-        if len(self) >= CACHE_WORDS:
-            self.clear()
         if word.isalpha():  # ASCII letters: one pre-token, so that only the merges are left to do
             low = word.lower()
             ids = self.merged(word.decode()) if low == word else self[low]
@@ -46,7 +48,12 @@ class WordIds(dict):
             ids = self[word[:-1]] + self[word[-1:]]  # a letter run and a punctuation run are separate pre-tokens
         else:
             ids = self.other(word)
-        self[word] = ids
+        if len(word) <= KEEP:
+            self.held += len(word) + len(ids) + ENTRY_BYTES
+            if self.held > CACHE_BYTES:
+                self.clear()
+                self.held = len(word) + len(ids) + ENTRY_BYTES
+            self[word] = ids
         return ids
 
     def merged(self, characters: str) -> bytes:

@@ -369,3 +369,59 @@ def test_shard_bounds_prune_and_whole_rows_are_written(spark, tmp_path):
     assert plain(back.drop("shard")) == plain(df)
     counts = [r[1] for r in back.groupBy("shard").count().collect()]
     assert len(counts) == 8 and max(counts) - min(counts) <= 1
+
+
+def test_rollup_batches_that_died(spark):
+    """A batch without its marker isn't there; run again it counts once. Small batches touch their own buckets only."""
+    state = rollups.Rollup(spark, buckets=8)
+    shape = "doc_id long, tokenizer string, op string, source string, lang string, n_tokens long"
+    put = lambda b, rows: state.apply(b, spark.createDataFrame(rows, shape))
+    totals = lambda: {tuple(r)[:3]: tuple(r)[3:] for r in state.totals().collect()}
+    assert totals() == {}
+    put("1", [(k, "t", "insert", "a", None, 10) for k in range(40)])
+    fs, make = state._fs()
+    put("2", [(k, "t", "revise", "b", None, 3) for k in range(5)] + [(7, "t", "delete", None, None, None)])
+    after = {("a", None, "t"): (34, 340), ("b", None, "t"): (5, 15)}
+    assert totals() == after
+    fs.delete(make(f"{state.path}/2/delta/_SUCCESS"), False)
+    assert totals() == {("a", None, "t"): (40, 400)}
+    put("2", [(k, "t", "revise", "b", None, 3) for k in range(5)] + [(7, "t", "delete", None, None, None)])
+    assert totals() == after and state.entries().count() == 39
+    put("3", [(3, "t", "revise", "b", None, 4)])
+    assert len([n for n in state._names(f"{state.path}/3/current") if n.startswith("bucket=")]) == 1
+    put("4", [])
+    assert totals() == {("a", None, "t"): (34, 340), ("b", None, "t"): (5, 16)} and state.entries().count() == 39
+
+
+def test_classifier_ignores_labels_of_no_document(spark):
+    docs = spark.createDataFrame([(k, ("good clear prose " if k % 2 else "zz qq junk ") * 20) for k in range(120)], "doc_id long, text string").withColumns({"y": F.lit(1), "h": F.lit("x"), "x": F.lit(0)})
+    labels = spark.createDataFrame([(k, k % 2, 0) for k in range(120)] + [(10**6 + k, 1 - k % 2, 0) for k in range(3000)], "doc_id long, quality int, toxic int").withColumn("score", F.lit(0))
+    features = quality_model.pooled(docs, quality_model.unit_vectors(quality_model.context_sums(docs)))
+    model = quality_model.train(features, labels, rows=60)
+    assert isinstance(model, quality_model.Network)
+    x = np.array([r.x for r in features.orderBy("doc_id").collect()], dtype=np.float64)
+    right = (model.score(x) >= 0.5) == (np.arange(120) % 2 == 1)
+    assert right.mean() == 1.0
+
+
+def test_pooled_features_are_those_of_plain_sums(spark):
+    """Random indexing and pooling against a loop over words."""
+    rng = random.Random(1)
+    texts = [" ".join(rng.choice("abcdefg") * 3 for _ in range(rng.randrange(0, 30))) for _ in range(25)] + ["", None, "one"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    index, sums = quality_model.index_vectors(), np.zeros((quality_model.BUCKETS, quality_model.DIMS))
+    bucket = {}
+    for t in texts:
+        raw = np.frombuffer((t or "").encode(), np.uint8)
+        b, _ = quality_model.buckets_of(raw, np.array([0, len(raw)]))
+        bucket[t] = b
+        for i in range(len(b)):
+            for j in range(max(0, i - quality_model.REACH), min(len(b), i + quality_model.REACH + 1)):
+                if i != j:
+                    sums[b[i]] += index[b[j]]
+    assert np.allclose(quality_model.context_sums(df), sums, atol=1e-3)
+    unit = quality_model.unit_vectors(sums)
+    for r in quality_model.pooled(df, unit).collect():
+        v = unit[bucket[texts[r.doc_id]]]
+        want = np.concatenate([v.mean(0), v.std(0), [np.log1p(len(v)) / 8]]) if len(v) else np.zeros(quality_model.FEATURES)
+        assert np.allclose(r.x, want, atol=1e-3)
