@@ -1,12 +1,17 @@
 """Quality rules with cross-document line frequency (DataFrame functions only).
 
-Base statistics are computed inside each row. For the cross-document rule every normalised line is hashed, the
-distinct documents that hold it are counted per host (``source``), and lines above the host's limit are taken as
-boilerplate. A document whose remaining words are under ``min_left`` of its words is depleted and rejected.
-Documents of equal text count once in a line's frequency, so copies of a good document don't condemn it.
+Texts are read once: base statistics and the hashes of all normalised lines of a document go into one table. The
+documents that hold a line are counted per host (``source``), and lines above the host's limit are taken as boilerplate.
+A document whose remaining words are under ``min_left`` of its words is depleted and rejected; the others lose their
+boilerplate lines (``clean``). Documents of equal text count once in a line's frequency, so copies of a good document don't
+condemn it.
+
+The limit means the same at every size: ``LINE_SHARE`` of a host's documents, but ``FEW_DOCS`` at least, so that chance doesn't
+condemn a line of a small host, and ``LINE_DOCS`` at most, beyond which no line is a document's own however large the host.
 
 Defined results: a null text has no words; an empty or null text fails the base rules (under ``min_words``). A null
-host is a host of its own. Rows that repeat a ``doc_id`` are judged one by one. An empty table gives an empty result.
+host is a host of its own. Rows that repeat a ``doc_id`` are judged one by one. Texts of any length are judged whole. An empty
+table gives an empty result. Further columns stay as they are in ``clean`` and are ignored otherwise.
 """
 
 from __future__ import annotations
@@ -14,14 +19,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import durable
 from .common import let, word_array
 from .line_dedup import key_hashes, line_key
 
 MIN_WORDS, MAX_REPEAT_PCT, WINDOW = 10, 20, 5
-#: A line is boilerplate in a host beyond max(LINE_DOCS, LINE_SHARE of the host's distinct documents).
-LINE_DOCS, LINE_SHARE, MIN_LINE_CHARS, MIN_LEFT = 50, 0.05, 10, 0.3
-#: The pipeline's limit, which means the same at every size: the lesser of LINE_DOCS and the share, but FEW_DOCS at least.
-FEW_DOCS = 5
+#: A line is boilerplate in a host beyond max(FEW_DOCS, min(LINE_DOCS, LINE_SHARE of the host's distinct documents)).
+FEW_DOCS, LINE_DOCS, LINE_SHARE, MIN_LINE_CHARS, MIN_LEFT = 5, 50, 0.05, 10, 0.3
+STATS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
 HAS_WORD = r"[^\x20\x09-\x0D]"
 
 
@@ -82,88 +87,57 @@ def base_stats(docs: DataFrame) -> DataFrame:
     return out.withColumn("base_failed", (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PCT * F.col("n_words")))
 
 
-def boilerplate_lines(
-    docs: DataFrame, line_docs: int = LINE_DOCS, line_share: float = LINE_SHARE, min_chars: int = MIN_LINE_CHARS, few: int | None = None
-) -> DataFrame:
-    """(doc_id, th, host, line_no, n): the lines above their host's limit, by number, with their words.
+def _rows(docs: DataFrame, min_chars: int) -> DataFrame:
+    """docs(doc_id, text, source) as a written table of base statistics and lines: no text is read again.
 
-    ``th`` is the hash of the text, so rows that repeat a doc_id with another text stay apart. The limit is the greater of
-    ``line_docs`` and the share; with ``few``, the lesser of them but ``few`` at least.
+    ``th``, the hash of the text, tells rows apart that repeat a doc_id. ``lines`` has number, hashes and words of the lines that count.
     """
-    rows = docs.select("doc_id", F.xxhash64("text").alias("th"), F.col("source").alias("host"), "text")
-    counted = F.transform(
-        F.split(F.coalesce("text", F.lit("")), "\n"),
-        lambda l: F.when(l.rlike(HAS_WORD), F.struct(line_key(l).alias("key"), F.size(word_array(l)).alias("n"))),
-    )
-    lines = rows.select("doc_id", "th", "host", F.posexplode(counted).alias("line_no", "l")).where(F.length("l.key") >= min_chars)
-    k1, k2 = key_hashes(F.col("l.key"))
-    lines = lines.select("doc_id", "th", "host", "line_no", k1.alias("k1"), k2.alias("k2"), F.col("l.n").alias("n"))
-    hosts = rows.groupBy("host").agg(F.count_distinct("th").alias("host_docs"))
-    floor, share = line_docs if few is None else few, F.lit(line_share) * F.col("host_docs")
-    limit = F.greatest(F.lit(float(floor)), share if few is None else F.least(F.lit(float(line_docs)), share))
-    common = (
-        lines.groupBy("host", "k1", "k2").agg(F.count_distinct("th").alias("docs")).where(F.col("docs") > floor)
-    )
-    common = (
-        common.alias("c").join(hosts.alias("h"), F.col("c.host").eqNullSafe(F.col("h.host")))
-        .where(F.col("docs") > limit)
-        .select(F.col("c.host").alias("chost"), "k1", "k2")
-    )
-    return (
-        lines.join(common, (lines.host.eqNullSafe(common.chost)) & (lines.k1 == common.k1) & (lines.k2 == common.k2), "left_semi")
-        .groupBy("doc_id", "th", "host", "line_no")
-        .agg(F.max("n").alias("n"))
-    )
-
+    def line(l: Column, i: Column) -> Column:
+        k1, k2 = key_hashes(line_key(l))
+        return F.struct(i.alias("no"), k1.alias("k1"), k2.alias("k2"), F.size(word_array(l)).alias("n"))
 
-def boilerplate_words(docs: DataFrame, **limits) -> DataFrame:
-    """(doc_id, th, host, n_boiler, cut): words and numbers of each document's boilerplate lines; documents without any are absent."""
-    return boilerplate_lines(docs, **limits).groupBy("doc_id", "th", "host").agg(F.sum("n").alias("n_boiler"), F.collect_list("line_no").alias("cut"))
+    split = F.transform(F.split(F.coalesce("text", F.lit("")), "\n"), lambda l, i: F.when(l.rlike(HAS_WORD) & (F.length(line_key(l)) >= min_chars), line(l, i)))
+    marked = base_stats(docs.select("doc_id", "text", "source")).withColumns({"th": F.xxhash64("text"), "lines": F.filter(split, lambda x: x.isNotNull())})
+    return durable(marked.select("doc_id", "th", F.col("source").alias("host"), *STATS, "lines"), "stats")
 
 
-def _judged(docs: DataFrame, min_left: float = MIN_LEFT, **limits) -> DataFrame:
-    """docs plus base statistics, n_boiler, kept and __cut, the numbers of the boilerplate lines."""
-    boiler = boilerplate_words(docs, **limits).select(
-        F.col("doc_id").alias("__id"), F.col("th").alias("__th"), F.col("host").alias("__host"), "n_boiler", F.col("cut").alias("__cut")
-    )
-    base = base_stats(docs).withColumn("__t", F.xxhash64("text"))
-    out = base.join(
-        boiler,
-        base["doc_id"].eqNullSafe(F.col("__id")) & (base["__t"] == F.col("__th")) & base["source"].eqNullSafe(F.col("__host")),
-        "left",
-    ).withColumn("n_boiler", F.coalesce("n_boiler", F.lit(0)))
+def boilerplate(rows: DataFrame, few: int = FEW_DOCS, line_docs: int = LINE_DOCS, line_share: float = LINE_SHARE) -> DataFrame:
+    """(doc_id, th, host, n_boiler, cut): words and numbers of the lines above their host's limit; rows without any are absent."""
+    lines = rows.select("doc_id", "th", "host", F.explode("lines").alias("l")).select("doc_id", "th", "host", "l.*")
+    hosts = rows.groupBy("host").agg(F.count_distinct("th").alias("host_docs"))
+    limit = F.greatest(F.lit(float(few)), F.least(F.lit(float(line_docs)), F.lit(line_share) * F.col("host_docs")))
+    held = lines.groupBy("host", "k1", "k2").agg(F.count_distinct("th").alias("docs")).where(F.col("docs") > few)
+    common = held.alias("c").join(hosts.alias("h"), F.col("c.host").eqNullSafe(F.col("h.host"))).where(F.col("docs") > limit)
+    # under another expression than the grouping's key: a line of very many documents can then be split between tasks
+    common = common.select(F.col("c.host").alias("chost"), F.col("k1").bitwiseXOR(F.lit(0)).alias("c1"), F.col("k2").alias("c2"))
+    found = lines.join(common, F.col("host").eqNullSafe(F.col("chost")) & (F.col("k1") == F.col("c1")) & (F.col("k2") == F.col("c2")), "left_semi")
+    once = found.groupBy("doc_id", "th", "host", "no").agg(F.max("n").alias("n"))
+    return once.groupBy("doc_id", "th", "host").agg(F.sum("n").alias("n_boiler"), F.collect_list("no").alias("cut"))
+
+
+def judged(docs: DataFrame, min_left: float = MIN_LEFT, **limits) -> DataFrame:
+    """doc_id, th, host, base statistics, n_boiler, kept, and cut, the numbers of the boilerplate lines (null without any)."""
+    rows = _rows(docs, MIN_LINE_CHARS)
+    boiler = boilerplate(rows, **limits).select(F.col("doc_id").alias("__id"), F.col("th").alias("__th"), F.col("host").alias("__host"), "n_boiler", "cut")
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("th") == F.col("__th")) & F.col("host").eqNullSafe(F.col("__host"))
+    out = rows.drop("lines").join(boiler, same, "left").drop("__id", "__th", "__host").withColumn("n_boiler", F.coalesce("n_boiler", F.lit(0)))
     depleted = (F.col("n_words") - F.col("n_boiler")) < min_left * F.col("n_words")
-    return out.withColumn("kept", ~F.col("base_failed") & ~depleted).drop("__t", "__id", "__th", "__host")
-
-
-def judge(docs: DataFrame, min_left: float = MIN_LEFT, **limits) -> DataFrame:
-    """docs plus base statistics, n_boiler and kept."""
-    return _judged(docs, min_left, **limits).drop("__cut")
-
-
-def drop_rejected(docs: DataFrame) -> DataFrame:
-    """docs without the rows that the rules reject; columns as they are."""
-    thin = docs.select("doc_id", "text", "source")
-    out = judge(thin).where(~F.col("kept")).select(F.col("doc_id").alias("__id"), F.xxhash64("text").alias("__th"), F.col("source").alias("__host"))
-    same = docs["doc_id"].eqNullSafe(F.col("__id")) & (F.xxhash64(docs["text"]) == F.col("__th")) & docs["source"].eqNullSafe(F.col("__host"))
-    return docs.join(out, same, "left_anti")
+    return out.withColumn("kept", ~F.col("base_failed") & ~depleted)
 
 
 def clean(docs: DataFrame, min_left: float = MIN_LEFT, **limits) -> DataFrame:
     """docs without the rows that the rules reject, and without the boilerplate lines of the others; columns as they are."""
-    thin = docs.select("doc_id", "text", "source")
-    own = [F.col("doc_id").alias("__id"), F.xxhash64("text").alias("__th"), F.col("source").alias("__host")]
-    verdict = _judged(thin, min_left, **limits).where(~F.col("kept") | F.col("__cut").isNotNull()).select(*own, "kept", "__cut")
-    verdict = verdict.groupBy("__id", "__th", "__host").agg(F.first("kept").alias("__kept"), F.first("__cut").alias("__cut"))
+    verdict = judged(docs, min_left, **limits).where(~F.col("kept") | F.col("cut").isNotNull())
+    verdict = verdict.groupBy(F.col("doc_id").alias("__id"), F.col("th").alias("__th"), F.col("host").alias("__host")).agg(F.first("kept").alias("__kept"), F.first("cut").alias("__cut"))
     same = docs["doc_id"].eqNullSafe(F.col("__id")) & (F.xxhash64(docs["text"]) == F.col("__th")) & docs["source"].eqNullSafe(F.col("__host"))
-    left = F.filter(F.split("text", "\n"), lambda l, i: ~F.array_contains("__cut", i))
+    left = F.filter(F.split(docs["text"], "\n"), lambda l, i: ~F.array_contains("__cut", i))
     out = docs.join(verdict, same, "left").where(F.coalesce("__kept", F.lit(True)))
-    text = F.when(F.col("__cut").isNull(), F.col("text")).otherwise(F.array_join(left, "\n"))
-    return out.select(*[text.alias("text") if c == "text" else F.col(c) for c in docs.columns])
+    text = F.when(F.col("__cut").isNull(), docs["text"]).otherwise(F.array_join(left, "\n"))
+    return out.select(*[text.alias("text") if c == "text" else docs[c] for c in docs.columns])
 
 
 def op9(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    return judge(docs.select("doc_id", "text", "source")).select(
+    return judged(docs).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_boiler"
     )
 
@@ -185,7 +159,7 @@ dups AS (SELECT doc_id, count(*) - count(DISTINCT l) AS n FROM lines GROUP BY do
 hosts AS (SELECT source, count(DISTINCT t) AS host_docs FROM docs GROUP BY source),
 common AS (
   SELECT c.source, c.key FROM (SELECT source, key, count(DISTINCT t) AS n FROM lines WHERE length(key) >= 10 GROUP BY source, key) c
-  JOIN hosts h ON c.source IS NOT DISTINCT FROM h.source WHERE c.n > greatest(50, 0.05 * h.host_docs)),
+  JOIN hosts h ON c.source IS NOT DISTINCT FROM h.source WHERE c.n > greatest(5, least(50, 0.05 * h.host_docs))),
 boiler AS (
   SELECT doc_id, sum(len(list_filter(regexp_split_to_array(l, '[\x20\x09-\x0D]+'), lambda w: w <> '')))::BIGINT AS n
   FROM lines SEMI JOIN common ON lines.source IS NOT DISTINCT FROM common.source AND lines.key = common.key GROUP BY doc_id),

@@ -82,7 +82,7 @@ def simhash(docs):
     return sorted((i, f"{prints[i]:016x}", find(i)) for i in ids)
 
 
-def quality(docs, line_docs=50, share=0.05, left=0.3):
+def quality(docs, few=5, line_docs=50, share=0.05, left=0.3):
     texts, holders = defaultdict(set), defaultdict(set)
     norm = lambda line: line.strip(BLANKS).translate(LOWER)
     for _, t, s in docs:
@@ -96,6 +96,6 @@ def quality(docs, line_docs=50, share=0.05, left=0.3):
         grams = Counter(tuple(w[k : k + 5]) for k in range(len(w) - 4))
         again = {p for k in range(len(w) - 4) if grams[tuple(w[k : k + 5])] > 1 for p in range(k, k + 5)}
         failed = len(w) < 10 or 100 * len(again) > 20 * len(w)
-        boiler = sum(len(WORD.findall(x)) for x in every if len(holders[s, norm(x)]) > max(line_docs, share * len(texts[s])))
+        boiler = sum(len(WORD.findall(x)) for x in every if len(holders[s, norm(x)]) > max(few, min(line_docs, share * len(texts[s]))))
         out.append((i, len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", t or "")), len(every) - len(set(every)), len(again), failed, not failed and not (len(w) - boiler) < left * len(w), boiler))
     return sorted(out)

@@ -30,3 +30,17 @@ def test_limit_of_small_middle_and_hot_hosts(spark):
     assert len(out) == len(rows)
     held = {h: sum(r.source == h and line in r.text for r in out) for h in holders}
     assert held == {"small": 0, "sparse": 5, "middle": 0, "edge": 25, "hot": 0, "hot edge": 50}
+
+
+def test_query_rejects_depleted_documents(spark):
+    """The dealt rule decides: hosts with shared lines, documents that are little else, against brute force."""
+    from . import brute
+
+    shared = [" ".join(f"shared{k}w{j}" for j in range(9)) for k in range(6)]
+    rows = [(k, "\n".join([*shared[: k % 7], body(k)] if k % 3 else [*shared, f"own {k} words here only"]), f"h{k % 4}" if k % 5 else None) for k in range(240)]
+    rows += [(300, "\n".join(shared), "lonely"), (301, None, "h1"), (301, body(5), "h1"), (302, "", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    cols = ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_boiler")
+    out = sorted((tuple(r) for r in quality_rules.op9(spark, df).select(*cols).collect()), key=str)
+    assert out == sorted(brute.quality(rows), key=str)
+    assert sum(not r[7] and not r[6] for r in out) > 40 and sum(r[8] > 0 and r[7] for r in out) > 40
