@@ -1,13 +1,14 @@
 """Line dedup over levelled sorted runs of line hashes (DataFrame functions only).
 
-A run is a table of (k1, k2, first_doc), one row per line key, hash-dealt and sorted by key. Documents arrive in
-batches of ascending ``doc_id``. A batch is reduced to one row per key, merge-anti-joined with the runs, and what is
-new becomes a run of level 0. As soon as a level holds ``fanout`` runs they are merged into one run of the next level,
-so n batches leave O(log n) runs and each key is rewritten O(log n) times.
+A run is a table of (k1, k2, first_doc), one row per line key, bucketed and sorted by key. Documents arrive in batches of
+ascending ``doc_id``. A batch is reduced to one row per key, merge-anti-joined with the runs, and what is new becomes a
+run of level 0. As soon as a level holds ``fanout`` runs they are merged into one run of the next level, so n batches
+leave O(log n) runs and each key is rewritten O(log n) times. All runs have the batch's number of buckets, so neither
+anti-joins nor merges deal a run's rows out again: only the batch's own keys are shuffled.
 
 Defined results: a null text is one empty line. Rows without ``doc_id`` lose no line and own none. Rows that repeat a
-``doc_id`` count as one document, and each loses its own lines. An empty table gives an empty result. Further columns are
-ignored.
+``doc_id`` count as one document, and each loses its own lines. Texts of any length are split whole. An empty table gives an
+empty result. Further columns stay as they are.
 """
 
 from __future__ import annotations
@@ -45,38 +46,63 @@ def line_keys(docs: DataFrame, min_chars: int) -> DataFrame:
 
 @dataclass
 class LineRuns:
-    """The levels of runs; ``levels[i]`` lists the paths of the runs of level i."""
+    """The levels of runs; ``levels[i]`` lists the tables of the runs of level i."""
 
     spark: SparkSession
     fanout: int = 2
     levels: list[list[str]] = field(default_factory=list)
+    paths: dict[str, str] = field(default_factory=dict)
+
+    def __post_init__(self) -> None:
+        self.buckets = max(int(self.spark.conf.get("spark.sql.shuffle.partitions")), 1)
+
+    def runs(self) -> list[str]:
+        return [name for level in self.levels for name in level]
 
     def all(self) -> DataFrame:
-        """All keys so far; the runs hold disjoint keys."""
-        frames = [self.spark.read.schema(RUN_SCHEMA).parquet(p) for level in self.levels for p in level]
+        """All keys so far, as plain files; the runs hold disjoint keys."""
+        frames = [self.spark.read.schema(RUN_SCHEMA).parquet(self.paths[name]) for name in self.runs()]
         return reduce(DataFrame.union, frames) if frames else self.spark.createDataFrame([], RUN_SCHEMA)
 
     def _write(self, df: DataFrame) -> str:
         path = new_path(self.spark, "line-run")
-        df.sortWithinPartitions("k1", "k2").write.parquet(path)
-        return path
+        name = path.rpartition("/")[2].replace("-", "_")
+        df.write.format("parquet").option("path", path).bucketBy(self.buckets, "k1", "k2").sortBy("k1", "k2").saveAsTable(name)
+        self.paths[name] = path
+        return name
+
+    def _drop(self, name: str) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        drop_path(self.spark, self.paths.pop(name))
+
+    def close(self, files: bool = False) -> None:
+        """Forget the tables; their files stay unless they aren't needed either."""
+        for name in self.runs():
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+            if files:
+                drop_path(self.spark, self.paths[name])
 
     def add(self, keys: DataFrame, level: int = 0) -> None:
-        """Append the keys as a run; compact full levels."""
+        """Append the keys as a run; merge the runs of full levels."""
         while len(self.levels) <= level:
             self.levels.append([])
         self.levels[level].append(self._write(keys))
         if len(self.levels[level]) >= self.fanout:
             old, self.levels[level] = self.levels[level], []
-            self.add(self.spark.read.schema(RUN_SCHEMA).parquet(*old).repartition("k1", "k2"), level + 1)
-            for p in old:
-                drop_path(self.spark, p)
+            self.add(reduce(self.merge, [self.spark.table(name) for name in old]), level + 1)
+            for name in old:
+                self._drop(name)
+
+    @staticmethod
+    def merge(a: DataFrame, b: DataFrame) -> DataFrame:
+        """Two runs of disjoint keys as one, by a merge join of their buckets."""
+        return a.hint("merge").join(b.withColumnRenamed("first_doc", "__other"), ["k1", "k2"], "full_outer").select("k1", "k2", F.coalesce("first_doc", "__other").alias("first_doc"))
 
     def add_batch(self, lines: DataFrame) -> None:
-        """Merge-anti-join a batch's keys with the runs and add the rest. Batches come in ascending doc_id."""
+        """Merge-anti-join a batch's keys with each run and add the rest. Batches come in ascending doc_id."""
         keys = lines.groupBy("k1", "k2").agg(F.min("doc_id").alias("first_doc"))
-        if any(self.levels):
-            keys = keys.join(self.all().hint("merge"), ["k1", "k2"], "left_anti")
+        for name in self.runs():
+            keys = keys.join(self.spark.table(name).hint("merge"), ["k1", "k2"], "left_anti")
         self.add(keys)
 
 
@@ -91,6 +117,7 @@ def dropped_lines(docs: DataFrame, min_chars: int = 10, batches: int = 4, fanout
     runs = LineRuns(spark, fanout)
     for b in range(len(cuts) + 1):
         runs.add_batch(lines.where(F.col("batch") == b))
+    runs.close()
     return (
         lines.join(runs.all().hint("merge"), ["k1", "k2"])
         .where(F.col("doc_id") > F.col("first_doc"))

@@ -13,7 +13,8 @@
 6. Components by star contraction.
 
 Defined results: a null or wordless text has fingerprint zero. Rows without doc_id take part with their fingerprint but
-can't name a component: they get the smallest doc_id of it (null if none has one). Repeated rows give repeated rows.
+can't name a component: they get the smallest doc_id of it (null if none has one). Repeated rows give repeated rows. Texts of any
+length are voted whole. An empty table gives an empty result. Further columns, of whatever name, are ignored.
 """
 
 from __future__ import annotations
@@ -89,20 +90,36 @@ def near_links(fps: DataFrame, radius: int = RADIUS, cell: int = CELL) -> DataFr
         return sum((F.get("vec", F.lit(block * width + i)) * base**i for i in range(width)), F.lit(0))
 
     side = base**width
-    cells = F.array(*[((F.lit(k) * side + code(a)) * side + code(b)).cast("long") for k, (a, b) in enumerate(combinations(range(blocks), 2))])
-    member = counts.select("fp", F.explode(cells).alias("cell"))
-    sizes = member.groupBy("cell").agg(F.count("*").alias("n")).where(F.col("n") > 1)
-    small, crowded = sizes.where(F.col("n") <= cell).select("cell"), sizes.where(F.col("n") > cell).select("cell")
-    sparse = member.join(small, "cell")
-    left, right = sparse.select("cell", F.col("fp").alias("u")), sparse.select("cell", F.col("fp").alias("v"))
+    corners = list(combinations(range(blocks), 2))
+    cells = F.array(*[((F.lit(k) * side + code(a)) * side + code(b)).cast("long") for k, (a, b) in enumerate(corners)])
+
+    def finer() -> Column:
+        """Of a member of a cell, the codes of the three parts of the other blocks' coordinates."""
+        of_pair = []
+        for a, b in corners:
+            rest = [x * width + i for x in range(blocks) if x not in (a, b) for i in range(width)]
+            parts = [rest[0:6], rest[6:11], rest[11:]]
+            of_pair.append(F.array(*[sum((F.get("vec", F.lit(c)) * base**i for i, c in enumerate(p)), F.lit(0)) for p in parts]))
+        pick = F.array(*of_pair)[(F.col("cell") / (side * side)).cast("int")]
+        return F.transform(pick, lambda x, j: ((F.col("cell") * 3 + j) * base**6 + x).cast("long"))
+
+    def split(member: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Members of cells that are paired, and of crowded ones; a member that is alone leaves."""
+        sizes = member.groupBy("cell").agg(F.count("*").alias("n")).where(F.col("n") > 1).select(F.col("cell").bitwiseXOR(F.lit(0)).alias("__c"), "n")
+        known = member.join(sizes, F.col("cell") == F.col("__c")).drop("__c")
+        return known.where(F.col("n") <= cell).drop("n"), known.where(F.col("n") > cell).drop("n")
+
     apart = sum((F.abs(a - b) for a, b in zip(embedding(F.col("u")), embedding(F.col("v")), strict=True)), F.lit(0))
-    pairs = (
-        left.join(right, "cell").where(F.col("u") < F.col("v"))
-        .where(apart <= radius)
-        .where(F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= radius)
-        .select("u", "v")
-    )
-    dense = member.join(crowded, "cell", "left_semi").select("fp").distinct()
+
+    def paired(sparse: DataFrame) -> DataFrame:
+        left, right = sparse.select("cell", F.col("fp").alias("u")), sparse.select("cell", F.col("fp").alias("v"))
+        near = left.join(right, "cell").where(F.col("u") < F.col("v")).where(apart <= radius)
+        return near.where(F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= radius).select("u", "v")
+
+    sparse, crowded = split(counts.select("fp", F.explode(cells).alias("cell")))
+    fine, dense = split(crowded.withColumn("vec", F.array(*embedding(F.col("fp")))).select("fp", F.explode(finer()).alias("cell")))
+    pairs = paired(sparse).union(paired(fine))
+    dense = dense.select("fp").distinct()
     flips = F.array(F.col("fp"), *[F.col("fp").bitwiseXOR(F.lit(1 << i if i < 63 else -(1 << 63))) for i in range(64)])
     ball = dense.select("fp", F.explode(flips).alias("word"))
     heads = ball.groupBy("word").agg(F.min("fp").alias("head"), F.count("*").alias("n")).where(F.col("n") > 1)

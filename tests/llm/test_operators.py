@@ -425,3 +425,21 @@ def test_pooled_features_are_those_of_plain_sums(spark):
         v = unit[bucket[texts[r.doc_id]]]
         want = np.concatenate([v.mean(0), v.std(0), [np.log1p(len(v)) / 8]]) if len(v) else np.zeros(quality_model.FEATURES)
         assert np.allclose(r.x, want, atol=1e-3)
+
+
+def test_sorted_runs_are_not_dealt_again(spark, tables):
+    """Anti-joins and merges shuffle the batch's keys alone, and leave no table behind."""
+    df, _ = tables["real"]
+    before = {t.name for t in spark.catalog.listTables()}
+    runs = line_dedup.LineRuns(spark)
+    lines = line_dedup.line_keys(df, 10)
+    runs.add_batch(lines.where("doc_id < 100"))
+    name = runs.runs()[0]
+    keys = lines.where("doc_id >= 100").groupBy("k1", "k2").agg(F.min("doc_id").alias("first_doc"))
+    plan = keys.join(spark.table(name).hint("merge"), ["k1", "k2"], "left_anti")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and f"SelectedBucketsCount: {runs.buckets} out of {runs.buckets}" in plan
+    merged = line_dedup.LineRuns.merge(spark.table(name), spark.table(name))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in merged
+    runs.close(files=True)
+    assert line_dedup.dedup_lines(df).count() == df.count()
+    assert {t.name for t in spark.catalog.listTables()} == before
