@@ -1,13 +1,17 @@
 """Near copies by word shingles: one text of each group of texts of Jaccard similarity ``LEAST`` or more stays.
 
 1. A text is the set of its hashed shingles of ``WIDTH`` words (A-Z lower-cased). Texts of equal sets collapse to one.
-2. ``BANDS`` band keys a set, each of ``ROWS`` least hashes. Two sets of similarity s share a key with probability
-   1 - (1 - s**ROWS)**BANDS: 0.9996 at 0.8, and more above.
-3. The sets of a cell (a band key) are paired. In a cell of more than ``CELL`` sets each one is paired with ``HEADS`` of
+2. Every set gets a 64-bit SimHash of its shingles; pairs within 2 bits come from the segment-popcount grid of ``simhash``.
+   Pairs of similarity 0.8 lie up to 11 bits apart, where a grid of segments no longer divides the texts, so
+3. ``BANDS`` band keys a set, each of ``ROWS`` least hashes, give the others. Two sets of similarity s share a key with
+   probability 1 - (1 - s**ROWS)**BANDS: 0.9996 at 0.8, and more above.
+4. The sets of a cell (a band key) are paired. In a cell of more than ``CELL`` sets each one is paired with ``HEADS`` of
    them instead: those least under fixed orders, so that the cells of one group choose mostly the same.
-4. Every pair is tested on the whole sets; only pairs of ``LEAST`` or more are links. Components by star contraction.
+5. Every pair is tested on the whole sets; only pairs of ``LEAST`` or more are links. Components by star contraction.
 
-Defined results: null and wordless texts are equal; a text under ``WIDTH`` words is one shingle. Rows without doc_id stay.
+Defined results: null and wordless texts are equal; a text under ``WIDTH`` words is one shingle. Rows without doc_id stay. Rows
+that repeat a doc_id stay or go together. Texts of any length are compared whole. An empty table stays empty. Further columns,
+of whatever name, stay as they are.
 """
 
 from __future__ import annotations
@@ -22,6 +26,7 @@ from pyspark.sql import functions as F
 from ..session import durable
 from . import kernel
 from .components import components
+from .simhash import near_links
 
 WIDTH, LEAST, BANDS, ROWS, CELL, HEADS = 5, 0.8, 20, 5, 16, 4
 _SALT, _ODD = kernel._splitmix(BANDS * ROWS, 11), kernel._splitmix(BANDS * ROWS, 13) | np.uint64(1)
@@ -61,6 +66,16 @@ def bands(sets: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return keys
 
 
+def fingerprints(sets: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """SimHash of each document's shingles: a bit is 1 if set in over half of them."""
+    out = np.zeros(len(offsets) - 1, np.uint64)
+    n = np.diff(offsets)
+    for bit in range(64):
+        votes = np.add.reduceat(((sets >> np.uint64(bit)) & np.uint64(1)).astype(np.int64), offsets[:-1])
+        out |= (2 * votes > n).astype(np.uint64) << np.uint64(bit)
+    return out
+
+
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         data, off = kernel.utf8(batch.column("text"))
@@ -70,10 +85,10 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             whole = kernel.mix(np.add.reduceat(s, by[:-1]) + np.diff(by).astype(np.uint64), 3)
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("doc_id").slice(i, j - i), batch.column("th").slice(i, j - i), pa.array(whole.view(np.int64)),
+                    batch.column("doc_id").slice(i, j - i), batch.column("th").slice(i, j - i), pa.array(whole.view(np.int64)), pa.array(fingerprints(s, by).view(np.int64)),
                     pa.ListArray.from_arrays(pa.array(np.arange(j - i + 1, dtype=np.int32) * BANDS), pa.array(keys.reshape(-1).view(np.int64))),
                 ],
-                ["doc_id", "th", "sh", "bands"],
+                ["doc_id", "th", "sh", "fp", "bands"],
             )
 
 
@@ -99,10 +114,18 @@ def candidates(firsts: DataFrame, cell: int = CELL, heads: int = HEADS) -> DataF
     return pairs.union(crowded.select(F.least("sh", "h").alias("u"), F.greatest("sh", "h").alias("v"))).distinct()
 
 
+def simhash_pairs(firsts: DataFrame) -> DataFrame:
+    """firsts(sh, fp) -> pairs (u, v) of sets whose fingerprints are equal or in one SimHash link; of equal ones each with the first."""
+    heads = firsts.groupBy("fp").agg(F.min("sh").alias("head"))
+    equal = firsts.select("sh", "fp").join(heads, "fp").where("sh <> head").select("sh", "head")
+    near = near_links(heads.select("fp")).join(heads.select(F.col("fp").alias("u"), F.col("head").alias("hu")), "u").join(heads.select(F.col("fp").alias("v"), F.col("head").alias("hv")), "v")
+    return equal.union(near.select("hu", "hv")).select(F.least("sh", "head").alias("u"), F.greatest("sh", "head").alias("v"))
+
+
 def links(docs: DataFrame, signed: DataFrame, least: float = LEAST, cell: int = CELL, heads: int = HEADS) -> DataFrame:
     """Links (u, v) between the sets of ``signed`` that are as similar as wanted."""
-    firsts = durable(signed.groupBy("sh").agg(F.min("th").alias("th"), F.min("bands").alias("bands")), "sets")
-    pairs = durable(candidates(firsts, cell, heads), "near-pairs")
+    firsts = durable(signed.groupBy("sh").agg(F.min("th").alias("th"), F.min("fp").alias("fp"), F.min("bands").alias("bands")), "sets")
+    pairs = durable(candidates(firsts, cell, heads).union(simhash_pairs(firsts)).distinct(), "near-pairs")
     wanted = firsts.join(pairs.select(F.col("u").alias("sh")).union(pairs.select("v")).distinct(), "sh").select("sh", F.col("th").alias("__th"))
     texts = docs.select(F.xxhash64("text").alias("th"), "text").join(wanted, F.col("th") == F.col("__th")).dropDuplicates(["sh"]).select("sh", "text")
     sets = durable(texts.mapInArrow(_sets, "sh long, set array<long>"), "shingles")
@@ -118,7 +141,7 @@ def links(docs: DataFrame, signed: DataFrame, least: float = LEAST, cell: int =
 def groups(docs: DataFrame, **limits) -> DataFrame:
     """(doc_id, component_id): component_id is the smallest doc_id of the row's group of near copies."""
     rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("th"), "text")
-    signed = durable(rows.mapInArrow(_signatures, "doc_id long, th long, sh long, bands array<long>"), "bands")
+    signed = durable(rows.mapInArrow(_signatures, "doc_id long, th long, sh long, fp long, bands array<long>"), "bands")
     linked = components(links(docs, signed, **limits)).withColumnRenamed("node", "sh")
     firsts = signed.groupBy("sh").agg(F.min("doc_id").alias("first")).join(linked, "sh", "left").withColumn("component", F.coalesce("component", "sh"))
     heads = firsts.groupBy("component").agg(F.min("first").alias("component_id"))

@@ -40,3 +40,19 @@ def test_edited_copies_go(spark):
     assert sorted(r.doc_id for r in near_copies.keep_one(df).collect()) == want
     crowded = sorted(r.doc_id for r in near_copies.keep_one(df, cell=2).collect())
     assert set(want) <= set(crowded) and len(crowded) <= len(want) + 2
+
+
+def test_fingerprints_and_odd_rows(spark):
+    import numpy as np
+
+    sets = np.random.default_rng(2).integers(0, 2**63, 40).astype(np.uint64)
+    offsets = np.array([0, 1, 18, 40])
+    want = [sum(1 << b for b in range(64) if 2 * sum(int(x) >> b & 1 for x in sets[a:z]) > z - a) for a, z in zip(offsets[:-1], offsets[1:], strict=True)]
+    assert near_copies.fingerprints(sets, offsets).tolist() == want
+    rng = random.Random(4)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(120)]
+    rows = [(1, " ".join(base)), (1, "another text of the same id and of some words"), (2, " ".join(base)), (None, " ".join(base)), (None, None), (3, edited(base, rng, 1)), (4, " ".join(f"z{k}" for k in range(30_000)))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 AS sh", "'x' AS fp", "2 AS u", "3 AS component", "4 AS bands")
+    kept = near_copies.keep_one(df)
+    assert kept.columns == df.columns and sorted((r.doc_id for r in kept.collect()), key=str) == sorted([1, 1, 4, None, None], key=str)
+    assert near_copies.keep_one(df.where("false")).count() == 0
