@@ -116,9 +116,10 @@ def candidates(firsts: DataFrame, cell: int = CELL, heads: int = HEADS) -> DataF
 
 def simhash_pairs(firsts: DataFrame) -> DataFrame:
     """firsts(sh, fp) -> pairs (u, v) of sets whose fingerprints are equal or in one SimHash link; of equal ones each with the first."""
-    heads = firsts.groupBy("fp").agg(F.min("sh").alias("head"))
+    heads = durable(firsts.groupBy("fp").agg(F.min("sh").alias("head")), "fps")
     equal = firsts.select("sh", "fp").join(heads, "fp").where("sh <> head").select("sh", "head")
-    near = near_links(heads.select("fp")).join(heads.select(F.col("fp").alias("u"), F.col("head").alias("hu")), "u").join(heads.select(F.col("fp").alias("v"), F.col("head").alias("hv")), "v")
+    found = durable(near_links(heads.select("fp")), "fp-links")  # a plan of its own: the driver holds one at a time
+    near = found.join(heads.select(F.col("fp").alias("u"), F.col("head").alias("hu")), "u").join(heads.select(F.col("fp").alias("v"), F.col("head").alias("hv")), "v")
     return equal.union(near.select("hu", "hv")).select(F.least("sh", "head").alias("u"), F.greatest("sh", "head").alias("v"))
 
 
