@@ -5,9 +5,13 @@
    Pairs of similarity 0.8 lie up to 11 bits apart, where a grid of segments no longer divides the texts, so
 3. ``BANDS`` band keys a set, each of ``ROWS`` least hashes, give the others. Two sets of similarity s share a key with
    probability 1 - (1 - s**ROWS)**BANDS: 0.9996 at 0.8, and more above.
-4. The sets of a cell (a band key) are paired. In a cell of more than ``CELL`` sets each one is paired with ``HEADS`` of
-   them instead: those least under fixed orders, so that the cells of one group choose mostly the same.
+4. The sets of a cell (a band key) are paired. In a cell of more than ``CELL`` sets each one is first paired with ``HEADS`` of
+   them: those least under fixed orders, so that the cells of one group choose mostly the same.
 5. Every pair is tested on the whole sets; only pairs of ``LEAST`` or more are links. Components by star contraction.
+6. A crowded cell whose sets are by then in one component is settled: further links in it change nothing. The sets of the
+   others get ``LONG_BANDS`` keys of ``LONG_ROWS`` least hashes, and in the cells of these all pairs across components are
+   tested, without limit. Two sets of 0.8 share such a key with probability 0.9994. This is the way for all that step 4 leaves;
+   its work grows with pairs of similar sets in different components, not with copies of one text.
 
 Defined results: null and wordless texts are equal; a text under ``WIDTH`` words is one shingle. Rows without doc_id stay. Rows
 that repeat a doc_id stay or go together. Texts of any length are compared whole. An empty table stays empty. Further columns,
@@ -29,7 +33,9 @@ from .components import components
 from .simhash import near_links
 
 WIDTH, LEAST, BANDS, ROWS, CELL, HEADS = 5, 0.8, 20, 5, 16, 4
-_SALT, _ODD = kernel._splitmix(BANDS * ROWS, 11), kernel._splitmix(BANDS * ROWS, 13) | np.uint64(1)
+LONG_BANDS, LONG_ROWS = 40, 8
+_HASHES = BANDS * ROWS + LONG_BANDS * LONG_ROWS  # the long keys take hashes of their own
+_SALT, _ODD = kernel._splitmix(_HASHES, 11), kernel._splitmix(_HASHES, 13) | np.uint64(1)
 
 
 def shingles(data: np.ndarray, offsets: np.ndarray, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray]:
@@ -56,13 +62,13 @@ def shingles(data: np.ndarray, offsets: np.ndarray, width: int = WIDTH) -> tuple
     return out[first], np.searchsorted(doc[first], np.arange(len(n) + 1))
 
 
-def bands(sets: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Band keys, a row for each document."""
-    keys = np.zeros((len(offsets) - 1, BANDS), np.uint64)
+def bands(sets: np.ndarray, offsets: np.ndarray, count: int = BANDS, rows: int = ROWS, skip: int = 0) -> np.ndarray:
+    """Band keys, a row for each document; ``skip`` hashes are left to other keys."""
+    keys = np.zeros((len(offsets) - 1, count), np.uint64)
     with np.errstate(over="ignore"):
-        for k in range(BANDS * ROWS):
-            b = k // ROWS
-            keys[:, b] = kernel.mix(keys[:, b] * kernel.BASE + np.minimum.reduceat((sets ^ _SALT[k]) * _ODD[k], offsets[:-1]), b)
+        for k in range(count * rows):
+            b, h = k // rows, skip + k
+            keys[:, b] = kernel.mix(keys[:, b] * kernel.BASE + np.minimum.reduceat((sets ^ _SALT[h]) * _ODD[h], offsets[:-1]), b)
     return keys
 
 
@@ -102,16 +108,49 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def candidates(firsts: DataFrame, cell: int = CELL, heads: int = HEADS) -> DataFrame:
-    """firsts(sh, bands) -> pairs (u, v) of sets that share a cell, u < v."""
+def _long_bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        sets = batch.column("set")
+        off = sets.offsets.to_numpy()
+        keys = bands(sets.values.to_numpy().view(np.uint64)[off[0] : off[-1]], off - off[0], LONG_BANDS, LONG_ROWS, BANDS * ROWS)
+        lists = pa.ListArray.from_arrays(pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * LONG_BANDS), pa.array(keys.reshape(-1).view(np.int64)))
+        yield pa.RecordBatch.from_arrays([batch.column("sh"), batch.column("component"), pa.array(np.diff(off).astype(np.int64)), lists], ["sh", "component", "n", "bands"])
+
+
+def cells(firsts: DataFrame, heads: int = HEADS) -> DataFrame:
+    """firsts(sh, bands) -> (cell, sh, n, heads) of the cells of two sets and more."""
     member = firsts.select("sh", F.explode("bands").alias("cell"))
     orders = [F.xxhash64(F.lit(k), "sh") for k in range(heads)]
-    sizes = member.groupBy("cell").agg(F.count("*").alias("n"), *[F.min_by("sh", o).alias(f"h{k}") for k, o in enumerate(orders)]).where("n > 1")
-    known = member.join(sizes, "cell")
+    picked = F.array_distinct(F.array(*[F.min_by("sh", o) for o in orders]))
+    sizes = member.groupBy("cell").agg(F.count("*").alias("n"), picked.alias("heads")).where("n > 1")
+    return member.join(sizes.select(F.col("cell").bitwiseXOR(F.lit(0)).alias("__c"), "n", "heads"), F.col("cell") == F.col("__c")).drop("__c")
+
+
+def candidates(known: DataFrame, crowded: DataFrame, cell: int = CELL) -> DataFrame:
+    """Pairs (u, v), u < v: all of cells of ``cell`` sets at most, those with the heads of crowded ones."""
     sparse = known.where(F.col("n") <= cell)
     pairs = sparse.select("cell", F.col("sh").alias("u")).join(sparse.select("cell", F.col("sh").alias("v")), "cell").where("u < v").select("u", "v")
-    crowded = known.where(F.col("n") > cell).select("sh", F.explode(F.array_distinct(F.array(*[f"h{k}" for k in range(heads)]))).alias("h")).where("sh <> h")
-    return pairs.union(crowded.select(F.least("sh", "h").alias("u"), F.greatest("sh", "h").alias("v"))).distinct()
+    headed = crowded.select("sh", F.explode("heads").alias("h")).where("sh <> h")
+    return pairs.union(headed.select(F.least("sh", "h").alias("u"), F.greatest("sh", "h").alias("v"))).distinct()
+
+
+def across(crowded: DataFrame, sets: DataFrame, found: DataFrame, least: float = LEAST) -> DataFrame:
+    """Pairs (u, v) that crowded cells leave open: of sets in different components of the links that are found."""
+    parts = components(found).withColumnRenamed("node", "sh")
+    state = crowded.select("cell", "sh").join(parts, "sh", "left").withColumn("component", F.coalesce("component", "sh"))
+
+    def mixed(member: DataFrame) -> DataFrame:
+        spans = member.groupBy("cell").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
+        return member.join(spans.select(F.col("cell").bitwiseXOR(F.lit(0)).alias("__c")), F.col("cell") == F.col("__c")).drop("__c")
+
+    still = mixed(state).select("sh", "component").distinct()
+    keyed = still.join(sets, "sh").select("sh", "component", "set").mapInArrow(_long_bands, "sh long, component long, n long, bands array<long>")
+    member = durable(mixed(durable(keyed, "long-bands").select("sh", "component", "n", F.explode("bands").alias("cell"))), "open-cells")
+    left, right = (member.select("cell", *[F.col(c).alias(c + side) for c in ("sh", "component", "n")]) for side in "uv")
+    met = left.join(right, "cell").where("componentu < componentv").where(F.least("nu", "nv") >= least * F.greatest("nu", "nv"))
+    return met.select(F.least("shu", "shv").alias("u"), F.greatest("shu", "shv").alias("v")).distinct()
 
 
 def simhash_pairs(firsts: DataFrame) -> DataFrame:
@@ -123,13 +162,8 @@ def simhash_pairs(firsts: DataFrame) -> DataFrame:
     return equal.union(near.select("hu", "hv")).select(F.least("sh", "head").alias("u"), F.greatest("sh", "head").alias("v"))
 
 
-def links(docs: DataFrame, signed: DataFrame, least: float = LEAST, cell: int = CELL, heads: int = HEADS) -> DataFrame:
-    """Links (u, v) between the sets of ``signed`` that are as similar as wanted."""
-    firsts = durable(signed.groupBy("sh").agg(F.min("th").alias("th"), F.min("fp").alias("fp"), F.min("bands").alias("bands")), "sets")
-    pairs = durable(candidates(firsts, cell, heads).union(simhash_pairs(firsts)).distinct(), "near-pairs")
-    wanted = firsts.join(pairs.select(F.col("u").alias("sh")).union(pairs.select("v")).distinct(), "sh").select("sh", F.col("th").alias("__th"))
-    texts = docs.select(F.xxhash64("text").alias("th"), "text").join(wanted, F.col("th") == F.col("__th")).dropDuplicates(["sh"]).select("sh", "text")
-    sets = durable(texts.mapInArrow(_sets, "sh long, set array<long>"), "shingles")
+def verified(pairs: DataFrame, sets: DataFrame, least: float = LEAST) -> DataFrame:
+    """The pairs whose whole sets are as similar as wanted."""
     both = (
         pairs.join(sets.select(F.col("sh").alias("u"), F.col("set").alias("a")), "u")
         .join(sets.select(F.col("sh").alias("v"), F.col("set").alias("b")), "v")
@@ -139,6 +173,19 @@ def links(docs: DataFrame, signed: DataFrame, least: float = LEAST, cell: int =
     return both.where(F.col("common") >= least * (F.size("a") + F.size("b") - F.col("common"))).select("u", "v")
 
 
+def links(docs: DataFrame, signed: DataFrame, least: float = LEAST, cell: int = CELL, heads: int = HEADS) -> DataFrame:
+    """Links (u, v) between the sets of ``signed`` whose components are those of all pairs as similar as wanted."""
+    firsts = durable(signed.groupBy("sh").agg(F.min("th").alias("th"), F.min("fp").alias("fp"), F.min("bands").alias("bands")), "sets")
+    known = cells(firsts, heads)
+    crowded = durable(known.where(F.col("n") > cell).select("cell", "sh", "heads"), "crowded")
+    pairs = durable(candidates(known, crowded, cell).union(simhash_pairs(firsts)).distinct(), "near-pairs")
+    wanted = firsts.join(pairs.select(F.col("u").alias("sh")).union(pairs.select("v")).distinct(), "sh").select("sh", F.col("th").alias("__th"))
+    texts = docs.select(F.xxhash64("text").alias("th"), "text").join(wanted, F.col("th") == F.col("__th")).dropDuplicates(["sh"]).select("sh", "text")
+    sets = durable(texts.mapInArrow(_sets, "sh long, set array<long>"), "shingles")
+    found = durable(verified(pairs, sets, least), "near-links")
+    return found.union(verified(durable(across(crowded, sets, found, least), "open-pairs"), sets, least))
+
+
 def groups(docs: DataFrame, **limits) -> DataFrame:
     """(doc_id, component_id): component_id is the smallest doc_id of the row's group of near copies."""
     rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("th"), "text")

@@ -38,8 +38,34 @@ def test_edited_copies_go(spark):
     want = sorted({r for r in root.values()})
     assert len(want) < len(rows) - 50
     assert sorted(r.doc_id for r in near_copies.keep_one(df).collect()) == want
-    crowded = sorted(r.doc_id for r in near_copies.keep_one(df, cell=2).collect())
-    assert set(want) <= set(crowded) and len(crowded) <= len(want) + 2
+    for heads in (1, 4):
+        assert sorted(r.doc_id for r in near_copies.keep_one(df, cell=2, heads=heads).collect()) == want
+
+
+def test_crowded_cells_of_many_groups_lose_no_link(spark):
+    """Texts that share half of their words, with chains of copies in between whose ends aren't similar."""
+    rng = random.Random(5)
+    shared = [f"s{rng.randrange(10**6)}" for _ in range(120)]
+    rows, k = [], 0
+    for g in range(6):
+        words = shared + [f"g{g}x{rng.randrange(10**6)}" for _ in range(60)]
+        for step in range(24):
+            rows.append((k, " ".join(words)))
+            k += 1
+            at = 120 + rng.randrange(4) + 2 * step
+            words = [*words[:at], f"new{rng.randrange(10**6)}", *words[at + 1 :]]
+            for _ in range(2):
+                words[rng.randrange(120)] = f"new{rng.randrange(10**6)}"
+    pairs = similar(rows)
+    root = {i: i for i, _ in rows}
+    for i, j in sorted(pairs):
+        a, b = root[i], root[j]
+        root = {n: min(a, b) if r in (a, b) else r for n, r in root.items()}
+    assert len(pairs) < len(rows) * 8 and len(set(root.values())) == 6
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    for cell, heads in ((16, 4), (1, 1)):
+        got = {r.doc_id: r.component_id for r in near_copies.groups(df, cell=cell, heads=heads).collect()}
+        assert got == root
 
 
 def test_fingerprints_and_odd_rows(spark):
