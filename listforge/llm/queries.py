@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, hilbert, line_dedup, packing, quality_model, quality_rules, recompression, rollups, simhash, suffix_dedup
+from . import decontaminate, hilbert, lexical_search, line_dedup, packing, quality_model, quality_rules, recompression, rollups, simhash, suffix_dedup
 from .common import table
 
 
@@ -26,6 +26,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_hilbert_shards": _on_documents(hilbert.op8),
         "op9_quality_rules": _on_documents(quality_rules.op9),
         "op10_token_rollups": _on_documents(rollups.op10),
+        "op11_lexical_search": lexical_search.op11,
         "llm_word_rollups": _on_documents(rollups.word_rollups),
     }
 
@@ -35,5 +36,6 @@ def oracle_sql() -> dict[str, str]:
         "op6_line_dedup": line_dedup.ORACLE,
         "op8_hilbert_shards": hilbert.oracle(),
         "op9_quality_rules": quality_rules.ORACLE,
+        "op11_lexical_search": lexical_search.ORACLE,
         "llm_word_rollups": rollups.WORD_ORACLE,
     }
