@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import collocations, decontaminate, hilbert, lexical_search, line_dedup, packing, quality_model, quality_rules, recompression, rollups, simhash, suffix_dedup
+from . import collocations, decontaminate, hilbert, lexical_search, line_dedup, packing, quality_model, quality_rules, recompression, rollups, simhash, suffix_dedup, warc
 from .common import table
 
 
@@ -27,6 +27,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_quality_rules": _on_documents(quality_rules.op9),
         "op10_token_rollups": _on_documents(rollups.op10),
         "op11_lexical_search": lexical_search.op11,
+        "op12_warc_capture_index": warc.op12,
         "op13_phrase_collocations": _on_documents(collocations.op13),
         "llm_word_rollups": _on_documents(rollups.word_rollups),
     }
@@ -38,6 +39,7 @@ def oracle_sql() -> dict[str, str]:
         "op8_hilbert_shards": hilbert.oracle(),
         "op9_quality_rules": quality_rules.ORACLE,
         "op11_lexical_search": lexical_search.ORACLE,
+        "op12_warc_capture_index": warc.ORACLE,
         "op13_phrase_collocations": collocations.ORACLE,
         "llm_word_rollups": rollups.WORD_ORACLE,
     }
