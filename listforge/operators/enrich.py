@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 
 from ..functions import names as N
 from ..functions import text as T
+from .fuzzy import pairs
 from .versioning import latest
 
 
@@ -17,35 +18,14 @@ def subjects(current: DataFrame, results: DataFrame, as_of: Column, refresh_days
     return current.where(F.col("entity_type").isin(*types)).join(young, ["source_id", "source_key"], "left_anti").orderBy(F.col("created_at").desc(), "source_key").limit(n)
 
 
-def near_names(names: DataFrame, registered: DataFrame) -> DataFrame:
-    """(core, r_core, score) of the distinct core names on both sides that are alike; names(core), registered(r_core).
-
-    A name of n tokens is looked up by the n - ceil(n / 2) + 1 of them that are rarest in the register, so every pair that
-    shares half of the tokens of both meets, and common tokens (which are looked up last) make few pairs. Both sides of
-    the join are plain, so that the tasks of a hot token can be split.
-    """
-    tokens = lambda c: F.array_distinct(F.filter(F.split(c, " "), lambda t: t != ""))
-    registered = registered.select("r_core").distinct()
-    often = registered.select(F.explode(tokens("r_core")).alias("t")).groupBy("t").agg(F.count("*").alias("n")).select(F.col("t").alias("__t"), "n")
-
-    def rare(df: DataFrame, core: str) -> DataFrame:
-        one = df.select(core, F.explode(tokens(core)).alias("t"))
-        seen = one.join(often, F.col("t") == F.col("__t"), "left").withColumn("n", F.coalesce("n", F.lit(0)))
-        listed = seen.groupBy(core).agg(F.array_sort(F.collect_list(F.struct("n", "t"))).alias("ts"))
-        n = F.size("ts")
-        return listed.select(core, F.explode(F.slice("ts", F.lit(1), n - F.ceil(n / 2).cast("int") + 1)).alias("x")).select(core, F.col("x.t").alias("t"))
-
-    met = rare(names.select("core").distinct(), "core").join(rare(registered, "r_core"), "t").select("core", "r_core").distinct()
-    return met.withColumn("score", N.name_score(F.col("core"), F.col("r_core")))
-
-
 def legal_entities(subj: DataFrame, registry: DataFrame, review: float = 0.85) -> DataFrame:
     """Ladder: valid LEI, then a registration number that is unique in its country, then the best name.
 
     subj(subject_id, lei, lei_valid, reg_norm, country, core); registry(lei, reg_norm, country, core). Names are compared
     within the subject's country, or in all countries for a subject without one. Where that leaves a subject below the
-    review score, names of every country are compared, and one of another country costs 0.15. Scores are cut at 0; of
-    equal ones the smallest LEI counts. Only distinct names are compared with one another.
+    review score, names of every country are compared, and one of another country costs 0.15. Of equal scores the smallest
+    LEI counts. Only scores that reach the review score are looked for, all of them (``fuzzy.pairs``); a subject without one is NO_MATCH
+    with score 0.
     """
     r = registry.select(F.col("lei").alias("r_key"), F.col("reg_norm").alias("r_reg"), F.col("country").alias("r_country"), F.col("core").alias("r_core"))
     hit = lambda df, method, score, tier: df.select("subject_id", "r_key", F.lit(method).alias("match_method"), score.alias("score"), F.lit(tier).alias("tier"))
@@ -54,7 +34,7 @@ def legal_entities(subj: DataFrame, registry: DataFrame, review: float = 0.85) -
     by_reg = hit(subj.join(alone, (F.col("reg_norm") == F.col("r_reg")) & (F.col("country") == F.col("r_country"))), "REGISTRATION_NUMBER", F.lit(1.0), 2)
     left = subj.join(by_lei.union(by_reg).select("subject_id").distinct(), "subject_id", "left_anti").select("subject_id", "country", "core")
 
-    alike = near_names(left, r)
+    alike = pairs(left, r, review)
     at_home = r.groupBy("r_core", "r_country").agg(F.min("r_key").alias("r_key"))
     anywhere = r.groupBy("r_core").agg(F.min("r_key").alias("r_key"))
     wanted = left.select("core", "country").distinct().join(alike, "core")
@@ -64,7 +44,7 @@ def legal_entities(subj: DataFrame, registry: DataFrame, review: float = 0.85) -
     reached = own.where(F.col("score") >= review).select("core", F.col("country").alias("__c")).distinct()
     short = wanted.where("country IS NOT NULL").join(reached.withColumnRenamed("core", "__core"), (F.col("core") == F.col("__core")) & (F.col("country") == F.col("__c")), "left_anti")
     # an entity of the subject's own country stands among ``own`` with more, so it needs no exception here
-    other = short.join(anywhere, "r_core").select("core", "country", F.greatest(F.lit(0.0), F.round(F.col("score") - 0.15, 4)).alias("score"), "r_key")
+    other = short.join(anywhere, "r_core").select("core", "country", F.round(F.col("score") - 0.15, 4).alias("score"), "r_key").where(F.col("score") >= review)
     best_name = top(own.union(other)).select(F.col("core").alias("__core"), F.col("country").alias("__c"), "score", "r_key")
     by_name = hit(left.join(best_name, (F.col("core") == F.col("__core")) & F.col("country").eqNullSafe(F.col("__c"))), "NAME_COUNTRY", F.col("score"), 3)
     best = latest(by_lei.union(by_reg).union(by_name), ["subject_id"], F.col("tier"), F.col("score").desc(), F.col("r_key"))
@@ -79,23 +59,23 @@ def parents(accepted: DataFrame, links: DataFrame) -> DataFrame:
     return accepted.join(side("DIRECT"), "provider_key", "left").join(side("ULTIMATE"), "provider_key", "left")
 
 
-def companies(subj: DataFrame, registry: DataFrame) -> DataFrame:
+def companies(subj: DataFrame, registry: DataFrame, review: float = 0.85) -> DataFrame:
     """Company register: registration numbers of 6 to 8 characters, home country or unknown, exactly; else the best name.
 
     subj(subject_id, country, reg_norm, core); registry(number, core). Every wanted subject (home country or unknown) gets a
-    row; distinct names are compared as in ``near_names``, of equal scores the smallest number counts, and a best score
-    under the review limit is NO_MATCH without a key.
+    row; all names that reach the review score are found (``fuzzy.pairs``), of equal scores the smallest number counts, and a subject
+    without one is NO_MATCH with score 0 and no key.
     """
     wanted = subj.where(F.col("country").isNull() | (F.col("country") == "GB")).select("subject_id", "reg_norm", "core")
     r = registry.select(F.col("number").alias("r_key"), F.col("core").alias("r_core"))
     exact = wanted.where(F.length("reg_norm").between(6, 8)).join(r, F.col("reg_norm") == F.col("r_key")).select("subject_id", "r_key", F.lit("REGISTRATION_NUMBER").alias("match_method"), F.lit(1.0).alias("score"), F.lit(1).alias("tier"))
     left = wanted.join(exact.select("subject_id").distinct(), "subject_id", "left_anti").select("subject_id", "core")
     first = r.groupBy("r_core").agg(F.min("r_key").alias("r_key"))
-    top = near_names(left, r).join(first, "r_core").groupBy("core").agg(F.min(F.struct((-F.col("score")).alias("s"), "r_key")).alias("m"))
+    top = pairs(left, r, review).join(first, "r_core").groupBy("core").agg(F.min(F.struct((-F.col("score")).alias("s"), "r_key")).alias("m"))
     named = left.join(top.select(F.col("core").alias("__core"), "m"), F.col("core") == F.col("__core")).select("subject_id", "m.r_key", F.lit("NAME").alias("match_method"), (-F.col("m.s")).alias("score"), F.lit(2).alias("tier"))
     best = latest(exact.union(named), ["subject_id"], F.col("tier"), F.col("score").desc(), F.col("r_key"))
     out = wanted.select("subject_id").join(best, "subject_id", "left").fillna({"score": 0.0, "match_method": "NAME"})
-    state = F.when(F.col("tier") == 1, "AUTO_ACCEPTED").otherwise(N.decision(F.col("score")))
+    state = F.when(F.col("tier") == 1, "AUTO_ACCEPTED").otherwise(N.decision(F.col("score"), review=review))
     return out.withColumn("status", state).withColumn("provider_key", F.when(state != "NO_MATCH", F.col("r_key"))).drop("r_key", "tier")
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import names as N
 from ..functions import text as T
 from ..operators import enrich as E
+from ..operators import fuzzy as FZ
 from ..operators import monitor as MO
 from ..operators import notices as G
 from ..operators import removals as R
@@ -131,6 +132,12 @@ def _score(a: str, b: str) -> str:
     return f"CASE WHEN {a} = '' OR {b} = '' THEN 0.0 WHEN {a} = {b} THEN 1.0 ELSE round(2 * (length({x}) - bit_count({rest}))::DOUBLE / (length({x}) + length({y})), 4) END::DOUBLE"
 
 
+def _near(a: str, b: str) -> str:
+    """SQL of an upper bound: the edit distance is never above the number of insertions and deletions, which a score of 0.85 limits."""
+    tidy = lambda x: f"array_to_string(list_sort(string_split({x}, ' ')), ' ')"
+    return f"{a} <> '' AND {b} <> '' AND levenshtein({tidy(a)}, {tidy(b)}) <= 0.1501 * (length({a}) + length({b}))"
+
+
 @query("h02_name_scores", f"WITH p AS (SELECT DISTINCT p_name AS a, string_split(p_name, ' ')[1] AS t FROM part) SELECT p.a, q.a AS b, {_score('p.a', 'q.a')} AS score FROM p JOIN p q USING (t) WHERE p.a <= q.a")
 def h02(spark, sf_dir):
     p = derived(spark, sf_dir, "SELECT DISTINCT p_name AS a, split(p_name, ' ')[0] AS t FROM part")
@@ -138,18 +145,18 @@ def h02(spark, sf_dir):
 
 
 #: Subjects and register entries with names of two tokens, some misspelt, some without a country.
-SUBJ = "SELECT p_partkey AS subject_id, 'LEI' || CAST(p_partkey % 900 AS VARCHAR(9)) AS lei, p_partkey % 7 = 0 AS lei_valid, CAST(p_partkey % 1500 AS VARCHAR(9)) AS reg_norm, CASE WHEN p_partkey % 10 <> 4 THEN p_brand END AS country, CASE WHEN p_partkey % 6 = 2 THEN substring(p_name, 2, 40) ELSE p_name END AS core FROM part WHERE p_partkey % 2 = 0"
+SUBJ = "SELECT p_partkey AS subject_id, 'LEI' || CAST(p_partkey % 900 AS VARCHAR(9)) AS lei, p_partkey % 7 = 0 AS lei_valid, CAST(p_partkey % 1500 AS VARCHAR(9)) AS reg_norm, CASE WHEN p_partkey % 10 <> 4 THEN p_brand END AS country, CASE p_partkey % 12 WHEN 2 THEN substring(p_name, 2, 40) WHEN 6 THEN replace(p_name, ' ', 'x ') || 'x' WHEN 8 THEN substring(p_name, 1, 3) || substring(p_name, 5, 40) || 'y' ELSE p_name END AS core FROM part WHERE p_partkey % 2 = 0"
 REG = "SELECT 'LEI' || CAST(p_partkey AS VARCHAR(9)) AS lei, CAST(p_partkey % 1400 AS VARCHAR(9)) AS reg_norm, p_brand AS country, p_name || CASE WHEN p_partkey % 3 = 0 THEN 'ory' ELSE '' END AS core FROM part WHERE p_partkey % 2 = 1"
 
 
 @query("h04_legal_entities", f"""WITH s AS ({SUBJ}), r AS ({REG}), hits AS (
   SELECT subject_id, r.lei AS k, 'LEI' AS m, 1.0::DOUBLE AS score, 1 AS tier FROM s JOIN r ON s.lei = r.lei WHERE lei_valid
   UNION ALL SELECT subject_id, r.lei, 'REGISTRATION_NUMBER', 1.0, 2 FROM s JOIN (SELECT *, count(*) OVER (PARTITION BY reg_norm, country) AS n FROM r) r ON s.reg_norm = r.reg_norm AND s.country = r.country WHERE r.n = 1 AND r.reg_norm <> ''),
-l AS (SELECT * FROM s ANTI JOIN hits USING (subject_id)), cp AS (SELECT c.core, q.core AS r_core FROM (SELECT DISTINCT core FROM l) c JOIN (SELECT DISTINCT core FROM r) q ON list_has_any(string_split(c.core, ' '), string_split(q.core, ' '))),
-sc AS MATERIALIZED (SELECT core, r_core, {_score('core', 'r_core')} AS score FROM cp),
+l AS (SELECT * FROM s ANTI JOIN hits USING (subject_id)), cp AS (SELECT c.core, q.core AS r_core FROM (SELECT DISTINCT core FROM l) c JOIN (SELECT DISTINCT core FROM r) q ON {_near('c.core', 'q.core')}),
+sc AS MATERIALIZED (SELECT * FROM (SELECT core, r_core, {_score('core', 'r_core')} AS score FROM cp) WHERE score >= 0.85),
 w AS (SELECT DISTINCT core, country FROM l), home AS (SELECT w.core, w.country, r.lei AS k, sc.score FROM w JOIN sc USING (core) JOIN (SELECT core AS r_core, country AS rc, min(lei) AS lei FROM r GROUP BY ALL) r USING (r_core) WHERE w.country IS NULL OR w.country = r.rc),
 low AS (SELECT * FROM w WHERE w.country IS NOT NULL AND NOT EXISTS (SELECT 1 FROM home h WHERE h.core = w.core AND h.country = w.country AND h.score >= 0.85)),
-away AS (SELECT low.core, low.country, r.lei AS k, greatest(0.0, round(sc.score - 0.15, 4)) AS score FROM low JOIN sc USING (core) JOIN (SELECT core AS r_core, country AS rc, min(lei) AS lei FROM r GROUP BY ALL) r USING (r_core) WHERE r.rc <> low.country),
+away AS (SELECT low.core, low.country, r.lei AS k, round(sc.score - 0.15, 4) AS score FROM low JOIN sc USING (core) JOIN (SELECT core AS r_core, country AS rc, min(lei) AS lei FROM r GROUP BY ALL) r USING (r_core) WHERE r.rc <> low.country AND round(sc.score - 0.15, 4) >= 0.85),
 nm AS (SELECT core, country, k, score FROM (SELECT *, row_number() OVER (PARTITION BY core, country ORDER BY score DESC, k) AS rn FROM (SELECT * FROM home UNION ALL SELECT * FROM away)) WHERE rn = 1),
 every AS (SELECT * FROM hits UNION ALL SELECT subject_id, k, 'NAME_COUNTRY', score, 3 FROM l JOIN nm ON l.core = nm.core AND l.country IS NOT DISTINCT FROM nm.country),
 best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY subject_id ORDER BY tier, score DESC, k) AS rn FROM every) WHERE rn = 1),
@@ -159,6 +166,20 @@ def h04(spark, sf_dir):
     return E.legal_entities(derived(spark, sf_dir, SUBJ), derived(spark, sf_dir, REG)).select("subject_id", "match_method", "score", "status", "provider_key")
 
 
+#: Names of one to three invented words, and the same misspelt: a letter gone, one doubled, the words turned round, one more word.
+MISSPELT = "SELECT CASE length(core) % 4 WHEN 0 THEN substring(core, 1, 2) || substring(core, 4, 90) WHEN 1 THEN substring(core, 1, 4) || substring(core, 4, 90) WHEN 2 THEN core || ' bank' ELSE core END AS core FROM cores"
+_WORDS = "lower(regexp_replace(array_to_string(string_split(text, ' ')[1 : CAST(doc_id % 3 AS INT) + 1], ' '), '[^A-Za-z0-9]+', ' ', 'g'))"
+
+
+@query("h04_name_candidates", f"""WITH cores AS (SELECT DISTINCT trim({_WORDS}) AS core FROM documents WHERE text IS NOT NULL), r AS (SELECT DISTINCT trim(replace(core, '  ', ' ')) AS r_core FROM ({MISSPELT})),
+cp AS MATERIALIZED (SELECT core, r_core FROM cores JOIN r ON {_near('core', 'r_core')}), sc AS (SELECT core, r_core, {_score('core', 'r_core')} AS score FROM cp)
+SELECT * FROM sc WHERE score >= 0.85""")
+def h04_candidates(spark, sf_dir):
+    cores = derived(spark, sf_dir, "SELECT DISTINCT trim(lower(regexp_replace(substring_index(text, ' ', CAST(doc_id % 3 AS INT) + 1), '[^A-Za-z0-9]+', ' '))) AS core FROM documents WHERE text IS NOT NULL")
+    cores.createOrReplaceTempView("cores")
+    return FZ.pairs(cores, spark.sql(f"SELECT DISTINCT trim(replace(core, '  ', ' ')) AS r_core FROM ({MISSPELT})"), 0.85)
+
+
 PAR = "SELECT 'LEI' || CAST(o_orderkey AS VARCHAR(9)) AS lei, 'LEI' || CAST(o_custkey AS VARCHAR(9)) AS parent, CASE WHEN o_orderkey % 2 = 0 THEN 'DIRECT' ELSE 'ULTIMATE' END AS kind FROM orders"
 
 
@@ -174,10 +195,8 @@ COREG = "SELECT lpad(CAST(p_partkey * 2 AS VARCHAR(9)), 7, '0') AS number, p_nam
 
 @query("h06_companies", f"""WITH s AS (SELECT * FROM ({CO}) WHERE country IS NULL OR country = 'GB'), r AS ({COREG}), x AS (SELECT subject_id, number, 1 AS tier, 1.0::DOUBLE AS score FROM s JOIN r ON reg_norm = number),
 l AS (SELECT * FROM s ANTI JOIN x USING (subject_id)), f AS (SELECT core AS r_core, min(number) AS number FROM r GROUP BY 1),
-fq AS (SELECT t, count(*) AS n FROM (SELECT r_core, unnest(list_distinct(string_split(r_core, ' '))) AS t FROM f) GROUP BY 1),
-rare AS (SELECT core, t FROM (SELECT *, row_number() OVER (PARTITION BY core ORDER BY coalesce(n, 0), t) AS rn, count(*) OVER (PARTITION BY core) AS k FROM (SELECT core, unnest(list_distinct(string_split(core, ' '))) AS t FROM (SELECT core FROM l UNION SELECT r_core FROM f)) LEFT JOIN fq USING (t)) WHERE rn <= k - ceil(k / 2) + 1),
-cp AS (SELECT DISTINCT a.core, f.r_core, f.number FROM rare a JOIN rare b USING (t) JOIN f ON f.r_core = b.core SEMI JOIN l ON l.core = a.core),
-sc AS MATERIALIZED (SELECT core, number, {_score('core', 'r_core')} AS score FROM cp), t AS (SELECT core, number, score FROM (SELECT *, row_number() OVER (PARTITION BY core ORDER BY score DESC, number) AS rn FROM sc) WHERE rn = 1),
+cp AS (SELECT l.core, f.r_core, f.number FROM (SELECT DISTINCT core FROM l) l JOIN f ON {_near('l.core', 'f.r_core')}),
+sc AS MATERIALIZED (SELECT * FROM (SELECT core, number, {_score('core', 'r_core')} AS score FROM cp) WHERE score >= 0.85), t AS (SELECT core, number, score FROM (SELECT *, row_number() OVER (PARTITION BY core ORDER BY score DESC, number) AS rn FROM sc) WHERE rn = 1),
 b AS (SELECT * FROM x UNION ALL SELECT subject_id, number, 2, score FROM l JOIN t USING (core)),
 o AS (SELECT s.subject_id, CASE tier WHEN 1 THEN 'REGISTRATION_NUMBER' ELSE 'NAME' END AS match_method, coalesce(score, 0.0)::DOUBLE AS score, CASE WHEN tier = 1 OR score >= 0.95 THEN 'AUTO_ACCEPTED' WHEN score >= 0.85 THEN 'NEEDS_REVIEW' ELSE 'NO_MATCH' END AS status, number FROM s LEFT JOIN b USING (subject_id))
 SELECT subject_id, match_method, score, status, CASE WHEN status <> 'NO_MATCH' THEN number END AS provider_key FROM o""")

@@ -3,10 +3,12 @@
 import random
 from itertools import product
 
+import pytest
 from pyspark.sql import functions as F
 
 from listforge.functions import names as N
 from listforge.operators import enrich as E
+from listforge.operators import fuzzy as FZ
 from listforge.operators import monitor as MO
 from listforge.operators import notices as G
 from listforge.operators import quality as Q
@@ -20,16 +22,12 @@ def score(a, b):
     return 1.0 if a == b else round(2 * N._lcs(x, y) / (len(x) + len(y)) + 1e-12, 4)
 
 
-def half(a, b):
-    x, y = set(a.split()), set(b.split())
-    return 2 * len(x & y) >= max(len(x), len(y), 1)
-
-
 SUBJ = [
     (1, "L1", True, None, "FR", "gulf petro trading"), (2, "L1", False, "R1", "FR", "x y"), (3, None, False, "R2", "FR", "other name"), (4, None, False, None, "FR", "gulf petroleum trading"), (5, None, False, None, None, "gulf petroleum trading"),
     (6, None, False, None, "DE", "nothing like it"), (7, None, False, None, "US", ""), (8, None, False, None, "FR", "alpha shipping lines"),
+    (9, None, False, None, "FR", "alpha shipping line"), (10, None, False, None, "FR", "petrobank"), (11, None, False, None, "FR", "acme tradng"),
 ]
-REG = [("L1", "R9", "FR", "gulf petroleum trading"), ("L2", "R1", "FR", "a b"), ("L3", "R2", "FR", "c d"), ("L4", "R2", "FR", "e f"), ("L5", "", "IR", "alpha shipping line"), ("L6", "", None, "other names")]
+REG = [("L1", "R9", "FR", "gulf petroleum trading"), ("L2", "R1", "FR", "a b"), ("L3", "R2", "FR", "c d"), ("L4", "R2", "FR", "e f"), ("L5", "", "IR", "alpha shipping line"), ("L6", "", None, "other names"), ("L7", "", "FR", "petrobnk"), ("L8", "", "FR", "acmee trading")]
 
 
 def test_legal_entities(spark):
@@ -41,18 +39,19 @@ def test_legal_entities(spark):
     assert got[7] == ("NAME_COUNTRY", 0.0, "NO_MATCH", None)
     for k, _, _, _, country, core in SUBJ:
         if got[k][0] == "NAME_COUNTRY":
-            home = max([score(core, c) for _, _, rc, c in REG if half(core, c) and (country is None or country == rc)], default=0.0)
-            away = max([max(0.0, round(score(core, c) - 0.15, 4)) for _, _, rc, c in REG if half(core, c) and rc != country], default=0.0) if home < 0.85 and country else 0.0
-            assert got[k][1] == max(home, away), k
-    assert got[8][1] == round(score("alpha shipping lines", "alpha shipping line") - 0.15, 4)  # another country, only below the review score
+            home = max([score(core, c) for _, _, rc, c in REG if country is None or country == rc], default=0.0)
+            away = max([max(0.0, round(score(core, c) - 0.15, 4)) for _, _, rc, c in REG if rc != country], default=0.0) if home < 0.85 and country else 0.0
+            assert got[k][1] == (max(home, away) if max(home, away) >= 0.85 else 0.0), k
+    assert got[8] == ("NAME_COUNTRY", 0.0, "NO_MATCH", None)  # alike, but in another country
+    assert got[9] == ("NAME_COUNTRY", 0.85, "NEEDS_REVIEW", "L5") and got[10][2:] == ("NEEDS_REVIEW", "L7") and got[11][2:] == ("NEEDS_REVIEW", "L8")
 
 
 def test_companies(spark):
     rng = random.Random(2)
-    words = [f"w{k}" for k in range(12)]
+    words = [f"word{k}" for k in range(12)]
     name = lambda: " ".join(rng.sample(words, 3))
     reg = [(f"{k:07d}", name()) for k in range(40)]
-    subj = [(k, rng.choice([None, "GB", "FR"]), f"{rng.randrange(80):07d}" if k % 3 == 0 else "12", rng.choice(reg)[1].replace("w1", "v1", 1) if k % 2 else name()) for k in range(60)] + [(99, "GB", None, None)]
+    subj = [(k, rng.choice([None, "GB", "FR"]), f"{rng.randrange(80):07d}" if k % 3 == 0 else "12", rng.choice(reg)[1].replace("word1", "wrd1", 1) if k % 2 else name()) for k in range(60)] + [(99, "GB", None, None)]
     got = {x.subject_id: x for x in E.companies(spark.createDataFrame(subj, "subject_id int, country string, reg_norm string, core string"), spark.createDataFrame(reg, "number string, core string")).collect()}
     assert set(got) == {k for k, c, _, _ in subj if c != "FR"}
     for k, c, no, core in subj:
@@ -61,12 +60,47 @@ def test_companies(spark):
         if no in {n for n, _ in reg} and 6 <= len(no) <= 8:
             assert (got[k].match_method, got[k].provider_key, got[k].status) == ("REGISTRATION_NUMBER", no, "AUTO_ACCEPTED")
             continue
-        least = max([score(core, rc) for _, rc in reg if half(core or "", rc)], default=0.0)
-        assert got[k].match_method == "NAME" and got[k].score >= least
+        best = max([score(core, rc) for _, rc in reg], default=0.0)
+        assert got[k].match_method == "NAME" and got[k].score == (best if best >= 0.85 else 0.0)
         if got[k].status != "NO_MATCH":
             assert got[k].provider_key == min(n for n, rc in reg if score(core, rc) == got[k].score)
 
 
+LETTERS = "aeionrstlkmdx"
+
+
+def spoilt(rng, name, times):
+    out = list(name)
+    for _ in range(times):
+        at, what = rng.randrange(len(out) + 1), rng.random()
+        if what < 0.4 and len(out) > 1:
+            out.pop(min(at, len(out) - 1))
+        elif what < 0.8:
+            out.insert(at, rng.choice(LETTERS))
+        elif at < len(out):
+            out[at] = rng.choice(LETTERS)
+    return " ".join("".join(out).split())
+
+
+@pytest.mark.parametrize("limit,long", [(0.85, 128), (0.85, 12), (0.7, 128), (1.0, 128)])
+def test_every_pair_above_the_limit_is_found(spark, monkeypatch, limit, long):
+    monkeypatch.setattr(FZ, "LONG", long)  # with 12 most names are looked up by the segments alone
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice(LETTERS) for _ in range(rng.randint(2, 9)))
+    base = [" ".join(word() for _ in range(rng.choice([1, 1, 2, 2, 3]))) for _ in range(120)] + [" ".join(word() for _ in range(24)) for _ in range(3)]
+    left = [spoilt(rng, b, rng.randint(0, max(1, len(b) // 4))) for b in base for _ in range(2)] + ["", None, "é ü", "petrobank", "acme tradng", "rosneftt trading", "petrobank"]
+    right = base + [spoilt(rng, b, 1) for b in base] + ["", None, "ü é", "petrobnk", "acmee trading", "rosneft tradng"]
+    df = lambda names, c: spark.createDataFrame([(n, 1) for n in names], f"{c} string, len int").withColumn("seg", F.lit("x"))
+    got = {(r.core, r.r_core): r.score for r in FZ.pairs(df(left, "core"), df(right, "r_core"), limit).collect()}
+    want = {(a, b): score(a, b) for a in set(left) for b in set(right) if score(a, b) >= limit}
+    assert got == want and len(want) > 20
+
+
+def test_no_names_no_pairs(spark):
+    none = spark.createDataFrame([], "core string")
+    assert FZ.pairs(none, none.withColumnRenamed("core", "r_core")).collect() == []
+
+
 def test_hits_without_pairs(spark):
     rng = random.Random(4)
     rows = sorted({("S", k, "PASSPORT", f"p{rng.randrange(9)}") for k in range(40) for _ in range(rng.randrange(5))} | {("T", 7, "LEI", f"p{k}") for k in range(12)} | {("S", k, "LEI", f"p{k % 12}") for k in range(60, 90)} | {("S", 500, "LEI", "alone")})
