@@ -3,12 +3,12 @@
 Prefix polynomials over the bytes of many texts at once give each word a fingerprint, prefix polynomials over the words give
 each n-gram one. Passes over the texts count fingerprints, by task and then by shuffle:
 
-1. words; 2. pairs of frequent words; 3. phrases of 3 to 5 words all of whose pairs are frequent. A fingerprint that falls short of the least count can't belong to a frequent phrase, and neither can a phrase that holds
+1. words; 2. pairs of frequent words; 3. phrases of 3 to 5 words all of whose pairs are frequent, and the words of such pairs. A fingerprint that falls short of the least count can't belong to a frequent phrase, and neither can a phrase that holds
 such a part, so nothing is lost. What the next pass needs to know of a pass is a bitmap of fixed size: two fingerprints that share a bit
 only make more rows, never fewer.
-4. Each group of equal frequent fingerprints keeps the pointer of one occurrence. The others are verified against its text, word by word
-and byte by byte; those that differ become groups of their own. Only these groups are materialised as text, which the last shuffle
-counts with a pointer (doc_id) each, so equal fingerprints of different phrases don't matter.
+4. In each chunk a group of equal frequent fingerprints keeps the pointer of one occurrence. The others are verified against its text, word by word
+and byte by byte; those that differ become groups of their own. Only these groups are materialised as text, which the task and the
+last shuffle count with a pointer (doc_id) each, so equal fingerprints of different phrases don't matter.
 
 Words and pieces are found in numpy, in chunks of ``CHUNK`` bytes that end between pieces, so a task holds a chunk, not a batch's or a text's whole arrays.
 
@@ -30,7 +30,9 @@ from ..session import durable
 
 LEAST, LONGEST, FIRST, SHARE = 100, 5, 2000, 100
 #: Bytes of text whose arrays are held at once; fingerprints gathered before they are counted; bits of the bitmap between passes.
-CHUNK, GATHER, BITS = 2 << 20, 4 << 20, 1 << 26
+CHUNK, GATHER, BITS = 1 << 20, 4 << 20, 1 << 26
+#: The part of a fingerprint that passes count by; parts that fall together make the counts larger, never smaller.
+KEY = np.uint64((1 << 44) - 1)
 
 COUNTS = "fp long, c long"
 PHRASES = "lang string, n int, phrase string, c long, doc_id long"
@@ -131,10 +133,6 @@ class Words:
     def fingerprints(self, at: np.ndarray, n: int) -> np.ndarray:
         return mix((self.sums[at + n] - self.sums[at]) * self.down[at] + self.salt + np.uint64(n)) if len(at) else np.zeros(0, np.uint64)
 
-    def text(self, at: int, n: int) -> str:
-        """The phrase of n words, joined by single blanks."""
-        return b" ".join(self.data[self.start[i] : self.end[i]].tobytes() for i in range(at, at + n)).decode("utf-8", "replace")
-
     def equal(self, a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
         """Whether the n-grams at a and at b have the same bytes, word by word."""
         same = np.ones(len(a), bool)
@@ -213,7 +211,12 @@ def _count(sizes: tuple[int, ...], of_words, of_pairs, limit: int, gather: int):
         held, size = [], 0
         for _, words, _, _ in _each_chunk(batches, limit):
             for n in sizes:
-                held.append(words.fingerprints(candidates(words, n, w, p), n))
+                held.append(words.fingerprints(candidates(words, n, w, p), n) & KEY)
+                size += len(held[-1])
+            if p is not None:  # the words of frequent pairs, the only ones whose counts matter
+                pair = candidates(words, 2, None, None)
+                pair = pair[marked(p, words.fingerprints(pair, 2))]
+                held.append(words.fingerprints(np.union1d(pair, pair + 1), 1) & KEY)
                 size += len(held[-1])
             if size >= gather:
                 yield rows(held)
@@ -224,28 +227,58 @@ def _count(sizes: tuple[int, ...], of_words, of_pairs, limit: int, gather: int):
     return run
 
 
-def _materialise(longest: int, frequent, limit: int):
+def phrases_of(words: Words, at: np.ndarray, n: int) -> pa.Array:
+    """The n-grams at some places as text, words joined by single blanks."""
+    each = (at[:, None] + np.arange(n)).ravel()
+    size = words.end[each] - words.start[each]
+    to = np.zeros(len(each) + 1, np.int64)
+    np.cumsum(size + 1, out=to[1:])
+    step = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+    out = np.full(max(int(to[-1]) - 1, 0), 0x20, np.uint8)
+    out[np.repeat(to[:-1], size) + step] = words.data[np.repeat(words.start[each], size) + step]
+    # the blank behind each phrase but the last is cut out
+    keep = np.ones(len(out), bool)
+    keep[to[n:-1:n] - 1] = False
+    ends = to[n::n] - np.arange(1, len(at) + 1)
+    return pa.StringArray.from_buffers(len(at), pa.py_buffer(np.append(0, ends).astype(np.int32)), pa.py_buffer(out[keep]))
+
+
+def _materialise(longest: int, frequent, limit: int, gather: int):
     """Frequent phrases as text, with verified counts and one document; size 0 counts a language's words."""
+    names = ["lang", "n", "phrase", "c", "doc_id"]
+
+    def table(lang: str, n: int, phrases: pa.Array, count: np.ndarray, docs: list) -> pa.Table:
+        k = len(phrases)
+        return pa.Table.from_arrays([pa.repeat(pa.scalar(lang), k), pa.repeat(pa.scalar(n, pa.int32()), k), phrases, pa.array(count, pa.int64()), pa.array(docs, pa.int64())], names=names)
+
+    def merged(tables: list[pa.Table]) -> pa.Table:
+        out = pa.concat_tables(tables).group_by(["lang", "n", "phrase"]).aggregate([("c", "sum"), ("doc_id", "min")])
+        return out.select(["lang", "n", "phrase", "c_sum", "doc_id_min"]).rename_columns(names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of_words, of_pairs, of_all = (b.value for b in frequent)
+        of_words, of_pairs, of_rest = (b.value for b in frequent)
+        held, size = [], 0
         for lang, words, starts, ids in _each_chunk(batches, limit):
-            out = [("", 0, len(words.word), None)] if len(words.word) else []
+            held.append(table(lang, 0, pa.array([""]), np.array([len(words.word)]), [None]))
             for n in range(1, longest + 1):
                 at = candidates(words, n, of_words, of_pairs)
                 fp = words.fingerprints(at, n)
-                hit = marked((of_words, of_pairs, of_all)[min(n, 3) - 1], fp)
+                hit = marked(of_pairs if n == 2 else of_rest, fp)
                 at, fp = at[hit], fp[hit]
                 while len(at):
-                    _, first, group, count = np.unique(fp, return_index=True, return_inverse=True, return_counts=True)
+                    _, first, group = np.unique(fp, return_index=True, return_inverse=True)
                     good = words.equal(at, at[first][group], n)
-                    count = np.bincount(group[good], minlength=len(first))
-                    out += [(words.text(i, n), n, c, d) for i, c, d in zip(at[first].tolist(), count.tolist(), _pointer(words, at[first], starts, ids), strict=True)]
+                    held.append(table(lang, n, phrases_of(words, at[first], n), np.bincount(group[good], minlength=len(first)), _pointer(words, at[first], starts, ids)))
+                    size += len(first)
                     at, fp = at[~good], fp[~good]  # another phrase of the same fingerprint
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(out), pa.string()), pa.array([o[1] for o in out], pa.int32()), pa.array([o[0] for o in out], pa.string()), pa.array([o[2] for o in out], pa.int64()), pa.array([o[3] for o in out], pa.int64())],
-                names=["lang", "n", "phrase", "c", "doc_id"],
-            )
+            if size >= gather // 8:
+                held = [merged(held)]
+                size = held[0].num_rows
+                if size >= gather // 16:
+                    yield from held[0].to_batches()
+                    held, size = [], 0
+        if held:
+            yield from merged(held).combine_chunks().to_batches()
 
     return run
 
@@ -260,8 +293,8 @@ def bitmap(fps: DataFrame, bits: int) -> np.ndarray:
 
 
 def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, bits: int = BITS, chunk: int = CHUNK, gather: int = GATHER) -> DataFrame:
-    """(lang, n, phrase, c, doc_id): all phrases of 1 to ``longest`` words that occur ``least`` times in a language, with one document that holds
-    them, and under n = 0 the number of its words. A written table."""
+    """(lang, n, phrase, c, doc_id): all phrases of 2 to ``longest`` words that occur ``least`` times in a language and the words they are
+    made of, with one document that holds them, and under n = 0 the number of the language's words. A written table."""
     spark = docs.sparkSession
     texts = docs.select(F.col("lang").cast("string"), F.col("text").cast("string"), F.col("doc_id").cast("long").alias("doc_id"))
     maps = []
@@ -269,7 +302,7 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
         counted = texts.mapInArrow(_count(sizes, *[*maps, None, None][:2], chunk, gather), COUNTS)
         kept = counted.groupBy("fp").agg(F.sum("c").alias("c")).where(F.col("c") >= least)
         maps.append(spark.sparkContext.broadcast(bitmap(kept, bits)))
-    said = texts.mapInArrow(_materialise(longest, maps, chunk), PHRASES)
+    said = texts.mapInArrow(_materialise(longest, maps, chunk, gather), PHRASES)
     counts = said.groupBy("lang", "n", "phrase").agg(F.sum("c").alias("c"), F.min("doc_id").alias("doc_id"))
     return durable(counts.where((F.col("c") >= least) | (F.col("n") == 0)), "phrases")
 
