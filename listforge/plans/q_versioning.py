@@ -6,9 +6,10 @@ from functools import reduce
 
 from pyspark.sql import functions as F
 
+from ..operators import publish as PB
 from ..operators import removals as R
 from ..operators import versioning as V
-from ..session import durable
+from ..session import durable, new_path
 from .derive import IDENTIFIERS, PARTY1, PARTY2, PARTY3, derived
 from .registry import query
 
@@ -78,6 +79,29 @@ def f04(spark, sf_dir):
     return v.select(*KEYS, "change_type", "valid_from_seq", "valid_to_seq", V.version_id(*KEYS, "valid_from_seq").alias("record_version_id"))
 
 
+def _published(spark, sf_dir):
+    """Three versions published one after the other into a folder of their own."""
+    store = PB.ListStore(spark, new_path(spark, "lists"), KEYS)
+    for seq, rows in enumerate(_versions(spark, sf_dir), 1):
+        store.publish(seq, rows)
+    return store
+
+
+@query("f04_published_versions", LOG + " SELECT source_id, source_key, h AS content_hash, CAST(seq AS BIGINT) AS valid_from_seq, CAST(valid_to AS BIGINT) AS valid_to_seq FROM v")
+def f04_published(spark, sf_dir):
+    return _published(spark, sf_dir).versions().select(*KEYS, "content_hash", "valid_from_seq", "valid_to_seq")
+
+
+@query("f10_published_changes", LOG + " SELECT source_id, source_key, change_type, CAST(seq AS BIGINT) AS seq FROM log")
+def f10_published(spark, sf_dir):
+    return _published(spark, sf_dir).changes().select(*KEYS, "change_type", "seq")
+
+
+@query("f09_published_as_of", LOG + " SELECT source_id, source_key, h AS content_hash, CAST(seq AS BIGINT) AS valid_from_seq FROM v WHERE seq <= 2 AND (valid_to IS NULL OR valid_to > 2)")
+def f09_published(spark, sf_dir):
+    return _published(spark, sf_dir).as_of(2).select(*KEYS, "content_hash", "valid_from_seq")
+
+
 _DOCS = "docs AS (SELECT source_id, source_key, list({'rid': rid, 'label': label, 'value': value} ORDER BY rid) AS ids FROM (" + IDENTIFIERS + ") GROUP BY ALL)"
 
 
