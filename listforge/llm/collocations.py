@@ -30,7 +30,7 @@ from ..session import durable
 
 LEAST, LONGEST, FIRST, SHARE = 100, 5, 2000, 100
 #: Bytes of text whose arrays are held at once; fingerprints gathered before they are counted; bits of the bitmap between passes.
-CHUNK, GATHER, BITS = 1 << 20, 4 << 20, 1 << 26
+CHUNK, GATHER, BITS = 1 << 20, 2 << 20, 1 << 26
 #: The part of a fingerprint that passes count by; parts that fall together make the counts larger, never smaller.
 KEY = np.uint64((1 << 44) - 1)
 
