@@ -282,14 +282,15 @@ def archive(pages: DataFrame, least: int = LEAST_BYTES) -> tuple[str, DataFrame]
     """Write the pages, index the archives: (folder of the archives, index)."""
     path = new_path(pages.sparkSession, "warc")
     write_archives(pages, path, least)
-    return path, build_index(captures(pages.sparkSession, path))
+    # written once, so that dealing them out by range doesn't walk the archives again
+    return path, build_index(durable(captures(pages.sparkSession, path), "captures"))
 
 
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = spark.read.parquet(f"{sf_dir.rstrip('/')}/pages.parquet")
     _, index = archive(pages)
     keys = pages.select(host_key(address(F.col("url"))).alias("key")).distinct()
-    return read_records(look_up(index, keys)).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    return read_records(durable(look_up(index, keys), "found")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 ORACLE = r"""
