@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import reduce
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -39,33 +43,49 @@ def removed_id_links(refs: DataFrame, candidates: DataFrame) -> DataFrame:
     return refs.join(open_ones, "ref").select("notice_id", "source_id", F.col("ref").alias("source_key"), F.lit("DELISTING").alias("link_type"), F.lit("ID_MATCH").alias("method"), F.lit(1.0).alias("confidence"), F.lit(None).cast("string").alias("verbatim_quote"))
 
 
-#: Up to so many anchors are sent to the tasks that read the texts; beyond, texts and anchors are joined by shuffle.
-SEND_ANCHORS = 2_000_000
+#: Characters of distinct names in one automaton, which takes some sixty bytes for each in every task.
+SHARD_CHARS = 4 << 20
 
 
-def names_in_texts(texts: DataFrame, names: DataFrame, least_chars: int = 6) -> DataFrame:
+def names_in_texts(texts: DataFrame, names: DataFrame, least_chars: int = 6, shard_chars: int = SHARD_CHARS) -> DataFrame:
     """(notice_id, name_id): normalised names that stand whole inside normalised texts.
 
-    texts(notice_id, norm), names(name_id, name). Names of one token or few characters are too common to count. Each name
-    is looked up by the one of its token pairs that fewest texts hold, then the whole name is checked. A name with a pair
-    that no text holds drops out before the texts are joined. Pairs of texts that no name has aren't shuffled.
+    texts(notice_id, norm), names(name_id, name). Names of one token or few characters are too common to count. The distinct names form
+    an Aho-Corasick automaton, which each batch of texts passes once; only hits are shuffled, to find the ids of their names.
+    Names are dealt to as many automata as their characters need, each with a pass of its own; nothing larger than one of them
+    comes to the driver or a task.
     """
-    def pairs(words: str) -> Column:
-        last = F.size(words) - 2
-        return F.when(last >= 0, F.array_distinct(F.transform(F.sequence(F.lit(0), last), lambda i: F.xxhash64(F.get(words, i), F.get(words, i + 1)))))
-
-    own = names.where(F.length("name") >= least_chars).select("name_id", "name", F.split("name", " ").alias("t"))
-    own = own.select("name_id", "name", F.posexplode(pairs("t")).alias("at", "a"))
-    known = own.select("a").distinct()
-    small = known.limit(SEND_ANCHORS + 1).count() <= SEND_ANCHORS
-    send = F.broadcast if small else (lambda df: df)
-    held = texts.select("notice_id", F.split("norm", " ").alias("t")).select("notice_id", F.explode(pairs("t")).alias("a"))
-    often = held.join(send(known), "a", "left_semi").groupBy("a").agg(F.count("*").alias("n"))
-    counted = own.join(often, "a", "left").groupBy("name_id").agg(F.min("name").alias("name"), F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "at", "a")).alias("b"))
-    anchors = counted.where("b.n > 0").select("name_id", "name", F.col("b.a").alias("a"))
-    near = held.join(send(anchors), "a").select("notice_id", "name_id", "name")
-    pad = lambda c: F.concat(F.lit(" "), c, F.lit(" "))
-    return near.join(texts.select("notice_id", "norm"), "notice_id").where(F.contains(pad(F.col("norm")), pad(F.col("name")))).select("notice_id", "name_id")
+    wanted = names.where((F.length("name") >= least_chars) & F.contains("name", F.lit(" "))).select("name_id", "name")
+    distinct = wanted.select("name").distinct()
+    chars = distinct.agg(F.sum(F.length("name") + 2)).first()[0] or 0
+    shards = max(1, -(-chars // shard_chars))
+    hits = [_hits(texts, [r["name"] for r in distinct.where(F.pmod(F.xxhash64("name"), F.lit(shards)) == k).collect()]) for k in range(shards)]
+    found = reduce(DataFrame.union, hits).withColumnRenamed("name", "__name")
+    return found.join(wanted, F.col("__name") == F.col("name")).select("notice_id", "name_id")
+
+
+def _hits(texts: DataFrame, names: list[str]) -> DataFrame:
+    """(notice_id, name): each name of a list that stands in a text, once a text."""
+    import ahocorasick
+
+    automaton = ahocorasick.Automaton()
+    for name in names:
+        automaton.add_word(f" {name} ", name)
+    automaton.make_automaton()
+    held = texts.sparkSession.sparkContext.broadcast(automaton if names else None)
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        find = held.value
+        for batch in batches:
+            rows, found = [], []
+            for row, text in enumerate(batch.column(1).to_pylist() if find else []):
+                here = {name for _, name in find.iter(f" {text} ")} if text else ()
+                rows += [row] * len(here)
+                found += here
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows, pa.int64())), pa.array(found, pa.string())], names=["notice_id", "name"])
+
+    pair = texts.select("notice_id", "norm")
+    return pair.mapInArrow(search, f"notice_id {pair.dtypes[0][1]}, name string")
 
 
 def name_links(hits: DataFrame, notices: DataFrame, events: DataFrame, as_of: Column, days: int = 45) -> DataFrame:

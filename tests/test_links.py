@@ -122,8 +122,18 @@ def test_names_stand_in_texts(spark):
     rng = random.Random(6)
     texts = [(k, " ".join(rng.choice("abcde") * 2 for _ in range(30))) for k in range(30)] + [(90, "aa"), (91, ""), (92, None)]
     names = [(k, " ".join(rng.choice("abcde") * 2 for _ in range(rng.choice([1, 2, 3, 4])))) for k in range(40)] + [(90, "zz yy xx"), (91, ""), (92, None)]
-    got = {tuple(r) for r in G.names_in_texts(spark.createDataFrame(texts, "notice_id int, norm string"), spark.createDataFrame(names, "name_id int, name string")).collect()}
-    assert got == {(i, j) for (i, t), (j, n) in product(texts, names) if t and n and len(n) >= 6 and " " in n and f" {n} " in f" {t} "} and got
+    t, n = spark.createDataFrame(texts + [(93, "x " * 50_000 + "aa bb cc")], "notice_id int, norm string"), spark.createDataFrame(names + [(93, "aa bb cc"), (94, "bb cc"), (95, "aa bb cc")], "name_id int, name string")
+    want = {(r.notice_id, s.name_id) for r, s in product(t.collect(), n.collect()) if r.norm and s.name and len(s.name) >= 6 and " " in s.name and f" {s.name} " in f" {r.norm} "}
+    for chars in (4 << 20, 60):
+        got = [tuple(r) for r in G.names_in_texts(t, n, shard_chars=chars).collect()]
+        assert set(got) == want and len(got) == len(want) and {(93, 93), (93, 95)} <= want
+    assert G.names_in_texts(t, n.where("false")).collect() == [] == G.names_in_texts(t.where("false"), n).collect()
+
+
+def test_texts_are_scanned_once_for_names(spark, tmp_path):
+    spark.createDataFrame([(1, "some text")], "notice_id int, norm string").write.parquet(str(tmp_path / "t"))
+    plan = G.names_in_texts(spark.read.parquet(str(tmp_path / "t")), spark.createDataFrame([(1, "some text")], "name_id int, name string"))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1 and plan.count("MapInArrow") == 1 and "Generate" not in plan
 
 
 def test_severities_rank(spark):
