@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..session import durable
+
 # Severities from least to greatest; a circuit opens at so many failures in a row; minutes of back-off and retry double up to their limits.
 SEVERITIES = ("INFO", "WARN", "PAGE")
 THRESHOLD, OPEN_MINUTES, OPEN_MAX, RETRY_MINUTES, RETRY_MAX = 3, 30, 360, 10, 120
@@ -80,15 +82,21 @@ def alerts(inc: DataFrame, as_of: Column, again_minutes: int = 60) -> DataFrame:
     return inc.where((F.col("status") == "OPEN") & (silent | old))
 
 
-def chain_lengths(runs: DataFrame, max_depth: int = 100) -> DataFrame:
-    """runs(run_id, resumed_from) -> run_id, chain: how many runs it goes back, by doubling the reach of the links."""
-    step = runs.select("run_id", F.col("resumed_from").alias("to"), F.when(F.col("resumed_from").isNotNull(), 1).otherwise(0).alias("chain"))
-    reach = 1
-    while reach < max_depth:
+def chain_lengths(runs: DataFrame) -> DataFrame:
+    """runs(run_id, resumed_from) -> run_id, chain: how many runs it goes back, null if that leads into a circle.
+
+    The reach of the links doubles each round until every chain has come to its end, however long it is. What still goes on after more
+    steps than there are runs goes in a circle. Links to runs that aren't there end a chain.
+    """
+    there = runs.select(F.col("run_id").alias("__run"))
+    linked = runs.join(there, F.col("resumed_from") == F.col("__run"), "left")
+    step = durable(linked.select("run_id", F.col("__run").alias("to"), F.col("__run").isNotNull().cast("long").alias("chain")), "chains")
+    n, reach = step.count(), 1
+    while reach <= n and not step.where("to IS NOT NULL").isEmpty():
         far = step.select(F.col("run_id").alias("to"), F.col("to").alias("next"), F.col("chain").alias("more"))
-        step = step.join(far, "to", "left").select("run_id", F.col("next").alias("to"), (F.col("chain") + F.coalesce("more", F.lit(0))).alias("chain"))
-        reach *= 2
-    return step.select("run_id", "chain")
+        on = step.where("to IS NOT NULL").join(far, "to").select("run_id", F.col("next").alias("to"), (F.col("chain") + F.col("more")).alias("chain"))
+        step, reach = durable(step.where("to IS NULL").union(on), "chains"), reach * 2
+    return step.select("run_id", F.when(F.col("to").isNull(), F.col("chain")).alias("chain"))
 
 
 def expired(staging: DataFrame, as_of: Column, days: int) -> DataFrame:

@@ -301,9 +301,9 @@ def l08(spark, sf_dir):
     return n("pending", derived(spark, sf_dir, CANDS).where("status = 'PENDING'")).union(n("held", derived(spark, sf_dir, RUNS).where("status = 'HELD'"))).union(n("rejected_links", derived(spark, sf_dir, LINKS).where("status = 'REJECTED'")))
 
 
-@query("l09_resume_chains", "WITH RECURSIVE r AS (SELECT c_custkey AS run_id, CASE WHEN c_custkey % 8 <> 0 THEN c_custkey - 1 END AS resumed_from FROM customer), w AS (SELECT run_id, resumed_from, 0 AS n FROM r UNION ALL SELECT w.run_id, r.resumed_from, w.n + 1 FROM w JOIN r ON r.run_id = w.resumed_from) SELECT run_id, max(n) AS chain FROM w GROUP BY 1")
+@query("l09_resume_chains", "WITH RECURSIVE r AS (SELECT c_custkey AS run_id, CASE WHEN c_custkey % 40 <> 0 THEN c_custkey - 1 END AS resumed_from FROM customer), w AS (SELECT run_id, resumed_from, 0 AS n FROM r UNION ALL SELECT w.run_id, r.resumed_from, w.n + 1 FROM w JOIN r ON r.run_id = w.resumed_from) SELECT run_id, max(n) AS chain FROM w GROUP BY 1")
 def l09(spark, sf_dir):
-    return MO.chain_lengths(derived(spark, sf_dir, "SELECT c_custkey AS run_id, CASE WHEN c_custkey % 8 <> 0 THEN c_custkey - 1 END AS resumed_from FROM customer"), 16)
+    return MO.chain_lengths(derived(spark, sf_dir, "SELECT c_custkey AS run_id, CASE WHEN c_custkey % 40 <> 0 THEN c_custkey - 1 END AS resumed_from FROM customer"))
 
 
 @query("l10_expired_staging", f"SELECT run_id FROM ({RUNS}) WHERE queued_at::DATE < DATE '2001-01-01' - 90 AND status <> 'HELD'")

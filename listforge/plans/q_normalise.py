@@ -219,10 +219,23 @@ def b18(spark, sf_dir):
     return df.select("s_suppkey", T.list_code(F.col("src")).alias("code"))
 
 
-@query("b14_html_text", "SELECT page_id, strlen(html) > 0 AS had_html, false AS has_tags FROM pages")
+def _gone(sql: str, pattern: str, to: str = "''") -> str:
+    return f"regexp_replace({sql}, '{pattern}', {to}, 'g')"
+
+
+_VISIBLE = _gone("html", "(?is)<!--.*?-->")
+for _tag in ("script", "style", "nav", "header", "footer", "noscript"):
+    _VISIBLE = _gone(_VISIBLE, rf"(?is)<{_tag}\b[^>]*>.*?</{_tag}\s*>")
+_VISIBLE = _gone(_gone(_VISIBLE, r"(?i)</(?:p|div|li|tr|td|th|h[1-6]|section|article|table|ul|ol|dt|dd)\s*>|<br\s*/?>", "chr(10)"), "(?s)<[^>]*>")
+for _from, _to in (("lt", 60), ("gt", 62), ("quot", 34), ("#39", 39), ("nbsp", 160), ("amp", 38)):
+    _VISIBLE = f"replace({_VISIBLE}, '&{_from};', chr({_to}))"
+_VISIBLE = _gone(_gone(_VISIBLE, r"\n\s*\n+", "chr(10) || chr(10)"), r"[ \t\r\f\x0B]+", "' '")
+
+
+@query("b14_html_text", f"SELECT page_id, sha256(t) AS text_sha256, CAST(length(t) AS INT) AS n_chars FROM (SELECT page_id, trim({_VISIBLE}, chr(32) || chr(9) || chr(10) || chr(13) || chr(160)) AS t FROM pages)")
 def b14(spark, sf_dir):
-    df = derived(spark, sf_dir, "SELECT page_id, html FROM pages").withColumn("text", T.html_to_text(F.col("html")))
-    return df.select("page_id", (F.length("html") > 0).alias("had_html"), F.col("text").rlike(r"(?i)</?(p|div|script|style|nav|article)\b[^>]*>").alias("has_tags"))
+    text = T.html_to_text(F.col("html"))
+    return derived(spark, sf_dir, "SELECT page_id, html FROM pages").select("page_id", text.alias("text")).select("page_id", F.sha2("text", 256).alias("text_sha256"), F.length("text").alias("n_chars"))
 
 
 @query(

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators import merkle as M
 from ..operators import quality as Q
 from ..operators import removals as R
+from ..session import new_path
+from ..sources import splitxml as X
 from .derive import IDENTIFIERS, PARTY1, PARTY2, derived
 from .registry import query
 
@@ -159,6 +162,19 @@ def d01(spark, sf_dir):
     return paths.groupBy("path").agg(F.count("*").alias("n"))
 
 
+@query("d01_xml_census", "WITH e AS (SELECT '/events/event' AS p, event_id // 10000 AS part, event_type, json_keys(props) AS ks FROM events), r AS (SELECT DISTINCT part FROM e) SELECT path, count(*) AS n FROM (SELECT p AS path FROM e UNION ALL SELECT p || '/@type' FROM e UNION ALL SELECT p || '/' || event_type FROM e UNION ALL SELECT p || '/props/' || unnest(ks) FROM e UNION ALL SELECT p || '/props' FROM e UNION ALL SELECT '/events' FROM r UNION ALL SELECT '/events/@v' FROM r) GROUP BY 1")
+def d01_xml(spark, sf_dir):
+    """Events as XML files of ten thousand each, counted by ranges of the files."""
+    keys = F.array_join(F.transform(F.json_object_keys("props"), lambda k: F.concat(F.lit("<"), k, F.lit(">x</"), k, F.lit(">"))), "")
+    el = F.concat(F.lit('<event type="a > b"><'), "event_type", F.lit("/><props>"), keys, F.lit("</props></event>"))
+    ev = derived(spark, sf_dir, "SELECT event_id, event_id DIV 10000 AS part, event_type, props FROM events").select("part", F.col("event_id").alias("at"), el.alias("value"))
+    edge = lambda at, text: ev.select("part", F.lit(at).alias("at"), F.lit(text).alias("value")).distinct()
+    rows = ev.union(edge(-1, '<?xml version="1.0"?><events v="1">')).union(edge(2**62, "<!-- <end> --></events>"))
+    path = new_path(spark, "events-xml")
+    rows.repartition("part").sortWithinPartitions("part", "at").drop("at").write.partitionBy("part").text(path)
+    return X.path_census(spark, path)
+
+
 @query("d02_schema_drift", "SELECT path, count(*) AS n FROM (SELECT '/event/' || event_type AS path FROM events) WHERE path NOT IN ('/event/click', '/event/view') GROUP BY 1")
 def d02(spark, sf_dir):
     known = spark.createDataFrame([("/event/click",), ("/event/view",)], "path string")
@@ -182,14 +198,9 @@ def d20(spark, sf_dir):
 
 @query("a15_unchanged_inputs", f"WITH p1 AS (SELECT source_id, sha256(string_agg(source_key || amount, ',' ORDER BY source_key)) AS h FROM ({PARTY1}) GROUP BY 1), p2 AS (SELECT source_id, sha256(string_agg(source_key || amount, ',' ORDER BY source_key)) AS h FROM ({PARTY2}) GROUP BY 1) SELECT p2.source_id, CASE WHEN p1.h = p2.h THEN 'NO_CHANGE' ELSE 'PARSE' END AS step FROM p2 LEFT JOIN p1 USING (source_id) UNION ALL SELECT source_id, 'NO_CHANGE' FROM p1")
 def a15(spark, sf_dir):
-    def shas(sql):
-        rows = derived(spark, sf_dir, sql).groupBy("source_id").agg(F.array_sort(F.collect_list(F.struct("source_key", "amount"))).alias("r"))
-        return rows.select("source_id", F.sha2(F.array_join(F.transform("r", lambda x: F.concat(x["source_key"], x["amount"])), ","), 256).alias("sha256"))
-
     from ..sources.landing import unchanged
 
+    shas = lambda sql: M.roots(derived(spark, sf_dir, sql), ["source_id"], ["source_key"], "amount").withColumnRenamed("root", "sha256")
     p1, p2 = shas(PARTY1), shas(PARTY2)
     known = p1.withColumn("status", F.lit("PUBLISHED"))
     return unchanged(p2, known).unionByName(unchanged(p1, known)).select("source_id", "step")
-
-

@@ -6,6 +6,8 @@ from functools import reduce
 
 from pyspark.sql import functions as F
 
+from ..operators import jsondiff as J
+from ..operators import merkle as M
 from ..operators import publish as PB
 from ..operators import removals as R
 from ..operators import versioning as V
@@ -414,3 +416,41 @@ def f25(spark, sf_dir):
 def b25(spark, sf_dir):
     c = derived(spark, sf_dir, "SELECT o_custkey AS config_id, concat('auth.', o_orderstatus) AS path, CAST(o_orderkey % 3 AS INT) AS version, max(o_orderpriority) AS value FROM orders GROUP BY ALL")
     return V.json_paths(c, ["config_id"], "path", "value", "version", ["F"])
+
+
+#: Two versions of nested settings of each customer.
+_CONF = """SELECT c_custkey AS id, '{"fetch": {"url": "https://host/' || CAST({n} AS VARCHAR(9)) || '", "retry": {"times": ' || CAST({t} AS VARCHAR(9)) || ', "wait": [1, 2]}}, ' || CASE WHEN {m} = 0 THEN '"limits": {"added": 5}' WHEN {m} = 1 THEN '"limits": 7' ELSE '"note": null' END || ', "name": "x"}' AS doc FROM customer"""
+_CONF1 = _CONF.replace("{n}", "c_nationkey").replace("{t}", "c_custkey % 5").replace("{m}", "c_custkey % 3")
+_CONF2 = _CONF.replace("{n}", "(c_nationkey + CASE WHEN c_custkey % 4 = 0 THEN 1 ELSE 0 END)").replace("{t}", "c_custkey % 7").replace("{m}", "c_custkey % 2")
+
+
+def _nodes(name: str, sql: str) -> str:
+    """SQL of the nodes of a document that are reached through objects: path, whether an object, JSON text (null for objects and JSON's null)."""
+    return f"{name} AS (SELECT d.id AS id, substr(fullkey, 3) AS path, type = 'OBJECT' AS obj, CASE WHEN type NOT IN ('OBJECT', 'NULL') THEN CAST(value AS VARCHAR) END AS value FROM ({sql}) d, json_tree(doc) WHERE fullkey NOT LIKE '%[%')"
+
+
+@query(
+    "b25_nested_diff",
+    f"WITH {_nodes('o', _CONF1)}, {_nodes('n', _CONF2)}, b AS (SELECT coalesce(o.id, n.id) AS id, coalesce(o.path, n.path) AS path, coalesce(o.obj, false) AS oo, coalesce(n.obj, false) AS nn, o.value AS ov, n.value AS nv FROM o FULL JOIN n ON o.id = n.id AND o.path = n.path) "
+    "SELECT c.id, c.path, c.ov AS old_value, c.nv AS new_value, list_has_any(string_split(c.path, '.'), ['url', 'base_url']) AS sensitive FROM b c JOIN b p ON p.id = c.id AND p.oo AND p.nn AND p.path = CASE WHEN contains(c.path, '.') THEN regexp_replace(c.path, '\.[^.]*$', '') ELSE '' END WHERE c.path <> '' AND NOT (c.oo AND c.nn) AND (c.oo <> c.nn OR c.ov IS DISTINCT FROM c.nv)",
+)
+def b25_nested(spark, sf_dir):
+    return J.diff_paths(derived(spark, sf_dir, _CONF1), derived(spark, sf_dir, _CONF2), ["id"], "doc", ["url", "base_url"])
+
+
+def _trees(spark, sf_dir):
+    out = []
+    for rows in _versions(spark, sf_dir)[:2]:
+        out.append(new_path(spark, "version"))
+        M.write(rows, out[-1], KEYS)
+    return [M.Version(spark, p) for p in out]
+
+
+@query("f02_tree_diff", WITH + " SELECT source_id, source_key, change_type, old_hash, new_hash FROM d12 WHERE change_type <> 'SAME'")
+def f02_tree(spark, sf_dir):
+    return M.changes(*_trees(spark, sf_dir), KEYS).select(*KEYS, "change_type", "old_hash", "new_hash")
+
+
+@query("f01_tree_preview", WITH + " SELECT count(*) FILTER (change_type = 'ADD') AS added, count(*) FILTER (change_type = 'REMOVE') AS removed, count(*) FILTER (change_type = 'CHANGE') AS changed, count(*) FILTER (change_type = 'SAME') AS unchanged, count(*) FILTER (change_type <> 'ADD') AS previous FROM d12")
+def f01_tree(spark, sf_dir):
+    return M.preview(*_trees(spark, sf_dir), KEYS)

@@ -147,3 +147,9 @@ def test_floors_and_warnings(spark):
     assert sorted((r.version_id, r.field, r.status) for r in Q.floor_gate(rates, floors, ["version_id"]).collect()) == [(1, "PERSON.dob", "FAIL"), (1, "VESSEL.imo", "WARN")]
     told = spark.createDataFrame([(1, "PARSE_WARNING", 9), (1, "DATE", 2), (1, "odd", 1), (1, "COUNTRY", 0)], "version_id int, category string, n long")
     assert sorted(r.field for r in Q.warning_gate(told, ["version_id"], ["DATE", "COUNTRY"]).collect()) == ["DATE", "PARSE_WARNING"]
+
+
+def test_chains_of_any_length_and_circles(spark):
+    rows = [(k, k - 1 if k else None) for k in range(1001)] + [(2000 + k, 2000 + (k + 1) % 5) for k in range(5)] + [(2100, 2003), (2200, 9999), (2201, 2200), (2300, 2300)]
+    got = {r.run_id: r.chain for r in MO.chain_lengths(spark.createDataFrame(rows, "run_id int, resumed_from int")).collect()}
+    assert got == {k: k for k in range(1001)} | dict.fromkeys([2000, 2001, 2002, 2003, 2004, 2100, 2300]) | {2200: 0, 2201: 1}
