@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from ..functions import names as N
@@ -11,6 +13,8 @@ from ..operators import fuzzy as FZ
 from ..operators import monitor as MO
 from ..operators import notices as G
 from ..operators import removals as R
+from ..operators import retention as RT
+from ..session import new_path
 from .derive import FETCHES, RUNS, derived
 from .q_versioning import CANDS, LINKS
 from .registry import query
@@ -309,3 +313,13 @@ def l09(spark, sf_dir):
 @query("l10_expired_staging", f"SELECT run_id FROM ({RUNS}) WHERE queued_at::DATE < DATE '2001-01-01' - 90 AND status <> 'HELD'")
 def l10(spark, sf_dir):
     return MO.expired(derived(spark, sf_dir, RUNS).withColumnRenamed("queued_at", "created_at"), F.to_date(F.lit("2001-01-01")), 90).select("run_id")
+
+
+@query("l10_retention", f"SELECT run_id, status FROM ({RUNS}) WHERE status = 'HELD' OR date_trunc('month', queued_at)::DATE + INTERVAL 1 MONTH > DATE '1999-01-01' - 90")
+def l10_retention(spark, sf_dir):
+    """Runs written by month, then what expires is dropped by whole months."""
+    runs = derived(spark, sf_dir, RUNS).select("run_id", F.col("queued_at").cast("timestamp").alias("queued_at"), "status")
+    evidence = RT.Evidence(spark, new_path(spark, "evidence"), ", ".join(f"{n} {t}" for n, t in runs.dtypes), "queued_at")
+    evidence.append(runs)
+    evidence.expire(dt.date(1999, 1, 1), 90, F.col("status") == "HELD")
+    return evidence.read().select("run_id", "status")

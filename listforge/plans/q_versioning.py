@@ -6,7 +6,9 @@ from functools import reduce
 
 from pyspark.sql import functions as F
 
+from ..operators import intervals as IV
 from ..operators import jsondiff as J
+from ..operators import kept as KM
 from ..operators import merkle as M
 from ..operators import publish as PB
 from ..operators import removals as R
@@ -454,3 +456,39 @@ def f02_tree(spark, sf_dir):
 @query("f01_tree_preview", WITH + " SELECT count(*) FILTER (change_type = 'ADD') AS added, count(*) FILTER (change_type = 'REMOVE') AS removed, count(*) FILTER (change_type = 'CHANGE') AS changed, count(*) FILTER (change_type = 'SAME') AS unchanged, count(*) FILTER (change_type <> 'ADD') AS previous FROM d12")
 def f01_tree(spark, sf_dir):
     return M.preview(*_trees(spark, sf_dir), KEYS)
+
+
+#: Versions of orders with validity, some of them open, and the sequence that each of many snapshots pins for each source.
+_VALID = "SELECT 'S' || CAST(o_custkey % 5 AS VARCHAR(9)) AS source_id, o_orderkey AS source_key, o_orderkey % 1000 AS valid_from_seq, CASE WHEN o_orderkey % 3 <> 0 THEN o_orderkey % 1000 + 1 + o_custkey % 300 END AS valid_to_seq FROM orders"
+_PINS = "SELECT n_nationkey AS snapshot_id, 'S' || CAST(k AS VARCHAR(9)) AS source_id, n_nationkey * 40 + k AS pin FROM nation, (SELECT DISTINCT n_nationkey % 5 AS k FROM nation) AS ks"
+
+
+@query("f09_many_snapshots", f"SELECT snapshot_id, v.source_id, source_key FROM ({_VALID}) v JOIN ({_PINS}) p ON v.source_id = p.source_id AND valid_from_seq <= pin AND (valid_to_seq IS NULL OR pin < valid_to_seq)")
+def f09_many(spark, sf_dir):
+    return IV.as_of_many(derived(spark, sf_dir, _VALID), derived(spark, sf_dir, _PINS)).select("snapshot_id", "source_id", "source_key")
+
+
+def _mart(spark, sf_dir, dims, rows):
+    """A mart kept up with three publishes, of which the second was held at first and then released."""
+    mart = KM.KeptMart(spark, new_path(spark, "mart"), dims)
+    log = durable(_log(spark, sf_dir), "log")
+    for seq in (1, 2, 3):
+        mart.apply(seq, rows(log.where(F.col("seq") == seq).withColumn("status", F.lit("HELD" if seq == 2 else "PUBLISHED"))))
+    return mart, log
+
+
+@query("k08_kept_change_volume", LOG + " SELECT source_id, CAST(seq AS INT) AS seq, 'PUBLISHED' AS status, change_type, entity_type, count(*) AS n FROM log GROUP BY ALL")
+def k08_kept(spark, sf_dir):
+    mart, log = _mart(spark, sf_dir, "source_id string, seq int, status string, change_type string, entity_type string", lambda df: KM.change_rows(df, ["source_id", "seq", "status", "change_type", "entity_type"]))
+    held = KM.change_rows(log.where("seq = 2").withColumn("status", F.lit("HELD")), mart.dims)
+    mart.apply(4, KM.released(held, F.lit("HELD"), F.lit("PUBLISHED")))
+    mart.compact()
+    return mart.read()
+
+
+@query("k05_kept_counts", f"WITH {P} SELECT source_id, seq, entity_type, count(*) AS n FROM (SELECT *, 1 AS seq FROM p1 UNION ALL SELECT *, 2 FROM p2 UNION ALL SELECT *, 3 FROM p3) GROUP BY ALL")
+def k05_kept(spark, sf_dir):
+    old = F.when(~F.col("change_type").isin("ADD", "RELIST"), F.col("entity_type"))
+    new = F.when(F.col("change_type") != "REMOVE", F.col("entity_type"))
+    mart, _ = _mart(spark, sf_dir, "source_id string, seq int, entity_type string", lambda df: KM.count_rows(df.withColumns({"old": old, "new": new}), ["source_id", "seq"], "old", "new"))
+    return KM.running_counts(mart.read(), ["source_id", "entity_type"], "seq").select("source_id", "seq", "entity_type", "n")
