@@ -76,18 +76,22 @@ def listed_elsewhere(cands: DataFrame, keys: DataFrame) -> DataFrame:
 
 
 def id_change_suspects(cands: DataFrame, ids: DataFrame, names: DataFrame) -> DataFrame:
-    """Other keys of the same list with the same strong identifier, or else the same normalised primary name.
+    """(source_id, source_key, reason, value, first_key, n_others): each candidate with each strong identifier or normalised primary name that
+    other records of its list carry too.
 
-    This lists every pair; where one reason a candidate is enough, ``id_change_reasons`` does without pairs.
+    The records of one value are a class; first_key, its smallest key, names it. Two records suspect each other if they share a class, so no
+    pair is listed and none is lost: rows grow with the candidates' values, not with the pairs of a value.
     """
-    strong = ids.where(~F.col("id_type").isin(*WEAK_TYPES)).select("source_id", "source_key", "id_type", "value_norm").distinct()
-    mine = cands.join(strong, ["source_id", "source_key"])
-    a = mine.join(strong.withColumnRenamed("source_key", "other_key"), ["source_id", "id_type", "value_norm"]).where("other_key <> source_key")
-    mine = cands.join(names, ["source_id", "source_key"])
-    b = mine.join(names.withColumnRenamed("source_key", "other_key"), ["source_id", "name_norm"]).where("other_key <> source_key")
-    both = a.select("source_id", "source_key", "other_key", F.lit(1).alias("p")).union(b.select("source_id", "source_key", "other_key", F.lit(2)))
-    reason = F.when(F.min("p") == 1, "SHARED_IDENTIFIER").otherwise("SAME_NAME")
-    return both.groupBy("source_id", "source_key", "other_key").agg(reason.alias("reason"))
+    by = ["source_id", "source_key"]
+    strong = ids.where(~F.col("id_type").isin(*WEAK_TYPES))
+    value = lambda *c: F.concat_ws(":", *c)
+    marks = strong.select(*by, F.lit("SHARED_IDENTIFIER").alias("reason"), value("id_type", "value_norm").alias("value"))
+    marks = marks.union(names.select(*by, F.lit("SAME_NAME"), "name_norm")).where("value IS NOT NULL").distinct()
+    shared = marks.groupBy("source_id", "reason", "value").agg(F.min("source_key").alias("first_key"), (F.count("*") - 1).alias("n_others")).where("n_others > 0")
+    # another expression than the grouping's, so that both sides get plain exchanges and a hot value can be split
+    shared = shared.select(F.col("source_id").alias("__s"), F.col("reason").alias("__r"), F.concat("value", F.lit("")).alias("__v"), "first_key", "n_others")
+    mine = cands.select(*by).distinct().join(marks, by)
+    return mine.join(shared, (F.col("source_id") == F.col("__s")) & (F.col("reason") == F.col("__r")) & (F.col("value") == F.col("__v"))).drop("__s", "__r", "__v")
 
 
 def id_change_reasons(cands: DataFrame, ids: DataFrame, names: DataFrame) -> DataFrame:

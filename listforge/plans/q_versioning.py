@@ -266,10 +266,8 @@ def f15(spark, sf_dir):
 @query(
     "f16_id_change_suspects",
     f"""WITH {_IDS}, c AS (SELECT DISTINCT source_id, source_key FROM ({CANDS}) WHERE status = 'PENDING'), s AS (SELECT * FROM ids WHERE label IN ('IMO number','Passport','MMSI')),
-    a AS (SELECT DISTINCT c.source_id, c.source_key, s2.source_key AS other_key, 1 AS pr FROM c JOIN s ON s.source_id = c.source_id AND s.source_key = c.source_key JOIN s s2 ON s2.source_id = s.source_id AND s2.label = s.label AND s2.norm = s.norm AND s2.source_key <> c.source_key),
-    n AS (SELECT 'L' || (c_custkey % 3) AS source_id, c_custkey AS source_key, c_nationkey || '/' || c_mktsegment AS nm FROM customer),
-    b AS (SELECT DISTINCT c.source_id, c.source_key, n2.source_key AS other_key, 2 AS pr FROM c JOIN n ON n.source_id = c.source_id AND n.source_key = c.source_key JOIN n n2 ON n2.source_id = n.source_id AND n2.nm = n.nm AND n2.source_key <> c.source_key)
-    SELECT source_id, source_key, other_key, CASE min(pr) WHEN 1 THEN 'SHARED_IDENTIFIER' ELSE 'SAME_NAME' END AS reason FROM (SELECT * FROM a UNION ALL SELECT * FROM b) GROUP BY 1, 2, 3""",
+    m AS (SELECT DISTINCT source_id, source_key, 'SHARED_IDENTIFIER' AS reason, CASE label WHEN 'IMO number' THEN 'IMO' ELSE upper(label) END || ':' || norm AS mark FROM s UNION ALL SELECT 'L' || (c_custkey % 3), c_custkey, 'SAME_NAME', c_nationkey || '/' || c_mktsegment FROM customer)
+    SELECT source_id, source_key, reason, mark AS value, first_key, n_others FROM (SELECT *, min(source_key) OVER w AS first_key, count(*) OVER w - 1 AS n_others FROM m WINDOW w AS (PARTITION BY source_id, reason, mark)) SEMI JOIN c USING (source_id, source_key) WHERE n_others > 0""",
 )
 def f16(spark, sf_dir):
     cands = derived(spark, sf_dir, CANDS).where("status = 'PENDING'").select(*KEYS).distinct()
