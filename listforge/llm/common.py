@@ -29,3 +29,14 @@ def ascii_lower(c: Column) -> Column:
 
 def word_array(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), WORD_BREAK), lambda w: w != "")
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Column names for own use, made of the given ones, that no column of df has in any spelling."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out

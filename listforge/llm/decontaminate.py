@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from ..session import durable
 from . import kernel
-from .common import table
+from .common import fresh, table
 
 WIDTH, MIN_TOKENS, RUN, MIN_LITERAL, LITERALS = 8, 3, 13, 0.25, 3
 BLOCK = 4_000_000
@@ -244,8 +244,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, run: int = RUN, block: i
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """docs without those that match an item; rows without doc_id stay."""
-    out = contaminated(docs, benchmark).where(F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(out, F.col("doc_id") == F.col("__id"), "left_anti")
+    (id_,) = fresh(docs, "__id")
+    out = contaminated(docs, benchmark).where(F.col("doc_id").isNotNull()).select(F.col("doc_id").alias(id_)).distinct()
+    return docs.join(out, docs["doc_id"] == F.col(id_), "left_anti")
 
 
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:

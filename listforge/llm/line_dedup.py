@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import drop_path, new_path
-from .common import BLANKS, ascii_lower
+from .common import BLANKS, ascii_lower, fresh
 
 RUN_SCHEMA = "k1 long, k2 long, first_doc long"
 
@@ -131,21 +131,22 @@ def dedup_lines(docs: DataFrame, min_chars: int = 10, batches: int = 4, fanout:
     drops = dropped_lines(docs, min_chars, batches, fanout)
     docs = docs.drop("n_lines", "n_dropped")
     names = docs.columns
+    id_, th, drop, split, keep = fresh(docs, "__id", "__th", "__drop", "__lines", "__keep")
     lines = (
         docs.join(
-            drops.withColumnsRenamed({"doc_id": "__id", "th": "__th", "dropped": "__drop"}),
-            (docs["doc_id"] == F.col("__id")) & (F.xxhash64(docs["text"]) == F.col("__th")), "left",
+            drops.select(F.col("doc_id").alias(id_), F.col("th").alias(th), F.col("dropped").alias(drop)),
+            (docs["doc_id"] == F.col(id_)) & (F.xxhash64(docs["text"]) == F.col(th)), "left",
         )
-        .withColumn("__lines", F.split(F.coalesce("text", F.lit("")), "\n"))
-        .withColumn("__keep", F.array_except(F.sequence(F.lit(0), F.size("__lines") - 1), F.coalesce("__drop", F.array().cast("array<int>"))))
+        .withColumn(split, F.split(F.coalesce("text", F.lit("")), "\n"))
+        .withColumn(keep, F.array_except(F.sequence(F.lit(0), F.size(split) - 1), F.coalesce(drop, F.array().cast("array<int>"))))
     )
-    kept = F.when(F.col("__drop").isNull(), F.coalesce("text", F.lit(""))).otherwise(
-        F.array_join(F.transform("__keep", lambda i: F.get(F.col("__lines"), i)), "\n")
+    kept = F.when(F.col(drop).isNull(), F.coalesce("text", F.lit(""))).otherwise(
+        F.array_join(F.transform(keep, lambda i: F.get(F.col(split), i)), "\n")
     )
     return lines.select(
-        *[kept.alias("text") if c == "text" else F.col(c) for c in names],
-        F.size("__lines").cast("long").alias("n_lines"),
-        (F.size("__lines") - F.size("__keep")).cast("long").alias("n_dropped"),
+        *[kept.alias("text") if c == "text" else F.col(f"`{c}`") for c in names],
+        F.size(split).cast("long").alias("n_lines"),
+        (F.size(split) - F.size(keep)).cast("long").alias("n_dropped"),
     )
 
 

@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from ..session import durable
 from . import kernel
+from .common import fresh
 from .components import components
 from .simhash import near_links
 
@@ -198,5 +199,6 @@ def groups(docs: DataFrame, **limits) -> DataFrame:
 
 def keep_one(docs: DataFrame, **limits) -> DataFrame:
     """docs without the near copies: of each group the row with the smallest doc_id stays; rows without doc_id stay."""
-    out = groups(docs, **limits).where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(out, F.col("doc_id") == F.col("__id"), "left_anti")
+    (id_,) = fresh(docs, "__id")
+    out = groups(docs, **limits).where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias(id_)).distinct()
+    return docs.join(out, docs["doc_id"] == F.col(id_), "left_anti")

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import durable
-from .common import let, word_array
+from .common import fresh, let, word_array
 from .line_dedup import key_hashes, line_key
 
 MIN_WORDS, MAX_REPEAT_PCT, WINDOW = 10, 20, 5
@@ -128,12 +128,13 @@ def judged(docs: DataFrame, min_left: float = MIN_LEFT, **limits) -> DataFrame:
 def clean(docs: DataFrame, min_left: float = MIN_LEFT, **limits) -> DataFrame:
     """docs without the rows that the rules reject, and without the boilerplate lines of the others; columns as they are."""
     verdict = judged(docs, min_left, **limits).where(~F.col("kept") | F.col("cut").isNotNull())
-    verdict = verdict.groupBy(F.col("doc_id").alias("__id"), F.col("th").alias("__th"), F.col("host").alias("__host")).agg(F.first("kept").alias("__kept"), F.first("cut").alias("__cut"))
-    same = docs["doc_id"].eqNullSafe(F.col("__id")) & (F.xxhash64(docs["text"]) == F.col("__th")) & docs["source"].eqNullSafe(F.col("__host"))
-    left = F.filter(F.split(docs["text"], "\n"), lambda l, i: ~F.array_contains("__cut", i))
-    out = docs.join(verdict, same, "left").where(F.coalesce("__kept", F.lit(True)))
-    text = F.when(F.col("__cut").isNull(), docs["text"]).otherwise(F.array_join(left, "\n"))
-    return out.select(*[text.alias("text") if c == "text" else docs[c] for c in docs.columns])
+    id_, th, host, kept, cut = fresh(docs, "__id", "__th", "__host", "__kept", "__cut")
+    verdict = verdict.groupBy(F.col("doc_id").alias(id_), F.col("th").alias(th), F.col("host").alias(host)).agg(F.first("kept").alias(kept), F.first("cut").alias(cut))
+    same = docs["doc_id"].eqNullSafe(F.col(id_)) & (F.xxhash64(docs["text"]) == F.col(th)) & docs["source"].eqNullSafe(F.col(host))
+    left = F.filter(F.split(docs["text"], "\n"), lambda l, i: ~F.array_contains(cut, i))
+    out = docs.join(verdict, same, "left").where(F.coalesce(kept, F.lit(True)))
+    text = F.when(F.col(cut).isNull(), docs["text"]).otherwise(F.array_join(left, "\n"))
+    return out.select(*[text.alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns])
 
 
 def op9(spark: SparkSession, docs: DataFrame) -> DataFrame:
