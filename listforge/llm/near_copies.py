@@ -9,7 +9,8 @@
    them: those least under fixed orders, so that the cells of one group choose mostly the same.
 5. Every pair is tested on the whole sets; only pairs of ``LEAST`` or more are links. Components by star contraction.
 6. A crowded cell whose sets are by then in one component is settled: further links in it change nothing. The sets of the
-   others get ``LONG_BANDS`` keys of ``LONG_ROWS`` least hashes, and in the cells of these all pairs across components are
+   others get ``LONG_BANDS`` keys of ``LONG_ROWS`` least hashes. In the cells of these each component is first stood for by one set; components
+   that this links are one from then on, and then all pairs across components that are left are
    tested, without limit. Two sets of 0.8 share such a key with probability 0.9994. This is the way for all that step 4 leaves;
    its work grows with pairs of similar sets in different components, not with copies of one text.
 
@@ -137,8 +138,19 @@ def candidates(known: DataFrame, crowded: DataFrame, cell: int = CELL) -> DataFr
     return pairs.union(headed.select(F.least("sh", "h").alias("u"), F.greatest("sh", "h").alias("v"))).distinct()
 
 
+def between(member: DataFrame, least: float) -> DataFrame:
+    """member(cell, sh, component, n) -> pairs (u, v, cu, cv) of sets of different components that meet in a cell and may be alike by their sizes."""
+    left, right = (member.select("cell", *[F.col(c).alias(c + side) for c in ("sh", "component", "n")]) for side in "uv")
+    met = left.join(right, "cell").where("componentu < componentv").where(F.least("nu", "nv") >= least * F.greatest("nu", "nv"))
+    return met.select(F.col("shu").alias("u"), F.col("shv").alias("v"), F.col("componentu").alias("cu"), F.col("componentv").alias("cv")).distinct()
+
+
 def across(crowded: DataFrame, sets: DataFrame, found: DataFrame, least: float = LEAST) -> DataFrame:
-    """Pairs (u, v) that crowded cells leave open: of sets in different components of the links that are found."""
+    """Links (u, v) that crowded cells leave open: of sets in different components of the links that are found.
+
+    Each component first sends one set to each cell. What these link is one component from then on, and only the sets of components that
+    are still apart are paired with one another.
+    """
     parts = components(found).withColumnRenamed("node", "sh")
     state = crowded.select("cell", "sh").join(parts, "sh", "left").withColumn("component", F.coalesce("component", "sh"))
 
@@ -149,9 +161,14 @@ def across(crowded: DataFrame, sets: DataFrame, found: DataFrame, least: float =
     still = mixed(state).select("sh", "component").distinct()
     keyed = still.join(sets, "sh").select("sh", "component", "set").mapInArrow(_long_bands, "sh long, component long, n long, bands array<long>")
     member = durable(mixed(durable(keyed, "long-bands").select("sh", "component", "n", F.explode("bands").alias("cell"))), "open-cells")
-    left, right = (member.select("cell", *[F.col(c).alias(c + side) for c in ("sh", "component", "n")]) for side in "uv")
-    met = left.join(right, "cell").where("componentu < componentv").where(F.least("nu", "nv") >= least * F.greatest("nu", "nv"))
-    return met.select(F.least("shu", "shv").alias("u"), F.greatest("shu", "shv").alias("v")).distinct()
+    heads = member.groupBy("cell", "component").agg(F.min(F.struct("n", "sh")).alias("h")).select("cell", "component", "h.sh", "h.n")
+    first = durable(between(heads, least), "first-pairs")
+    linked = durable(verified(first.select("u", "v").distinct(), sets, least), "first-links")
+    merged = components(linked.join(first, ["u", "v"]).select(F.col("cu").alias("u"), F.col("cv").alias("v")).distinct())
+    merged = merged.select(F.col("node").alias("component"), F.col("component").alias("into"))
+    apart = member.join(merged, "component", "left").withColumn("component", F.coalesce("into", "component")).drop("into")
+    rest = between(mixed(apart), least).select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+    return linked.union(verified(durable(rest, "open-pairs"), sets, least))
 
 
 def simhash_pairs(firsts: DataFrame) -> DataFrame:
@@ -184,7 +201,7 @@ def links(docs: DataFrame, signed: DataFrame, least: float = LEAST, cell: int =
     texts = docs.select(F.xxhash64("text").alias("th"), "text").join(wanted, F.col("th") == F.col("__th")).dropDuplicates(["sh"]).select("sh", "text")
     sets = durable(texts.mapInArrow(_sets, "sh long, set array<long>"), "shingles")
     found = durable(verified(pairs, sets, least), "near-links")
-    return found.union(verified(durable(across(crowded, sets, found, least), "open-pairs"), sets, least))
+    return found.union(across(crowded, sets, found, least))
 
 
 def groups(docs: DataFrame, **limits) -> DataFrame:
