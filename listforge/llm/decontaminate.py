@@ -1,7 +1,7 @@
 """Benchmark decontamination by template canonicalisation.
 
 A text becomes a sequence of template tokens: words without punctuation, in lower case, with numbers, names and units
-replaced by typed placeholders. Windows of ``WIDTH`` template tokens are hashed; windows of documents are hash-joined with
+replaced by typed placeholders; a number in words counts as its figure, a unit glued to a number as a token of its own. Windows of ``WIDTH`` template tokens are hashed; windows of documents are hash-joined with
 windows of benchmark items. Windows that lie on one diagonal (same shift between document and item) form a match. A match
 counts if it covers enough of the item, its slots are consistent (within each type, equal values in the item are equal
 values in the document and different ones differ), and there is evidence beside the mould of placeholders: ``LITERALS``
@@ -47,6 +47,9 @@ ml l cl litre litres liter liters gallon gallons pint pints cup cups
 s sec secs second seconds min mins minute minutes h hr hrs hour hours day days week weeks month months year years
 percent pct usd eur gbp dollar dollars euro euros cent cents mph kph kmh degrees degree watts watt volts volt
 """.split()
+#: Numbers in words, by their value; compounds like *twenty-five* follow from them.
+ONES = "zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen".split()
+TENS = "twenty thirty forty fifty sixty seventy eighty ninety".split()
 NUM, NAME, UNIT = np.uint64(0x11), np.uint64(0x22), np.uint64(0x33)
 
 _CORE = np.zeros(256, dtype=bool)  # letters, digits and all of non-ASCII
@@ -62,6 +65,23 @@ def _hash_words(ws: list[str]) -> np.ndarray:
 
 
 _UNITS = np.sort(_hash_words(UNITS))
+_SPELT = {w: n for n, w in enumerate(ONES)} | {t + (ONES[k] if k else ""): 20 + 10 * i + k for i, t in enumerate(TENS) for k in range(10)}
+_SPELT_HASHES, _SPELT_VALUES = _hash_words(list(_SPELT)), _hash_words([str(n) for n in _SPELT.values()])
+_SPELT_VALUES, _SPELT_HASHES = _SPELT_VALUES[np.argsort(_SPELT_HASHES)], np.sort(_SPELT_HASHES)
+
+
+def _unit_starts(raw: np.ndarray, low: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(words that are a number with a unit glued to it, where the unit starts)."""
+    digit = (raw >= 48) & (raw <= 57)
+    other = np.append(np.flatnonzero(~digit), len(raw))
+    mid = np.minimum(other[np.searchsorted(other, lo)], hi)
+    digits = np.concatenate([[0], np.cumsum(digit)])
+    glued = np.flatnonzero((mid > lo) & (mid < hi) & (digits[hi] - digits[lo] == mid - lo))
+    if not len(glued):
+        return glued, mid[glued]
+    suffix = kernel.hash_spans(low, mid[glued], hi[glued])
+    glued = glued[_UNITS[np.minimum(np.searchsorted(_UNITS, suffix), len(_UNITS) - 1)] == suffix]
+    return glued, mid[glued]
 
 
 def template(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -91,8 +111,17 @@ def template(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     latin = np.zeros(len(raw), bool)
     latin[1:] = (raw[:-1] == 0xC3) & (raw[1:] >= 0x80) & (raw[1:] <= 0x9E) & (raw[1:] != 0x97)
     low[latin] += 32
+    glued, mid = _unit_starts(raw, low, lo, hi)
+    if len(glued):  # *5kg* becomes *5* and *kg*
+        ends_at = hi[glued]
+        hi[glued] = mid
+        lo, hi = np.insert(lo, glued + 1, mid), np.insert(hi, glued + 1, ends_at)
+        starts, counts, opens = np.insert(starts, glued + 1, starts[glued]), hi - lo, np.insert(opens, glued + 1, False)
     values = kernel.hash_spans(low, lo, hi)
     digit = np.logical_or.reduceat((raw >= 48) & (raw <= 57), lo)
+    at = np.minimum(np.searchsorted(_SPELT_HASHES, values), len(_SPELT_HASHES) - 1)
+    spelt = _SPELT_HASHES[at] == values
+    values, digit = np.where(spelt, _SPELT_VALUES[at], values), digit | spelt
     second = np.minimum(lo + 1, len(raw) - 1)
     upper = ((raw[lo] >= 65) & (raw[lo] <= 90)) | (latin[second] & (counts > 1) & (raw[lo] == 0xC3))
     name = upper & ~opens & ~digit

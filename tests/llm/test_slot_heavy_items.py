@@ -81,3 +81,51 @@ def test_blocks_of_hashes_and_odd_tables(spark):
     assert decontaminate.contaminated(none, items).count() == 0 and decontaminate.contaminated(docs, items.where("false")).count() == 0
     left = decontaminate.drop_contaminated(docs, items)
     assert left.columns == docs.columns and sorted((r.doc_id for r in left.collect()), key=str) == [50, 51, None]
+
+
+#: Questions with numbers in words and glued units; {x} to {z} numbers, {u} a unit that stands at a number with or without a blank.
+SPELT = [
+    "Sam sold {x} cakes in the morning and {y} cakes after lunch. How many were sold in all?", "There were {x} birds on a wire and {y} flew away. How many birds stayed behind?", "A bag weighs {x}{u} and a crate weighs {y}{u}. What do both of them weigh together?",
+    "The tank holds {x}{u} of oil and loses {y}{u} every night. When will it be empty?", "If {x} pens cost {y} coins, what is the cost of {z} pens at this price?", "My brother is {x} years old and my sister is {y}. What is the sum of their ages?",
+    "Divide {x} oranges among {y} children so that nobody gets more than another.", "The road is {x}{u} long, and {y}{u} of it have been paved so far. How much is left to pave?", "Each shelf has {x} books and there are {y} shelves in the room. Count all the books.",
+    "A recipe for {x} people needs {y}{u} of flour. How much flour is needed for {z} people?", "She ran {x}{u} on Monday and twice as far on the next day. How far did she run?", "From {x} cards we take {y} at random. In how many ways can this be done?",
+]
+
+
+def test_recall_of_spelt_numbers_and_glued_units(spark):
+    import random
+
+    rng = random.Random(23)
+    say = lambda n: rng.choice([str(n), n_words(n)])
+
+    def n_words(n):
+        ones, tens = decontaminate.ONES, decontaminate.TENS
+        return ones[n] if n < 20 else tens[n // 10 - 2] + ("-" + ones[n % 10] if n % 10 else "")
+
+    def fill(q, unit):
+        x, y, z = rng.sample(range(2, 99), 3)
+        if "{u}" in q:
+            return q.format(x=x, y=y, z=z, u=unit)
+        return q.format(x=say(x), y=say(y), z=say(z))
+
+    items = [(k, fill(q, "kg")) for k, q in enumerate(SPELT)]
+    docs = [(100 * k + j, f"Here is one more. {fill(q, rng.choice([' miles', 'km', ' kg', 'lbs']))} Thanks to all.") for k, q in enumerate(SPELT) for j in range(10)]
+    docs += [(100 * k + 50, f"so {t} and so on") for k, t in items]
+    pairs = decontaminate.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    got = {(r.doc_id, r.item_id) for r in pairs.collect()}
+    other = [(d, d // 100) for d, _ in docs if d % 100 < 50]
+    assert all((100 * k + 50, k) in got for k, _ in items) and all(d // 100 == i for d, i in got)
+    assert sum(x in got for x in other) >= 0.95 * len(other), [docs[[d for d, _ in docs].index(x[0])][1] for x in other if x not in got][:5]
+
+
+def test_glued_units_and_spelt_numbers_are_slots():
+    import numpy as np
+
+    def codes(text):
+        raw = text.encode()
+        c, v, slot, by, _ = decontaminate.template(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
+        return c.tolist(), v.tolist(), slot.tolist()
+
+    assert codes("weighs 5kg now") == codes("weighs 5 kg now") and codes("weighs 5kg now")[2] == [False, True, True, False]
+    assert codes("has twenty-five x") == codes("has 25 x") and codes("has Three x")[1] == codes("has 3 x")[1]
+    assert codes("the 3rd b2b 7x7km x5kg")[2] == [False, True, True, True, True]  # words with figures that aren't a number with a unit
