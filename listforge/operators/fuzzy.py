@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import names as N
+from ..session import durable
 
 #: Longer names are looked up by their segments alone, wherever these stand: that takes a number of keys that grows with the length only.
 LONG = 128
@@ -73,7 +74,8 @@ def pairs(left: DataFrame, right: DataFrame, limit: float = 0.85) -> DataFrame:
         named = df.select(F.col(core).alias("core")).where("core IS NOT NULL").distinct().withColumn("name", sorted_tokens(F.col("core")))
         return named.withColumn("len", F.length("name")).where("len > 0")
 
-    a, b = names(left, "core"), names(right, "r_core")
+    # written once: each side is read as the longer and as the shorter one, and callers read the pairs several times
+    a, b = durable(names(left, "core"), "names"), durable(names(right, "r_core"), "names")
 
     def met(long: DataFrame, short: DataFrame, long_core: str, short_core: str, of_equal: bool) -> DataFrame:
         x = _longer_keys(long, slack).selectExpr(f"core AS {long_core}", "name AS l_name", "len AS l_len", "of AS l_of", "i AS l_i", "seg AS l_seg")
@@ -86,4 +88,4 @@ def pairs(left: DataFrame, right: DataFrame, limit: float = 0.85) -> DataFrame:
 
     # one side as the longer, then the other; pairs of one length come from the first
     found = met(b, a, "r_core", "core", True).union(met(a, b, "core", "r_core", False)).distinct()
-    return found.withColumn("score", N.name_score(F.col("core"), F.col("r_core"))).where(F.col("score") >= limit)
+    return durable(found.withColumn("score", N.name_score(F.col("core"), F.col("r_core"))).where(F.col("score") >= limit), "name-pairs")

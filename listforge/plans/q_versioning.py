@@ -432,7 +432,7 @@ def _nodes(name: str, sql: str) -> str:
 @query(
     "b25_nested_diff",
     f"WITH {_nodes('o', _CONF1)}, {_nodes('n', _CONF2)}, b AS (SELECT coalesce(o.id, n.id) AS id, coalesce(o.path, n.path) AS path, coalesce(o.obj, false) AS oo, coalesce(n.obj, false) AS nn, o.value AS ov, n.value AS nv FROM o FULL JOIN n ON o.id = n.id AND o.path = n.path) "
-    "SELECT c.id, c.path, c.ov AS old_value, c.nv AS new_value, list_has_any(string_split(c.path, '.'), ['url', 'base_url']) AS sensitive FROM b c JOIN b p ON p.id = c.id AND p.oo AND p.nn AND p.path = CASE WHEN contains(c.path, '.') THEN regexp_replace(c.path, '\.[^.]*$', '') ELSE '' END WHERE c.path <> '' AND NOT (c.oo AND c.nn) AND (c.oo <> c.nn OR c.ov IS DISTINCT FROM c.nv)",
+    r"SELECT c.id, c.path, c.ov AS old_value, c.nv AS new_value, list_has_any(string_split(c.path, '.'), ['url', 'base_url']) AS sensitive FROM b c JOIN b p ON p.id = c.id AND p.oo AND p.nn AND p.path = CASE WHEN contains(c.path, '.') THEN regexp_replace(c.path, '\.[^.]*$', '') ELSE '' END WHERE c.path <> '' AND NOT (c.oo AND c.nn) AND (c.oo <> c.nn OR c.ov IS DISTINCT FROM c.nv)",
 )
 def b25_nested(spark, sf_dir):
     return J.diff_paths(derived(spark, sf_dir, _CONF1), derived(spark, sf_dir, _CONF2), ["id"], "doc", ["url", "base_url"])
