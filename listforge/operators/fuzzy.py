@@ -42,7 +42,7 @@ def _longer_keys(df: DataFrame, slack: float) -> DataFrame:
     cut = df.where("len > 0").withColumn("g", F.explode(F.expr(_segments("len", slack))))
     seg = F.expr("substring(name, CAST(g.at + 1 AS INT), g.size)")
     far = F.col("len") > LONG
-    return cut.select("core", "name", "len", F.when(far, -1).otherwise(F.col("len")).alias("of"), F.when(far, -1).otherwise(F.col("g.i")).alias("i"), seg.alias("seg")).distinct()
+    return cut.select("core", "name", "len", F.when(far, -1).otherwise(F.col("len")).alias("of"), F.when(far, -1).otherwise(F.col("g.i")).alias("i"), seg.alias("seg"))
 
 
 def _shorter_keys(df: DataFrame, slack: float) -> DataFrame:
@@ -54,9 +54,10 @@ def _shorter_keys(df: DataFrame, slack: float) -> DataFrame:
     places = grown.withColumn("sh", F.explode(F.expr("transform(sequence(0, g.i), k -> 2 * k - g.i)")))
     places = places.where("g.i + abs(sh - (len - of)) <= d AND g.at + sh >= 0 AND g.at + sh + g.size <= len")
     near = places.select("core", "name", "len", "of", F.col("g.i").alias("i"), F.expr("substring(name, CAST(g.at + sh + 1 AS INT), g.size)").alias("seg"))
-    sizes = df.where(f"{most} > {LONG}").withColumn("of", F.explode(F.expr(f"sequence(greatest(len, {LONG + 1}), greatest(len, {LONG + 1}, {most}))")))
-    sizes = sizes.select("core", "name", "len", F.explode(F.array_distinct(F.expr(f"transform({_segments('of', slack)}, s -> s.size)"))).alias("size")).distinct()
-    everywhere = sizes.where("size <= len").withColumn("seg", F.explode(F.expr("array_distinct(transform(sequence(1, len - size + 1), p -> substring(name, p, size)))")))
+    n = f"(CAST(floor({2 * slack} * o) AS INT) + 1)"
+    sizes = f"array_distinct(flatten(transform(sequence(greatest(len, {LONG + 1}), greatest(len, {LONG + 1}, {most})), o -> array(CAST(o DIV {n} AS INT), CAST(o DIV {n} AS INT) + 1))))"
+    sizes = df.where(f"{most} > {LONG}").withColumn("size", F.explode(F.expr(sizes)))
+    everywhere = sizes.where("size BETWEEN 1 AND len").withColumn("seg", F.explode(F.expr("array_distinct(transform(sequence(1, len - size + 1), p -> substring(name, p, size)))")))
     return near.union(everywhere.select("core", "name", "len", F.lit(-1).alias("of"), F.lit(-1).alias("i"), "seg"))
 
 
@@ -77,15 +78,15 @@ def pairs(left: DataFrame, right: DataFrame, limit: float = 0.85) -> DataFrame:
     # written once: each side is read as the longer and as the shorter one, and callers read the pairs several times
     a, b = durable(names(left, "core"), "names"), durable(names(right, "r_core"), "names")
 
-    def met(long: DataFrame, short: DataFrame, long_core: str, short_core: str, of_equal: bool) -> DataFrame:
-        x = _longer_keys(long, slack).selectExpr(f"core AS {long_core}", "name AS l_name", "len AS l_len", "of AS l_of", "i AS l_i", "seg AS l_seg")
-        y = _shorter_keys(short, slack).withColumnRenamed("core", short_core)
-        both = x.join(y, (F.col("l_of") == F.col("of")) & (F.col("l_i") == F.col("i")) & (F.col("l_seg") == F.col("seg")))
-        most = F.floor(F.lit(slack) * (F.col("l_len") + F.col("len"))).cast("int")
-        both = both.where(F.col("l_len") >= F.col("len") if of_equal else F.col("l_len") > F.col("len")).where(F.col("l_len") - F.col("len") <= most)
-        # the threshold of the built-in is a constant; the limit of the pair isn't
-        return both.where(F.levenshtein("l_name", "name") <= most).select("core", "r_core")
-
-    # one side as the longer, then the other; pairs of one length come from the first
-    found = met(b, a, "r_core", "core", True).union(met(a, b, "core", "r_core", False)).distinct()
+    # side 0: the right names as the longer ones, or as long; side 1: the left names as the longer ones
+    long = [_longer_keys(df, slack).withColumn("side", F.lit(k)) for k, df in enumerate((b, a))]
+    x = long[0].union(long[1]).selectExpr("core AS l_core", "name AS l_name", "len AS l_len", "of AS l_of", "i AS l_i", "seg AS l_seg", "side AS l_side")
+    short = [_shorter_keys(df, slack).withColumn("side", F.lit(k)) for k, df in enumerate((a, b))]
+    both = x.join(short[0].union(short[1]), (F.col("l_side") == F.col("side")) & (F.col("l_of") == F.col("of")) & (F.col("l_i") == F.col("i")) & (F.col("l_seg") == F.col("seg")))
+    most = F.floor(F.lit(slack) * (F.col("l_len") + F.col("len"))).cast("int")
+    both = both.where((F.col("l_len") >= F.col("len") + F.col("side")) & (F.col("l_len") - F.col("len") <= most))
+    # the threshold of the built-in is a constant; the limit of the pair isn't
+    near = both.where(F.levenshtein("l_name", "name") <= most)
+    one = lambda k, other: F.when(F.col("side") == k, F.col("core")).otherwise(F.col(other))
+    found = near.select(one(0, "l_core").alias("core"), one(1, "l_core").alias("r_core")).distinct()
     return durable(found.withColumn("score", N.name_score(F.col("core"), F.col("r_core"))).where(F.col("score") >= limit), "name-pairs")
