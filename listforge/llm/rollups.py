@@ -5,8 +5,10 @@ State is a folder of immutable batches. A committed batch holds
   each changed entry was before, and
 * ``delta``: signed sums (n_docs, n_tokens) by (source, lang, tokenizer).
 The totals are the sum of all deltas. An insert adds; a delete retracts the current entry; a revision retracts it and adds
-the new count. A bucket's current entries are those of the last committed batch that has it, so a batch reads and writes the
-buckets that it touches and no history. A batch is written under its id and becomes visible by its ``delta/_SUCCESS`` marker,
+the new count. Insert and revise both say what an entry is from now on: inserting an entry that is there revises it, revising one
+that isn't there inserts it. A bucket's current entries are those of the last committed batch that has it, so a batch reads and writes the
+buckets that it touches and no history. The number of buckets follows the number of entries (``BUCKET_ENTRIES``); a batch that makes
+them more than twice as large deals all of them anew. Each batch's folder names the number. A batch is written under its id and becomes visible by its ``delta/_SUCCESS`` marker,
 which is written last; a batch that already has one is left alone, so delivering it again changes nothing, and a job that
 died half-way is simply run again.
 
@@ -32,6 +34,8 @@ from .tokens import default_path, word_ids
 ENTRY = "doc_id long, tokenizer string, source string, lang string, n_tokens long, live boolean, changed boolean, had boolean, o_source string, o_lang string, o_tokens long"
 DELTA = "source string, lang string, tokenizer string, n_docs long, n_tokens long"
 KEYS = ("source", "lang", "tokenizer")
+#: Entries of a bucket.
+BUCKET_ENTRIES = 100_000
 
 
 def count_tokens(docs: DataFrame, tokenizer: str) -> DataFrame:
@@ -49,10 +53,10 @@ def count_tokens(docs: DataFrame, tokenizer: str) -> DataFrame:
 
 
 class Rollup:
-    """The state under ``path``; batches are numbered in commit order, entries lie in ``buckets`` by doc_id."""
+    """The state under ``path``; batches are numbered in commit order, entries lie in buckets by doc_id, of a number that is given or follows their size."""
 
-    def __init__(self, spark: SparkSession, path: str | None = None, buckets: int = 32):
-        self.spark, self.path, self.buckets = spark, path or new_path(spark, "rollup"), buckets
+    def __init__(self, spark: SparkSession, path: str | None = None, buckets: int | None = None, bucket_entries: int = BUCKET_ENTRIES):
+        self.spark, self.path, self.buckets, self.bucket_entries = spark, path or new_path(spark, "rollup"), buckets, bucket_entries
 
     def _fs(self):
         p = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
@@ -66,14 +70,19 @@ class Rollup:
         fs, make = self._fs()
         return sorted(n for n in self._names(self.path) if fs.exists(make(f"{self.path}/{n}/delta/_SUCCESS")))
 
+    def _places(self) -> tuple[int, dict[int, str]]:
+        """(number of buckets, folder of each bucket's current entries)."""
+        buckets, last = 0, {}
+        for batch in self.committed():
+            number = next(int(n.removeprefix("buckets=")) for n in self._names(f"{self.path}/{batch}") if n.startswith("buckets="))
+            if number != buckets:  # all buckets were dealt anew
+                buckets, last = number, {}
+            last |= {int(n.removeprefix("bucket=")): f"{self.path}/{batch}/current/{n}" for n in self._names(f"{self.path}/{batch}/current") if n.startswith("bucket=")}
+        return buckets, last
+
     def entries(self, wanted: set[int] | None = None) -> DataFrame:
         """The current entries, of all buckets or the wanted ones."""
-        last: dict[str, str] = {}
-        for batch in self.committed():
-            for name in self._names(f"{self.path}/{batch}/current"):
-                if name.startswith("bucket="):
-                    last[name] = f"{self.path}/{batch}/current/{name}"
-        paths = [p for n, p in sorted(last.items()) if wanted is None or int(n.removeprefix("bucket=")) in wanted]
+        paths = [p for b, p in sorted(self._places()[1].items()) if wanted is None or b in wanted]
         rows = self.spark.read.schema(ENTRY).parquet(*paths) if paths else self.spark.createDataFrame([], ENTRY)
         return rows.where("live").select("doc_id", "tokenizer", "source", "lang", "n_tokens")
 
@@ -87,7 +96,6 @@ class Rollup:
             return False
         if done and batch_id < done[-1]:
             raise ValueError(f"{batch_id} comes before {done[-1]}")
-        bucket = F.pmod(F.xxhash64("doc_id"), F.lit(self.buckets)).cast("int")
         one = durable(
             changes.where(F.col("doc_id").isNotNull())
             .groupBy("doc_id", "tokenizer")
@@ -95,16 +103,32 @@ class Rollup:
             .select("doc_id", "tokenizer", "c.*"),
             "changes",
         )
-        touched = {r[0] for r in one.select(bucket.alias("b")).distinct().collect()}  # as many rows as there are buckets at most
+        buckets = was = self._places()[0]
+        if self.buckets:
+            buckets = self.buckets
+        else:
+            most = (self.totals().agg(F.sum("n_docs")).first()[0] or 0) + one.count()
+            if most > 2 * buckets * self.bucket_entries or not buckets:
+                buckets = 1 << (max(1, -(-most // self.bucket_entries)) - 1).bit_length()
+        dealt_anew = buckets != was
+        bucket = F.pmod(F.xxhash64("doc_id"), F.lit(buckets)).cast("int")
+        # as many rows as there are buckets at most
+        touched = None if dealt_anew else {r[0] for r in one.select(bucket.alias("b")).distinct().collect()}
         old = self.entries(touched).withColumnsRenamed({"source": "o_source", "lang": "o_lang", "n_tokens": "o_tokens"}).withColumn("had", F.lit(True))
         both = one.withColumn("changed", F.lit(True)).join(old, ["doc_id", "tokenizer"], "full_outer").fillna(False, ["had", "changed"])
         now = lambda new, was: F.when(F.col("changed"), F.col(new)).otherwise(F.col(was)).alias(new)
         at = f"{self.path}/{batch_id}"
+        current = f"{at}/current"
+        fs, make = self._fs()
+        for name in self._names(at):  # of a batch that died before its marker
+            if name.startswith("buckets="):
+                fs.delete(make(f"{at}/{name}"), True)
+        fs.mkdirs(make(f"{at}/buckets={buckets}"))
         both.select(
             "doc_id", "tokenizer", now("source", "o_source"), now("lang", "o_lang"), now("n_tokens", "o_tokens"), (~F.col("changed") | ~F.col("gone")).alias("live"), "changed", "had", "o_source", "o_lang", "o_tokens",
             bucket.alias("bucket"),
-        ).repartition("bucket").write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("bucket").parquet(f"{at}/current")
-        said = self.spark.read.schema(ENTRY).parquet(f"{at}/current").where("changed")
+        ).repartition("bucket").write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("bucket").parquet(current)
+        said = self.spark.read.schema(ENTRY).parquet(current).where("changed")
         add = said.where("live").select(*KEYS, F.lit(1).alias("d"), F.col("n_tokens").alias("t"))
         take = said.where("had").select(F.col("o_source").alias("source"), F.col("o_lang").alias("lang"), "tokenizer", F.lit(-1).alias("d"), (-F.col("o_tokens")).alias("t"))
         delta = add.union(take).groupBy(*KEYS).agg(F.sum("d").cast("long").alias("n_docs"), F.sum("t").cast("long").alias("n_tokens"))
