@@ -9,10 +9,11 @@
    them: those least under fixed orders, so that the cells of one group choose mostly the same.
 5. Every pair is tested on the whole sets; only pairs of ``LEAST`` or more are links. Components by star contraction.
 6. A crowded cell whose sets are by then in one component is settled: further links in it change nothing. The sets of the
-   others get ``LONG_BANDS`` keys of ``LONG_ROWS`` least hashes. In the cells of these each component is first stood for by one set; components
-   that this links are one from then on, and then all pairs across components that are left are
-   tested, without limit. Two sets of 0.8 share such a key with probability 0.9994. This is the way for all that step 4 leaves;
-   its work grows with pairs of similar sets in different components, not with copies of one text.
+   others are looked up by their rarest shingles: of n shingles the n - 0.8 n + 1 that come first in one order of all shingles. Two sets of
+   0.8 share one of these, whatever the order (prefix filter), so no link is lost; the order puts shingles of few sets first, by counts in
+   2**``COUNT_BITS`` buckets, so what a template or a group has in common comes last. Under these keys each component is first stood for by one
+   set; components that this links are one from then on, and then all pairs across components that are left are tested, without limit.
+   The work grows with pairs of similar sets in different components, not with copies of one text.
 
 Defined results: null and wordless texts are equal; a text under ``WIDTH`` words is one shingle. Rows without doc_id stay. Rows
 that repeat a doc_id stay or go together. Texts of any length are compared whole. An empty table stays empty. Further columns,
@@ -35,8 +36,8 @@ from .components import components
 from .simhash import near_links
 
 WIDTH, LEAST, BANDS, ROWS, CELL, HEADS = 5, 0.8, 20, 5, 16, 4
-LONG_BANDS, LONG_ROWS = 40, 8
-_HASHES = BANDS * ROWS + LONG_BANDS * LONG_ROWS  # the long keys take hashes of their own
+COUNT_BITS = 20
+_HASHES = BANDS * ROWS
 _SALT, _ODD = kernel._splitmix(_HASHES, 11), kernel._splitmix(_HASHES, 13) | np.uint64(1)
 
 
@@ -110,15 +111,46 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _long_bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _flat(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, offsets) of the sets of a batch."""
+    sets = batch.column("set")
+    off = sets.offsets.to_numpy()
+    return sets.values.to_numpy().view(np.uint64)[off[0] : off[-1]], off - off[0]
+
+
+def _buckets(h: np.ndarray) -> np.ndarray:
+    return (h & np.uint64((1 << COUNT_BITS) - 1)).astype(np.int64)
+
+
+def _bucket_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total = np.zeros(1 << COUNT_BITS, np.int64)
     for batch in batches:
-        if not batch.num_rows:
-            continue
-        sets = batch.column("set")
-        off = sets.offsets.to_numpy()
-        keys = bands(sets.values.to_numpy().view(np.uint64)[off[0] : off[-1]], off - off[0], LONG_BANDS, LONG_ROWS, BANDS * ROWS)
-        lists = pa.ListArray.from_arrays(pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * LONG_BANDS), pa.array(keys.reshape(-1).view(np.int64)))
-        yield pa.RecordBatch.from_arrays([batch.column("sh"), batch.column("component"), pa.array(np.diff(off).astype(np.int64)), lists], ["sh", "component", "n", "bands"])
+        total += np.bincount(_buckets(_flat(batch)[0]), minlength=len(total))
+    held = np.flatnonzero(total)
+    yield pa.RecordBatch.from_arrays([pa.array(held), pa.array(total[held])], ["b", "c"])
+
+
+def prefixes(h: np.ndarray, off: np.ndarray, counts: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, offsets): of each set the hashes of which another as similar as wanted has at least one among its own."""
+    n = np.diff(off)
+    doc = np.repeat(np.arange(len(n)), n)
+    order = np.lexsort((h, counts[_buckets(h)], doc))
+    long = n - np.ceil(least * n - 1e-9).astype(np.int64) + 1
+    rank = np.arange(len(h)) - np.repeat(off[:-1], n)
+    return h[order][rank < np.repeat(long, n)], np.concatenate([[0], np.cumsum(np.minimum(long, n))])
+
+
+def _rarest(counted, least: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            h, off = _flat(batch)
+            keys, to = prefixes(h, off, counted.value, least)
+            lists = pa.ListArray.from_arrays(pa.array(to.astype(np.int32)), pa.array(keys.view(np.int64)))
+            yield pa.RecordBatch.from_arrays([batch.column("sh"), batch.column("component"), pa.array(np.diff(off).astype(np.int64)), lists], ["sh", "component", "n", "keys"])
+
+    return run
 
 
 def cells(firsts: DataFrame, heads: int = HEADS) -> DataFrame:
@@ -159,8 +191,13 @@ def across(crowded: DataFrame, sets: DataFrame, found: DataFrame, least: float =
         return member.join(spans.select(F.col("cell").bitwiseXOR(F.lit(0)).alias("__c")), F.col("cell") == F.col("__c")).drop("__c")
 
     still = mixed(state).select("sh", "component").distinct()
-    keyed = still.join(sets, "sh").select("sh", "component", "set").mapInArrow(_long_bands, "sh long, component long, n long, bands array<long>")
-    member = durable(mixed(durable(keyed, "long-bands").select("sh", "component", "n", F.explode("bands").alias("cell"))), "open-cells")
+    opened = durable(still.join(sets, "sh").select("sh", "component", "set"), "open-sets")
+    counts = np.zeros(1 << COUNT_BITS, np.int64)
+    known = opened.select("set").mapInArrow(_bucket_counts, "b long, c long").groupBy("b").agg(F.sum("c").alias("c")).toPandas()  # a row a bucket
+    counts[known["b"].to_numpy(np.int64)] = known["c"]
+    rarest = _rarest(crowded.sparkSession.sparkContext.broadcast(counts), least)
+    keyed = opened.mapInArrow(rarest, "sh long, component long, n long, keys array<long>")
+    member = durable(mixed(durable(keyed, "rarest").select("sh", "component", "n", F.explode("keys").alias("cell"))), "open-cells")
     heads = member.groupBy("cell", "component").agg(F.min(F.struct("n", "sh")).alias("h")).select("cell", "component", "h.sh", "h.n")
     first = durable(between(heads, least), "first-pairs")
     linked = durable(verified(first.select("u", "v").distinct(), sets, least), "first-links")
