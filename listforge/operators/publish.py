@@ -67,18 +67,24 @@ class ListStore:
         path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/commits")
         return jvm, path, path.getFileSystem(self.spark._jsc.hadoopConfiguration())
 
+    def _manifests(self) -> list[str]:
+        """Paths of all manifests, oldest first."""
+        _, path, fs = self._files()
+        found = fs.listStatus(path) if fs.exists(path) else []
+        return sorted(s.getPath().toString() for s in found if s.getPath().getName().endswith(".json"))
+
+    def _load(self, paths: list[str]) -> list[Commit]:
+        texts = self.spark.read.format("binaryFile").load(paths).select("content").collect() if paths else []
+        return sorted((Commit(**json.loads(bytes(r["content"]))) for r in texts), key=lambda c: c.number)
+
     def commits(self) -> list[Commit]:
         """All committed versions, oldest first."""
-        _, path, fs = self._files()
-        if not fs.exists(path):
-            return []
-        names = sorted(s.getPath().toString() for s in fs.listStatus(path) if s.getPath().getName().endswith(".json"))
-        texts = {r["path"]: bytes(r["content"]) for r in self.spark.read.format("binaryFile").load(names).select("path", "content").collect()} if names else {}
-        return sorted((Commit(**json.loads(t)) for t in texts.values()), key=lambda c: c.number)
+        return self._load(self._manifests())
 
     def newest(self) -> Commit | None:
-        found = self.commits()
-        return found[-1] if found else None
+        """The newest version; only its manifest is read."""
+        found = self._load(self._manifests()[-1:])
+        return found[0] if found else None
 
     def _add(self, commit: Commit) -> None:
         """Put a manifest in place, unless its number is taken."""
@@ -120,7 +126,9 @@ class ListStore:
 
     def current(self) -> DataFrame:
         """The records of the newest version."""
-        last = self._known()[-1]
+        last = self.newest()
+        if last is None:
+            raise LookupError(f"nothing is published in {self.root}")
         return self._open(last, last.schema).where("NOT gone").drop("gone")
 
     def as_of(self, seq: int) -> DataFrame:
