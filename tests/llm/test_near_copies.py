@@ -82,18 +82,3 @@ def test_fingerprints_and_odd_rows(spark):
     kept = near_copies.keep_one(df)
     assert kept.columns == df.columns and sorted((r.doc_id for r in kept.collect()), key=str) == sorted([1, 1, 4, None, None], key=str)
     assert near_copies.keep_one(df.where("false")).count() == 0
-
-
-def test_rarest_shingles_of_similar_sets_meet():
-    """Every pair as similar as wanted shares a key, whatever the counts are."""
-    import numpy as np
-
-    rng = np.random.default_rng(6)
-    base = rng.integers(0, 2**63, 60).astype(np.uint64)
-    sets = [np.unique(np.concatenate([base[rng.random(60) < p], rng.integers(0, 2**63, int(rng.integers(0, 9))).astype(np.uint64)])) for p in rng.uniform(0.7, 1, 60)]
-    off = np.concatenate([[0], np.cumsum([len(s) for s in sets])])
-    for counts in (np.zeros(1 << near_copies.COUNT_BITS, np.int64), np.bincount(near_copies._buckets(np.concatenate(sets)), minlength=1 << near_copies.COUNT_BITS)):
-        keys, to = near_copies.prefixes(np.concatenate(sets), off, counts, 0.8)
-        own = [set(keys[a:b].tolist()) for a, b in zip(to, to[1:], strict=False)]
-        alike = [(i, j) for i in range(60) for j in range(i) if 5 * len(np.intersect1d(sets[i], sets[j])) >= 4 * len(np.union1d(sets[i], sets[j]))]
-        assert len(alike) > 20 and all(own[i] & own[j] for i, j in alike)
