@@ -135,11 +135,8 @@ def checksum(kind: Column, norm: Column, imo: Column) -> Column:
 
 
 def any_word(text: Column, words: tuple[str, ...]) -> Column:
-    low = F.lower(text)
-    hit = F.lit(False)
-    for w in words:
-        hit = hit | low.contains(w)
-    return hit
+    """Whether one of the words stands in the text; one pass, in which the text is put in lower case once."""
+    return F.lower(text).rlike("|".join(words))
 
 
 def classify_actions(text: Column) -> Column:
@@ -150,16 +147,21 @@ def classify_actions(text: Column) -> Column:
 
 def link_type_near(text: Column, needle: Column, actions: Column, reach: int = 300) -> Column:
     """Kind of link by the words around the first hit: delisting, amendment, listing; else the only action; else a reference."""
-    at = F.instr(text, needle)
-    start = F.greatest(at - 1 - reach, F.lit(0))
-    near = F.when(at > 0, F.substring(text, start + 1, at - 1 + reach - start)).otherwise("")
-    return (
-        F.when(any_word(near, DELIST_WORDS), "DELISTING")
-        .when(any_word(near, AMEND_WORDS), "AMENDMENT")
-        .when(any_word(near, LIST_WORDS), "LISTING")
-        .when(F.size(actions) == 1, F.get(actions, F.lit(0)))
-        .otherwise("REFERENCE")
-    )
+
+    def near(x: Column) -> Column:
+        start = F.greatest(x["at"] - 1 - reach, F.lit(0))
+        return F.when(x["at"] > 0, F.substring(x["text"], start + 1, x["at"] - 1 + reach - start)).otherwise("")
+
+    def kind(words: Column) -> Column:
+        return (
+            F.when(any_word(words, DELIST_WORDS), "DELISTING")
+            .when(any_word(words, AMEND_WORDS), "AMENDMENT")
+            .when(any_word(words, LIST_WORDS), "LISTING")
+            .when(F.size(actions) == 1, F.get(actions, F.lit(0)))
+            .otherwise("REFERENCE")
+        )
+
+    return bind(bind(F.struct(F.instr(text, needle).alias("at"), text.alias("text")), near), kind)
 
 
 def quote(text: Column, needle: Column, reach: int = 120) -> Column:
