@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..session import durable
+from .notices import consumed
 
 # Severities from least to greatest; a circuit opens at so many failures in a row; minutes of back-off and retry double up to their limits.
 SEVERITIES = ("INFO", "WARN", "PAGE")
@@ -31,9 +32,8 @@ def unchanged_for(sources: DataFrame, as_of: Column, days: int) -> DataFrame:
 def unanswered(sigs: DataFrame, publishes: DataFrame, as_of: Column, hours: int = 6) -> DataFrame:
     """Signals that no publish of their target followed within the hours, once these are over."""
     until = F.col("observed_at") + F.expr(f"INTERVAL {hours} HOURS")
-    s = sigs.where(until <= as_of).withColumn("until", until)
-    p = publishes.select(F.col("source_id").alias("p_source"), "published_at")
-    return s.join(p, (F.col("target_source_id") == F.col("p_source")) & (F.col("published_at") >= F.col("observed_at")) & (F.col("published_at") <= F.col("until")), "left_anti").drop("until")
+    first = consumed(sigs.where(until <= as_of), publishes)
+    return first.where(F.col("consumed_at").isNull() | (F.col("consumed_at") > until)).drop("consumed_at")
 
 
 def circuit_states(log: DataFrame) -> DataFrame:

@@ -36,3 +36,19 @@ def test_words_around_a_reference_are_read_before_its_records_are_joined(spark):
     assert {(r.notice_id, r.source_key, r.link_type, r.verbatim_quote) for r in rows} == {(n, k, "DELISTING", "t entry TAi.001 was removed.") for n in (1, 3, 5) for k in range(30)} and len(rows) == 90
     text = plan(df).split("Initial Plan")[-1]
     assert 0 < text.index("Join") < text.index("instr(")
+
+
+def test_signals_do_not_meet_every_publish_of_their_target(spark):
+    at = lambda k: dt.datetime(2024, 1, 1) + dt.timedelta(minutes=7 * k)
+    sig = [(k, f"S{k % 2}", at(k)) for k in range(400)] + [(900, None, at(3)), (901, "S0", None), (902, "none", at(5)), (903, "S1", at(4000))]
+    pub = [(f"S{k % 2}", at(k + k % 3)) for k in range(0, 800, 2)] + [("S1", at(k)) for k in range(5, 390, 40)] + [(None, at(9)), ("S0", None)]
+    s = spark.createDataFrame(sig, "signal_id int, target_source_id string, observed_at timestamp")
+    p = spark.createDataFrame(pub, "source_id string, published_at timestamp")
+    first = lambda t, o: min((x for n, x in pub if t and o and x and n == t and x >= o), default=None)
+    df = G.consumed(s, p)
+    got = {r.signal_id: r.consumed_at for r in df.collect()}
+    assert got == {k: first(t, o) for k, t, o in sig} and df.columns == [*s.columns, "consumed_at"]
+    assert join_rows(df) <= len(sig)
+    late = MO.unanswered(s, p, F.lit(dt.datetime(2024, 1, 2)))
+    want = {k for k, t, o in sig if o and o + dt.timedelta(hours=6) <= dt.datetime(2024, 1, 2) and not (first(t, o) and first(t, o) <= o + dt.timedelta(hours=6))}
+    assert {r.signal_id for r in late.collect()} == want and join_rows(late) <= len(sig)
