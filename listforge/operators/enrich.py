@@ -85,11 +85,13 @@ def aircraft(subj: DataFrame, master: DataFrame, models: DataFrame) -> DataFrame
     subj(subject_id, tail, serial, model); master(n_number, serial, code, pos); models(code, model).
     """
     m = master.join(models.select("code", F.upper("model").alias("r_model")), "code", "left").select(F.regexp_replace(T.compact(F.col("n_number")), "^N", "").alias("n"), T.compact(F.col("serial")).alias("s"), "r_model", "pos")
+    # of the records of a number only the first by position can win, so only that one meets the subjects
+    first = lambda key: m.where(F.col(key).isNotNull()).groupBy(key).agg(F.min(F.struct("pos", "n", "r_model") if key == "s" else F.struct("pos")).alias("m"))
     tail = subj.select("subject_id", T.compact(F.col("tail")).alias("t")).where(F.col("t").startswith("N")).select("subject_id", F.regexp_replace("t", "^N", "").alias("n"))
-    by_tail = tail.join(m, "n").select("subject_id", "n", F.lit("TAIL_NUMBER").alias("match_method"), F.lit(1.0).alias("score"), F.lit(1).alias("tier"), "pos")
+    by_tail = tail.join(first("n"), "n").select("subject_id", "n", F.lit("TAIL_NUMBER").alias("match_method"), F.lit(1.0).alias("score"), F.lit(1).alias("tier"), "m.pos")
     ser = subj.select("subject_id", T.compact(F.col("serial")).alias("s"), F.upper(F.coalesce("model", F.lit(""))).alias("model")).where("s <> ''")
     same = (F.col("model") != "") & F.col("r_model").isNotNull() & (F.contains("model", "r_model") | F.contains("r_model", "model"))
-    by_serial = ser.join(m, "s").select("subject_id", "n", F.lit("SERIAL_NUMBER").alias("match_method"), F.when(same, 1.0).otherwise(0.9).alias("score"), F.lit(2).alias("tier"), "pos")
+    by_serial = ser.join(first("s"), "s").select("subject_id", "model", "m.*").select("subject_id", "n", F.lit("SERIAL_NUMBER").alias("match_method"), F.when(same, 1.0).otherwise(0.9).alias("score"), F.lit(2).alias("tier"), "pos")
     best = latest(by_tail.union(by_serial), ["subject_id"], F.col("tier"), F.col("pos"))
     return best.select("subject_id", F.concat(F.lit("N"), "n").alias("provider_key"), "match_method", "score", F.when(F.col("score") >= 1, "AUTO_ACCEPTED").otherwise("NEEDS_REVIEW").alias("status"))
 

@@ -52,3 +52,12 @@ def test_signals_do_not_meet_every_publish_of_their_target(spark):
     late = MO.unanswered(s, p, F.lit(dt.datetime(2024, 1, 2)))
     want = {k for k, t, o in sig if o and o + dt.timedelta(hours=6) <= dt.datetime(2024, 1, 2) and not (first(t, o) and first(t, o) <= o + dt.timedelta(hours=6))}
     assert {r.signal_id for r in late.collect()} == want and join_rows(late) <= len(sig)
+
+
+def test_only_the_first_aircraft_of_a_number_meets_the_subjects(spark):
+    subj = spark.createDataFrame([(k, "N-7" if k % 50 == 0 else "D-1", "s 1", ["model a", "other", None][k % 3]) for k in range(300)], "subject_id int, tail string, serial string, model string")
+    master = spark.createDataFrame([(f"N{k}", "s1", "c1" if k < 290 else "c2", 1000 - k) for k in range(300)] + [("7", "x", None, 5)], "n_number string, serial string, code string, pos int")
+    df = E.aircraft(subj, master, spark.createDataFrame([("c1", "Model A"), ("c2", "Model")], "code string, model string"))
+    got = {r.subject_id: (r.provider_key, r.match_method, r.score) for r in df.collect()}
+    assert got == {k: ("N7", "TAIL_NUMBER", 1.0) if k % 50 == 0 else ("N299", "SERIAL_NUMBER", 1.0 if k % 3 == 0 else 0.9) for k in range(300)}
+    assert join_rows(df) < 1000  # 90,000 pairs share the serial number
