@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from listforge.operators import enrich as E
 from listforge.operators import monitor as MO
 from listforge.operators import notices as G
+from listforge.plans import q_links as Q
 
 
 def plan(df):
@@ -61,3 +62,8 @@ def test_only_the_first_aircraft_of_a_number_meets_the_subjects(spark):
     got = {r.subject_id: (r.provider_key, r.match_method, r.score) for r in df.collect()}
     assert got == {k: ("N7", "TAIL_NUMBER", 1.0) if k % 50 == 0 else ("N299", "SERIAL_NUMBER", 1.0 if k % 3 == 0 else 0.9) for k in range(300)}
     assert join_rows(df) < 1000  # 90,000 pairs share the serial number
+
+
+def test_links_of_extractions_are_not_shuffled(spark):
+    text = plan(Q.g09(spark, "/root/testdata/sf0.001"))
+    assert "Aggregate" in text and text.index("Join") < text.index("Aggregate")
