@@ -76,22 +76,23 @@ def listed_elsewhere(cands: DataFrame, keys: DataFrame) -> DataFrame:
 
 
 def id_change_suspects(cands: DataFrame, ids: DataFrame, names: DataFrame) -> DataFrame:
-    """(source_id, source_key, reason, value, first_key, n_others): each candidate with each strong identifier or normalised primary name that
-    other records of its list carry too.
+    """(source_id, source_key, reason, value, candidate, first_key, n_others): all records of a list that carry a strong identifier or normalised
+    primary name which a candidate and at least one other record carry.
 
-    The records of one value are a class; first_key, its smallest key, names it. Two records suspect each other if they share a class, so no
-    pair is listed and none is lost: rows grow with the candidates' values, not with the pairs of a value.
+    The records of one value are a class, all of whose members are listed; first_key, its smallest key, names it. A candidate suspects every other
+    member of its classes, for SHARED_IDENTIFIER where they have such a class, else for SAME_NAME: every pair follows from the rows, which grow with
+    the records' values and not with the pairs of a value.
     """
     by = ["source_id", "source_key"]
     strong = ids.where(~F.col("id_type").isin(*WEAK_TYPES))
     value = lambda *c: F.concat_ws(":", *c)
     marks = strong.select(*by, F.lit("SHARED_IDENTIFIER").alias("reason"), value("id_type", "value_norm").alias("value"))
     marks = marks.union(names.select(*by, F.lit("SAME_NAME"), "name_norm")).where("value IS NOT NULL").distinct()
-    shared = marks.groupBy("source_id", "reason", "value").agg(F.min("source_key").alias("first_key"), (F.count("*") - 1).alias("n_others")).where("n_others > 0")
+    marks = marks.join(cands.select(*by, F.lit(True).alias("candidate")).distinct(), by, "left").fillna(False, ["candidate"])
+    shared = marks.groupBy("source_id", "reason", "value").agg(F.min("source_key").alias("first_key"), (F.count("*") - 1).alias("n_others"), F.bool_or("candidate").alias("__any")).where("n_others > 0 AND __any")
     # another expression than the grouping's, so that both sides get plain exchanges and a hot value can be split
     shared = shared.select(F.col("source_id").alias("__s"), F.col("reason").alias("__r"), F.concat("value", F.lit("")).alias("__v"), "first_key", "n_others")
-    mine = cands.select(*by).distinct().join(marks, by)
-    return mine.join(shared, (F.col("source_id") == F.col("__s")) & (F.col("reason") == F.col("__r")) & (F.col("value") == F.col("__v"))).drop("__s", "__r", "__v")
+    return marks.join(shared, (F.col("source_id") == F.col("__s")) & (F.col("reason") == F.col("__r")) & (F.col("value") == F.col("__v"))).drop("__s", "__r", "__v")
 
 
 def id_change_reasons(cands: DataFrame, ids: DataFrame, names: DataFrame) -> DataFrame:

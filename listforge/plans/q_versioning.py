@@ -267,7 +267,7 @@ def f15(spark, sf_dir):
     "f16_id_change_suspects",
     f"""WITH {_IDS}, c AS (SELECT DISTINCT source_id, source_key FROM ({CANDS}) WHERE status = 'PENDING'), s AS (SELECT * FROM ids WHERE label IN ('IMO number','Passport','MMSI')),
     m AS (SELECT DISTINCT source_id, source_key, 'SHARED_IDENTIFIER' AS reason, CASE label WHEN 'IMO number' THEN 'IMO' ELSE upper(label) END || ':' || norm AS mark FROM s UNION ALL SELECT 'L' || (c_custkey % 3), c_custkey, 'SAME_NAME', c_nationkey || '/' || c_mktsegment FROM customer)
-    SELECT source_id, source_key, reason, mark AS value, first_key, n_others FROM (SELECT *, min(source_key) OVER w AS first_key, count(*) OVER w - 1 AS n_others FROM m WINDOW w AS (PARTITION BY source_id, reason, mark)) SEMI JOIN c USING (source_id, source_key) WHERE n_others > 0""",
+    SELECT source_id, source_key, reason, mark AS value, candidate, first_key, n_others FROM (SELECT m.*, c.source_key IS NOT NULL AS candidate, min(m.source_key) OVER w AS first_key, count(*) OVER w - 1 AS n_others, bool_or(c.source_key IS NOT NULL) OVER w AS asked FROM m LEFT JOIN c ON c.source_id = m.source_id AND c.source_key = m.source_key WINDOW w AS (PARTITION BY m.source_id, m.reason, m.mark)) WHERE n_others > 0 AND asked""",
 )
 def f16(spark, sf_dir):
     cands = derived(spark, sf_dir, CANDS).where("status = 'PENDING'").select(*KEYS).distinct()
