@@ -17,9 +17,17 @@ _COUNTRY = "CASE c_nationkey % 3 WHEN 0 THEN 'France' WHEN 1 THEN 'Iran (Islamic
 _ISO = "CASE c_nationkey % 3 WHEN 0 THEN 'FR' WHEN 1 THEN 'IR' END"
 
 
+#: Elements of one landed file. An XML file is read by one task, so a longer list lands in more files, not in longer ones.
+FILE_ROWS = 20_000
+
+
+def _dealt(df):
+    return df.repartition(max(1, -(-df.count() // FILE_ROWS)))
+
+
 def _xml(df, tag: str) -> str:
     path = new_path(df.sparkSession, "landed-xml")
-    df.write.format("xml").option("rootTag", "LIST").option("rowTag", tag).option("attributePrefix", "_").option("valueTag", "_VALUE").save(path)
+    _dealt(df).write.format("xml").option("rootTag", "LIST").option("rowTag", tag).option("attributePrefix", "_").option("valueTag", "_VALUE").save(path)
     return path
 
 
@@ -100,7 +108,7 @@ def a06(spark, sf_dir):
     base = new_path(spark, "landed-normalised")
 
     def put(df, tag: str, name: str) -> None:
-        df.write.format("xml").option("rootTag", "PART").option("rowTag", tag).option("attributePrefix", "_").option("valueTag", "_VALUE").save(f"{base}/{name}")
+        _dealt(df).write.format("xml").option("rootTag", "PART").option("rowTag", tag).option("attributePrefix", "_").option("valueTag", "_VALUE").save(f"{base}/{name}")
 
     nations = derived(spark, sf_dir, "SELECT concat_ws('', collect_list(concat('<Country ID=\"c', n_nationkey, '\" ISO2=\"', CASE WHEN n_nationkey % 3 = 0 THEN 'FR' ELSE 'IR' END, '\">', n_name, '</Country>'))) AS x FROM nation")  # a dimension
     nations.select(F.replace(lit(_SETS), lit("{countries}"), F.col("x"))).write.text(f"{base}/sets")
