@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dates as D
 from ..functions import text as T
+from ..session import durable
 from . import canonical as C
 
 # The reference sets that are read, and vocabularies.
@@ -53,7 +54,7 @@ def period(p: Column) -> Column:
 
 def advanced_list(spark: SparkSession, path: str, iso: C.Iso) -> DataFrame:
     """Canonical records of the file."""
-    ref = references(spark, path)
+    ref = durable(references(spark, path), "reference-sets")  # a small dimension that is joined a dozen times; each read would scan the file
     look = lambda s, alias: F.broadcast(ref.where(F.col("set") == s).select(F.col("id").alias(f"{alias}_id"), F.col("text").alias(alias)))
     c = F.col
 
@@ -91,7 +92,7 @@ def advanced_list(spark: SparkSession, path: str, iso: C.Iso) -> DataFrame:
     names = "array<struct<_Primary:string,_AliasTypeID:string,_LowQuality:string,DocumentedName:array<struct<DocumentedNamePart:array<struct<NamePartValue:struct<_VALUE:string,_NamePartGroupID:string,_ScriptID:string>>>>>>>"
     party = C.xml(spark, path, "DistinctParty", f"""_FixedRef string, Profile struct<_ID:string,_PartySubTypeID:string,Identity:array<struct<_ID:string,_Primary:string,Alias:{names}>>,
       Feature:array<struct<_FeatureTypeID:string,FeatureVersion:array<struct<VersionDetail:array<struct<_DetailReferenceID:string,_VALUE:string>>,VersionLocation:array<struct<_LocationID:string>>,DatePeriod:{PERIOD}>>>>>""").where("Profile IS NOT NULL")
-    party = party.withColumn("uid", c("_FixedRef")).withColumn("profile_id", c("Profile._ID"))
+    party = durable(party.withColumn("uid", c("_FixedRef")).withColumn("profile_id", c("Profile._ID")), "parties")  # read five times below
     subtype = F.broadcast(ref.where("set = 'PartySubType'").select(F.col("id").alias("sub_id"), F.lower("text").alias("sub"), F.col("parent").alias("ptype")))
     ptype = F.broadcast(ref.where("set = 'PartyType'").select(F.col("id").alias("pt_id"), F.lower("text").alias("pt")))
     kinds = party.select("uid", c("Profile._PartySubTypeID").alias("s")).join(subtype, c("s") == c("sub_id"), "left").join(ptype, c("ptype") == c("pt_id"), "left")
