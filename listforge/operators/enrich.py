@@ -18,6 +18,28 @@ def subjects(current: DataFrame, results: DataFrame, as_of: Column, refresh_days
     return current.where(F.col("entity_type").isin(*types)).join(young, ["source_id", "source_key"], "left_anti").orderBy(F.col("created_at").desc(), "source_key").limit(n)
 
 
+def near_names(names: DataFrame, registered: DataFrame) -> DataFrame:
+    """(core, r_core, score) of the distinct core names on both sides that share a rare token; names(core), registered(r_core).
+
+    A name of n tokens is looked up by the n - ceil(n / 2) + 1 of them that are rarest in the register, so every pair that
+    shares half of the tokens of both meets, and common tokens (which are looked up last) make few pairs. Both sides of
+    the join are plain, so that the tasks of a hot token can be split.
+    """
+    tokens = lambda c: F.array_distinct(F.filter(F.split(c, " "), lambda t: t != ""))
+    registered = registered.select("r_core").distinct()
+    often = registered.select(F.explode(tokens("r_core")).alias("t")).groupBy("t").agg(F.count("*").alias("n")).select(F.col("t").alias("__t"), "n")
+
+    def rare(df: DataFrame, core: str) -> DataFrame:
+        one = df.select(core, F.explode(tokens(core)).alias("t"))
+        seen = one.join(often, F.col("t") == F.col("__t"), "left").withColumn("n", F.coalesce("n", F.lit(0)))
+        listed = seen.groupBy(core).agg(F.array_sort(F.collect_list(F.struct("n", "t"))).alias("ts"))
+        n = F.size("ts")
+        return listed.select(core, F.explode(F.slice("ts", F.lit(1), n - F.ceil(n / 2).cast("int") + 1)).alias("x")).select(core, F.col("x.t").alias("t"))
+
+    met = rare(names.select("core").distinct(), "core").join(rare(registered, "r_core"), "t").select("core", "r_core").distinct()
+    return met.withColumn("score", N.name_score(F.col("core"), F.col("r_core")))
+
+
 def legal_entities(subj: DataFrame, registry: DataFrame, review: float = 0.85) -> DataFrame:
     """Ladder: valid LEI, then a registration number that is unique in its country, then the best name.
 
@@ -64,7 +86,8 @@ def companies(subj: DataFrame, registry: DataFrame, review: float = 0.85) -> Dat
 
     subj(subject_id, country, reg_norm, core); registry(number, core). Every wanted subject (home country or unknown) gets a
     row; all names that reach the review score are found (``fuzzy.pairs``), of equal scores the smallest number counts, and a subject
-    without one is NO_MATCH with score 0 and no key.
+    without one is NO_MATCH with score 0 and no key. Its ``near_score`` is the best among the names that share a rare token with it
+    (``near_names``), 0 without any; for all others it is the score.
     """
     wanted = subj.where(F.col("country").isNull() | (F.col("country") == "GB")).select("subject_id", "reg_norm", "core")
     r = registry.select(F.col("number").alias("r_key"), F.col("core").alias("r_core"))
@@ -74,7 +97,10 @@ def companies(subj: DataFrame, registry: DataFrame, review: float = 0.85) -> Dat
     top = pairs(left, r, review).join(first, "r_core").groupBy("core").agg(F.min(F.struct((-F.col("score")).alias("s"), "r_key")).alias("m"))
     named = left.join(top.select(F.col("core").alias("__core"), "m"), F.col("core") == F.col("__core")).select("subject_id", "m.r_key", F.lit("NAME").alias("match_method"), (-F.col("m.s")).alias("score"), F.lit(2).alias("tier"))
     best = latest(exact.union(named), ["subject_id"], F.col("tier"), F.col("score").desc(), F.col("r_key"))
-    out = wanted.select("subject_id").join(best, "subject_id", "left").fillna({"score": 0.0, "match_method": "NAME"})
+    out = wanted.select("subject_id", "core").join(best, "subject_id", "left").fillna({"score": 0.0, "match_method": "NAME"})
+    none = left.join(named.select("subject_id").distinct(), "subject_id", "left_anti").where("core IS NOT NULL")
+    near = near_names(none, r).groupBy(F.col("core").alias("__core")).agg(F.max("score").alias("__near"))
+    out = out.join(near, (F.col("core") == F.col("__core")) & F.col("tier").isNull(), "left").withColumn("near_score", F.greatest("score", F.coalesce("__near", F.lit(0.0)))).drop("core", "__core", "__near")
     state = F.when(F.col("tier") == 1, "AUTO_ACCEPTED").otherwise(N.decision(F.col("score"), review=review))
     return out.withColumn("status", state).withColumn("provider_key", F.when(state != "NO_MATCH", F.col("r_key"))).drop("r_key", "tier")
 
