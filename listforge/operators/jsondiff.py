@@ -24,6 +24,8 @@ def nodes(docs: DataFrame, keys: Sequence[str], doc: str) -> DataFrame:
     Values are JSON text: arrays whole, objects and JSON's null as null. What isn't JSON counts as null, a null document has no nodes.
     """
     shape = F.schema_of_variant("__v")
+    # a document is small beside its nodes: a given number of partitions, which aren't put together, spreads the levels over all tasks
+    docs = docs.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
     level = docs.where(F.col(doc).isNotNull()).select(*keys, F.array().cast("array<string>").alias("path"), F.try_parse_json(doc).alias("__v"))
     out = []
     while True:

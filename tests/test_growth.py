@@ -5,6 +5,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from listforge.operators import enrich as E
+from listforge.operators import jsondiff as JD
 from listforge.operators import monitor as MO
 from listforge.operators import notices as G
 from listforge.plans import q_links as Q
@@ -67,3 +68,8 @@ def test_only_the_first_aircraft_of_a_number_meets_the_subjects(spark):
 def test_links_of_extractions_are_not_shuffled(spark):
     text = plan(Q.g09(spark, "/root/testdata/sf0.001"))
     assert "Aggregate" in text and text.index("Join") < text.index("Aggregate")
+
+
+def test_levels_of_documents_are_spread_over_tasks(spark):
+    docs = spark.range(0, 64, 1, 1).selectExpr("id", "'{\"a\": {\"b\": 1}}' AS doc")
+    assert JD.nodes(docs, ["id"], "doc").select(F.input_file_name().alias("f")).distinct().count() > 6  # three levels
