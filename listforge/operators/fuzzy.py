@@ -1,12 +1,12 @@
 """Pairs of names whose score reaches a limit, all of them, without comparing everything with everything.
 
 The score is 2 * LCS / (length + length) of the token-sorted names, so a pair reaches the limit only with at most
-``(1 - limit) * (sum of the lengths)`` single-character insertions and deletions. The longer name is cut into one segment more
-than the operations that any shorter partner may need. One operation spoils one segment, so some segment stands in the shorter name unchanged,
-and the first one that does so by count has exactly as many operations before it as segments (partition filter with
-multi-match-aware selection). That fixes the few places where it can stand: shifted by at most its number, by an even difference
-from it, with what is left of the operations for the rest. Both names are looked up by (length of the longer, number, segment),
-a plain equi-join whose hot keys adaptive execution can split.
+``(1 - limit) * (sum of the lengths)`` single-character insertions and deletions. The longer name is cut into parts that each take up to
+two operations, so many that one more operation than any shorter partner may need would fill them all: some part then stays within its own.
+It stands in the shorter name with so few characters gone on either side that what is left of both is the same: a subsequence of nearly the
+whole part, which few other names share. The first such part by count leaves few places where it can stand: each part before it takes more
+operations than its own, and what is left must do for the rest. Both names are looked up by (length of the longer, part, what is left of it), as a
+hash whose equals only make more rows, in a plain equi-join whose hot keys adaptive execution can split.
 """
 
 from __future__ import annotations
@@ -19,6 +19,8 @@ from ..session import durable
 
 #: Longer names are looked up by their segments alone, wherever these stand: that takes a number of keys that grows with the length only.
 LONG = 128
+#: Most operations of a part and one; names that one task makes keys of.
+OWN, DEALT = 3, 5000
 
 
 def sorted_tokens(core: Column) -> Column:
@@ -37,56 +39,102 @@ def _segments(length: str, slack: float) -> str:
     return f"transform(sequence(0, {n} - 1), i -> named_struct('i', i, 'at', i * ({length} DIV {n}) + greatest(0, i - {short}), 'size', CAST({length} DIV {n} AS INT) + IF(i >= {short}, 1, 0)))"
 
 
-def _longer_keys(df: DataFrame, slack: float) -> DataFrame:
-    """Names as the longer of a pair: a row a segment."""
-    cut = df.where("len > 0").withColumn("g", F.explode(F.expr(_segments("len", slack))))
-    seg = F.expr("substring(name, CAST(g.at + 1 AS INT), g.size)")
-    far = F.col("len") > LONG
-    return cut.select("core", "name", "len", F.when(far, -1).otherwise(F.col("len")).alias("of"), F.when(far, -1).otherwise(F.col("g.i")).alias("i"), seg.alias("seg"))
+def _parts(limit: float, most: int) -> list[tuple[int, ...]]:
+    """(length, part, first character, size, operations, operations that the parts before it take, whether it is the last) for each length."""
+    out = []
+    for length in range(1, most + 1):
+        ops = int(2 * _slack(limit) * length)
+        n = -(-(ops + 1) // OWN)
+        own = [(ops + 1) // n - 1 + (k < (ops + 1) % n) for k in range(n)]  # with one more each they are the operations and one
+        rest, at, before = length - sum(own), 0, 0
+        for k, t in enumerate(own):
+            size = rest // n + (k < rest % n) + t
+            out.append((length, k, at, size, t, before, int(k == n - 1)))
+            at, before = at + size, before + t + 1
+    return out
 
 
-def _shorter_keys(df: DataFrame, slack: float) -> DataFrame:
-    """Names as the shorter of a pair, or one as long: a row a longer length, segment and place where it may stand."""
+def _without(s: str, n: int) -> str:
+    """SQL: the different strings that are left of one without n characters."""
+    if n == 0:
+        return f"array({s})"
+    v = f"v{n}"
+    one = f"IF({v} = '', CAST(array() AS array<string>), transform(sequence(1, length({v})), p{n} -> concat(substring({v}, 1, p{n} - 1), substring({v}, p{n} + 1))))"
+    return f"array_distinct(flatten(transform({_without(s, n - 1)}, {v} -> {one})))"
+
+
+def _key(of: str, i: str, left: str) -> Column:
+    return F.expr(f"xxhash64({of}, {i}, {left})")
+
+
+def _longer_keys(df: DataFrame, parts: DataFrame, slack: float) -> DataFrame:
+    """Names as the longer of a pair: a row a part and what may be left of it."""
+    cut = df.join(F.broadcast(parts), F.col("len") == F.col("of")).withColumn("s", F.expr("substring(name, at + 1, size)"))
+    left = " ".join(f"WHEN {t} THEN flatten(array({', '.join(_without('s', x) for x in range(t + 1))}))" for t in range(OWN))
+    near = cut.withColumn("seg", F.explode(F.expr(f"CASE own {left} END"))).select("name", _key("of", "i", "seg").alias("key"))
+    far = df.where(F.col("len") > LONG).withColumn("g", F.explode(F.expr(_segments("len", slack))))
+    return near.union(far.select("name", _key("-1", "-1", "substring(name, CAST(g.at + 1 AS INT), g.size)")))
+
+
+def _shorter_keys(df: DataFrame, parts: DataFrame, slack: float) -> DataFrame:
+    """Names as the shorter of a pair, or one as long: a row a longer length, part and what may be left of it where it may stand."""
     most = f"CAST(floor(len * (1 + {slack}) / (1 - {slack}) + 1e-6) AS INT)"
-    grown = df.where("len > 0").withColumn("of", F.explode(F.expr(f"sequence(len, greatest(len, least({LONG}, {most})))"))).where(f"of <= {LONG}")
-    grown = grown.withColumn("g", F.explode(F.expr(_segments("of", slack)))).withColumn("d", F.expr(f"CAST(floor({slack} * (len + of)) AS INT)"))
-    # sh: how far the segment stands from its place in the longer name
-    places = grown.withColumn("sh", F.explode(F.expr("transform(sequence(0, g.i), k -> 2 * k - g.i)")))
-    places = places.where("g.i + abs(sh - (len - of)) <= d AND g.at + sh >= 0 AND g.at + sh + g.size <= len")
-    near = places.select("core", "name", "len", "of", F.col("g.i").alias("i"), F.expr("substring(name, CAST(g.at + sh + 1 AS INT), g.size)").alias("seg"))
+    grown = df.withColumn("of", F.explode(F.expr(f"sequence(len, greatest(len, least({LONG}, {most})))"))).where(f"of <= {LONG}")
+    grown = grown.join(F.broadcast(parts), "of").withColumn("d", F.expr(f"CAST(floor({slack} * (len + of)) AS INT)"))
+    # sh: how far the part stands from its place in the longer name; more: by how much it is longer there
+    shifts = "CASE WHEN i = 0 THEN array(0) WHEN last = 1 THEN array(len - of - more) ELSE sequence(-d, d) END"
+    places = f"flatten(transform(sequence(-own, own), more -> transform({shifts}, sh -> named_struct('more', more, 'sh', sh))))"
+    fits = "greatest(before, abs(p.sh)) + abs(p.more) + abs(len - of - p.sh - p.more) <= d AND at + p.sh >= 0 AND size + p.more >= 0 AND at + p.sh + size + p.more <= len"
+    fits += " AND (last = 0 OR p.sh + p.more = len - of)"
+    # of the operations on the part as many as its own allows, by whose parity the two sizes differ
+    gone = "(own - pmod(own - p.more, 2) + p.more) DIV 2"
+    there = "substring(name, at + p.sh + 1, size + p.more)"
+    left = " ".join(f"WHEN {n} THEN {_without(there, n)}" for n in range(OWN))
+    keys = f"array_distinct(flatten(transform(filter({places}, p -> {fits}), p -> CASE CAST({gone} AS INT) {left} END)))"
+    near = grown.withColumn("seg", F.explode(F.expr(keys))).select("name", _key("of", "i", "seg").alias("key"))
     n = f"(CAST(floor({2 * slack} * o) AS INT) + 1)"
     sizes = f"array_distinct(flatten(transform(sequence(greatest(len, {LONG + 1}), greatest(len, {LONG + 1}, {most})), o -> array(CAST(o DIV {n} AS INT), CAST(o DIV {n} AS INT) + 1))))"
     sizes = df.where(f"{most} > {LONG}").withColumn("size", F.explode(F.expr(sizes)))
     everywhere = sizes.where("size BETWEEN 1 AND len").withColumn("seg", F.explode(F.expr("array_distinct(transform(sequence(1, len - size + 1), p -> substring(name, p, size)))")))
-    return near.union(everywhere.select("core", "name", "len", F.lit(-1).alias("of"), F.lit(-1).alias("i"), "seg"))
+    return near.union(everywhere.select("name", _key("-1", "-1", "seg")))
 
 
 def pairs(left: DataFrame, right: DataFrame, limit: float = 0.85) -> DataFrame:
     """(core, r_core, score) of all distinct names with a score of ``limit`` or more; left(core), right(r_core).
 
-    Names are core names, whose case and punctuation are gone; empty and null ones have no pair. What the segments bring together is held
+    Names are core names, whose case and punctuation are gone; empty and null ones have no pair. What the parts bring together is held
     against the plain edit distance first, which is never above the number of operations, and only what passes is scored.
     """
     if not 0.5 <= limit <= 1:
         raise ValueError("the limit lies between 0.5 and 1")
     slack = _slack(limit)
 
+    spark = left.sparkSession
+
     def names(df: DataFrame, core: str) -> DataFrame:
         named = df.select(F.col(core).alias("core")).where("core IS NOT NULL").distinct().withColumn("name", sorted_tokens(F.col("core")))
-        return named.withColumn("len", F.length("name")).where("len > 0")
+        return named.where("name <> ''")
+
+    def spread(df: DataFrame) -> DataFrame:
+        """The different names, dealt to tasks of about ``DEALT``: a short table makes many rows."""
+        one = df.select("name").distinct().withColumn("len", F.length("name"))
+        return one.repartition(max(spark.sparkContext.defaultParallelism, df.count() // DEALT + 1), "name")
 
     # written once: each side is read as the longer and as the shorter one, and callers read the pairs several times
     a, b = durable(names(left, "core"), "names"), durable(names(right, "r_core"), "names")
-
-    # side 0: the right names as the longer ones, or as long; side 1: the left names as the longer ones
-    long = [_longer_keys(df, slack).withColumn("side", F.lit(k)) for k, df in enumerate((b, a))]
-    x = long[0].union(long[1]).selectExpr("core AS l_core", "name AS l_name", "len AS l_len", "of AS l_of", "i AS l_i", "seg AS l_seg", "side AS l_side")
-    short = [_shorter_keys(df, slack).withColumn("side", F.lit(k)) for k, df in enumerate((a, b))]
-    both = x.join(short[0].union(short[1]), (F.col("l_side") == F.col("side")) & (F.col("l_of") == F.col("of")) & (F.col("l_i") == F.col("i")) & (F.col("l_seg") == F.col("seg")))
-    most = F.floor(F.lit(slack) * (F.col("l_len") + F.col("len"))).cast("int")
-    both = both.where((F.col("l_len") >= F.col("len") + F.col("side")) & (F.col("l_len") - F.col("len") <= most))
-    # the threshold of the built-in is a constant; the limit of the pair isn't
-    near = both.where(F.levenshtein("l_name", "name") <= most)
-    one = lambda k, other: F.when(F.col("side") == k, F.col("core")).otherwise(F.col(other))
-    found = near.select(one(0, "l_core").alias("core"), one(1, "l_core").alias("r_core")).distinct()
-    return durable(found.withColumn("score", N.name_score(F.col("core"), F.col("r_core"))).where(F.col("score") >= limit), "name-pairs")
+    parts = spark.createDataFrame(_parts(limit, LONG), "of int, i int, at int, size int, own int, before int, last int")
+
+    def met(longer: DataFrame, shorter: DataFrame, side: int) -> DataFrame:
+        x = _longer_keys(longer, parts, slack).withColumnRenamed("name", "l_name").withColumnRenamed("key", "l_key")
+        both = x.join(_shorter_keys(shorter, parts, slack), F.col("l_key") == F.col("key"))
+        both = both.withColumn("l_len", F.length("l_name")).withColumn("len", F.length("name"))
+        most = F.floor(F.lit(slack) * (F.col("l_len") + F.col("len"))).cast("int")
+        both = both.where((F.col("l_len") >= F.col("len") + side) & (F.col("l_len") - F.col("len") <= most))
+        # the threshold of the built-in is a constant; the limit of the pair isn't
+        return both.where(F.levenshtein("l_name", "name") <= most).select("l_name", "name")
+
+    # the right names as the longer ones, or as long; then the left names as the longer ones
+    one, other = spread(a), spread(b)
+    found = met(other, one, 0).selectExpr("name AS a_name", "l_name AS b_name").union(met(one, other, 1)).distinct()
+    found = found.join(a.select("core", F.col("name").alias("a_name")), "a_name").join(b.select(F.col("core").alias("r_core"), F.col("name").alias("b_name")), "b_name")
+    return durable(found.select("core", "r_core").withColumn("score", N.name_score(F.col("core"), F.col("r_core"))).where(F.col("score") >= limit), "name-pairs")

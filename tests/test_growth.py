@@ -1,10 +1,12 @@
 """Steps whose rows must not grow with the product of two inputs."""
 
 import datetime as dt
+import random
 
 from pyspark.sql import functions as F
 
 from listforge.operators import enrich as E
+from listforge.operators import fuzzy as FZ
 from listforge.operators import jsondiff as JD
 from listforge.operators import monitor as MO
 from listforge.operators import notices as G
@@ -73,3 +75,14 @@ def test_links_of_extractions_are_not_shuffled(spark):
 def test_levels_of_documents_are_spread_over_tasks(spark):
     docs = spark.range(0, 64, 1, 1).selectExpr("id", "'{\"a\": {\"b\": 1}}' AS doc")
     assert JD.nodes(docs, ["id"], "doc").select(F.input_file_name().alias("f")).distinct().count() > 6  # three levels
+
+
+def test_few_different_names_share_a_key(spark):
+    rng = random.Random(3)
+    syllables = ["th", "er", "on", "an", "re", "he", "in", "ed", "nd", "ha", "at", "en"]
+    names = {" ".join(sorted("".join(rng.choice(syllables) for _ in range(rng.choice([2, 2, 3]))) for _ in range(rng.choice([2, 3])))) for _ in range(1500)}
+    df = spark.createDataFrame([(n, len(n)) for n in sorted(names)], "name string, len int")
+    parts = spark.createDataFrame(FZ._parts(0.85, FZ.LONG), "of int, i int, at int, size int, own int, before int, last int")
+    shorter = FZ._shorter_keys(df, parts, FZ._slack(0.85)).withColumnRenamed("name", "other")
+    met = FZ._longer_keys(df, parts, FZ._slack(0.85)).join(shorter, "key").select("name", "other").distinct().count()
+    assert len(names) <= met < len(names) ** 2 / 50
