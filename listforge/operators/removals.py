@@ -33,24 +33,26 @@ def crosslist_keys(ids: DataFrame, keys: Sequence[str], plain: Sequence[str] = (
     return ids.select(*keys, F.col("id_type").alias("key_type"), value.alias("key_value")).where("key_value IS NOT NULL").distinct()
 
 
-def crosslist_hits(cands: DataFrame, keys: DataFrame, by: Sequence[str], most: int = 8) -> DataFrame:
+def crosslist_hits(cands: DataFrame, keys: DataFrame, by: Sequence[str], most: int = 8, largest: int = 18) -> DataFrame:
     """How many records of another key share a strong key with each candidate; candidates without any are left out.
 
     keys has distinct rows. No pairs of records are made: a candidate's holders are the union of the holders of its keys, and
-    the size of a union follows by inclusion and exclusion from the numbers of records that hold each subset of keys.
-    Records of more than ``most`` shared keys would have too many subsets, so these few are joined one by one.
+    the size of a union follows by inclusion and exclusion from the numbers of records that hold each subset of keys. Records of more than
+    ``most`` shared keys are only met one by one where they have more subsets than their keys have holders, or over ``largest`` keys.
     """
     label = F.concat_ws("\u001f", "key_type", "key_value")
-    shared = keys.groupBy("key_type", "key_value").agg(F.count("*").alias("n")).where("n > 1").select(label.alias("__k"))
+    shared = keys.groupBy("key_type", "key_value").agg(F.count("*").alias("n")).where("n > 1").select(label.alias("__k"), "n")
     held = keys.select(*by, label.alias("k")).join(shared, F.col("k") == F.col("__k")).drop("__k")
-    sets = durable(held.groupBy(*by).agg(F.array_sort(F.collect_set("k")).alias("ks")), "key-sets")  # read five times below
-    small, large = sets.where(F.size("ks") <= most), sets.where(F.size("ks") > most)
-    grown = F.aggregate("ks", F.array(F.array().cast("array<string>")), lambda acc, k: F.concat(acc, F.transform(acc, lambda x: F.concat(x, F.array(k)))))
-    parts = small.select(*by, F.explode(grown).alias("part")).where(F.size("part") > 0)
-    count = parts.groupBy("part").agg(F.count("*").alias("n")).select(F.array_join("part", "\u001e").alias("__p"), "n")
-    mine = parts.join(cands.select(*by).distinct(), list(by), "left_semi").withColumn("p", F.array_join("part", "\u001e"))
-    sign = F.when(F.size("part") % 2 == 1, F.col("n")).otherwise(-F.col("n"))
-    alike = mine.join(count, F.col("p") == F.col("__p")).groupBy(*by).agg((F.sum(sign) - 1).alias("n"))
+    listed = held.groupBy(*by).agg(F.array_sort(F.collect_set("k")).alias("ks"), F.sum("n").alias("holders"))
+    few = (F.size("ks") <= most) | ((F.size("ks") <= largest) & (F.pow(F.lit(2.0), F.size("ks")) <= F.col("holders")))
+    sets = durable(listed.select(*by, "ks", few.alias("few")), "key-sets")  # read five times below
+    small, large = sets.where("few").drop("few"), sets.where("NOT few").drop("few")
+    # a subset is a number whose bits say which keys are in it, so a record's subsets never stand in one row
+    subsets = small.withColumn("bits", F.explode(F.expr("sequence(1L, shiftleft(1L, size(ks)) - 1)")))
+    parts = subsets.select(*by, (F.bit_count("bits") % 2 == 1).alias("odd"), F.expr("array_join(filter(ks, (k, i) -> getbit(bits, i) = 1), '\u001e')").alias("p"))
+    count = parts.groupBy("p").agg(F.count("*").alias("n")).withColumnRenamed("p", "__p")
+    mine = parts.join(cands.select(*by).distinct(), list(by), "left_semi")
+    alike = mine.join(count, F.col("p") == F.col("__p")).groupBy(*by).agg((F.sum(F.when(F.col("odd"), F.col("n")).otherwise(-F.col("n"))) - 1).alias("n"))
 
     def direct(a: DataFrame, b: DataFrame) -> DataFrame:
         left = a.join(cands.select(*by).distinct(), list(by), "left_semi").select(*by, F.explode("ks").alias("k"))
@@ -58,7 +60,7 @@ def crosslist_hits(cands: DataFrame, keys: DataFrame, by: Sequence[str], most: i
         same = reduce(lambda x, y: x & y, [F.col(c) == F.col(f"__x_{c}") for c in by])
         return left.join(right, "k").where(~same).select(*by, *[f"__x_{c}" for c in by]).distinct().groupBy(*by).agg(F.count("*").alias("n"))
 
-    every_one = alike.union(direct(small, large)).union(direct(large, sets))
+    every_one = alike.union(direct(small, large)).union(direct(large, sets.drop("few")))
     return every_one.groupBy(*by).agg(F.sum("n").alias("n_hits")).where("n_hits > 0")
 
 

@@ -10,6 +10,7 @@ from listforge.operators import fuzzy as FZ
 from listforge.operators import jsondiff as JD
 from listforge.operators import monitor as MO
 from listforge.operators import notices as G
+from listforge.operators import removals as R
 from listforge.plans import q_links as Q
 
 
@@ -86,3 +87,14 @@ def test_few_different_names_share_a_key(spark):
     shorter = FZ._shorter_keys(df, parts, FZ._slack(0.85)).withColumnRenamed("name", "other")
     met = FZ._longer_keys(df, parts, FZ._slack(0.85)).join(shorter, "key").select("name", "other").distinct().count()
     assert len(names) <= met < len(names) ** 2 / 50
+
+
+def test_records_of_many_keys_meet_no_records(spark, monkeypatch):
+    monkeypatch.setattr(R, "durable", lambda df, tag="": df)
+    held = {k: {f"p{(k * 7 + j * j) % 23}" for j in range(10 if k % 160 == 0 else 2)} for k in range(12000)}
+    keys = spark.createDataFrame([("S", k, "PASSPORT", v) for k, vs in held.items() for v in vs], "source_id string, source_key int, key_type string, key_value string")
+    ask = [k for k in held if k % 160 == 0 or k % 64 == 1]
+    df = R.crosslist_hits(spark.createDataFrame([("S", k) for k in ask], "source_id string, source_key int"), keys, ["source_id", "source_key"])
+    want = {k: sum(bool(held[k] & o) for o in held.values()) - 1 for k in ask}
+    assert {r.source_key: r.n_hits for r in df.collect()} == {k: n for k, n in want.items() if n}
+    assert join_rows(df) < sum(n for k, n in want.items() if len(held[k]) > 8) / 2
