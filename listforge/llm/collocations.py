@@ -31,6 +31,8 @@ from ..session import durable
 LEAST, LONGEST, FIRST, SHARE = 100, 5, 2000, 100
 #: Bytes of text whose arrays are held at once; fingerprints gathered before they are counted; bits of the bitmap between passes.
 CHUNK, GATHER, BITS = 1 << 20, 2 << 20, 1 << 26
+#: Tasks of the last pass for each of the cluster's cores. What a task holds is bounded by ``GATHER``, whatever it reads.
+WAVES = 2
 #: The part of a fingerprint that passes count by; parts that fall together make the counts larger, never smaller.
 KEY = np.uint64((1 << 44) - 1)
 
@@ -302,7 +304,8 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
         counted = texts.mapInArrow(_count(sizes, *[*maps, None, None][:2], chunk, gather), COUNTS)
         kept = counted.groupBy("fp").agg(F.sum("c").alias("c")).where(F.col("c") >= least)
         maps.append(spark.sparkContext.broadcast(bitmap(kept, bits)))
-    said = texts.mapInArrow(_materialise(longest, maps, chunk, gather), PHRASES)
+    # a task gives a row for each frequent phrase that it meets, so these tasks are few: a row then stands for more occurrences
+    said = texts.coalesce(WAVES * spark.sparkContext.defaultParallelism).mapInArrow(_materialise(longest, maps, chunk, gather), PHRASES)
     counts = said.groupBy("lang", "n", "phrase").agg(F.sum("c").alias("c"), F.min("doc_id").alias("doc_id"))
     return durable(counts.where((F.col("c") >= least) | (F.col("n") == 0)), "phrases")
 
